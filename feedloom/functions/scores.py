@@ -14,7 +14,7 @@ DAY_MICROS = 86_400_000_000
 
 def whole_days(later: Column, earlier: Column | str) -> Column:
     """Whole days between two timestamps, rounded down (also below zero)."""
-    return F.floor((F.unix_micros(later) - F.unix_micros(col(earlier))) / F.lit(DAY_MICROS))
+    return F.floor((F.unix_micros(later) - F.unix_micros(col(earlier).try_cast("timestamp"))) / F.lit(DAY_MICROS))
 
 
 def as_of_column(as_of: str) -> Column:

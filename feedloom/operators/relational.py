@@ -29,15 +29,18 @@ def skew_join(
     *,
     spread: Sequence[str] | None = None,
     min_rows: int = HOT_ROWS,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``left`` rows to few ``right`` rows per key; hot left keys are salted.
 
     Needed where ``right`` is an aggregate on the join key itself, since the run-time
     skew split only sees plain shuffles. The salt is a hash of ``spread`` (a unique
     column, by default all left columns), so a retried task gives the same salt.
+    In a chain of joins pass the first frame as ``hot_from``: key counts then read only its
+    key columns and not the joins made so far.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(left, keys, min_rows))
+    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, keys, min_rows))
     spread = list(spread or left.columns)
     spread_out = F.col("_hot")  # rows without a key match nothing and are spread as well
     for k in keys:

@@ -48,7 +48,7 @@ def f1_quality_score(t):
     "f1_quality_by_config",
     """
 with w(task, name, weight) as (values ('R','q',0.4), ('R','d',0.6), ('A','q',0.7), ('A','t',0.3), ('N','d',0.5), ('N','t',0.5)),
-s as (select l_orderkey, l_returnflag as task, 'q' as name, 1 + cast(avg(l_quantity) as bigint) % 5 as score from lineitem group by all
+s as (select l_orderkey, l_returnflag as task, 'q' as name, 1 + cast(floor(avg(l_quantity)) as bigint) % 5 as score from lineitem group by all
   union all select l_orderkey, l_returnflag, 'd', 1 + count(*) % 5 from lineitem group by all
   union all select l_orderkey, l_returnflag, 't', 1 + max(l_linenumber) % 5 from lineitem where l_linestatus = 'O' group by all)
 select l_orderkey, task, case when count(*) = 2 then round(sum(score / 5 * 100 * weight), 6) end as quality
@@ -59,7 +59,7 @@ def f1_quality_by_config(t):
     li = t.lineitem.withColumnRenamed("l_returnflag", "task")
     five = lambda c: (F.lit(1) + c % 5).cast("long")
     q = li.groupBy("l_orderkey", "task").agg(
-        F.struct(F.lit("q").alias("name"), five(F.round(F.avg("l_quantity")).cast("long")).alias("score")).alias("q"),
+        F.struct(F.lit("q").alias("name"), five(F.floor(F.avg("l_quantity"))).alias("score")).alias("q"),
         F.struct(F.lit("d").alias("name"), five(F.count(F.lit(1))).alias("score")).alias("d"),
         F.struct(
             F.lit("t").alias("name"),

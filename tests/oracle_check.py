@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import sys
 import time
 from datetime import date, datetime
@@ -51,8 +52,9 @@ def compare(df, con, sql: str) -> str | None:
     want = sorted((tuple(canon(r[i]) for i in at) for r in cur.fetchall()), key=repr)
     if got == want:
         return None
-    extra = [r for r in got if r not in set(want)][:2] if len(got) < 20000 else []
-    miss = [r for r in want if r not in set(got)][:2] if len(got) < 20000 else []
+    swant, sgot = set(want), set(got)
+    extra = [r for r in got if r not in swant][:2] if len(got) < 200000 else []
+    miss = [r for r in want if r not in sgot][:2] if len(got) < 200000 else []
     return f"rows {len(got)} != {len(want)}\n   spark only {extra}\n   duckdb only {miss}"
 
 
@@ -73,6 +75,7 @@ def session(cores: int = 8):
 
 
 def main(argv: list[str]) -> int:
+    logging.disable(logging.CRITICAL)
     sf = argv[0] if argv else "0.01"
     parts = argv[1:]
     import __spark_entry__ as e
