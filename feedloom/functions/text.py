@@ -204,10 +204,19 @@ def cut_collapsed(text: Column | str, limit: int, missing: str = "—") -> Colum
 
 
 def star_label(stars: Column | str, missing: str | None = "—") -> Column:
-    """12345 as 12.3k; none as the missing mark."""
-    s = col(stars)
-    label = F.when(s >= 1000, F.concat(F.format_string("%.1f", s / 1000.0), F.lit("k"))).otherwise(s.cast("long").cast("string"))
-    return F.when(s > 0, label).otherwise(missing)
+    """12345 as 12.3k; none as the missing mark.
+
+    A tie (such as 1650) goes the way the binary value of stars / 1000 lies, as in printf.
+    """
+    s = col(stars).cast("long")
+    x = s / F.lit(1000.0)
+    high = x * 134217729.0 - (x * 134217729.0 - x)  # upper half of the digits, so the products are exact
+    off = (high * 1000.0 - s) + (x - high) * 1000.0
+    tenths, rest = F.floor(s / 100), s % 100
+    up = (rest > 50) | ((rest == 50) & ((off > 0) | ((off == 0) & (tenths % 2 == 1))))
+    tenths = tenths + up.cast("long")
+    long = F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit("k"))
+    return F.when(s >= 1000, long).when(s > 0, s.cast("string")).otherwise(missing)
 
 
 # --- K9-K11: dates and hashes ------------------------------------------------------------------
@@ -257,3 +266,24 @@ def pick_description(description: Column | str, chinese: Column | str, reason: C
         return F.coalesce(z, d, F.lit(""))
     r = F.trim(col(reason))
     return F.when(has_cjk(description) & (F.length(r) > 0), r).otherwise(F.coalesce(d, z, F.lit("")))
+
+
+# --- display columns ------------------------------------------------------------------------------
+
+BADGES = {"active": "🟢 Active", "stale": "🟡 Stale", "abandoned": "🔴 Abandoned"}
+
+
+def freshness_badge(label: Column | str, last_commit: Column | str, missing: str = "—") -> Column:
+    """Shown freshness; "abandoned" without any date is only unknown."""
+    known = (col(label) != "abandoned") | (F.length(col(last_commit)) > 0)
+    badge = first_rule([(col(label) == k, v) for k, v in BADGES.items()], missing)
+    return F.when(F.coalesce(known, F.lit(False)), badge).otherwise(missing)
+
+
+def last_active(*dates: Column | str, missing: str = "—") -> Column:
+    return F.coalesce(*[F.substring(empty_as_null(d), 1, 10) for d in dates], F.lit(missing))
+
+
+def tag_line(tags: Column | str, count: int = 3, missing: str = "—") -> Column:
+    shown = F.transform(F.slice(col(tags), 1, count), lambda t: F.concat(F.lit("`"), t, F.lit("`")))
+    return F.when(F.size(col(tags)) > 0, F.array_join(shown, ", ")).otherwise(missing)

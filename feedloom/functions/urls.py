@@ -34,13 +34,13 @@ def normalize_skip_url(url: Column | str) -> Column:
 
 
 def path_prefixes(url: Column | str) -> Column:
-    """Array of the address and every shorter address above it, scheme and host included.
+    """Array of the address and every shorter address above it.
 
     A containment test "equal or below" becomes an equi-join on these.
     """
     parts = F.split(col(url), "/")
     return F.transform(
-        F.sequence(F.least(F.lit(3), F.size(parts)), F.size(parts)),
+        F.sequence(F.lit(1), F.size(parts)),
         lambda n: F.array_join(F.slice(parts, 1, n), "/"),
     )
 

@@ -80,6 +80,25 @@ def with_key_count(
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(0)))
 
 
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str = "before") -> DataFrame:
+    """Sum of ``value`` over the earlier rows of the key, also for a key that fills many partitions.
+
+    Rows are range-partitioned by key and order, so a huge key is spread out. Each partition
+    sums its own rows and adds what earlier partitions hold of the key.
+    """
+    by = [*keys, *order]
+    laid = cut(
+        df.withColumn("_v", value).repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_part", F.spark_partition_id())
+    )
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    inner = before(Window.partitionBy("_part", *keys).orderBy(*order))
+    outer = before(Window.partitionBy(*keys).orderBy("_part"))  # at most one row per partition
+    parts = laid.groupBy("_part", *keys).agg(F.sum("_v").alias("_s"))
+    carry = parts.select("_part", *keys, F.coalesce(F.sum("_s").over(outer), F.lit(0)).alias("_carry"))
+    own = laid.withColumn(name, F.coalesce(F.sum("_v").over(inner), F.lit(0)))
+    return own.join(carry, ["_part", *keys]).withColumn(name, F.col(name) + F.col("_carry")).drop("_part", "_v", "_carry")
+
+
 def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos", partitions: int | None = None) -> DataFrame:
     """Dense global position (from 0) in a total order, without a one-task window.
 
