@@ -23,8 +23,8 @@ def joined_text(*parts: Column | str) -> Column:
 
 
 def word_pattern(words: Sequence[str]) -> str:
-    """One alternation that finds any of the words as a whole word."""
-    return r"\b(?:" + "|".join(re.escape(w) for w in words) + r")\b"
+    """One alternation that finds any of the words as a whole word, in any script."""
+    return r"(?U)\b(?:" + "|".join(re.escape(w) for w in words) + r")\b"
 
 
 def has_word(text: Column | str, words: Sequence[str]) -> Column:
