@@ -145,21 +145,15 @@ def c5_first_seen(t):
 
 
 def bundles(t):
-    """Orders as plugins that list their lines as members; parts as the members."""
-    p = t.part.select(
-        F.col("p_partkey"), F.col("p_name"), F.split_part("p_brand", F.lit("#"), F.lit(2)).alias("brand"), "p_size"
+    """Orders as plugins that list three members each; parts as the members."""
+    p = t.part.select("p_partkey", "p_name", F.split_part("p_brand", F.lit("#"), F.lit(2)).alias("brand"), "p_size")
+    o = t.orders.join(p, F.col("o_custkey") == F.col("p_partkey"))
+    names = F.array(
+        F.concat("brand", F.lit(":"), "p_name"),
+        F.concat(F.lit("part:"), F.col("o_custkey").cast("string")),
+        F.concat(F.lit("x"), "o_orderstatus", F.lit(":"), "p_name"),
     )
-    lines = t.lineitem.join(p, F.col("l_partkey") == F.col("p_partkey"))
-    name = (
-        F.when(F.col("l_returnflag") == "A", F.concat("brand", F.lit(":"), "p_name"))
-        .when(F.col("l_returnflag") == "R", F.concat(F.lit("part:"), F.col("l_partkey").cast("string")))
-        .otherwise(F.concat(F.lit("x"), F.col("l_suppkey").cast("string"), F.lit(":"), "p_name"))
-    )
-    one = F.struct("l_linenumber", name.alias("name"))
-    groups = lines.groupBy(F.col("l_orderkey").alias("plugin_id")).agg(
-        F.transform(F.sort_array(F.collect_list(one)), lambda s: s["name"]).alias("namespaces"),
-        F.min("brand").alias("repo"),
-    ).withColumn("_ord", F.col("plugin_id"))
+    groups = o.select(F.col("o_orderkey").alias("plugin_id"), names.alias("namespaces"), F.col("brand").alias("repo"), F.col("o_orderkey").alias("_ord"))
     members = p.filter(F.col("p_size") > 25).select(
         F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("id"),
         F.when(F.col("p_size") > 40, F.concat("brand", F.lit(":"), "p_name")).alias("namespace"),
@@ -170,11 +164,9 @@ def bundles(t):
 
 SQL_BUNDLES = """
 with p as (select p_partkey, p_name, split_part(p_brand, '#', 2) as brand, p_size from part),
-l as (select l_orderkey, l_linenumber, case when l_returnflag = 'A' then brand || ':' || p_name
-    when l_returnflag = 'R' then 'part:' || l_partkey else 'x' || l_suppkey || ':' || p_name end as name, brand
-  from lineitem join p on p_partkey = l_partkey),
-g as (select l_orderkey as plugin_id, min(brand) as repo from l group by 1),
-f as (select l_orderkey as plugin_id, cast(row_number() over (partition by l_orderkey order by l_linenumber, name) - 1 as integer) as pos, name from l),
+g as (select o_orderkey as plugin_id, brand as repo, o_custkey, o_orderstatus, p_name from orders join p on p_partkey = o_custkey),
+f as (select plugin_id, 0 as pos, repo || ':' || p_name as name from g union all select plugin_id, 1, 'part:' || o_custkey from g
+  union all select plugin_id, 2, 'x' || o_orderstatus || ':' || p_name from g),
 m as (select 'part-' || p_partkey as id, case when p_size > 40 then brand || ':' || p_name end as ns, p_name as tail, brand as repo, p_partkey as o
   from p where p_size > 25),
 n1 as (select ns, arg_min(id, o) as id from m where ns is not null group by ns),
@@ -322,24 +314,22 @@ def c13_ledger_gate(t):
 @query(
     "c14_verify_membership",
     """
-with m as (select l_suppkey as repo, case when l_suppkey % 3 = 0 then 'bad name!' else 'market-' || l_suppkey end as market_name, l_partkey
-  from lineitem where l_returnflag = 'R' group by all)
-select l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, case when m2.repo % 3 > 0 then m2.market_name end as market_name,
-  coalesce(m2.repo % 3 > 0 and m.repo is not null, false) as verified
-from lineitem l left join (select distinct repo, market_name from m) m2 on m2.repo = l.l_suppkey
-left join m on m.repo = l.l_suppkey and m.l_partkey = l.l_partkey
+with m as (select s_suppkey as repo, case when s_acctbal < 3000 then 'bad name!' else 'market-' || s_suppkey end as market_name from supplier)
+select l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, nullif(market_name, 'bad name!') as market_name,
+  market_name <> 'bad name!' and l_partkey >= l_suppkey and l_partkey <= l_suppkey + 1000 and (l_partkey - l_suppkey) % 5 = 0 as verified
+from lineitem l join m on m.repo = l.l_suppkey
 """,
 )
 def c14_verify_membership(t):
-    lines = t.lineitem
-    # one manifest per supplier: the parts it was asked to take back
-    listed = lines.filter("l_returnflag = 'R'").select("l_suppkey", F.col("l_partkey").cast("string").alias("p")).distinct()
-    manifests = listed.groupBy(F.col("l_suppkey").alias("repo")).agg(F.collect_list("p").alias("plugin_names"))
-    manifests = manifests.withColumn(
-        "market_name",
-        F.when(F.col("repo") % 3 == 0, "bad name!").otherwise(F.concat(F.lit("market-"), F.col("repo").cast("string"))),
+    listed = F.transform(
+        F.sequence(F.col("s_suppkey"), F.col("s_suppkey") + 1000, F.lit(5).cast("long")), lambda n: F.concat(F.lit(" "), n.cast("string"))
+    )
+    manifests = t.supplier.select(
+        F.col("s_suppkey").alias("repo"),
+        F.when(F.col("s_acctbal") < 3000, "bad name!").otherwise(F.concat(F.lit("market-"), F.col("s_suppkey").cast("string"))).alias("market_name"),
+        listed.alias("plugin_names"),
     )
-    df = lines.withColumns({"repo": F.col("l_suppkey"), "plugin_name": F.col("l_partkey").cast("string")})
+    df = t.lineitem.withColumns({"repo": F.col("l_suppkey"), "plugin_name": F.col("l_partkey").cast("string")})
     out = O.verify_membership(df, manifests, spread=["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "market_name", "verified")
 

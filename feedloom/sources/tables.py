@@ -60,15 +60,19 @@ def read_json_table(spark: SparkSession, path: str, schema: str | T.StructType,
     return rows.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
-def read_json_with_rejects(spark: SparkSession, path: str, schema: str | T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected lines with reason) of a JSON-lines feed; a bad line stops nothing."""
+def split_rejects(df: DataFrame, text: str, schema: str | T.StructType, keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected texts with reason) of a column of JSON texts; a bad one stops nothing."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    lines = spark.read.text(path)
-    parsed = lines.select("value", F.from_json("value", T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]),
-                                               {"columnNameOfCorruptRecord": "_bad"}).alias("r"))
-    bad = F.col("r._bad").isNotNull() | F.col("r").isNull()
-    good = parsed.filter(~bad).select("r.*").drop("_bad")
-    return good, parsed.filter(bad).select("value", F.lit("malformed row").alias("reason"))
+    marked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    parsed = df.select(*keys, text, F.from_json(text, marked, {"columnNameOfCorruptRecord": "_bad"}).alias("_r"))
+    bad = F.col("_r._bad").isNotNull() | F.col("_r").isNull()
+    good = parsed.filter(~bad).select(*keys, "_r.*").drop("_bad")
+    return good, parsed.filter(bad).select(*keys, text, F.lit("malformed row").alias("reason"))
+
+
+def read_json_with_rejects(spark: SparkSession, path: str, schema: str | T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected lines with reason) of a JSON-lines feed."""
+    return split_rejects(spark.read.text(path), "value", schema)
 
 
 def write_json(df: DataFrame, path: str, order: Sequence[Column | str] = ()) -> None:
