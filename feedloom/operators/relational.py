@@ -21,6 +21,23 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> Da
     return counts.orderBy(F.desc("_hot_n"), *keys).limit(HOT_KEYS).select(*keys, F.lit(True).alias("_hot"))
 
 
+def _bytes(size: str) -> int:
+    """Bytes of a size setting such as 10485760b, 64m or -1."""
+    units = {"b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
+    s = size.strip().lower().removesuffix("b") or "0"
+    return int(s[:-1]) * units[s[-1]] if s[-1] in units else int(s)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate is under the session's broadcast limit."""
+    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:  # a remote session does not tell
+        return False
+    return size <= limit
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -33,13 +50,16 @@ def skew_join(
 ) -> DataFrame:
     """Join many ``left`` rows to few ``right`` rows per key; hot left keys are salted.
 
-    Needed where ``right`` is an aggregate on the join key itself, since the run-time
-    skew split only sees plain shuffles. The salt is a hash of ``spread`` (a unique
+    A ``right`` whose checked size is under the broadcast limit needs no shuffle and no salt;
+    Spark then broadcasts it by itself. Salting is for the others, and needed since ``right`` is
+    often an aggregate on the join key, where the run-time skew split does not reach. The salt is a hash of ``spread`` (a unique
     column, by default all left columns), so a retried task gives the same salt.
     In a chain of joins pass the first frame as ``hot_from``: key counts then read only its
     key columns and not the joins made so far.
     """
     keys = list(keys)
+    if fits_broadcast(right):
+        return left.join(right, keys, how)
     hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, keys, min_rows))
     spread = list(spread or left.columns)
     spread_out = F.col("_hot")  # rows without a key match nothing and are spread as well

@@ -1,0 +1,152 @@
+"""From feeds to the published catalog: the operators in the order of a run.
+
+Each function is lazy and takes tables, so a run is: read, ``merge``, ``evaluate_plan``,
+``apply_results``, ``publish``. State goes through ``operators.state``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..functions import fixed, scores, text as X, urls
+from ..operators import checks, filters, linkage, overlay, scoring, select, state
+from ..sources import tables
+
+ORDER = "_ord"
+
+
+@dataclass(frozen=True)
+class Merged:
+    """What a merge gives: the entries, and the report of what de-duplication dropped."""
+
+    entries: DataFrame
+    report: DataFrame
+
+
+def _arrays() -> Column:
+    return F.array().cast("array<string>")
+
+
+def with_keys(entries: DataFrame) -> DataFrame:
+    """Identity key, its rank, and the address key that types with shared addresses do not have."""
+    own_url = F.when(~F.col("type").isin(*fixed.URL_SHARING_TYPES), urls.normalize_url("source_url"))
+    return entries.withColumns({
+        "identity": linkage.identity_key(),
+        "_rank": linkage.identity_rank(),
+        "url_key": F.when(F.length("source_url") > 0, own_url),
+    })
+
+
+def deduplicate(entries: DataFrame) -> DataFrame:
+    """Identity collapse with donor fields, then the greedy pass over id and address."""
+    keyed = with_keys(entries)
+    donors = {
+        "install_count": "number", "skills_sh_url": "string", "skills_sh_scraped_at": "string", "mcp_registry_status": "string",
+        "mcp_registry_published_at": "string", "mcp_remotes": "array", "description_zh": "string",
+    }
+    scalars = {c: k for c, k in donors.items() if c in keyed.columns}
+    # lists are only joined for plugins; other types keep the winner's own
+    plugins = keyed.filter(F.col("type") == "plugin")
+    others = keyed.filter(F.coalesce(F.col("type") != "plugin", F.lit(True)))
+    lists = [c for c in ("tags", "tech_stack", "highlights") if c in keyed.columns]
+    one = linkage.collapse_with_donors(plugins, "identity", ["_rank", ORDER], scalars, lists)
+    two = linkage.collapse_with_donors(others, "identity", ["_rank", ORDER], scalars)
+    collapsed = one.unionByName(two).withColumn("_id_key", F.when(F.length("id") > 0, F.col("id")))
+    return linkage.greedy_first_wins(collapsed, ["_id_key", "url_key"], ORDER).drop("_id_key", "identity", "_rank")
+
+
+def merge(feeds: Sequence[tuple[DataFrame, str]], curated: DataFrame, previous: DataFrame, today: str) -> Merged:
+    """Union the feeds in tier order, de-duplicate, overlay hand-made rows and history, repair, link.
+
+    ``feeds`` are (table, position column); ``curated`` has the same columns and an order column.
+    """
+    raw = tables.tiered_union(feeds, ORDER)
+    kept = deduplicate(raw)
+    report = linkage.dedup_report(raw, kept)
+    kept = kept.filter(filters.complete_plugins("type", "install.marketplace_repo", "install.marketplace_verified"))
+    full_key = F.when(F.length("source_url") > 0, urls.normalize_url("source_url"))
+    kept = kept.withColumn("url_key", full_key)
+    extra = curated.withColumn("url_key", full_key).select(kept.columns)
+    merged = overlay.overlay_curated(kept, extra)
+    merged = merged.withColumn("_t", X.joined_text("name", "description", F.array_join("tags", " ")))
+    merged = checks.repair_category(merged, F.col("_t")).drop("_t")
+    old = previous.select("id", F.col("pushed_at").alias("_old_pushed"))
+    merged = merged.join(old, "id", "left")
+    merged = overlay.backfill(merged, "pushed_at", "_old_pushed", "mcp_registry_published_at").drop("_old_pushed")
+    dated = previous.withColumns({
+        "url_key": full_key, ORDER: F.struct(F.lit(1).alias("tier"), F.lit(0).cast("long").alias("pos")),
+        "added_at": F.when(
+            F.col("type").isin(*fixed.LIFECYCLE_TYPES), overlay.backfill_first_seen("added_at", X.parse_time("pushed_at"), X.parse_time("last_synced"), today)
+        ),
+    })
+    cols = ["id", "type", "url_key", "added_at", ORDER]
+    prior = merged.select(*cols).unionByName(dated.select(*cols))
+    merged = overlay.first_seen(merged, prior, today)
+    return Merged(merged, report)
+
+
+def link_bundles(entries: DataFrame) -> DataFrame:
+    """``bundled_in`` of skills that a plugin lists."""
+    plugins = entries.filter("type = 'plugin' and size(bundle.skills_namespaces) > 0").select(
+        F.col("id").alias("plugin_id"), F.col("bundle.skills_namespaces").alias("namespaces"), urls.owner_repo("source_url").alias("repo"), ORDER
+    )
+    tail = F.regexp_extract("source_url", r"/skills/([^/]+)(?:/[^/]*)*$", 1)
+    skills = entries.filter("type = 'skill'").select(
+        "id", "namespace", F.when(F.length(tail) > 0, tail).alias("tail"), urls.owner_repo("source_url").alias("repo"), ORDER
+    )
+    owners = overlay.owner_of_member(overlay.resolve_members(plugins, skills), plugins)
+    bundled = owners.select(F.col("member").alias("id"), F.col("plugin_id").alias("bundled_in"))
+    return entries.join(bundled, "id", "left")
+
+
+def score(entries: DataFrame, results: DataFrame, as_of: str, zero_sources: Sequence[str] = ()) -> DataFrame:
+    """Signals, both health numbers, final score, decision and label of every entry.
+
+    ``results`` has (id, quality, relevance); entries without a row are scored by health alone.
+    """
+    e = entries.withColumns({"repo": urls.repo_slug("source_url"), "_pushed": X.parse_time("pushed_at")})
+    e = scoring.star_weight(e, zero_sources=zero_sources, spread=["id"])
+    cols = scoring.health_columns(as_of, "skill", pushed_at="_pushed")
+    plugin = scoring.health_columns(as_of, "plugin", pushed_at="_pushed")
+    e = e.withColumns({k: F.when(F.col("type") == "plugin", plugin[k]).otherwise(c) for k, c in cols.items() if k != "manifest_completeness"})
+    e = e.join(results.select("id", "quality", "relevance"), "id", "left")
+    e = e.withColumn("final_score", scores.blend(F.col("quality"), F.col("health_weighted")))
+    return e.withColumns({
+        "decision": scores.decision("final_score", "relevance"),
+        "health_mean": scores.health_mean(F.col("freshness"), F.col("popularity"), F.col("source_trust")),
+        "freshness_label": scores.freshness_label("freshness"),
+    }).drop("_pushed", "repo")
+
+
+def evaluate_plan(entries: DataFrame, ledger: DataFrame, completed: DataFrame, cache: DataFrame, unstable: DataFrame | None, as_of: str) -> DataFrame:
+    """``path`` of each entry this run: reuse, evaluate, or why it waits."""
+    gated = overlay.ledger_gate(entries.withColumn("entry_id", F.col("id")), ledger, as_of)
+    live = state.cache_purge(cache, as_of)
+    routed = overlay.reuse_or_evaluate(
+        gated.withColumn("raw_id", F.coalesce(X.id_from_listing_url("skills_sh_url", r"skills\.sh"), F.col("id"))),
+        unstable, live.select("entry_id"), derived=F.length("skills_sh_url") > 0,
+    )
+    done = completed.select(F.col("entry_id").alias("id")).distinct().withColumn("_done", F.lit(True))
+    routed = routed.join(done, "id", "left")
+    path = F.when(F.col("gate") != "eligible", F.col("gate")).when(F.col("_done"), "completed").otherwise(F.col("path"))
+    return routed.withColumn("path", path).drop("_done", "gate", "raw_id", "entry_id")
+
+
+def search_table(entries: DataFrame) -> DataFrame:
+    return filters.search_projection(entries)
+
+
+def publish(entries: DataFrame, path: str, dry_run: bool = True) -> bool:
+    """Write the ordered catalog, the search table and the files per type; nothing for an empty run."""
+    kept = scoring.drop_rejects(entries, dry_run=dry_run)
+    order = select.catalog_order()
+
+    def write(df: DataFrame) -> None:
+        tables.write_json(df, f"{path}/index", order)
+        tables.write_json(search_table(df), f"{path}/search")
+        tables.publish_partitions(df, f"{path}/types", order=order)
+
+    return tables.publish_if_rows(kept, write)
