@@ -22,7 +22,7 @@ def as_of_column(as_of: str) -> Column:
 
 
 def clamp(c: Column, low: float = 0.0, high: float = 100.0) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), c))
+    return F.when(c.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), c)))  # both skip nulls
 
 
 def freshness(pushed_at: Column | str, as_of: str) -> Column:

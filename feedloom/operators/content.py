@@ -155,7 +155,7 @@ def install_commands(text: Column | str, manifest: Column | None = None, repo: C
         made = F.array(F.concat(F.lit("/plugin marketplace add "), ref), F.concat(F.lit("/plugin install "), plugin))
         synthetic = F.filter(made, lambda x: x.isNotNull())
     own = none if manifest is None else F.filter(
-        F.transform(F.coalesce(manifest, none), F.trim), lambda x: x.rlike(fixed.INSTALL_COMMAND)
+        F.transform(F.coalesce(manifest, none), lambda x: F.trim(x)), lambda x: x.rlike(fixed.INSTALL_COMMAND)
     )
     lines = F.when(found, from_sections).otherwise(from_fences)
     return F.struct(

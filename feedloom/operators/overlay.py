@@ -21,13 +21,14 @@ def _side(df: DataFrame, key: str, fields: Sequence[str], prefix: str = "_old_")
     return df.select(key, *[F.col(f).alias(prefix + f) for f in fields])
 
 
-def union_per_key(df: DataFrame, key: str, items: str, order: Column) -> DataFrame:
-    """(key, items): distinct items of all rows of a key, in row order then list order."""
-    flat = df.select(key, order.alias("_o"), F.posexplode(items).alias("_p", "_i"))
-    firsts = flat.groupBy(key, "_i").agg(F.min(F.struct("_o", "_p")).alias("_at"))
-    return firsts.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_at", "_i"))), lambda s: s["_i"]).alias(items)
-    )
+def union_per_key(df: DataFrame, key: str, items: str, order: str, latest_first: bool = False) -> DataFrame:
+    """(key, items): distinct items of all rows of a key, in row order (or from the last row) then list order."""
+    flat = df.select(key, F.col(order).alias("_o"), F.posexplode(items).alias("_p", "_i"))
+    place = F.struct("_o", -F.col("_p")) if latest_first else F.struct("_o", "_p")
+    at = F.max(place) if latest_first else F.min(place)
+    firsts = flat.groupBy(key, "_i").agg(at.alias("_at"))
+    placed = F.sort_array(F.collect_list(F.struct("_at", "_i")), asc=not latest_first)
+    return firsts.groupBy(key).agg(F.transform(placed, lambda s: s["_i"]).alias(items))
 
 
 # --- hand-made rows over the catalog (C1) -----------------------------------------------------
@@ -44,8 +45,8 @@ def _match(entries: DataFrame, extra: DataFrame, key: str, url: str, order: str)
 def _merge_lists(entries: DataFrame, hits: DataFrame, key: str, order: str, lead: str, trail: str) -> DataFrame:
     hits = hits.withColumnRenamed(key, "_extra_id").withColumnRenamed("_target", key)
     # a later row goes in front of earlier ones in the leading list, behind them in the trailing one
-    first = union_per_key(hits, key, lead, -F.col(order)).withColumnRenamed(lead, "_lead")
-    last = union_per_key(hits, key, trail, F.col(order)).withColumnRenamed(trail, "_trail")
+    first = union_per_key(hits, key, lead, order, latest_first=True).withColumnRenamed(lead, "_lead")
+    last = union_per_key(hits, key, trail, order).withColumnRenamed(trail, "_trail")
     none = F.array().cast("array<string>")
     joined = entries.join(first, key, "left").join(last, key, "left")
     return joined.withColumns({
@@ -321,7 +322,7 @@ def coverage(
     """Expected rows with status direct, mirror or missing, and the representative with most installs."""
     n = F.coalesce(F.col(installs), F.lit(0))
     best = catalog.groupBy(type_, slug).agg(
-        F.max_by(id_, F.struct(n, -F.col(order))).alias("_direct"), F.max(n).alias("_installs")
+        F.min_by(id_, F.struct((-n).alias("n"), F.col(order).alias("o"))).alias("_direct"), F.max(n).alias("_installs")
     )
     mirror = catalog.filter((F.col(type_) == mirror_type) & F.col(slug).isin(*mirrors)).groupBy(type_).agg(
         F.min_by(id_, order).alias("_mirror")

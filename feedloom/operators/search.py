@@ -138,7 +138,7 @@ def full_text(
 ) -> DataFrame:
     """(key, score): best rows by boosted BM25 over several fields, with prefix and fuzzy terms.
 
-    Only matching tokens leave their row, so the shuffles carry hits and not texts. The number of
+    Tokens are tested where they are read, so the shuffles carry hits and not texts. The number of
     rows and the mean field lengths come from one aggregate used as scalar subqueries.
     """
     words = query_tokens(query)
@@ -148,11 +148,9 @@ def full_text(
     def weight(t: Column) -> Column:
         return _sum([term_weight(t, w, fuzzy) for w in words])
 
-    cells = F.array(*[
-        F.struct(F.lit(f).alias("field"), F.size(f).alias("len"), F.filter(F.col(f), lambda t: weight(t) > 0).alias("terms"))
-        for f in boosts
-    ])
-    hits = split.select(key, F.inline(cells)).select(key, "field", "len", F.explode("terms").alias("term"))
+    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.size(f).alias("len"), F.col(f).alias("terms")) for f in boosts])
+    flat = split.select(key, F.inline(cells)).select(key, "field", "len", F.explode("terms").alias("term"))
+    hits = flat.filter(weight(F.col("term")) > 0)
     tf = hits.groupBy(key, "field", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
     per_term = tf.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     stats = split.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.size(f)).alias(f"avg_{f}") for f in boosts])

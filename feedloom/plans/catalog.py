@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed, scores, text as X, urls
 from ..operators import checks, filters, linkage, overlay, scoring, select, state
+from ..session import cut
 from ..sources import tables
 
 ORDER = "_ord"
@@ -54,7 +55,8 @@ def deduplicate(entries: DataFrame) -> DataFrame:
     lists = [c for c in ("tags", "tech_stack", "highlights") if c in keyed.columns]
     one = linkage.collapse_with_donors(plugins, "identity", ["_rank", ORDER], scalars, lists)
     two = linkage.collapse_with_donors(others, "identity", ["_rank", ORDER], scalars)
-    collapsed = one.unionByName(two).withColumn("_id_key", F.when(F.length("id") > 0, F.col("id")))
+    # the greedy rounds read the collapsed rows again and again: write them once
+    collapsed = cut(one.unionByName(two).withColumn("_id_key", F.when(F.length("id") > 0, F.col("id"))))
     return linkage.greedy_first_wins(collapsed, ["_id_key", "url_key"], ORDER).drop("_id_key", "identity", "_rank")
 
 
@@ -64,13 +66,13 @@ def merge(feeds: Sequence[tuple[DataFrame, str]], curated: DataFrame, previous:
     ``feeds`` are (table, position column); ``curated`` has the same columns and an order column.
     """
     raw = tables.tiered_union(feeds, ORDER)
-    kept = deduplicate(raw)
+    kept = cut(deduplicate(raw))
     report = linkage.dedup_report(raw, kept)
     kept = kept.filter(filters.complete_plugins("type", "install.marketplace_repo", "install.marketplace_verified"))
     full_key = F.when(F.length("source_url") > 0, urls.normalize_url("source_url"))
     kept = kept.withColumn("url_key", full_key)
     extra = curated.withColumn("url_key", full_key).select(kept.columns)
-    merged = overlay.overlay_curated(kept, extra)
+    merged = cut(overlay.overlay_curated(kept, extra))
     merged = merged.withColumn("_t", X.joined_text("name", "description", F.array_join("tags", " ")))
     merged = checks.repair_category(merged, F.col("_t")).drop("_t")
     old = previous.select("id", F.col("pushed_at").alias("_old_pushed"))
@@ -93,7 +95,7 @@ def link_bundles(entries: DataFrame) -> DataFrame:
     plugins = entries.filter("type = 'plugin' and size(bundle.skills_namespaces) > 0").select(
         F.col("id").alias("plugin_id"), F.col("bundle.skills_namespaces").alias("namespaces"), urls.owner_repo("source_url").alias("repo"), ORDER
     )
-    tail = F.regexp_extract("source_url", r"/skills/([^/]+)(?:/[^/]*)*$", 1)
+    tail = F.regexp_extract("source_url", r".*/skills/([^/]+)", 1)  # behind the last /skills/
     skills = entries.filter("type = 'skill'").select(
         "id", "namespace", F.when(F.length(tail) > 0, tail).alias("tail"), urls.owner_repo("source_url").alias("repo"), ORDER
     )

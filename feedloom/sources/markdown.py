@@ -154,19 +154,38 @@ def skill_texts(df: DataFrame, text: str, folder: str, keys: Sequence[str]) -> D
     return out.filter(F.col("name").isNotNull() & F.col("description").isNotNull())
 
 
+TITLE_LINE = r"(?m)^[ \t]*# ([^\n]*)$"
+
+
+def _without_title(text: Column, title: Column) -> Column:
+    """Text without its first title line, if that is the given title."""
+    own = F.trim(F.regexp_extract(text, TITLE_LINE, 1)) == title
+    cut = F.regexp_replace(text, r"(?s)\A(.*?)(?m:^)[ \t]*# [^\n]*(?:\n|\z)(.*)\z", "$1$2")
+    return F.when((F.length(title) > 0) & own, cut).otherwise(text)
+
+
 def body_description(body: Column | str, limit: int = 300) -> Column:
-    """Title, then the first closed code block, else the prose lines; at most ``limit`` characters."""
+    """Title, then the first closed code block, else the prose lines; at most ``limit`` characters.
+
+    Between fence lines a text is prose and code in turn, so a split gives both.
+    """
     c = F.coalesce(col(body), F.lit(""))
-    title = F.trim(F.regexp_extract(c, r"(?m)^\s*#\s+(.*)$", 1))
-    rest = F.regexp_replace(c, r"(?m)^\s*#\s+.*$", "", )
-    fence = r"(?s)(?:\A|\n)[ \t]*```[^\n]*\n(?:[ \t]*```[^\n]*\n)*?((?:(?!\n[ \t]*```).)+?)\n[ \t]*```"
-    code = F.trim(F.regexp_extract(c, fence, 1))
-    outside = F.regexp_replace(rest, r"(?s)(?:\A|\n)[ \t]*```.*?(?:\n[ \t]*```[^\n]*|\z)", "\n")
-    prose_lines = F.filter(
-        F.transform(F.split(outside, NEWLINE), F.trim), lambda l: (l != "") & ~l.rlike(r"^(!|\[|---)")
+    parts = F.split(c, r"(?m)^[ \t]*```[^\n]*$")
+    closed = F.filter(
+        F.sequence(F.lit(0), F.size(parts) - 1),
+        lambda i: (i % 2 == 1) & (i < F.size(parts) - 1) & (F.length(F.get(parts, i)) > 1),
     )
-    text = F.coalesce(empty_as_null(code), empty_as_null(F.array_join(prose_lines, " ")))
-    said = F.when(text.isNull(), title).when(F.length(title) > 0, F.concat(title, F.lit(": "), text)).otherwise(text)
+    first = F.get(closed, F.lit(0))
+    seen = F.when(first.isNotNull(), F.array_join(F.slice(parts, 1, F.coalesce(first, F.lit(0)) + 1), "\n")).otherwise(c)
+    title = F.trim(F.regexp_extract(seen, TITLE_LINE, 1))
+    before = F.trim(F.regexp_extract(F.array_join(F.slice(parts, 1, F.coalesce(first, F.lit(0))), "\n"), TITLE_LINE, 1))
+    block = F.get(parts, first)
+    code = F.when(F.length(before) > 0, block).otherwise(_without_title(block, title))
+    prose = _without_title(F.array_join(F.filter(parts, lambda p, i: i % 2 == 0), "\n"), title)
+    lines_ = F.filter(F.transform(F.split(prose, NEWLINE), lambda l: F.trim(l)), lambda l: (l != "") & ~l.rlike(r"^(!|\[|---)"))
+    edges = r"\A\s+|\s+\z"
+    text = F.when(first.isNotNull(), F.regexp_replace(code, edges, "")).otherwise(F.array_join(lines_, " "))
+    said = F.when(text == "", title).when(F.length(title) > 0, F.concat(title, F.lit(": "), text)).otherwise(text)
     return F.substring(said, 1, limit)
 
 

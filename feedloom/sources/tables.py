@@ -50,14 +50,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_json_table(spark: SparkSession, path: str, schema: str | T.StructType, *, array_file: bool = True) -> DataFrame:
     """Rows of a JSON file or folder; a missing path or unreadable file gives no rows.
 
-    ``array_file`` reads whole files that hold one array each; otherwise one object per line.
+    ``array_file`` reads files that hold one array (or object) each, as feeds are published; such a
+    file is one row until it is parsed. Large tables come as one object per line.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if not path_exists(spark, path):
         return empty_frame(spark, schema)
-    marked = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.schema(marked).option("multiLine", array_file).option("mode", "PERMISSIVE").json(path)
-    return rows.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    if not array_file:
+        return split_rejects(spark.read.text(path), "value", schema)[0]
+    files = spark.read.text(path, wholetext=True)
+    whole = F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", T.ArrayType(schema)))
+    return files.select(F.inline(whole))
 
 
 def split_rejects(df: DataFrame, text: str, schema: str | T.StructType, keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
