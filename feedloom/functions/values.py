@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F
 
@@ -11,6 +11,15 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used.
+
+    For a costly value that is tested many times inside a filter: filters do not share
+    common parts of their condition, and pushing them down repeats the value in each.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def empty_as_null(c: Column | str, kind: str = "string") -> Column:
     """Null, blank, 0, empty list and empty map are one class: absent.
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed, urls
 from ..functions.values import col, empty_as_null, first_rule
 from ..session import cut
-from .relational import first_per_key
+from .relational import first_per_key, skew_join
 
 # --- identity keys -------------------------------------------------------------------------
 
@@ -123,8 +123,13 @@ def identity_rank(type_: str = "type", url: str = "source_url", priority: str =
 # --- collapse ------------------------------------------------------------------------------
 
 
-def collapse(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """Best row per key; rows without a key pass through and are not shuffled."""
+def collapse(df: DataFrame, key: str, order: Sequence[Column], every_row_keyed: bool = False) -> DataFrame:
+    """Best row per key; rows without a key pass through and are not shuffled.
+
+    Say ``every_row_keyed`` where that is known: the rows are then read once and not twice.
+    """
+    if every_row_keyed:  # no null test either: a pushed-down test would work the key out twice
+        return first_per_key(df, [key], order)
     keyed = first_per_key(df.filter(F.col(key).isNotNull()), [key], order)
     return keyed.unionByName(df.filter(F.col(key).isNull()))
 
@@ -135,6 +140,7 @@ def collapse_with_donors(
     rank: Sequence[str],
     scalars: Mapping[str, str] | None = None,
     lists: Sequence[str] = (),
+    every_row_keyed: bool = False,
 ) -> DataFrame:
     """Best row per key, its empty fields filled by the next rows that have them.
 
@@ -144,7 +150,7 @@ def collapse_with_donors(
     """
     scalars = dict(scalars or {})
     order = F.struct(*[F.col(c) for c in rank])
-    keyed = df.filter(F.col(key).isNotNull())
+    keyed = df if every_row_keyed else df.filter(F.col(key).isNotNull())
     rest = [c for c in df.columns if c not in scalars and c not in lists and c != key]
     aggs = [F.min_by(F.struct(*rest), order).alias("_winner")]
     for name, kind in scalars.items():
@@ -158,7 +164,8 @@ def collapse_with_donors(
             F.transform(F.array_sort(F.collect_list(F.struct("_at", "_item"))), lambda s: s["_item"]).alias(name)
         )
         out = out.join(merged, key, "left")
-    return out.select(*df.columns).unionByName(df.filter(F.col(key).isNull()))
+    out = out.select(*df.columns)
+    return out if every_row_keyed else out.unionByName(df.filter(F.col(key).isNull()))
 
 
 def rejects_by_first_seen(df: DataFrame, key: str, order: str, reason: str = "duplicate id") -> tuple[DataFrame, DataFrame]:
@@ -220,7 +227,7 @@ def greedy_first_wins(df: DataFrame, keys: Sequence[str], order: str, tail_rows:
         kept.append(winners.select(order))
         rest = marked.filter("not _ok").drop("_ok")
         for k in keys:
-            rest = rest.join(winners.select(k).filter(F.col(k).isNotNull()), k, "left_anti")
+            rest = skew_join(rest, winners.select(k).filter(F.col(k).isNotNull()), [k], "left_anti", spread=[order])
         rest = cut(rest.select(order, *keys))
         left = rest.count()
     tail = rest.repartition(1).sortWithinPartitions(order).mapInPandas(_greedy_tail(keys, order), schema)

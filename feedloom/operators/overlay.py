@@ -38,7 +38,7 @@ def _match(entries: DataFrame, extra: DataFrame, key: str, url: str, order: str)
     """``extra`` rows with ``_target``: the entry of the same id, else the last one with the same address."""
     ids = entries.filter(F.col(key).isNotNull()).select(key, F.col(key).alias("_by_id"))
     urls = entries.filter(F.col(url).isNotNull()).groupBy(url).agg(F.max_by(key, order).alias("_by_url"))
-    hit = extra.join(ids, key, "left").join(urls, url, "left")
+    hit = skew_join(extra.join(ids, key, "left"), urls, [url], "left", spread=[order], hot_from=extra)
     return hit.withColumn("_target", F.coalesce("_by_id", "_by_url")).drop("_by_id", "_by_url")
 
 
@@ -247,7 +247,7 @@ def reuse_or_evaluate(
         return entries.withColumn("path", F.lit("evaluate"))
     changed = unstable.select(F.col(unstable.columns[0]).alias(diff_key)).distinct().withColumn("_changed", F.lit(True))
     have = cached.select(F.col(cached.columns[0]).alias(key)).distinct().withColumn("_cached", F.lit(True))
-    joined = entries.join(changed, diff_key, "left").join(have, key, "left")
+    joined = skew_join(entries, changed, [diff_key], "left", spread=[key]).join(have, key, "left")
     reuse = derived & F.col("_changed").isNull() & F.col("_cached").isNotNull()
     return joined.withColumn("path", F.when(reuse, "reuse").otherwise("evaluate")).drop("_changed", "_cached")
 
@@ -307,7 +307,8 @@ def merge_incumbent(new: DataFrame, existing: DataFrame, *, key: str = "id", url
     """Existing rows stay; a new row comes in if its address is not there yet, nor its id anywhere."""
     urls = existing.select(url).filter(F.length(url) > 0).distinct()
     ids = existing.select(key).distinct()
-    fresh = new.join(urls, url, "left_anti").join(ids, key, "left_anti")
+    fresh = skew_join(new, urls, [url], "left_anti", spread=[order])
+    fresh = skew_join(fresh, ids, [key], "left_anti", spread=[order], hot_from=new)
     fresh = first_per_key(fresh.filter(F.col(key).isNotNull()), [key], [F.asc(order)]).unionByName(
         fresh.filter(F.col(key).isNull())
     )

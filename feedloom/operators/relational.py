@@ -8,17 +8,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut
 
-# A key is hot from this many rows on. At most HOT_KEYS keys are looked at,
-# so the broadcast list of hot keys has a fixed bound.
+# A key is hot from this many rows on, and is split into pieces of about this many rows.
+# At most HOT_KEYS keys are looked at, so the broadcast list of hot keys has a fixed bound;
+# a key beyond them holds less than a thousandth of all rows.
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000
-SALTS = 128
+NULL_PIECES = 1 << 20
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """The at most ``HOT_KEYS`` heaviest keys with ``min_rows`` rows or more."""
+    """(keys, _pieces): the at most ``HOT_KEYS`` heaviest keys with ``min_rows`` rows or more."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hot_n")).filter(F.col("_hot_n") >= min_rows)
-    return counts.orderBy(F.desc("_hot_n"), *keys).limit(HOT_KEYS).select(*keys, F.lit(True).alias("_hot"))
+    heaviest = counts.orderBy(F.desc("_hot_n"), *keys).limit(HOT_KEYS)
+    return heaviest.select(*keys, F.ceil(F.col("_hot_n") / min_rows).cast("int").alias("_pieces"))
 
 
 def _bytes(size: str) -> int:
@@ -62,16 +64,13 @@ def skew_join(
         return left.join(right, keys, how)
     hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, keys, min_rows))
     spread = list(spread or left.columns)
-    spread_out = F.col("_hot")  # rows without a key match nothing and are spread as well
+    no_key = F.lit(False)  # such rows match nothing; they are spread as well
     for k in keys:
-        spread_out = spread_out | F.col(k).isNull()
-    salt = F.when(spread_out, F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(F.lit(0))
-    lhs = left.join(hot, keys, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
-    rhs = (
-        right.join(hot, keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), SALTS - 1).otherwise(0))))
-        .drop("_hot")
-    )
+        no_key = no_key | F.col(k).isNull()
+    pieces = F.coalesce("_pieces", F.when(no_key, NULL_PIECES), F.lit(1))
+    lhs = left.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread), pieces).cast("int")).drop("_pieces")
+    every_piece = F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
+    rhs = right.join(hot, keys, "left").withColumn("_salt", every_piece).drop("_pieces")
     return lhs.join(rhs, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -28,13 +28,13 @@ def task_config(spark: SparkSession) -> DataFrame:
 
 
 def weighted_scores(scores_: DataFrame, config: DataFrame, keys: Sequence[str], task: str = "task") -> DataFrame:
-    """Quality per row from (keys, task, name, score) rows and a weight table of fixed size.
+    """Quality per row from (keys, task, name, score) rows and a weight table.
 
     The score is null when a configured dimension is missing.
     """
     dims = config.filter(F.col("kind") == "dimension") if "kind" in config.columns else config
     wanted = dims.groupBy(task).agg(F.count(F.lit(1)).alias("_wanted"))
-    weights = F.broadcast(dims.select(task, "name", "weight").join(wanted, task))
+    weights = dims.select(task, "name", "weight").join(wanted, task)
     total = F.sum(F.col("score") / 5.0 * 100.0 * F.col("weight"))
     out = scores_.join(weights, [task, "name"]).groupBy(*keys, task, "_wanted").agg(
         total.alias("quality"), F.count(F.lit(1)).alias("_got")

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.values import col
+from ..functions.values import col, let
 from .relational import top_per_key
 
 TOKEN = r"[\p{L}\p{N}]+"
@@ -46,8 +46,8 @@ def keyword_search(
     if type_filter is not None:
         df = df.filter(F.col(type_) == type_filter)
     fallback = F.concat_ws(" ", *fields) if fields else F.lit("")
-    low = df.withColumn("_low", F.lower(F.coalesce(F.col(text), fallback)))
-    found = low.withColumn("hits", hit_count(F.col("_low"), words)).filter("hits > 0").drop("_low")
+    low = F.lower(F.coalesce(F.col(text), fallback))
+    found = df.withColumn("hits", let(low, lambda t: hit_count(t, words))).filter("hits > 0")
     return found.orderBy(*order).limit(limit)
 
 
@@ -55,12 +55,12 @@ def keyword_search_many(
     df: DataFrame, queries: Mapping[str, Sequence[str]], order: Sequence[Column], *, text: str = "search_text", limit: int = 30
 ) -> DataFrame:
     """``keyword_search`` for several queries in one scan; rows leave it only for queries they hit."""
-    low = df.withColumn("_low", F.lower(F.col(text)))
-    per_query = F.array(*[
-        F.struct(F.lit(q).alias("query"), hit_count(F.col("_low"), words).alias("hits")) for q, words in queries.items()
-    ])
-    flat = low.withColumn("_q", F.explode(F.filter(per_query, lambda s: s["hits"] > 0))).select("*", "_q.*")
-    return top_per_key(flat.drop("_low", "_q"), ["query"], order, limit, "rank")
+    def per_query(t: Column) -> Column:
+        cells = [F.struct(F.lit(q).alias("query"), hit_count(t, words).alias("hits")) for q, words in queries.items()]
+        return F.filter(F.array(*cells), lambda s: s["hits"] > 0)
+
+    flat = df.withColumn("_q", F.explode(let(F.lower(F.col(text)), per_query))).select("*", "_q.*")
+    return top_per_key(flat.drop("_q"), ["query"], order, limit, "rank")
 
 
 def recommend(

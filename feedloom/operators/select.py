@@ -82,8 +82,9 @@ def layered(
     tiered = df.withColumn("tier", first_rule([(cond, name) for name, cond in layers.items()])).withColumn("_has", F.col("tier").isNotNull())
     picked = first_per_key(tiered.filter("_has"), [key], [F.asc("_ord")])
     covered = picked.select(*slots).distinct()
-    free = df.filter(slot_ok).join(picked.select(key), key, "left_anti").join(covered, list(slots), "left_anti")
-    gap = first_per_key(free, list(slots), order).withColumn("tier", F.lit("gap_fill"))
+    free = df.filter(slot_ok).join(picked.select(key), key, "left_anti")
+    # the best row per slot first: one row per slot then meets the covered slots
+    gap = first_per_key(free, list(slots), order).join(covered, list(slots), "left_anti").withColumn("tier", F.lit("gap_fill"))
     return picked.drop("_has").unionByName(gap)
 
 

@@ -118,7 +118,7 @@ where rn = 1
 """,
 )
 def d6_identity_collapse(t):
-    best = L.collapse(documents(t), "key", [F.desc("priority"), F.asc("doc_id")])
+    best = L.collapse(documents(t), "key", [F.desc("priority"), F.asc("doc_id")], every_row_keyed=True)
     return best.select("doc_id", "lang", "source", "n_chars")
 
 
@@ -139,7 +139,7 @@ def d7_donor_fields(t):
     d = documents(t).join(t.labels.select("doc_id", "quality"), "doc_id", "left").select(
         "key", (-F.col("priority")).alias("rank"), "doc_id", "quality", F.array("source").alias("sources")
     )
-    out = L.collapse_with_donors(d, "key", ["rank", "doc_id"], {"quality": "number"}, ["sources"])
+    out = L.collapse_with_donors(d, "key", ["rank", "doc_id"], {"quality": "number"}, ["sources"], every_row_keyed=True)
     return out.select(
         "doc_id",
         F.coalesce("quality", F.lit(0)).alias("quality"),
@@ -184,7 +184,7 @@ select lang, n_before, coalesce(n_after, 0) as n_after, (1 - coalesce(n_after, 0
 )
 def d9_dedup_report(t):
     d = documents(t)
-    return L.dedup_report(d, L.collapse(d, "key", [F.desc("priority"), F.asc("doc_id")]), "lang")
+    return L.dedup_report(d, L.collapse(d, "key", [F.desc("priority"), F.asc("doc_id")], every_row_keyed=True), "lang")
 
 
 @query(

@@ -368,7 +368,7 @@ select lang, cast(rank as integer) as rank, doc_id, round(score, 6) as score, de
 )
 def flagship_best_documents(t):
     d = documents(t).drop("text")  # texts never leave the scan: only their digest is shuffled
-    best = L.collapse(d, "key", [F.desc("priority"), F.asc("doc_id")])
+    best = L.collapse(d, "key", [F.desc("priority"), F.asc("doc_id")], every_row_keyed=True)
     e = best.join(t.labels, "doc_id", "left")
     dimensions = {"good": 1 + 4 * F.col("quality"), "safe": 5 - 4 * F.col("toxic")}
     q = scores.quality_score(dimensions, {"good": 0.6, "safe": 0.4})
