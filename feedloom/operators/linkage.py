@@ -140,31 +140,40 @@ def collapse_with_donors(
     rank: Sequence[str],
     scalars: Mapping[str, str] | None = None,
     lists: Sequence[str] = (),
+    *,
+    only: Mapping[str, Column] | None = None,
     every_row_keyed: bool = False,
 ) -> DataFrame:
     """Best row per key, its empty fields filled by the next rows that have them.
 
     ``rank`` names ascending columns, the last one unique. ``scalars`` maps a field to its
-    kind (see ``empty_as_null``); ``lists`` become ordered unions. Everything is an
-    aggregate with partial results before the shuffle, so a huge key stays cheap.
+    kind (see ``empty_as_null``); ``lists`` become ordered unions. ``only`` limits a field to
+    keys whose rows meet a condition (such as one type); elsewhere the winner's own value stays.
+    Everything is an aggregate with partial results before the shuffle, so a huge key stays cheap.
     """
-    scalars = dict(scalars or {})
+    scalars, only = dict(scalars or {}), dict(only or {})
     order = F.struct(*[F.col(c) for c in rank])
     keyed = df if every_row_keyed else df.filter(F.col(key).isNotNull())
-    rest = [c for c in df.columns if c not in scalars and c not in lists and c != key]
-    aggs = [F.min_by(F.struct(*rest), order).alias("_winner")]
+    own = [c for c in df.columns if c != key]
+    aggs = [F.min_by(F.struct(*own), order).alias("_winner")]
     for name, kind in scalars.items():
         value = empty_as_null(name, kind)
-        aggs.append(F.min_by(value, F.when(value.isNotNull(), order)).alias(name))
-    out = keyed.groupBy(key).agg(*aggs).select(key, "_winner.*", *scalars)
+        aggs.append(F.min_by(value, F.when(value.isNotNull(), order)).alias(f"_d_{name}"))
+    out = keyed.groupBy(key).agg(*aggs).select(key, "_winner.*", *[f"_d_{n}" for n in scalars])
+    filled = {}
+    for name in scalars:
+        donor = F.coalesce(F.col(f"_d_{name}"), F.col(name))
+        filled[name] = F.when(only[name], donor).otherwise(F.col(name)) if name in only else donor
     for name in lists:
-        items = keyed.select(key, order.alias("_o"), F.posexplode(name).alias("_p", "_item"))
+        rows = keyed.filter(only[name]) if name in only else keyed
+        items = rows.select(key, order.alias("_o"), F.posexplode(name).alias("_p", "_item"))
         first = items.groupBy(key, "_item").agg(F.min(F.struct("_o", "_p")).alias("_at"))
         merged = first.groupBy(key).agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("_at", "_item"))), lambda s: s["_item"]).alias(name)
+            F.transform(F.array_sort(F.collect_list(F.struct("_at", "_item"))), lambda s: s["_item"]).alias(f"_d_{name}")
         )
         out = out.join(merged, key, "left")
-    out = out.select(*df.columns)
+        filled[name] = F.coalesce(f"_d_{name}", name)
+    out = out.withColumns(filled).select(*df.columns)
     return out if every_row_keyed else out.unionByName(df.filter(F.col(key).isNull()))
 
 

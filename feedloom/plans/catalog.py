@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import fixed, scores, text as X, urls
 from ..operators import checks, filters, linkage, overlay, scoring, select, state
@@ -27,10 +27,6 @@ class Merged:
     report: DataFrame
 
 
-def _arrays() -> Column:
-    return F.array().cast("array<string>")
-
-
 def with_keys(entries: DataFrame) -> DataFrame:
     """Identity key, its rank, and the address key that types with shared addresses do not have."""
     own_url = F.when(~F.col("type").isin(*fixed.URL_SHARING_TYPES), urls.normalize_url("source_url"))
@@ -44,19 +40,20 @@ def with_keys(entries: DataFrame) -> DataFrame:
 def deduplicate(entries: DataFrame) -> DataFrame:
     """Identity collapse with donor fields, then the greedy pass over id and address."""
     keyed = with_keys(entries)
+    of = lambda t: F.col("type") == t
+    # field: kind, and the one type whose rows lend it to each other
     donors = {
-        "install_count": "number", "skills_sh_url": "string", "skills_sh_scraped_at": "string", "mcp_registry_status": "string",
-        "mcp_registry_published_at": "string", "mcp_remotes": "array", "description_zh": "string",
+        "install_count": ("number", of("skill")), "skills_sh_url": ("string", of("skill")), "skills_sh_scraped_at": ("string", of("skill")),
+        "mcp_registry_status": ("string", of("mcp")), "mcp_registry_published_at": ("string", of("mcp")), "mcp_remotes": ("array", of("mcp")),
+        "description_zh": ("string", of("plugin")),
     }
-    scalars = {c: k for c, k in donors.items() if c in keyed.columns}
-    # lists are only joined for plugins; other types keep the winner's own
-    plugins = keyed.filter(F.col("type") == "plugin")
-    others = keyed.filter(F.coalesce(F.col("type") != "plugin", F.lit(True)))
-    lists = [c for c in ("tags", "tech_stack", "highlights") if c in keyed.columns]
-    one = linkage.collapse_with_donors(plugins, "identity", ["_rank", ORDER], scalars, lists)
-    two = linkage.collapse_with_donors(others, "identity", ["_rank", ORDER], scalars)
+    lists = {c: of("plugin") for c in ("tags", "tech_stack", "highlights")}
+    only = {c: cond for c, (_, cond) in donors.items()} | lists
+    joined = linkage.collapse_with_donors(
+        keyed, "identity", ["_rank", ORDER], {c: kind for c, (kind, _) in donors.items()}, list(lists), only=only
+    )
     # the greedy rounds read the collapsed rows again and again: write them once
-    collapsed = cut(one.unionByName(two).withColumn("_id_key", F.when(F.length("id") > 0, F.col("id"))))
+    collapsed = cut(joined.withColumn("_id_key", F.when(F.length("id") > 0, F.col("id"))))
     return linkage.greedy_first_wins(collapsed, ["_id_key", "url_key"], ORDER).drop("_id_key", "identity", "_rank")
 
 

@@ -76,10 +76,20 @@ def b5_reject_reason(t):
     return d.select("doc_id", reason.alias("reason"))
 
 
-@query("b6_name_reason")
+# DuckDB has no back-references: two equal neighbouring pieces are looked for by position and length.
+@query(
+    "b6_name_reason",
+    """
+with p as (select p_partkey, p_name || case when p_size > 40 then lower(p_type) when p_size < 5 then p_name else '' end as n, p_name from part),
+r as (select distinct n from (select distinct n from p) d, range(1, 60) i(i), range(2, 31) l(l)
+  where length(substr(n, i + l, l)) = l and substr(n, i, l) = substr(n, i + l, l))
+select p_partkey, case when length(n) < 3 then 'name too short' when length(n) > 60 then 'name too long' when n in (select n from r) then 'repeating pattern in name'
+  when n = p_name then 'description equals name' end as reason from p
+""",
+)
 def b6_name_reason(t):
-    """Repeated pieces need back-references, which DuckDB's expressions do not have."""
-    name = F.concat("p_name", F.when(F.col("p_size") > 40, F.lower("p_type")).otherwise(""))
+    more = F.when(F.col("p_size") > 40, F.lower("p_type")).when(F.col("p_size") < 5, F.col("p_name")).otherwise("")
+    name = F.concat("p_name", more)
     return t.part.select("p_partkey", B.name_reason(name, F.concat(F.lit(" "), F.upper("p_name"))).alias("reason"))
 
 
@@ -107,10 +117,10 @@ def b8_open_sources(t):
 
 @query(
     "b9_thin_text",
-    r"""select doc_id, length(d) = 0 or regexp_matches(d, '(\.\.\.|…)$') or length(d) < 80 as thin from (select doc_id, trim(regexp_extract(text, '[^\n]*$', 0)) as d from documents)""",
+    r"""select doc_id, length(d) = 0 or regexp_matches(d, '(\.\.\.|…)$') or length(d) < 80 as thin from (select doc_id, trim(split_part(text, chr(10), -1)) as d from documents)""",
 )
 def b9_thin_text(t):
-    return t.documents.select("doc_id", B.is_thin(F.regexp_extract("text", "[^\n]*\\z", 0)).alias("thin"))
+    return t.documents.select("doc_id", B.is_thin(F.element_at(F.split("text", "\n"), -1)).alias("thin"))
 
 
 @query(

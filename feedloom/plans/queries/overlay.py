@@ -297,7 +297,7 @@ def c12_reuse_or_evaluate(t):
     """
 with f as (select user_id, count(*) as n, max(ts) as last from events where event_type = 'error' and value > 60 group by user_id)
 select event_id, case when f.n >= 4 then 'quarantined' when f.n = 2 and f.last + interval 7 day > timestamp '2024-01-30' then 'deferred'
-  when f.n = 3 and f.last + interval 28 day > timestamp '2024-01-30' then 'deferred' else 'eligible' end as gate
+  when f.n = 3 and f.last + interval 28 day > timestamp '2024-01-30' then 'deferred' when f.n = 1 and f.last > timestamp '2024-01-30' then 'deferred' else 'eligible' end as gate
 from events left join f using (user_id)
 """,
 )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ...functions.values import first_rule
 from ...functions import text as X
-from ...operators.relational import first_per_key
+from ...operators.relational import with_position
 from ...sources import feeds as D, html as W, markdown as M, tables as A, tree as R
 from ..registry import query
 
@@ -15,6 +15,40 @@ def s(c):
     return F.col(c).cast("string")
 
 
+ORDER_DDL = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
+SQL_ORDERS = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders"
+
+
+def scratch(t, name):
+    """A new folder below the shared checkpoint folder."""
+    import uuid
+
+    from ...session import checkpoint_dir
+
+    return f"{checkpoint_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("a1_json_scan", SQL_ORDERS + " union all " + SQL_ORDERS + " where false")
+def a1_json_scan(t):
+    """A JSON table read back with its schema, and one that is not there."""
+    folder = scratch(t, "scan")
+    t.orders.select(*ORDER_DDL.replace(",", "").split()[::2]).write.json(folder)
+    read = lambda path: A.read_json_table(t.spark, path, ORDER_DDL, array_file=False)
+    return read(folder).unionByName(read(folder + "-missing"))
+
+
+@query(
+    "a2_json_sink",
+    "select o_orderkey, o_totalprice, row_number() over (order by o_totalprice desc, o_orderkey) - 1 as pos from orders",
+)
+def a2_json_sink(t):
+    """Written in order; the order is held by a column as well, since a folder of files has none."""
+    folder = scratch(t, "sink")
+    o = with_position(t.orders.select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), F.asc("o_orderkey")])
+    A.write_json(o, folder, ["pos"])
+    return A.read_json_table(t.spark, folder, "o_orderkey bigint, o_totalprice double, pos bigint", array_file=False)
+
+
 @query(
     "a3_tiered_union",
     """select c_name as name, c_nationkey as nation, 0 as tier, c_custkey as pos, c_mktsegment as segment from customer
@@ -145,7 +179,7 @@ def a9_page_links(t):
 @query(
     "a9_page_details",
     r"""
-select page_id, replace(replace(replace(trim(regexp_extract(html, '<h1[^>]*>([^<]+)</h1>', 1)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') as name, 'https://github.com/o/r' || page_id as repo_url, 't' || page_id as tags,
+select page_id, replace(replace(replace(replace(trim(regexp_extract(html, '<h1[^>]*>([^<]+)</h1>', 1)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') as name, 'https://github.com/o/r' || page_id as repo_url, 't' || page_id as tags,
   'run' as command, case when contains(url, '/de/') then 'mcp_config_template' else 'mcp_config' end as method
 from pages where not contains(url, '/es/') and not contains(html, 'Project not found')
 """,
