@@ -180,12 +180,11 @@ def collapse_with_donors(
 def rejects_by_first_seen(df: DataFrame, key: str, order: str, reason: str = "duplicate id") -> tuple[DataFrame, DataFrame]:
     """(kept, rejected with reason): the first row per key stays.
 
-    The first position per key is aggregated, and rows are then matched on the unique
-    ``order`` column, so a key with very many rows never meets in one task.
+    The rejected rows are found by the unique ``order`` of the kept ones, so a key with very many
+    rows never meets in one task.
     """
-    firsts = df.groupBy(key).agg(F.min(order).alias(order)).select(order)
-    kept = df.join(firsts, order, "left_semi")
-    rejected = df.join(firsts, order, "left_anti").withColumn("reason", F.lit(reason))
+    kept = first_per_key(df, [key], [F.asc(order)])
+    rejected = df.join(kept.select(order), order, "left_anti").withColumn("reason", F.lit(reason))
     return kept, rejected
 
 
@@ -239,7 +238,7 @@ def greedy_first_wins(df: DataFrame, keys: Sequence[str], order: str, tail_rows:
             rest = skew_join(rest, winners.select(k).filter(F.col(k).isNotNull()), [k], "left_anti", spread=[order])
         rest = cut(rest.select(order, *keys))
         left = rest.count()
-    tail = rest.repartition(1).sortWithinPartitions(order).mapInPandas(_greedy_tail(keys, order), schema)
+    tail = cut(rest.repartition(1).sortWithinPartitions(order).mapInPandas(_greedy_tail(keys, order), schema))
     orders = reduce(DataFrame.unionByName, [*kept, tail])
     return df.join(orders, order, "left_semi")
 
