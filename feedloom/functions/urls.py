@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 from .values import col
 
 GITHUB = r"github\.com"
+SITE = r"https://github\.com"
 
 
 def _cut_git(c: Column) -> Column:
@@ -53,16 +54,16 @@ def owner_repo(url: Column | str, host: str = GITHUB) -> Column:
     return F.when(F.length(m) > 0, F.concat(owner, F.lit("/"), repo))
 
 
-def repo_slug(url: Column | str, host: str = GITHUB) -> Column:
-    """``owner/repo`` with its case kept, only for addresses that begin at ``host``."""
-    m = F.regexp_extract(col(url), r"^https?://(?:[a-z]+\.)?" + host + r"/([^/]+/[^/]+)", 1)
+def repo_slug(url: Column | str, site: str = SITE) -> Column:
+    """``owner/repo`` with its case kept, only for addresses that begin with ``site``."""
+    m = F.regexp_extract(col(url), rf"^{site}/([^/]+/[^/]+)", 1)
     return F.when(F.length(m) > 0, _cut_git(m))
 
 
-def split_source_url(url: Column | str, host: str = GITHUB) -> Column:
-    """Struct (owner, repo, ref, sub_path, fragment); ref falls back to HEAD, null for other hosts."""
+def split_source_url(url: Column | str, site: str = SITE) -> Column:
+    """Struct (owner, repo, ref, sub_path, fragment); ref falls back to HEAD, null for other sites."""
     c = F.regexp_replace(col(url), r"#.*$", "")
-    pattern = r"^https?://(?:[^/]*\.)?" + host + r"/([^/]+)/([^/]+)(?:/(?:tree|blob)/([^/]+)(?:/(.+))?)?"
+    pattern = rf"^{site}/([^/]+)/([^/]+)(?:/(?:tree|blob)/([^/]+)(?:/(.+))?)?"
     part = lambda i: F.regexp_extract(c, pattern, i)
     ref = part(3)
     return F.when(

@@ -200,6 +200,9 @@ def flatten_result(
         "description_zh": F.when(said(f"{e}.summary_zh"), F.col(f"{e}.summary_zh")).otherwise(F.col("description_zh")),
         "health_mean": F.when(F.col("_r.health").isNotNull(), mean),
         "freshness_label": F.when(F.col("_r.health").isNotNull(), scores.freshness_label("_r.health.freshness")),
+        "health_signals": F.when(F.col("_r.health").isNotNull(), F.struct(*[
+            F.bround(F.col(f"_r.health.{f}"), 0).cast("int").alias(f) for f in results.schema["health"].dataType.fieldNames()
+        ])),
         "install_state": F.when(
             has & (F.col("type") == "mcp"), F.coalesce("_r.installability.state", F.lit("unknown"))
         ),

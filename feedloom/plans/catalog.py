@@ -17,6 +17,7 @@ from ..session import cut
 from ..sources import tables
 
 ORDER = "_ord"
+LAST_TIER = 1_000_000  # behind every feed
 
 
 @dataclass(frozen=True)
@@ -61,6 +62,8 @@ def merge(feeds: Sequence[tuple[DataFrame, str]], curated: DataFrame, previous:
     """Union the feeds in tier order, de-duplicate, overlay hand-made rows and history, repair, link.
 
     ``feeds`` are (table, position column); ``curated`` has the same columns and an order column.
+    ``previous`` is the last published catalog; its order column, if it has one, decides between
+    old rows of one address, else their ids do.
     """
     raw = tables.tiered_union(feeds, ORDER)
     kept = cut(deduplicate(raw))
@@ -75,8 +78,9 @@ def merge(feeds: Sequence[tuple[DataFrame, str]], curated: DataFrame, previous:
     old = previous.select("id", F.col("pushed_at").alias("_old_pushed"))
     merged = merged.join(old, "id", "left")
     merged = overlay.backfill(merged, "pushed_at", "_old_pushed", "mcp_registry_published_at").drop("_old_pushed")
+    old_pos = F.col(f"{ORDER}.pos") if ORDER in previous.columns else F.xxhash64("id")
     dated = previous.withColumns({
-        "url_key": full_key, ORDER: F.struct(F.lit(1).alias("tier"), F.lit(0).cast("long").alias("pos")),
+        "url_key": full_key, ORDER: F.struct(F.lit(LAST_TIER).alias("tier"), old_pos.alias("pos")),
         "added_at": F.when(
             F.col("type").isin(*fixed.LIFECYCLE_TYPES), overlay.backfill_first_seen("added_at", X.parse_time("pushed_at"), X.parse_time("last_synced"), today)
         ),

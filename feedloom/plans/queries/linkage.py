@@ -228,5 +228,5 @@ from p where regexp_matches(u, '^https?://(?:[^/]*\.)?example\.(?:com|org|net)/(
 """,
 )
 def d12_split_url(t):
-    parts = t.pages.select("page_id", urls.split_source_url("url", HOST).alias("s"))
+    parts = t.pages.select("page_id", urls.split_source_url("url", r"https?://(?:[^/]*\.)?" + HOST).alias("s"))
     return parts.filter("s is not null").select("page_id", "s.*")

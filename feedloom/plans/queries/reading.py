@@ -446,7 +446,7 @@ def a21_publishable(t):
     r"""
 with p as (select page_id, regexp_extract(url, '^https?://([^/]+)/([a-z]+)/(\d+)', 1) as repo, regexp_extract(url, '^https?://[^/]+/([a-z]+)/(\d+)', 1) as lang, regexp_extract(url, '^https?://[^/]+/([a-z]+)/(\d+)', 2) as num from pages),
 k as (select repo, min(page_id) as stars from p where lang <> 'fr' group by repo)
-select page_id, case when lang = 'en' then 'no-' || num || '-x' else 'rules-' || lang || '-x' end as id, case when lang = 'en' then 'No ' || num else 'Named It' end as name,
+select page_id, case when lang = 'en' then 'no-' || num || '-x' else 'rules-' || lang || '-x' end as id, case when lang = 'en' then 'No ' || num || ' (Windsurf Global)' else 'Named It (Windsurf)' end as name,
   case when lang = 'en' then 'tooling' else 'special' end as category, case when lang = 'en' then 'windsurf-global,windsurf' else 'a,windsurf' end as tags, coalesce(k.stars, -1) as stars
 from p left join k using (repo) where lang <> 'es'
 """,

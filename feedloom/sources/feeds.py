@@ -86,6 +86,7 @@ def prompt_entries(rows: DataFrame, words: Sequence[str] = fixed.PROMPT_WORDS, *
     kept = rows.filter((F.length(name) > 0) & (for_devs | about))
     kept = kept.withColumn("_t", X.joined_text(name, F.substring(body, 1, 300)))
     none = F.array().cast("array<string>")
+    kept = kept.withColumn("_t", F.concat_ws(" ", "_t", F.array_join(X.extract_tags("_t"), " ")))
     out = kept.select(
         "*",
         F.concat(X.kebab(name), F.lit("-prompt")).alias("id"),

@@ -215,9 +215,13 @@ def slug_of_path(path: Column | str) -> Column:
 
 def rule_files(
     files: DataFrame, repos: DataFrame, *, path: str = "path", text: str = "text", repo: str = "repo", folder: str = "rules/",
-    global_folder: str = "rules/global_rules/", markers: tuple[str, str] = ("windsurf-global", "windsurf"), suffix: str = "",
+    global_folder: str = "rules/global_rules/", markers: tuple[str, str] = ("windsurf-global", "windsurf"), label: str = "Windsurf",
+    suffix: str = "", branch: str = "main",
 ) -> DataFrame:
-    """Markdown files below a folder as entries, with date and stars of their repository."""
+    """Markdown files below a folder as entries, with date and stars of their repository.
+
+    Files of the global folder are marked as such and belong to the default category.
+    """
     from ..functions.text import categorize, extract_tags, joined_text
     from ..operators.relational import skew_join
 
@@ -231,18 +235,25 @@ def rule_files(
         empty_as_null(body_description("_body")),
         F.concat(F.lit("Rules for "), F.replace("_slug", F.lit("-"), F.lit(" "))),
     )
-    kept = kept.withColumns({"name": pretty(named), "description": said})
+    kind = F.when(F.col("_global"), f" ({label} Global)").otherwise(f" ({label})")
+    kept = kept.withColumns({"name": F.concat(pretty(named), kind), "description": said})
     kept = kept.withColumn("_t", joined_text("_slug", "description"))
     tags = F.concat(
         F.transform(front_list(text), F.lower), extract_tags("_t"),
         F.when(F.col("_global"), F.array(F.lit(markers[0]))).otherwise(F.array().cast("array<string>")), F.array(F.lit(markers[1])),
     )
-    kept = kept.withColumns({"tags": F.array_distinct(tags)})
+    kept = kept.withColumn("tags", F.array_distinct(tags))
+    kept = kept.withColumn("_t", joined_text("_slug", "description", F.array_join("tags", " ")))
     kept = kept.withColumns({
         "id": F.concat(kebab("_slug"), F.lit(suffix)),
         "category": F.when(F.col("_global"), "tooling").otherwise(
             F.coalesce(F.lower(front_field(text, "category")), categorize("_t"))
         ),
     })
-    rows = kept.select(repo, path, "id", "name", "description", "tags", "category")
+    url = F.concat_ws("/", F.lit("https://github.com"), F.col(repo), F.lit(f"blob/{branch}"), F.col(path))
+    raw = F.concat_ws("/", F.lit("https://raw.githubusercontent.com"), F.col(repo), F.lit(branch), F.col(path))
+    rows = kept.select(
+        repo, path, "id", "name", "description", "tags", "category", F.lit("rule").alias("type"), url.alias("source_url"),
+        F.struct(F.lit("download_file").alias("method"), F.array(raw).alias("files")).alias("install"),
+    )
     return skew_join(rows, repos.select(repo, "pushed_at", "stars").dropDuplicates([repo]), [repo], "left", spread=[path])

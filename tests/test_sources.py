@@ -106,8 +106,8 @@ def test_rule_files(spark):
     repos = spark.createDataFrame([("r", "2024", 5)], "repo string, pushed_at string, stars int")
     got = {r.id: (r.name, r.category, r.tags, r.stars) for r in M.rule_files(files, repos, suffix="-w").collect()}
     assert got == {
-        "my-rule-w": ("My Rule", "tooling", ["a", "b", "react", "windsurf-global", "windsurf"], 5),
-        "top-w": ("Top", "backend", ["python", "windsurf"], 5), "a-b-w": ("A B", "database", ["windsurf"], None),
+        "my-rule-w": ("My Rule (Windsurf Global)", "tooling", ["a", "b", "react", "windsurf-global", "windsurf"], 5),
+        "top-w": ("Top (Windsurf)", "backend", ["python", "windsurf"], 5), "a-b-w": ("A B (Windsurf)", "database", ["windsurf"], None),
     }
 
 
