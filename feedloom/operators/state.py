@@ -1,7 +1,8 @@
 """Incremental state as tables: failure ledger, checkpoint, result cache, frontier, snapshots.
 
-A state table is a parquet directory per version and a pointer file that names the current
-one. A run writes a new version and then moves the pointer, so a lost run changes nothing.
+A state table is a parquet directory per version and a log that names the versions in turn.
+A run writes a new version and then appends its name to the log, so a lost run changes nothing
+and no reader ever finds the table gone.
 """
 
 from __future__ import annotations
@@ -174,29 +175,46 @@ def batch_log(items: DataFrame, returned: DataFrame, order: Sequence[Column], *,
 # --- versioned state tables ------------------------------------------------------------------------
 
 
-def _pointer(spark: SparkSession, folder: str) -> str:
-    return folder.rstrip("/") + "/current"
+def _log(folder: str) -> str:
+    return folder.rstrip("/") + "/versions"
+
+
+def current_state(spark: SparkSession, folder: str) -> tuple[int, str | None]:
+    """(number, name) of the current version; (0, None) before the first write."""
+    if not path_exists(spark, _log(folder)):
+        return 0, None
+    lines = spark.read.schema("number bigint, version string").json(_log(folder))
+    last = lines.orderBy(F.desc("number"), F.desc("version")).first()
+    return (0, None) if last is None else (last["number"], last["version"])
 
 
 def read_state(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """Current version of a state table; empty before the first write."""
-    if not path_exists(spark, _pointer(spark, folder)):
+    _, version = current_state(spark, folder)
+    if version is None:
         return empty_frame(spark, schema)
-    version = spark.read.text(_pointer(spark, folder)).first()[0]
     return spark.read.schema(schema).parquet(f"{folder.rstrip('/')}/{version}")
 
 
 def write_state(df: DataFrame, folder: str, version: str) -> None:
-    """Write a new version, then point to it. Older versions stay readable."""
+    """Write a version, then name it in the log. Older versions stay readable.
+
+    Data of the same version left by a lost run is replaced; writing the current version again
+    changes nothing.
+    """
     spark, base = df.sparkSession, folder.rstrip("/")
-    df.write.mode("errorifexists").parquet(f"{base}/{version}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(_pointer(spark, base))
+    number, current = current_state(spark, folder)
+    if current == version:
+        return
+    df.write.mode("overwrite").parquet(f"{base}/{version}")
+    line = spark.createDataFrame([(number + 1, version)], "number bigint, version string")
+    line.coalesce(1).write.mode("append").json(_log(folder))
 
 
 def rotate_snapshot(new: DataFrame, folder: str, version: str, schema: str, fallback: DataFrame | None = None) -> DataFrame:
     """The baseline to compare with (the stored one, else ``fallback``); then store the new one."""
     spark = new.sparkSession
-    has = path_exists(spark, _pointer(spark, folder))
-    baseline = read_state(spark, folder, schema) if has or fallback is None else fallback
+    _, current = current_state(spark, folder)
+    baseline = fallback if current is None and fallback is not None else read_state(spark, folder, schema)
     write_state(new, folder, version)
     return baseline

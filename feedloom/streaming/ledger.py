@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.fixed import QUARANTINE_AT, QUARANTINE_UNTIL
+from ..operators.state import LEDGER_SCHEMA, current_state, ledger_update, read_state, write_state
 
 KEYS = ["type", "rubric_version", "entry_id"]
 STATE = "attempts int, first_failed_at timestamp, last_failed_at timestamp, error_kind string"
@@ -57,19 +58,31 @@ def ledger_stream(outcomes: DataFrame, *, delay: str = "1 day") -> DataFrame:
 
 
 def upsert_ledger(folder: str):
-    """``foreachBatch`` writer: merge a batch of ledger rows into the state table at ``folder``.
-
-    A batch that is run again writes the same version once more, so retries change nothing.
-    """
-    from ..operators.state import LEDGER_SCHEMA, read_state, write_state
-    from ..sources.tables import path_exists
+    """``foreachBatch`` writer: merge a batch of ledger rows into the state table at ``folder``."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         version = f"batch-{number}"
-        if path_exists(spark, f"{folder}/{version}/_SUCCESS"):
+        if current_state(spark, folder)[1] == version:  # run again after it was done
             return
         old = read_state(spark, folder, LEDGER_SCHEMA).join(batch.select(*KEYS), KEYS, "left_anti")
         write_state(old.unionByName(batch.filter(F.col("attempt_count") > 0)), folder, version)
 
     return write
+
+
+def merge_outcomes(folder: str):
+    """``foreachBatch`` writer that works on the outcomes themselves, with the batch form of the ledger.
+
+    The choice where one key may bring a great part of a batch: counts are aggregated before the
+    shuffle and hot keys are split, which keyed streaming state cannot do.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        version = f"batch-{number}"
+        if current_state(spark, folder)[1] == version:
+            return
+        write_state(ledger_update(read_state(spark, folder, LEDGER_SCHEMA), batch), folder, version)
+
+    return write

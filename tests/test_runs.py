@@ -93,7 +93,7 @@ def test_stream_equals_batch(spark, tmp_path):
     from feedloom.plans.registry import Tables
 
     all_ = outcomes(Tables(spark, FOLDER))
-    folder, base = tmp_path / "in", str(tmp_path / "state")
+    folder, base, other = tmp_path / "in", str(tmp_path / "state"), str(tmp_path / "other")
     # three files in the order of event time, as a stream would bring them
     cuts = ["2024-01-01", "2024-01-10", "2024-01-20", "2024-02-10"]
     parts = []
@@ -111,7 +111,22 @@ def test_stream_equals_batch(spark, tmp_path):
             .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
         )
         q.awaitTermination()
+        raw = stream.writeStream.foreachBatch(S.merge_outcomes(other)).option("checkpointLocation", str(tmp_path / "ck2"))
+        raw.trigger(availableNow=True).start().awaitTermination()
     batch = N.ledger_update(empty_frame(spark, N.LEDGER_SCHEMA), all_)
     streamed = N.read_state(spark, base, N.LEDGER_SCHEMA)
     assert rows(streamed.select(batch.columns)) == rows(batch)
+    assert rows(N.read_state(spark, other, N.LEDGER_SCHEMA).select(batch.columns)) == rows(batch)
     assert batch.count() > 0
+
+
+def test_a_lost_write_changes_nothing(spark, tmp_path):
+    folder, ddl = str(tmp_path / "state"), "id int"
+    frame = lambda *ids: spark.createDataFrame([(i,) for i in ids], ddl)
+    N.write_state(frame(1), folder, "v1")
+    frame(9).write.parquet(f"{folder}/v2")  # data without a line in the log: the run was lost
+    assert rows(N.read_state(spark, folder, ddl)) == [(1,)]
+    N.write_state(frame(2), folder, "v2")
+    N.write_state(frame(7), folder, "v2")  # run again after it was done
+    assert rows(N.read_state(spark, folder, ddl)) == [(2,)]
+    assert N.current_state(spark, folder) == (2, "v2")
