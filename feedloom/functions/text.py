@@ -151,6 +151,18 @@ def namespaced_id(namespace: Column | str, name: Column | str, fallback: str = "
     return F.when(ns == nm, ns).otherwise(F.concat_ws("-", ns, nm))
 
 
+def file_id(id_: Column | str) -> Column:
+    """Id as a file name: no @, -- for slashes, dashes for other marks."""
+    c = F.replace(F.replace(col(id_), F.lit("@"), F.lit("")), F.lit("/"), F.lit("--"))
+    return F.regexp_replace(c, r"(?U)[^\w\-.]", "-")
+
+
+def anchor_slug(title: Column | str) -> Column:
+    """Anchor of a list entry: ASCII letters, digits and dashes."""
+    c = F.replace(F.regexp_replace(F.lower(col(title)), "[^a-z0-9 -]", ""), F.lit(" "), F.lit("-"))
+    return F.regexp_replace(c, "^-+|-+$", "")
+
+
 def id_from_repo_url(url: Column | str, host: str = r"github\.com", mirror: str = "MCP-Mirror") -> Column:
     """owner-repo; a mirror's ``owner_repo`` repository is taken apart."""
     u = F.regexp_replace(col(url), "/+$", "")
@@ -203,6 +215,12 @@ def cut_collapsed(text: Column | str, limit: int, missing: str = "—") -> Colum
     return F.when(F.coalesce(F.length(col(text)), F.lit(0)) == 0, missing).when(F.length(c) <= limit, c).otherwise(short)
 
 
+def cut_plain(text: Column | str, limit: int, missing: str = "—") -> Column:
+    c = col(text)
+    cut = F.when(F.length(c) <= limit, c).otherwise(F.concat(F.substring(c, 1, limit), F.lit("...")))
+    return F.when(F.coalesce(F.length(c), F.lit(0)) == 0, missing).otherwise(cut)
+
+
 def star_label(stars: Column | str, missing: str | None = "—") -> Column:
     """12345 as 12.3k; none as the missing mark.
 

@@ -1,7 +1,7 @@
 """From feeds to the published catalog: the operators in the order of a run.
 
-Each function is lazy and takes tables, so a run is: read, ``merge``, ``evaluate_plan``,
-``apply_results``, ``publish``. State goes through ``operators.state``.
+A run is: read, ``merge``, ``link_bundles``, ``evaluate_plan``, ``apply_results`` (or ``score``, where
+results are plain numbers), ``publish``. State goes through ``operators.state``.
 """
 
 from __future__ import annotations
@@ -12,12 +12,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import fixed, scores, text as X, urls
-from ..operators import checks, filters, linkage, overlay, scoring, select, state
+from ..operators import checks, filters, linkage, overlay, report, scoring, select, state
 from ..session import cut
 from ..sources import tables
 
 ORDER = "_ord"
 LAST_TIER = 1_000_000  # behind every feed
+SIDE_EFFECTS = (
+    "health_mean", "freshness_label", "health_signals", "description_zh", "description_original", "search_terms", "highlights",
+    "install_state", "install_tags",
+)
 
 
 @dataclass(frozen=True)
@@ -138,18 +142,49 @@ def evaluate_plan(entries: DataFrame, ledger: DataFrame, completed: DataFrame, c
     return routed.withColumn("path", path).drop("_done", "gate", "raw_id", "entry_id")
 
 
+def apply_results(
+    entries: DataFrame, results: DataFrame, previous: DataFrame, cells: DataFrame, side_effects: Sequence[str] = SIDE_EFFECTS
+) -> tuple[DataFrame, DataFrame]:
+    """(entries, run status): this run's result, else the last one, else health under review.
+
+    ``results`` are nested results by ``entry_id`` (see ``scoring.flatten_result``), ``previous`` the
+    last catalog, ``cells`` one row per type with what its run reports.
+    """
+    fresh = scoring.flatten_result(entries, results)
+    new = results.select(F.col("entry_id").alias("id"), F.lit(True).alias("_new"))
+    kept = [c for c in side_effects if c in fresh.columns and c in previous.columns]
+    takeover = list(dict.fromkeys(["final_score", "decision", *kept, "description", "description_original"]))
+    old = previous.select("id", *[(F.col(c) if c in previous.columns else F.lit(None).cast("string")).alias(f"_o_{c}") for c in takeover])
+    joined = fresh.join(new, "id", "left").join(old, "id", "left")
+    is_new = F.coalesce("_new", F.lit(False))
+    had = F.col("_o_final_score").isNotNull()
+    rewritten = ~is_new & (F.length("_o_description_original") > 0) & (F.length("_o_description") > 0)
+    stand_in = scoring.health_only_result("health_mean")
+    pick = lambda c, made: F.when(is_new, F.col(c)).when(had, F.col(f"_o_{c}")).otherwise(made)
+    out = {
+        "provenance": F.when(is_new, "new").when(had, "old").otherwise("synth"),
+        "final_score": pick("final_score", stand_in["final_score"]),
+        "decision": F.coalesce(pick("decision", stand_in["decision"]), F.lit("review")),
+        "description": F.when(rewritten, F.col("_o_description")).otherwise(F.col("description")),
+        **{c: F.when(is_new, F.col(c)).otherwise(F.coalesce(F.col(f"_o_{c}"), F.col(c))) for c in kept},
+    }
+    done = joined.withColumns(out).drop("_new", *[f"_o_{c}" for c in takeover])
+    return done, report.run_status(done, cells)
+
+
 def search_table(entries: DataFrame) -> DataFrame:
     return filters.search_projection(entries)
 
 
 def publish(entries: DataFrame, path: str, dry_run: bool = True) -> bool:
     """Write the ordered catalog, the search table and the files per type; nothing for an empty run."""
-    kept = scoring.drop_rejects(entries, dry_run=dry_run)
+    kept = cut(scoring.drop_rejects(entries, dry_run=dry_run))  # four tables are written from it
     order = select.catalog_order()
 
     def write(df: DataFrame) -> None:
         tables.write_json(df, f"{path}/index", order)
         tables.write_json(search_table(df), f"{path}/search")
         tables.publish_partitions(df, f"{path}/types", order=order)
+        tables.entry_documents(df).write.mode("overwrite").partitionBy("type").json(f"{path}/entries")
 
     return tables.publish_if_rows(kept, write)

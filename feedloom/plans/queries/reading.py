@@ -441,6 +441,18 @@ def a21_publishable(t):
     return A.publishable(o, type_="o_orderstatus", bundled_type="F").select("o_orderkey", "o_orderstatus")
 
 
+@query(
+    "a21_entry_documents",
+    """select p_type as type, replace(replace(replace(p_brand || '/' || p_name, '#', '-'), '/', '--'), ' ', '-') as file_id, '{"id":"' || p_brand || '/' || p_name || '"'
+  || case when p_size > 10 then ',"size":' || p_size else '' end || ',"type":"' || p_type || '"}' as document from part""",
+)
+def a21_entry_documents(t):
+    p = t.part.select(
+        F.concat("p_brand", F.lit("/"), "p_name").alias("id"), F.when(F.col("p_size") > 10, F.col("p_size")).alias("size"), F.col("p_type").alias("type")
+    )
+    return A.entry_documents(p)
+
+
 @query(
     "a22_rule_files",
     r"""

@@ -94,6 +94,8 @@ def k5_prefix_category(t):
 with p as (select p_partkey, p_name || ' ' || p_brand as n, p_brand, p_type from part)
 select p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(lower(n), '[^\w\s-]', '', 'g'), '[\s_]+', '-', 'g'), '-+', '-', 'g'), '-') as kebab,
   trim(regexp_replace(regexp_replace(lower(n), '[\s_./]+', '-', 'g'), '[^a-z0-9-]+', '-', 'g'), '-') || '-' || substr(sha1(n), 1, 8) as hashed,
+  regexp_replace(replace(replace(p_brand || '/' || p_name_, '/', '--'), '@', ''), '[^\w.-]', '-', 'g') as file_id,
+  trim(replace(regexp_replace(lower(p_name_ || ' ' || p_brand), '[^a-z0-9 -]', '', 'g'), ' ', '-'), '-') as anchor,
   lower(replace(p_name_, ' ', '-')) || '-' || lower(replace(p_brand, '#', '-')) || '-' || lower(p_type) as composite
 from (select p.*, part.p_name as p_name_ from p join part using (p_partkey))
 """,
@@ -103,6 +105,7 @@ def k6_ids(t):
     return t.part.select(
         "p_partkey", X.kebab(n).alias("kebab"), X.hashed_id(n).alias("hashed"),
         X.composite_id("p_name", "p_brand", "p_type").alias("composite"),
+        X.file_id(F.concat_ws("/", "p_brand", "p_name")).alias("file_id"), X.anchor_slug(n).alias("anchor"),
     )
 
 
@@ -128,13 +131,15 @@ e as (select *, case when contains(h, ' ') then length(h) - strpos(reverse(h), '
 select doc_id, case when length(s) <= 80 then s when regexp_matches(substr(h, 80, 1), '[^\x00-\x7F]') then regexp_replace(h, '[。，、；：！？]+$', '') || '…'
   when sp > 48 then substr(h, 1, sp) || '…' else h || '…' end as by_word,
   case when length(c) <= 60 then c else regexp_replace(substr(c, 1, 59), '\s+$', '') || '…' end as collapsed,
-  case when n_chars >= 1000 then printf('%.1f', n_chars / 1000.0) || 'k' when n_chars > 0 then cast(n_chars as varchar) else '—' end as stars
+  case when n_chars >= 1000 then printf('%.1f', n_chars / 1000.0) || 'k' when n_chars > 0 then cast(n_chars as varchar) else '—' end as stars,
+  case when length(s) <= 100 then s else substr(s, 1, 100) || '...' end as plain
 from e
 """,
 )
 def k8_cuts(t):
     return t.documents.select(
-        "doc_id", X.cut_words("text").alias("by_word"), X.cut_collapsed("text", 60).alias("collapsed"), X.star_label("n_chars").alias("stars")
+        "doc_id", X.cut_words("text").alias("by_word"), X.cut_collapsed("text", 60).alias("collapsed"), X.star_label("n_chars").alias("stars"),
+        X.cut_plain("text", 100).alias("plain"),
     )
 
 

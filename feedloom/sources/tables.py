@@ -124,6 +124,18 @@ def publishable(df: DataFrame, *, type_: str = "type", bundled: str | None = "bu
     return df.filter(~((F.col(type_) == bundled_type) & (F.length(bundled) > 0)) | F.col(bundled).isNull())
 
 
+def entry_documents(df: DataFrame, *, key: str = "id", type_: str = "type") -> DataFrame:
+    """(type, file_id, document): the full JSON of every entry, null fields left out.
+
+    Rows of a table and not one small file each: a file per entry would drown the file system.
+    """
+    from ..functions.text import file_id
+
+    kind = F.coalesce(F.col(type_), F.lit("unknown")).alias(type_)
+    return df.select(kind, file_id(F.coalesce(F.col(key).cast("string"), F.lit("unknown"))).alias("file_id"),
+                     F.to_json(F.struct(*df.columns)).alias("document"))
+
+
 def publish_if_rows(df: DataFrame, write, least: int = 1) -> bool:
     """Call ``write(df)`` only when there are rows; an empty run keeps the old table."""
     enough = df.limit(least).count() >= least

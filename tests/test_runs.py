@@ -66,6 +66,32 @@ def test_merge_run(spark):
     assert scored["dup"].final_score == scored["dup"].health_weighted
 
 
+def test_results_fall_back(spark, tmp_path):
+    cols = "id string, type string, tags array<string>, tech_stack array<string>, description string, description_zh string, final_score double, decision string"
+    row = lambda i, t="skill": (i, t, ["own"], [], f"about {i}", None, None, None)
+    entries_ = spark.createDataFrame([row("a"), row("b"), row("c", "mcp"), row("d")], cols)
+    result = (
+        "a", {"x": (4,)}, (["new"], None, "short", None), (90.0, 50.0, 40.0), 71.5, "accept", None,
+    )
+    results = spark.createDataFrame([result], "entry_id string, metrics map<string,struct<score:int>>, enrichment struct<tags:array<string>,tech_stack:array<string>,summary:string,summary_zh:string>, "
+        "health struct<freshness:double,popularity:double,source_trust:double>, final_score double, decision string, installability struct<state:string,tags:array<string>>")
+    previous = spark.createDataFrame([("a", 10.0, "reject", "zh a", "old a", "was a", 5), ("b", 55.0, "review", "zh b", "old b", "was b", 44), ("d", None, None, None, "old d", None, 33)],
+        "id string, final_score double, decision string, description_zh string, description string, description_original string, health_mean int")
+    cells = spark.createDataFrame([("skill", True, 1, 0)], "type string, present boolean, failed bigint, quarantined bigint")
+    done, status = P.apply_results(entries_, results, previous, cells)
+    got = {r.id: (r.provenance, r.final_score, r.decision, r.description, r.description_zh, r.tags, r.health_mean) for r in done.collect()}
+    assert got == {
+        "a": ("new", 72.0, "accept", "short", None, ["new"], 60), "b": ("old", 55.0, "review", "old b", "zh b", ["own"], 44),
+        "c": ("synth", 0.0, "review", "about c", None, ["own"], None), "d": ("synth", 0.0, "review", "about d", None, ["own"], 33),
+    }
+    assert {r.type: (r.succeeded, r.fallback_old, r.fallback_synth, r.status) for r in status.collect()} == {"skill": (1, 1, 1, "partial"), "mcp": (0, 0, 1, "failed")}
+    out = str(tmp_path / "pub")
+    table = done.withColumns({"name": F.col("id"), "stars": F.lit(1), "_ord": F.col("id"), "source": F.lit("s"), "bundled_in": F.lit(None).cast("string")})
+    assert P.publish(table, out)
+    assert spark.read.json(f"{out}/search").count() == 4 and spark.read.json(f"{out}/entries").count() == 4
+    assert [r.id for r in spark.read.json(f"{out}/types/type=skill").collect()][0] == "a"
+
+
 def test_merge_does_not_depend_on_partitions(spark):
     base = entries(spark, *[e(f"i{i % 40}", "mcp" if i % 3 else "skill", f"https://github.com/o/r{i % 25}", stars=i) for i in range(120)])
     base = base.withColumn("_pos", F.col("stars"))
