@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ...functions.values import first_rule
 from ...operators import overlay as O, select as G, state as N
 from ...operators.relational import first_per_key
+from ...sources.tables import empty_frame
 from ..registry import query
 from .overlay import SQL_ORDERED, snapshot, sql_snapshot
 
@@ -226,8 +227,6 @@ def stamp(c):
 
 
 def ledger(t):
-    from ...sources.tables import empty_frame
-
     o = outcomes(t)
     half = F.to_timestamp(F.lit("2024-01-15"))
     # two runs: the ledger after the first half of January is the input of the second
@@ -289,7 +288,7 @@ def n5_cache_upsert(t):
         F.col("ts").alias("evaluated_at"), (F.col("ts") + F.expr("interval 10 days")).alias("expires_at"),
     )
     half = F.to_timestamp(F.lit("2024-01-15"))
-    stored = N.cache_upsert(e.filter(F.col("evaluated_at") < half).limit(0), e.filter(F.col("evaluated_at") < half), tie="event_id")
+    stored = N.cache_upsert(empty_frame(t.spark, e.schema), e.filter(F.col("evaluated_at") < half), tie="event_id")
     merged = N.cache_upsert(stored, e.filter(F.col("evaluated_at") >= half), tie="event_id")
     return N.cache_purge(merged, "2024-02-01").select("user_id", "event_type", "event_id")
 
