@@ -179,7 +179,7 @@ def a9_page_links(t):
 @query(
     "a9_page_details",
     r"""
-select page_id, replace(replace(replace(replace(trim(regexp_extract(html, '<h1[^>]*>([^<]+)</h1>', 1)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') as name, 'https://github.com/o/r' || page_id as repo_url, 't' || page_id as tags,
+select page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(regexp_extract(html, '<h1[^>]*>([^<]+)</h1>', 1)), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g') as name, 'https://github.com/o/r' || page_id as repo_url, 't' || page_id as tags,
   'run' as command, case when contains(url, '/de/') then 'mcp_config_template' else 'mcp_config' end as method
 from pages where not contains(url, '/es/') and not contains(html, 'Project not found')
 """,
