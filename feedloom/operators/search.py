@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.values import col, let
-from .relational import top_per_key
+from .relational import skew_join, top_per_key
 
 TOKEN = r"[\p{L}\p{N}]+"
 
@@ -133,38 +133,85 @@ def term_weight(term: Column, word: str, fuzzy: float = FUZZY) -> Column:
     return out.otherwise(0.0)
 
 
+def _by_field(values: Mapping[str, Column | float]) -> Column:
+    """The value of the row's own field."""
+    names = list(values)
+    out = F.when(F.col("field") == names[0], values[names[0]])
+    return reduce(lambda acc, f: acc.when(F.col("field") == f, values[f]), names[1:], out)
+
+
+def _tokens(df: DataFrame, fields: Sequence[str], key: str) -> DataFrame:
+    texts = [F.regexp_extract_all(F.lower(F.coalesce(F.col(f), F.lit(""))), F.lit(TOKEN), 0).alias(f) for f in fields]
+    return df.select(key, *texts)
+
+
+def _terms(tokens: DataFrame, fields: Sequence[str], key: str) -> DataFrame:
+    """(key, field, len, term), one row per token; a test on the term runs where the text is read."""
+    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.size(f).alias("len"), F.col(f).alias("terms")) for f in fields])
+    return tokens.select(key, F.inline(cells)).select(key, "field", "len", F.explode("terms").alias("term"))
+
+
+def _stats(tokens: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """One row: the number of rows, and the mean length of every field."""
+    return tokens.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.size(f)).alias(f"mean_{f}") for f in fields])
+
+
+def _rank(hits: DataFrame, stats: Column, boosts: Mapping[str, float], key: str, limit: int) -> DataFrame:
+    """Boosted BM25 over (key, field, len, tf, df, weight)."""
+    total, mean = stats["n"], _by_field({f: stats[f"mean_{f}"] for f in boosts})
+    idf = F.log(1.0 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    norm = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / mean))
+    score = F.col("weight") * _by_field({f: float(b) for f, b in boosts.items()}) * idf * norm
+    return hits.groupBy(key).agg(F.sum(score).alias("score")).orderBy(F.desc("score"), key).limit(limit)
+
+
+def _weight(query: str, fuzzy: float) -> Column:
+    return _sum([term_weight(F.col("term"), w, fuzzy) for w in query_tokens(query)])
+
+
 def full_text(
     df: DataFrame, query: str, boosts: Mapping[str, float], *, key: str = "id", limit: int = 200, fuzzy: float = FUZZY
 ) -> DataFrame:
     """(key, score): best rows by boosted BM25 over several fields, with prefix and fuzzy terms.
 
-    Tokens are tested where they are read, so the shuffles carry hits and not texts. The number of
-    rows and the mean field lengths come from one aggregate used as scalar subqueries.
+    For a single question to a table without an index: it reads the texts. Tokens are tested where
+    they are read, so the shuffles carry hits and not texts. The row count and mean lengths come from
+    one aggregate, used as a scalar subquery.
     """
-    words = query_tokens(query)
-    tokens = {f: F.regexp_extract_all(F.lower(F.coalesce(F.col(f), F.lit(""))), F.lit(TOKEN), 0) for f in boosts}
-    split = df.select(key, *[c.alias(f) for f, c in tokens.items()])
+    fields = list(boosts)
+    tokens = _tokens(df, fields, key)
+    weight = _weight(query, fuzzy)
+    found = _terms(tokens, fields, key).filter(weight > 0)
+    tf = found.groupBy(key, "field", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
+    per_term = tf.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    hits = tf.join(per_term, ["field", "term"]).withColumn("weight", weight)
+    stats = _stats(tokens, fields)
+    return _rank(hits, stats.select(F.struct("*")).scalar(), boosts, key, limit)
 
-    def weight(t: Column) -> Column:
-        return _sum([term_weight(t, w, fuzzy) for w in words])
 
-    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.size(f).alias("len"), F.col(f).alias("terms")) for f in boosts])
-    flat = split.select(key, F.inline(cells)).select(key, "field", "len", F.explode("terms").alias("term"))
-    hits = flat.filter(weight(F.col("term")) > 0)
-    tf = hits.groupBy(key, "field", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
-    per_term = tf.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    stats = split.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.size(f)).alias(f"avg_{f}") for f in boosts])
-    total = stats.select("n").scalar()
-    mean = reduce(
-        lambda acc, f: acc.when(F.col("field") == f, stats.select(f"avg_{f}").scalar()), list(boosts)[1:],
-        F.when(F.col("field") == list(boosts)[0], stats.select(f"avg_{list(boosts)[0]}").scalar()),
-    )
-    boost = reduce(
-        lambda acc, f: acc.when(F.col("field") == f, float(boosts[f])), list(boosts)[1:],
-        F.when(F.col("field") == list(boosts)[0], float(boosts[list(boosts)[0]])),
-    )
-    idf = F.log(1.0 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / mean))
-    # matched terms per field: a small aggregate, joined by broadcast where its size allows
-    scored = tf.join(per_term, ["field", "term"]).withColumn("_s", weight(F.col("term")) * boost * idf * norm)
-    return scored.groupBy(key).agg(F.sum("_s").alias("score")).orderBy(F.desc("score"), key).limit(limit)
+def build_index(df: DataFrame, fields: Sequence[str], *, key: str = "id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(postings, vocabulary, statistics) for ``search_index``; built once and written as tables.
+
+    Postings are (term, field, key, tf, len), vocabulary is (field, term, df). The tokens of a row are
+    counted before the shuffle, and a frequent term is spread over its rows.
+    """
+    tokens = _tokens(df, fields, key)
+    postings = _terms(tokens, fields, key).groupBy(key, "field", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
+    vocabulary = postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    return postings, vocabulary, _stats(tokens, fields)
+
+
+def write_postings(postings: DataFrame, path: str, *, key: str = "id") -> None:
+    """Sorted by term, so a query reads only the row groups of its terms; a frequent term fills many files."""
+    postings.repartitionByRange("term", key).sortWithinPartitions("term", key).write.mode("overwrite").parquet(path)
+
+
+def search_index(
+    postings: DataFrame, vocabulary: DataFrame, stats: DataFrame, query: str, boosts: Mapping[str, float], *, key: str = "id",
+    limit: int = 200, fuzzy: float = FUZZY,
+) -> DataFrame:
+    """As ``full_text``, from an index: terms are matched in the vocabulary, and only their postings are read."""
+    weight = _weight(query, fuzzy)
+    terms = vocabulary.withColumn("weight", weight).filter(F.col("weight") > 0)
+    hits = skew_join(postings.filter(F.col("field").isin(*boosts)), terms, ["field", "term"], "inner", spread=[key])
+    return _rank(hits, stats.select(F.struct("*")).scalar(), boosts, key, limit)

@@ -333,9 +333,7 @@ def sql_weight(words):
     return "(" + " + ".join(one(w) for w in words) + ")::double"
 
 
-@query(
-    "j5_full_text",
-    rf"""
+SQL_FULL_TEXT = rf"""
 with f as (select doc_id, 'head' as field, 3.0 as boost, regexp_extract(text, '^[^\n]*', 0) as v from documents union all select doc_id, 'text', 1.0, text from documents),
 k as (select doc_id, field, boost, regexp_extract_all(lower(v), '[\p{{L}}\p{{N}}]+') as toks from f),
 st as (select field, avg(len(toks)) as mean, count(*) as n from k group by field),
@@ -344,9 +342,26 @@ tf as (select doc_id, field, boost, len, term, count(*) as tf, {sql_weight(['and
 h as (select * from tf where w > 0), df as (select field, term, count(*) as df from h group by all)
 select doc_id, round(sum(w * boost * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.3 + 0.7 * len / mean))), 6) as score
 from h join df using (field, term) join st using (field) group by doc_id order by score desc, doc_id limit 200
-""",
-)
+"""
+
+
+@query("j5_full_text", SQL_FULL_TEXT)
 def j5_full_text(t):
     d = t.documents.select("doc_id", F.regexp_extract("text", "^[^\n]*", 0).alias("head"), "text")
     out = Q.full_text(d, "anden verbe the", {"head": 3.0, "text": 1.0}, key="doc_id")
     return out.select("doc_id", F.round("score", 6).alias("score"))
+
+
+@query("j5_search_index", SQL_FULL_TEXT)
+def j5_search_index(t):
+    """Build the index, write and read its postings, and ask the same question."""
+    from .reading import scratch
+
+    d = t.documents.select("doc_id", F.regexp_extract("text", "^[^\n]*", 0).alias("head"), "text")
+    postings, _, stats = Q.build_index(d, ["head", "text"], key="doc_id")
+    path = scratch(t, "postings")
+    Q.write_postings(postings, path, key="doc_id")
+    stored = t.spark.read.schema(postings.schema).parquet(path)
+    words = stored.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    out = Q.search_index(stored, words, stats, "anden verbe the", {"head": 3.0, "text": 1.0}, key="doc_id")
+    return out.select("doc_id", F.round("score", 6).alias("score"))

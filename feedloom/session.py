@@ -25,6 +25,18 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, shuffle_bytes: int, partition_bytes: int = 512 * 2**20) -> int:
+    """Start shuffles of about ``shuffle_bytes`` with partitions of about ``partition_bytes``.
+
+    Adaptive execution merges the small ones again, so a number that is too high costs little,
+    and one that is too low spills.
+    """
+    least = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    count = max(least, -(-shuffle_bytes // partition_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(count))
+    return count
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     sc = spark.sparkContext

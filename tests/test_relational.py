@@ -160,3 +160,14 @@ def test_stop_rule_does_not_depend_on_the_blocks(spark, block):
     assert got == [0, 3, 7, 8]
     everything = N.cut_after_known(feed, F.col("k") == 1, run=5, block=7)
     assert everything.count() == known.count(0)
+
+
+def test_shuffles_are_sized(spark):
+    from feedloom.session import size_shuffles
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert size_shuffles(spark, 0) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_shuffles(spark, 100 * 2**40) == 204_800
+    finally:
+        spark.conf.unset(key)
