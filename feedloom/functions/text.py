@@ -103,10 +103,12 @@ def mapped(key: Column | str, table: Mapping[str, str], default: Column) -> Colu
     return first_rule([(col(key) == k, v) for k, v in table.items()], default)
 
 
-def prefix_category(name: Column | str, text: Column | str, table: Mapping[str, str] | None = None) -> Column:
+def prefix_category(
+    name: Column | str, text: Column | str, table: Mapping[str, str] | None = None, rules: Sequence[tuple[str, str]] | None = None
+) -> Column:
     """Category by the part of a name before the first dash, else by keywords."""
     table = fixed.PREFIX_CATEGORY if table is None else table
-    return mapped(F.split_part(col(name), F.lit("-"), F.lit(1)), table, categorize(text))
+    return mapped(F.split_part(col(name), F.lit("-"), F.lit(1)), table, categorize(text, rules=rules))
 
 
 # --- K6, K7: ids ---------------------------------------------------------------------------------

@@ -37,12 +37,6 @@ def empty_as_null(c: Column | str, kind: str = "string") -> Column:
     return c
 
 
-def blank_as_null(c: Column | str) -> Column:
-    """Null when nothing but white space is left."""
-    c = col(c)
-    return F.when(F.length(F.trim(c)) > 0, c)
-
-
 def first_rule(rules: Iterable[tuple[Column, object]], default: object = None) -> Column:
     """Value of the first rule whose condition holds. A null condition does not hold."""
     out = None

@@ -39,6 +39,13 @@ def entry_rules(columns: Sequence[str]) -> dict[str, Column]:
     return rules
 
 
+def curated_rules(columns: Sequence[str], source: str = "curated") -> dict[str, Column]:
+    """Contract of hand-made rows: the entry contract, their own source name, and a date for dated types."""
+    dated = F.coalesce(F.col("type").isin(*fixed.LIFECYCLE_TYPES), F.lit(False))
+    has_date = F.col("added_at").isNotNull() if "added_at" in columns else F.lit(False)
+    return entry_rules(columns) | {"missing added_at": ~dated | has_date, "source value": F.col("source") == source}
+
+
 def curated_findings(
     curated: DataFrame, index: DataFrame, *, key: str = "id", url: str = "url_key", order: str = "_ord",
     rules: Mapping[str, Column] | None = None,

@@ -6,8 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions import fixed, scores, urls
-from ..functions.values import col, first_rule
+from ..functions import fixed, scores
+from ..functions.values import first_rule
 from .relational import HOT_ROWS, with_key_count
 
 
@@ -224,7 +224,3 @@ def health_only_result(health_score: Column | str) -> Column:
         F.lit("review").alias("decision"),
         F.lit("health_only_synthesized").alias("evaluation_mode"),
     )
-
-
-def repo_of(url: Column | str) -> Column:
-    return urls.repo_slug(col(url))

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions import scores
 from ...functions.values import first_rule
 from ...operators import overlay as O
-from ...operators.relational import first_per_key
 from ..registry import query
 
 # A snapshot of customers: what they ordered in one year.

@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 
 from ...functions import fixed, text as X
 from ...functions.values import first_rule, folded_union
-from ...operators import checks as C, linkage as L, report as R, scoring as S, sets as H
+from ...operators import checks as C, report as R, sets as H
 from ...operators.relational import with_key_count
 from ..registry import query
-from .linkage import SQL_TEXT_KEY
-from .overlay import SQL_COVERAGE, SQL_SHOP, coverage_frame, shop, snapshot, sql_snapshot
+from .overlay import SQL_COVERAGE, SQL_SHOP, coverage_frame, shop, sql_snapshot
 from .scoring import LINE, SQL_DIMS, SQL_QUALITY, WEIGHTS, dims, quality
 
 STATUSES = ["F", "O", "P"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ...functions import scores
 from ...functions.values import first_rule
 from ...operators import linkage as L, scoring as S
-from ...operators.relational import top_per_key, with_key_count
+from ...operators.relational import top_per_key
 from ..registry import query
 from .linkage import SQL_PRIORITY, SQL_TEXT_KEY, documents
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ...functions.values import first_rule
 from ...operators import overlay as O, select as G, state as N
-from ...operators.relational import first_per_key
 from ...sources.tables import empty_frame
 from ..registry import query
 from .overlay import SQL_ORDERED, snapshot, sql_snapshot

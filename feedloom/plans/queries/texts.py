@@ -84,8 +84,8 @@ def k4_scene(t):
 )
 def k5_prefix_category(t):
     p = t.part.withColumn("slug", F.lower(F.replace("p_name", F.lit(" "), F.lit("-")))).withColumn("_t", F.lower("p_name"))
-    by_word = X.categorize("_t", rules=[("ring", "c1")])
-    return p.select("p_partkey", X.mapped(F.split_part("slug", F.lit("-"), F.lit(1)), {"red": "r", "blue": "b"}, by_word).alias("category"))
+    category = X.prefix_category("slug", "_t", {"red": "r", "blue": "b"}, [("ring", "c1")])
+    return p.select("p_partkey", category.alias("category"))
 
 
 @query(
@@ -283,7 +283,7 @@ def k16_recover_from_talk(t):
 @query(
     "k17_normalize_result",
     """select doc_id, greatest(1, least(5, coalesce(quality * 9, 0))) as score, substr(text, 1, 150) as summary, lower(source) || ',' || lang as tags,
-  substr(text, 1, 60) as first_highlight from documents left join labels using (doc_id)""",
+  substr(text, 1, 60) as first_highlight, lang || ',' || source as checks, substr(text, 1, 240) as reason from documents left join labels using (doc_id)""",
 )
 def k17_normalize_result(t):
     d = t.documents.join(t.labels, "doc_id", "left")
@@ -291,9 +291,11 @@ def k17_normalize_result(t):
         F.col("text").alias("summary"), F.lit(None).cast("string").alias("summary_zh"),
         F.array(F.concat(F.lit(" "), F.upper("source")), "lang").alias("tags"), F.array("text", "lang", "source", "lang").alias("highlights"),
     )
-    e = d.select("doc_id", J.clamp_score(F.coalesce(F.col("quality") * 9, F.lit(0))).alias("score"), J.normalize_enrichment(raw).alias("e"))
+    e = d.select("doc_id", J.clamp_score(F.coalesce(F.col("quality") * 9, F.lit(0))).alias("score"), J.normalize_enrichment(raw).alias("e"),
+                 J.normalize_installability(F.array("lang", "source", "lang"), "text").alias("i"))
     return e.select(
-        "doc_id", "score", "e.summary", F.array_join("e.tags", ",").alias("tags"), F.col("e.highlights")[0].alias("first_highlight")
+        "doc_id", "score", "e.summary", F.array_join("e.tags", ",").alias("tags"), F.col("e.highlights")[0].alias("first_highlight"),
+        F.array_join("i.tags", ",").alias("checks"), "i.reason",
     )
 
 

@@ -418,6 +418,19 @@ def test_entry_contract(spark):
     assert got == [("A 1", "id format"), ("A 1", "last_synced format"), ("A 1", "missing name"), ("A 1", "type value")]
 
 
+def test_curated_rows(spark):
+    cols = "o int, id string, type string, source string, added_at string, url_key string"
+    data = [(1, "a", "mcp", "curated", "2024-01-01", "u"), (2, "a", "rule", "curated", None, "u"), (3, "c", "skill", "other", None, "v"), (4, "d", "plugin", "curated", None, None)]
+    rules = C.curated_rules(["id", "type", "source", "added_at"])
+    rules = {k: v for k, v in rules.items() if k in ("missing added_at", "source value", "type value", "id format")}
+    index = spark.createDataFrame([("x", "v"), ("d", "w")], "id string, url_key string")
+    got = rows(C.curated_findings(spark.createDataFrame(data, cols), index, order="o", rules=rules))
+    assert got == [
+        (2, "duplicate address", "warning"), (2, "duplicate id", "error"), (3, "address in index", "warning"), (3, "missing added_at", "error"),
+        (3, "source value", "error"), (4, "id in index", "warning"),
+    ]
+
+
 def test_ledger_backoff(spark):
     df = spark.createDataFrame([(n, "2024-01-01 00:00:00") for n in (1, 2, 3, 4)], "n int, t string").withColumn("t", F.to_timestamp("t"))
     got = [str(r[0]) for r in df.orderBy("n").select(F.date_format(N.next_retry("n", "t"), "yyyy-MM-dd")).collect()]
