@@ -348,8 +348,8 @@ def fan_out(
     df: DataFrame, shared: DataFrame, keys: Sequence[str], field: str, *, value: str, min_rows: int = HOT_ROWS,
     spread: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Give every row the value of its group (one lookup row per group), else its own."""
-    one = shared.select(*keys, F.col(value).alias("_shared")).dropDuplicates(list(keys))
+    """Give every row the value of its group, else its own. Should a group have several values, the least one."""
+    one = shared.groupBy(*keys).agg(F.min(value).alias("_shared"))
     out = skew_join(df, one, keys, "left", spread=spread, min_rows=min_rows)
     return out.withColumn(field, F.coalesce(F.col("_shared"), F.col(field))).drop("_shared")
 

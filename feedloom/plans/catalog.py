@@ -185,6 +185,7 @@ def publish(entries: DataFrame, path: str, dry_run: bool = True) -> bool:
         tables.write_json(df, f"{path}/index", order)
         tables.write_json(search_table(df), f"{path}/search")
         tables.publish_partitions(df, f"{path}/types", order=order)
-        tables.entry_documents(df).write.mode("overwrite").partitionBy("type").json(f"{path}/entries")
+        documents = tables.entry_documents(df).repartitionByRange("type", "file_id")
+        documents.write.mode("overwrite").partitionBy("type").json(f"{path}/entries")
 
     return tables.publish_if_rows(kept, write)

@@ -218,7 +218,7 @@ def rule_files(
     global_folder: str = "rules/global_rules/", markers: tuple[str, str] = ("windsurf-global", "windsurf"), label: str = "Windsurf",
     suffix: str = "", branch: str = "main",
 ) -> DataFrame:
-    """Markdown files below a folder as entries, with date and stars of their repository.
+    """Markdown files below a folder as entries, with date and stars of their repository (one row each in ``repos``).
 
     Files of the global folder are marked as such and belong to the default category.
     """
@@ -256,4 +256,4 @@ def rule_files(
         repo, path, "id", "name", "description", "tags", "category", F.lit("rule").alias("type"), url.alias("source_url"),
         F.struct(F.lit("download_file").alias("method"), F.array(raw).alias("files")).alias("install"),
     )
-    return skew_join(rows, repos.select(repo, "pushed_at", "stars").dropDuplicates([repo]), [repo], "left", spread=[path])
+    return skew_join(rows, repos.select(repo, "pushed_at", "stars"), [repo], "left", spread=[path])

@@ -110,7 +110,9 @@ def publish_partitions(df: DataFrame, path: str, *, type_: str = "type", order:
     Bundled skills are left out of the skill folder.
     """
     rows = publishable(df, type_=type_, bundled=bundled, bundled_type=bundled_type)
-    rows.sortWithinPartitions(type_, *order).write.mode("overwrite").partitionBy(type_).json(path)
+    # one range per task, so a task writes one or two files and not one per type
+    laid = rows.repartitionByRange(F.col(type_), *order).sortWithinPartitions(F.col(type_), *order)
+    laid.write.mode("overwrite").partitionBy(type_).json(path)
     spark = df.sparkSession
     for t in known:
         folder = f"{path.rstrip('/')}/{type_}={t}"
