@@ -28,6 +28,18 @@ CACHE_DDL = (
     "evaluated_at timestamp, expires_at timestamp, model_id string, prompt_tokens bigint, completion_tokens bigint, "
     "cost_usd double, latency_ms bigint"
 )
+EVAL_RESULT_DDL = (
+    "entry_id string, metrics map<string,struct<score:int,evidence:array<string>,missing:array<string>,suggestion:string>>, "
+    "enrichment struct<summary:string,summary_zh:string,tags:array<string>,tech_stack:array<string>,search_terms:array<string>,"
+    "highlights:array<string>>, installability struct<schema_valid:boolean,state:string,tags:array<string>,reason:string>, "
+    "security struct<risk_level:string,verdict:string,red_flags:array<string>,"
+    "permissions:struct<files:array<string>,network:array<string>,commands:array<string>>,summary:string,recommendations:array<string>>, "
+    "health struct<freshness:double,popularity:double,source_trust:double,install_popularity:double,manifest_completeness:double>, "
+    "llm_score double, final_score double, decision string, star_weight double, content_hash string, rubric_version string, "
+    "model_id string, evaluated_at timestamp"
+)
+COMPLETED_DDL = "type string, rubric_version string, entry_id string"
+DIFF_DDL = "id string, class string, old string, new string, pct double"
 REPO_FILE_DDL = "repo string, ref string, path string, kind string"
 QUEUE_DDL = "id string, type string, last_queued_at string"
 
@@ -47,15 +59,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def read_json_table(spark: SparkSession, path: str, schema: str | T.StructType, *, array_file: bool = True) -> DataFrame:
+def read_json_table(
+    spark: SparkSession, path: str, schema: str | T.StructType, *, array_file: bool = True, extras: str | None = None
+) -> DataFrame:
     """Rows of a JSON file or folder; a missing path or unreadable file gives no rows.
 
     ``array_file`` reads files that hold one array (or object) each, as feeds are published; such a
-    file is one row until it is parsed. Large tables come as one object per line.
+    file is one row until it is parsed. Large tables come as one object per line. ``extras`` names a
+    VARIANT column for the whole object, so that keys outside the schema are not lost.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if not path_exists(spark, path):
-        return empty_frame(spark, schema)
+        empty = empty_frame(spark, schema)
+        return empty if extras is None else empty.withColumn(extras, F.lit(None).cast("variant"))
+    if extras is not None:
+        texts = spark.read.text(path, wholetext=array_file)
+        kind = "array<variant>" if array_file else "variant"
+        parsed = F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", kind))
+        items = texts.select((F.explode(parsed) if array_file else parsed).alias(extras)).filter(F.col(extras).isNotNull())
+        return items.select(F.from_json(F.to_json(extras), schema).alias("_r"), extras).select("_r.*", extras)
     if not array_file:
         return split_rejects(spark.read.text(path), "value", schema)[0]
     files = spark.read.text(path, wholetext=True)

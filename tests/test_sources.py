@@ -23,6 +23,21 @@ def test_json_table_never_fails(spark, tmp_path):
     assert A.read_json_table(spark, write(tmp_path / "bad.json", "[{"), ddl).count() == 0
 
 
+@pytest.mark.parametrize("array_file", [True, False])
+def test_unknown_keys_are_kept(spark, tmp_path, array_file):
+    data = [{"id": "a", "odd": {"x": 1}}, {"id": "b"}]
+    text = json.dumps(data) if array_file else "\n".join(map(json.dumps, data)) + "\n{bad"
+    path = write(tmp_path / "f.json", text)
+    got = A.read_json_table(spark, path, "id string", array_file=array_file, extras="more")
+    assert rows(got.select("id", F.try_variant_get("more", "$.odd.x", "int"))) == [("a", 1), ("b", None)]
+    assert A.read_json_table(spark, path + "-none", "id string", array_file=array_file, extras="more").count() == 0
+
+
+def test_declared_tables_parse(spark):
+    for ddl in (A.ENTRY_DDL, A.EVAL_RESULT_DDL, A.CACHE_DDL, A.COMPLETED_DDL, A.DIFF_DDL, A.REPO_FILE_DDL, A.QUEUE_DDL, N.LEDGER_SCHEMA):
+        assert A.empty_frame(spark, ddl).count() == 0
+
+
 def test_json_sink_keeps_the_order(spark, tmp_path):
     df = spark.range(100).withColumn("v", 100 - F.col("id")).repartition(7)
     out = str(tmp_path / "out")
