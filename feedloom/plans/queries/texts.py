@@ -429,3 +429,30 @@ def k26_accept_result(t):
     ).when(F.col("event_type") == "error", F.create_map(F.lit("a"), k))
     state = F.coalesce(F.when(F.col("event_type") == "view", "ready"), F.lit("unknown"))
     return t.events.select("event_id", J.accept_result(metrics, ["a", "b"]).alias("accepted"), state.alias("state"))
+
+
+@query(
+    "k26_answers_to_scores",
+    """
+with d as (select doc_id, lang, (1 + 4 * quality) / 5 * 100 as g, (5 - 4 * toxic) / 5 * 100 as s, 1 + 4 * quality as relevance from documents left join labels using (doc_id)),
+w(lang, task, wg, ws) as (values ('en', 'skill', 0.85, 0.15), ('de', 'rule', 0.84, 0.16), ('fr', 'prompt', 0.79, 0.21), ('es', 'plugin', 0.85, 0.15))
+select doc_id, task, g is not null as accepted, coalesce(round(g * wg + s * ws, 6), -1) as quality, coalesce(relevance, 0) as relevance from d join w using (lang)
+""",
+)
+def k26_answers_to_scores(t):
+    """Answers as an evaluator gives them, from the labels; texts without a label have no answer."""
+    from ..evaluation import parse_answers
+
+    type_ = first_rule([(F.col("lang") == c, v) for c, v in (("en", "skill"), ("de", "rule"), ("fr", "prompt"), ("es", "plugin"))])
+    good, safe = (1 + 4 * F.col("quality")).cast("string"), (5 - 4 * F.col("toxic")).cast("string")
+    cells = [
+        F.concat(F.lit(f'"{d}": {{"score": '), safe if d == "specificity" else good, F.lit("}")) for d in fixed.DIMENSIONS
+    ]
+    answer = F.concat(F.lit('My view:\n```json\n{"metrics": {'), F.concat_ws(", ", *cells), F.lit("}}\n```"))
+    d = t.documents.select("doc_id", "lang").join(t.labels, "doc_id", "left")
+    asked = d.select("doc_id", type_.alias("type"), F.when(F.col("quality").isNotNull(), answer).otherwise("none").alias("text"))
+    parsed = parse_answers(asked, key="doc_id")
+    return parsed.select(
+        "doc_id", "task", "accepted", F.coalesce(F.round("quality", 6), F.lit(-1.0)).alias("quality"),
+        F.coalesce("relevance", F.lit(0)).alias("relevance"),
+    )

@@ -66,6 +66,27 @@ def test_merge_run(spark):
     assert scored["dup"].final_score == scored["dup"].health_weighted
 
 
+def test_answers_to_scores(spark):
+    import json
+
+    from feedloom.plans import evaluation as E
+
+    full = {d: {"score": 4} for d in ("coding_relevance", "doc_completeness", "desc_accuracy", "writing_quality", "specificity", "install_clarity")}
+    rule = {k: v for k, v in full.items() if k != "install_clarity"}
+    data = [
+        ("a", "skill", "Here:\n```json\n" + json.dumps({"metrics": {**full, "specificity": {"score": 9}}, "enrichment": {"tags": [" X "], "summary": "s" * 200}}) + "\n```"),
+        ("b", "rule", json.dumps({"metrics": rule})), ("c", "skill", json.dumps({"metrics": rule})), ("d", "mcp", "no answer"),
+        ("e", "mcp", "well " + json.dumps({"metrics": full, "mcp_installability": {"mcp_install_state": "ready", "mcp_validation_tags": ["t", "t"]}})),
+    ]
+    parsed = E.parse_answers(spark.createDataFrame(data, "entry_id string, type string, text string"))
+    got = {r.entry_id: r for r in parsed.collect()}
+    assert {k: r.accepted for k, r in got.items()} == {"a": True, "b": True, "c": False, "d": False, "e": True}
+    assert abs(got["a"].quality - (80 * 0.85 + 100 * 0.15)) < 1e-9 and got["b"].quality == 80.0 and got["c"].quality is None
+    assert got["a"].enrichment.tags == ["x"] and len(got["a"].enrichment.summary) == 150 and got["b"].enrichment is None
+    assert got["d"].installability.state == "unknown" and got["e"].installability.tags == ["t"] and got["a"].installability is None
+    assert got["a"].relevance == 4 and rows(E.skipped(parsed).select("entry_id")) == [("c",), ("d",)]
+
+
 def test_results_fall_back(spark, tmp_path):
     cols = "id string, type string, tags array<string>, tech_stack array<string>, description string, description_zh string, final_score double, decision string"
     row = lambda i, t="skill": (i, t, ["own"], [], f"about {i}", None, None, None)
