@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed, scores, text as X, urls
+from ..functions.values import first_rule
 from ..operators import checks, filters, linkage, overlay, report, scoring, select, state
 from ..session import cut
 from ..sources import tables
@@ -172,6 +173,34 @@ def apply_results(
     return done, report.run_status(done, cells)
 
 
+def featured_picks(entries: DataFrame) -> DataFrame:
+    """Picks per scene: servers by stars, one per repository; then skills, rules and prompts by source.
+
+    One entry per name or repository over all of them; bundled skills are left out.
+    """
+    tags = F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda x: F.lower(x))
+    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    e = entries.withColumns({"scene": X.scene(low("name"), tags, low("description"), low("category")), "_name": low("name")})
+    rank_of = lambda *sources: first_rule([(F.col("source") == s, i) for i, s in enumerate(sources)], 99).cast("long")
+
+    def rows(type_: str, where: Column, key: Column, first: Column, second: Column, name: Column) -> DataFrame:
+        order = F.struct(first.alias("first"), second.alias("second"), name.alias("name"), F.col(ORDER).alias("last"))
+        return e.filter((F.col("type") == type_) & where).select("scene", key.alias("key"), order.alias(ORDER), "id")
+
+    always, zero, blank = F.lit(True), F.lit(0).cast("long"), F.lit("")
+    repo = F.coalesce(urls.repo_slug("source_url"), F.col("source_url"))
+    passes = [
+        (rows("mcp", F.col("stars") > 0, repo, -F.col("stars"), zero, blank), 4),
+        (rows("skill", F.col("bundled_in").isNull(), F.col("_name"), rank_of("curated", "anthropics-skills", "ai-agent-skills"), zero, F.col("name")), 2),
+        (rows("rule", always, F.col("_name"), rank_of("curated", "rules-2.1-optimized", "awesome-cursorrules"), -F.size(tags).cast("long"), blank), 2),
+        (rows("prompt", always, F.col("_name"), rank_of("curated", "wonderful-prompts", "prompts-chat"), zero, F.col("name")), 1),
+    ]
+    picks = select.featured(passes, [s for s, _ in fixed.SCENES], order=ORDER)
+    # at most a few dozen picks come back; their place leads to their entries
+    placed = picks.select("pass", "scene", F.col(f"{ORDER}.last").alias(ORDER))
+    return entries.join(F.broadcast(placed), ORDER)
+
+
 def search_table(entries: DataFrame) -> DataFrame:
     return filters.search_projection(entries)
 

@@ -66,6 +66,19 @@ def test_merge_run(spark):
     assert scored["dup"].final_score == scored["dup"].health_weighted
 
 
+def test_featured_picks(spark):
+    made = [e(f"m{i}", "mcp", f"https://github.com/o/r{i // 2}", stars=i, name=f"react tool {i}") for i in range(1, 14)]
+    made += [e("z", "mcp", "https://github.com/o/zero", stars=0, name="react zero"), e("git", "mcp", "https://x.y/git", stars=3, name="git thing")]
+    made += [e("s1", name="react a", source="other"), e("s2", name="react b", source="curated"), e("s3", name="react c", source="curated"), e("s4", name="React B", source="curated")]
+    made += [e("r1", "rule", name="react b"), e("r2", "rule", name="react r", tags=["css"]), e("p1", "prompt", name="zzz words", category="database"), e("p2", "prompt", name="zzz other", category="testing")]
+    table = entries(spark, *made).withColumn("_ord", F.struct(F.lit(0).alias("tier"), F.monotonically_increasing_id().alias("pos"))).withColumn("bundled_in", F.lit(None).cast("string"))
+    got = sorted((r["pass"], r.scene, r.id) for r in P.featured_picks(table).collect())
+    assert got == [
+        (0, "frontend", "m11"), (0, "frontend", "m13"), (0, "frontend", "m7"), (0, "frontend", "m9"), (0, "git", "git"),
+        (1, "frontend", "s3"), (1, "frontend", "s4"), (2, "frontend", "r2"), (3, "backend", "p1"),
+    ]
+
+
 def test_answers_to_scores(spark):
     import json
 
