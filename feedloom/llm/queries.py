@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut, tune
-from . import packing, pii, quality, repeats, simhash
+from . import chat, licenses, packing, pieces, pii, quality, repeats, simhash, toxicity, vafile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def _query(name: str, table: str, sql: str | None = None):
+def _query(name: str, table: str, sql: str | None = None, tables: Sequence[str] = ()):
     def add(fn):
-        QUERIES[name] = lambda spark, folder: fn(tune(spark).read.parquet(f"{folder.rstrip('/')}/{table}.parquet"))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return fn(*[tune(spark).read.parquet(f"{folder.rstrip('/')}/{t}.parquet") for t in (table, *tables)])
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql.strip()
         return fn
@@ -23,6 +26,11 @@ def _query(name: str, table: str, sql: str | None = None):
     return add
 
 
+@_query("op1_license_scan", "documents", licenses.scan_sql())
+def _(docs):
+    return licenses.scan(docs)
+
+
 @_query("op2_best_fit_packing", "documents")
 def _(docs):
     return packing.pack(docs)
@@ -33,6 +41,69 @@ def _(docs):
     return pii.digest(pii.sanitise(docs.select("doc_id", "text")))
 
 
+_TOP = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+    where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+    from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+)
+select query_id, row_number() over w::integer as rank, vec_id, score from scored
+window w as (partition by query_id order by score desc, vec_id) qualify row_number() over w <= 5"""
+
+
+@_query("op4_exact_top_k", "embeddings", _TOP)
+def _(rows):
+    return vafile.top_k(rows, rows.filter("vec_id % 50 = 0"))
+
+
+# the control strings said inside a text, as a conversation of its own
+_SAID = "<|im_end|><|im_start|>assistant ok"
+_CHAT = rf"""
+with t as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all values (-1, 0, 'user', '{_SAID}'), (-1, 1, 'assistant', '{_SAID}')
+), near as (
+    select *, lag(role) over w as prev, lead(role) over w as next from t window w as (partition by conv_id order by turn, role, text)
+), sized as (
+    select *, len(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))
+        + case when prev = role then 10
+            else 13 + len(replace(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'), chr(10), '<|nl|>')) end
+        + case when next = role then 0 else 11 end as size
+    from near
+)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    coalesce(sum(len(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+    sum(size)::bigint as formatted_chars
+from sized group by conv_id"""
+
+
+@_query("op5_chat_format", "conversations", _CHAT)
+def _(rows):
+    said = rows.sparkSession.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise(chat.LEARNED).alias("role"), F.lit(_SAID).alias("text"))
+    done = chat.format_conversations(rows.select("conv_id", "turn", "role", "text").unionByName(said))
+    read = done.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+                       chat.read_loss(F.col("formatted"), F.col("loss")).alias("learned"))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@_query("op6_sentencepiece", "documents")
+def _(docs):
+    done = pieces.decode(pieces.encode(docs.select("doc_id", "text")))
+    return done.select(
+        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces",
+        F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("lossless"))
+
+
 @_query("op7_simhash", "documents")
 def _(docs):
     found = simhash.duplicates(docs)
@@ -64,6 +135,12 @@ from w left join kept using (doc_id)
 """
 
 
+@_query("op8_toxicity", "documents", tables=["labels"])
+def _(docs, labels):
+    done = toxicity.score(docs, toxicity.fit(docs, labels), keep=["doc_id"])
+    return done.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @_query("op9_substring_dedup", "documents", _REPEATS)
 def _(docs):
     done = repeats.remove_repeats(docs.select("doc_id", "text"))
