@@ -70,3 +70,58 @@ def quality(t):
     windows = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
     rep = {k for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for k in range(i, i + 3)}
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(rep)
+
+
+def pieces(text, key_hash, vocabulary, alpha, seed):
+    """Forward filtering and backward sampling of one text, place by place."""
+    import math
+
+    import numpy as np
+
+    from feedloom.llm.pieces import SPACE, uniform
+
+    weight = {i: -alpha * math.log(2 + r) for i, r in vocabulary.ranks.items()}
+    in_bytes = -alpha * math.log(2 + len(vocabulary.pieces))
+    out = []
+    for number, word in enumerate(re.findall(r"\n| +[^ \n]*|[^ \n]+", text)):
+        looked = word.replace(SPACE, "\0").replace(" ", SPACE)
+        n = len(word)
+        edges = [[] for _ in range(n + 1)]
+        for i in range(n):
+            for j in range(i + 1, min(n, i + 32) + 1):
+                if looked[i:j] in vocabulary.ids:
+                    p = vocabulary.ids[looked[i:j]]
+                    edges[j].append((j - i, weight[p], [p], i))
+            if looked[i] not in vocabulary.ids:
+                raw = word[i].encode()
+                edges[i + 1].append((99, in_bytes * len(raw), [vocabulary.byte[b] for b in raw], i))
+        forward = [0.0] * (n + 1)
+        for j in range(1, n + 1):
+            forward[j] = math.log(sum(math.exp(forward[e[3]] + e[1]) for e in edges[j]))
+        ids, j, step = [], n, 0
+        while j:
+            u = uniform(seed, np.array([key_hash], np.int64), np.array([number]), step)[0]
+            total = 0.0
+            for _, w, p, i in sorted(edges[j], key=lambda e: e[0]):
+                total += math.exp(forward[i] + w - forward[j])
+                if u < total:
+                    break
+            ids = p + ids
+            j, step = i, step + 1
+        out += ids
+    return out
+
+
+def kernel(a, b, decay):
+    """The string kernel of three characters, by listing all subsequences."""
+    from itertools import combinations
+
+    def weights(s):
+        out = Counter()
+        for t in combinations(range(len(s)), 3):
+            out["".join(s[i] for i in t)] += decay ** (t[-1] - t[0] + 1)
+        return out
+
+    x, y = weights(a), weights(b)
+    dot = lambda p, q: sum(v * q.get(k, 0) for k, v in p.items())
+    return dot(x, y) / (dot(x, x) * dot(y, y)) ** 0.5 if x and y else 0.0
