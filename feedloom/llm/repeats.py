@@ -205,7 +205,10 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         _windows(size), "w long, v int, id long, tag int, at long")
     first = ends.groupBy("w", "v").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").drop("last")
     late = ends.join(first, ["w", "v"]).filter("id > first").groupBy("id", "tag").agg(F.collect_list("at").alias("ends"))
-    found = wide.join(marks.select("id", "tag", "full"), ["id", "tag"], "left").join(late, ["id", "tag"], "left")
+    # the same rows as ``own``, so that one shuffle of the texts serves both joins
+    named = wide.filter("id is not null")
+    found = named.join(marks.select("id", "tag", "full"), ["id", "tag"], "left").join(late, ["id", "tag"], "left")
+    found = found.unionByName(wide.filter("id is null"), allowMissingColumns=True)
     none: Column = F.array().cast("array<long>")
     found = found.withColumn("full", F.coalesce("full", none)).withColumn("ends", F.coalesce("ends", none))
     made = append(
