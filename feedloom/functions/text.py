@@ -46,7 +46,7 @@ def categorize(
 
     Keywords are found inside words as well, unless ``whole_word``.
     """
-    rules = fixed.category_rules() if rules is None else list(rules)
+    rules = list(fixed.CATEGORY_KEYWORDS.items()) if rules is None else list(rules)
     t = col(text)
     found = first_rule([(_hit(t, w, whole_word), c) for w, c in rules], default)
     if upstream is None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .values import col
+from .values import col, let
 
 GITHUB = r"github\.com"
 SITE = r"https://github\.com"
@@ -35,15 +35,15 @@ def normalize_skip_url(url: Column | str) -> Column:
 
 
 def path_prefixes(url: Column | str) -> Column:
-    """Array of the address and every shorter address above it.
+    """Array of the address and every shorter address above it, down to the host.
 
-    A containment test "equal or below" becomes an equi-join on these.
+    A containment test "equal or below" becomes an equi-join on these. What nearly all addresses begin with (the scheme)
+    is no address, so it is left out and cannot gather all rows.
     """
-    parts = F.split(col(url), "/")
-    return F.transform(
-        F.sequence(F.lit(1), F.size(parts)),
-        lambda n: F.array_join(F.slice(parts, 1, n), "/"),
-    )
+    start = F.when(F.get(parts_ := F.split(col(url), "/"), F.lit(1)) == "", 3).otherwise(1)
+    return let(F.struct(parts_.alias("p"), start.alias("n")), lambda x: F.when(
+        F.size(x["p"]) >= x["n"],
+        F.transform(F.sequence(x["n"], F.size(x["p"])), lambda n: F.array_join(F.slice(x["p"], 1, n), "/"))))
 
 
 def owner_repo(url: Column | str, host: str = GITHUB) -> Column:

@@ -136,14 +136,17 @@ def install_commands(text: Column | str, manifest: Column | None = None, repo: C
         F.regexp_extract(s, r"\A#{1,6}\s+([^\n]+?)\s*(?:\n|\z)", 1).rlike(fixed.INSTALL_HEADING).alias("hit"),
         s.alias("body"),
     ))
-    inside = F.filter(parts, lambda p, j: F.exists(
-        F.sequence(F.lit(0), j),
-        lambda i: F.get(parts, i)["hit"] & F.forall(
-            F.slice(parts, i + 2, j - i), lambda q: q["level"] > F.get(parts, i)["level"]
-        ),
-    ))
-    from_sections = F.flatten(F.transform(inside, lambda p: _lines_with_command(p["body"], r"^[`$ ]+", r"`+$")))
-    found = F.exists(parts, lambda p: p["hit"])
+    closed = 9  # deeper than any heading
+
+    def step(got: Column, p: Column) -> Column:
+        # the highest open install heading; a heading as high or higher ends it
+        still = F.when(p["level"] <= got["open"], closed).otherwise(got["open"])
+        open_ = F.when(p["hit"], F.least(still, p["level"])).otherwise(still)
+        lines = F.when(open_ < closed, F.concat(got["lines"], _lines_with_command(p["body"], r"^[`$ ]+", r"`+$"))).otherwise(got["lines"])
+        return F.struct(open_.alias("open"), lines.alias("lines"), (got["found"] | p["hit"]).alias("found"))
+
+    walked = F.aggregate(parts, F.struct(F.lit(closed).alias("open"), none.alias("lines"), F.lit(False).alias("found")), step)
+    from_sections, found = walked["lines"], walked["found"]
     fences = F.regexp_extract_all(c, F.lit(r"(?s)```[a-zA-Z]*\n(.*?)```"), 1)
     from_fences = F.flatten(F.transform(fences, lambda b: _lines_with_command(b, r"^[$ ]+", r"\s+$")))
     synthetic = none

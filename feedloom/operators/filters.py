@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed, urls
@@ -119,31 +118,16 @@ def front_block(text: Column | str) -> Column:
     return F.when(c.rlike(r"(?s)\A---.*?\n---"), block)
 
 
-def _yaml_broken(block: str) -> bool:
-    try:
-        import yaml
-    except ImportError:  # coarse test: an unquoted second colon in a value
-        for line in block.splitlines():
-            value = line.partition(":")[2].strip()
-            quoted = value[:1] == value[-1:] and value[:1] in ("'", '"')
-            if not line.lstrip().startswith("#") and not quoted and ": " in value:
-                return True
-        return False
-    try:
-        yaml.safe_load(block)
-        return False
-    except yaml.YAMLError:
-        return True
-
-
 def broken_front_matter(text: Column | str) -> Column:
-    """True where the front matter is not YAML. Texts without front matter are not sent to Python."""
+    """True where a line of the front matter has a second colon and blank in an unquoted value, which no reader of
+    YAML takes. Texts without front matter are sound."""
 
-    @F.pandas_udf("boolean")
-    def broken(s: pd.Series) -> pd.Series:
-        return s.map(_yaml_broken, na_action="ignore")
+    def broken(line: Column) -> Column:
+        value = F.trim(F.regexp_extract(line, r"\A[^:]*:(.*)\z", 1))
+        quoted = (F.left(value, F.lit(1)) == F.right(value, F.lit(1))) & F.left(value, F.lit(1)).isin("'", '"')
+        return ~F.ltrim(line).startswith("#") & ~quoted & value.contains(": ")
 
-    return F.coalesce(broken(front_block(text)), F.lit(False))
+    return F.coalesce(F.exists(F.split(front_block(text), r"\r?\n"), broken), F.lit(False))
 
 
 def empty_stub(config: Column | str, field: str = "mcpServers") -> Column:

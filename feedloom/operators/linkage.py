@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed, urls
@@ -191,56 +190,61 @@ def rejects_by_first_seen(df: DataFrame, key: str, order: str, reason: str = "du
 # --- greedy de-duplication over several keys -------------------------------------------------
 
 
-def _greedy_tail(keys: Sequence[str], order: str):
-    """Ordered pass over a small remainder (its size is checked before it is used)."""
+def _follow(pointers: DataFrame, ends: DataFrame, order: str) -> DataFrame:
+    """Rows whose chain of pointers ends in a kept row, with ``_odd``: whether they are an odd number of steps away.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = [set() for _ in keys]
-        for batch in batches:
-            keep = []
-            for row in batch[list(keys)].itertuples(index=False):
-                values = [None if pd.isna(v) else v for v in row]
-                ok = not any(v is not None and v in s for v, s in zip(values, seen))
-                keep.append(ok)
-                if ok:
-                    for v, s in zip(values, seen):
-                        if v is not None:
-                            s.add(v)
-            yield batch.loc[keep, [order]]
-
-    return run
+    Every step doubles the length that a pointer spans, so a chain of n rows takes log2(n) steps.
+    """
+    hops = cut(pointers.select(order, "_to", F.lit(True).alias("_odd")))
+    while True:
+        onward = hops.select(F.col(order).alias("_to"), F.col("_to").alias("_far"), F.col("_odd").alias("_more"))
+        hops = cut(hops.join(onward, "_to", "left").select(
+            order, F.coalesce("_far", "_to").alias("_to"),
+            F.when(F.col("_more"), ~F.col("_odd")).otherwise(F.col("_odd")).alias("_odd"), F.col("_far").isNotNull().alias("_moved")))
+        if hops.filter("_moved").isEmpty():
+            return hops.join(ends.select(F.col(order).alias("_to")), "_to", "left_semi").select(order, "_odd")
 
 
-def greedy_first_wins(df: DataFrame, keys: Sequence[str], order: str, tail_rows: int = 200_000) -> DataFrame:
+def greedy_first_wins(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Keep a row only if no earlier kept row has one of its keys; dropped rows block nothing.
 
-    Each round keeps every row that is first among the remaining in all its keys and drops
-    the rows that clash with those; that is the ordered greedy result (Blelloch, Fineman,
-    Shun, SPAA 2012). Each round makes progress, so it ends. Once at most ``tail_rows``
-    rows are left they are finished in order in one task.
+    Each round keeps every row that is first among the remaining in all its keys and drops the rows that clash with
+    those; that is the ordered greedy result (Blelloch, Fineman, Shun, SPAA 2012). A row with a single earlier rival
+    among the remaining is kept exactly if that one is not, so chains of such rows are decided in the same round by
+    following their pointers. Each round makes progress, so it ends.
     """
-    schema = df.select(order).schema
-    rest = df.select(order, *[F.col(k).cast("string").alias(k) for k in keys])
+    rest = cut(df.select(order, *[F.col(k).cast("string").alias(k) for k in keys]))
     kept: list[DataFrame] = []
-    left = rest.count()
-    while left > tail_rows:
+    while not kept or not rest.isEmpty():
         marked = rest
+        chained = bool(kept)  # the first round decides nearly all rows, so pointers are for what it leaves
         for i, k in enumerate(keys):
-            # firsts are matched on the unique order column, never on the possibly hot key
-            first = rest.filter(F.col(k).isNotNull()).groupBy(k).agg(F.min(order).alias(order))
-            marked = marked.join(first.select(order, F.lit(True).alias(f"_f{i}")), order, "left")
-        ok = reduce(lambda a, b: a & b, [F.col(k).isNull() | F.coalesce(f"_f{i}", F.lit(False)) for i, k in enumerate(keys)])
-        marked = cut(marked.select(order, *keys, ok.alias("_ok")))
-        winners = marked.filter("_ok")
+            # rows are matched on the unique order column, never on the possibly hot key
+            least = rest.filter(F.col(k).isNotNull()).groupBy(k).agg(F.min(order).alias("_least"))
+            marked = marked.join(least.select(F.col("_least").alias(order), F.lit(True).alias(f"_f{i}")), order, "left")
+            if chained:
+                later = skew_join(rest.filter(F.col(k).isNotNull()), least, [k], "inner", spread=[order])
+                second = later.filter(F.col(order) > F.col("_least")).groupBy(k).agg(F.min(order).alias(order), F.min("_least").alias(f"_p{i}"))
+                marked = marked.join(second.select(order, f"_p{i}"), order, "left")
+            else:
+                marked = marked.withColumn(f"_p{i}", F.lit(None).cast(df.schema[order].dataType))
+        free = [F.col(k).isNull() | F.coalesce(f"_f{i}", F.lit(False)) for i, k in enumerate(keys)]
+        known = [f | F.col(f"_p{i}").isNotNull() for i, f in enumerate(free)]
+        rivals = F.array_distinct(F.array_compact(F.array(*[F.col(f"_p{i}") for i in range(len(keys))])))
+        marked = cut(marked.select(
+            order, *keys, reduce(lambda a, b: a & b, free).alias("_ok"),
+            F.when(reduce(lambda a, b: a & b, known) & (F.size(rivals) == 1), F.get(rivals, F.lit(0))).alias("_to")))
+        winners, rest = marked.filter("_ok"), marked.filter("not _ok")
+        if chained:
+            decided = _follow(rest.filter("_to is not null"), winners, order)
+            winners = cut(winners.unionByName(rest.join(decided.filter("not _odd"), order, "left_semi")))
+            rest = rest.join(decided, order, "left_anti")
         kept.append(winners.select(order))
-        rest = marked.filter("not _ok").drop("_ok")
         for k in keys:
-            rest = skew_join(rest, winners.select(k).filter(F.col(k).isNotNull()), [k], "left_anti", spread=[order])
+            taken = winners.select(k).filter(F.col(k).isNotNull())
+            rest = skew_join(rest, taken, [k], "left_anti", spread=[order])
         rest = cut(rest.select(order, *keys))
-        left = rest.count()
-    tail = cut(rest.repartition(1).sortWithinPartitions(order).mapInPandas(_greedy_tail(keys, order), schema))
-    orders = reduce(DataFrame.unionByName, [*kept, tail])
-    return df.join(orders, order, "left_semi")
+    return df.join(reduce(DataFrame.unionByName, kept), order, "left_semi")
 
 
 def dedup_report(before: DataFrame, after: DataFrame, type_: str = "type", alarm_over: float = 50.0) -> DataFrame:

@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut
 
-# A key is hot from this many rows on, and is split into pieces of about this many rows.
-# At most HOT_KEYS keys are looked at, so the broadcast list of hot keys has a fixed bound;
-# a key beyond them holds less than a thousandth of all rows.
+# A key is hot from this many rows on, and is split into pieces of about this many rows. Every such key is split; there
+# are at most (number of rows) / HOT_ROWS of them, a million for 10 ** 12 rows, so their list stays small.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
 NULL_PIECES = 1 << 20
+_MAKES_ROWS = re.compile(r"\b(Generate|MapIn|FlatMap|Expand|LogicalRDD)")
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """(keys, _pieces): the at most ``HOT_KEYS`` heaviest keys with ``min_rows`` rows or more."""
+    """(keys, _pieces): all keys with ``min_rows`` rows or more."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hot_n")).filter(F.col("_hot_n") >= min_rows)
-    heaviest = counts.orderBy(F.desc("_hot_n"), *keys).limit(HOT_KEYS)
-    return heaviest.select(*keys, F.ceil(F.col("_hot_n") / min_rows).cast("int").alias("_pieces"))
+    return counts.select(*keys, F.ceil(F.col("_hot_n") / min_rows).cast("int").alias("_pieces"))
 
 
 def _bytes(size: str) -> int:
@@ -31,13 +30,18 @@ def _bytes(size: str) -> int:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate is under the session's broadcast limit."""
+    """Whether the optimizer's size estimate is under the session's broadcast limit and can be trusted.
+
+    Behind an explode or a Python function the estimate leaves out how many rows are made, so such a frame never counts
+    as small; elsewhere no operator makes more than the estimate says.
+    """
     limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
     try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        plan = df._jdf.queryExecution().optimizedPlan()
+        size = int(plan.stats().sizeInBytes().toString())
     except AttributeError:  # a remote session does not tell
         return False
-    return size <= limit
+    return size <= limit and not _MAKES_ROWS.search(plan.toString())
 
 
 def skew_join(

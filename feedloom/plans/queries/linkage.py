@@ -169,7 +169,7 @@ def d8_greedy_dedup(t):
         F.concat(F.col("c_nationkey").cast("string"), "c_mktsegment").alias("k1"),
         F.floor(F.col("c_acctbal") / 50).cast("string").alias("k2"),
     )
-    return L.greedy_first_wins(c, ["k1", "k2"], "c_custkey", tail_rows=100)
+    return L.greedy_first_wins(c, ["k1", "k2"], "c_custkey")
 
 
 @query(

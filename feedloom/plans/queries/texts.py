@@ -29,7 +29,7 @@ def k1_categorize(t):
 
 
 def sql_fixed_category(text: str) -> str:
-    return "case " + " ".join(f"when contains({text}, '{w}') then '{c}'" for w, c in fixed.category_rules()) + " else 'tooling' end"
+    return "case " + " ".join(f"when contains({text}, '{w}') then '{c}'" for w, c in fixed.CATEGORY_KEYWORDS.items()) + " else 'tooling' end"
 
 
 @query("k1_categorize_fixed", f"select doc_id, {sql_fixed_category('t')} as category from (select doc_id, lower(text) as t from documents)")
@@ -274,10 +274,23 @@ def k16_recover_json(t):
     return e.select("event_id", k.alias("k"), J.has_keys(F.col("o"), ["k"]).alias("found"))
 
 
-@query("k16_recover_from_talk")
+@query(
+    "k16_recover_from_talk",
+    r"""
+with s as (select conv_id, turn, coalesce(text, '') || case when turn % 3 = 2 then ' {' else ' {"turn": ' || turn || ', "said": {"by": "' || role || '"}} and {' end as text from conversations),
+r as (select conv_id, turn, substr(text, strpos(text, '{')) as rest from s),
+p as (select conv_id, turn, rest, unnest(regexp_extract_all(rest, '[^{}]*[{}]')) as piece, generate_subscripts(regexp_extract_all(rest, '[^{}]*[{}]'), 1) as i from r),
+d as (select *, sum(case when piece like '%{' then 1 else -1 end) over w as depth, sum(length(piece)) over w as upto from p window w as (partition by conv_id, turn order by i)),
+f as (select conv_id, turn, any_value(rest) as rest, min(upto) filter (depth = 0) as upto from d group by conv_id, turn),
+o as (select conv_id, turn, substr(rest, 1, upto::bigint) as x from f)
+select conv_id, turn, case when json_valid(x) and json_type(x) = 'OBJECT' then x end as object from o
+""",
+)
 def k16_recover_from_talk(t):
-    """Objects in the whole of the conversations; DuckDB has no scan for balanced braces."""
-    return t.conversations.select("conv_id", "turn", J.recover_object("text").alias("object"))
+    """Objects said at the end of turns, found in the whole turn; every third turn opens a brace and does not close it."""
+    said = F.concat(F.lit(' {"turn": '), F.col("turn").cast("string"), F.lit(', "said": {"by": "'), "role", F.lit('"}} and {'))
+    text = F.concat(F.coalesce("text", F.lit("")), F.when(F.col("turn") % 3 == 2, " {").otherwise(said))
+    return t.conversations.select("conv_id", "turn", J.recover_object(text).alias("object"))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,11 +39,12 @@ def size_shuffles(spark: SparkSession, shuffle_bytes: int, partition_bytes: int
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, a temporary one if the driver is the
+    only process, else an error."""
     sc = spark.sparkContext
     known = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if known is None:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         known = tempfile.mkdtemp(prefix="feedloom-checkpoint-")
     if sc.getCheckpointDir() is None:

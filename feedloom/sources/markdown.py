@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed
 from ..functions.text import kebab
-from ..functions.values import col, empty_as_null
+from ..functions.values import col, empty_as_null, let
 
 NEWLINE = r"\r?\n"
 
@@ -170,12 +170,12 @@ def body_description(body: Column | str, limit: int = 300) -> Column:
     Between fence lines a text is prose and code in turn, so a split gives both.
     """
     c = F.coalesce(col(body), F.lit(""))
-    parts = F.split(c, r"(?m)^[ \t]*```[^\n]*$")
-    closed = F.filter(
-        F.sequence(F.lit(0), F.size(parts) - 1),
-        lambda i: (i % 2 == 1) & (i < F.size(parts) - 1) & (F.length(F.get(parts, i)) > 1),
-    )
-    first = F.get(closed, F.lit(0))
+    return let(F.split(c, r"(?m)^[ \t]*```[^\n]*$"), lambda parts: _said(c, parts, limit))
+
+
+def _said(c: Column, parts: Column, limit: int) -> Column:
+    coded = F.transform(parts, lambda p, i: F.when((i % 2 == 1) & (i < F.size(parts) - 1) & (F.length(p) > 1), i))
+    first = F.get(F.array_compact(coded), F.lit(0))
     seen = F.when(first.isNotNull(), F.array_join(F.slice(parts, 1, F.coalesce(first, F.lit(0)) + 1), "\n")).otherwise(c)
     title = F.trim(F.regexp_extract(seen, TITLE_LINE, 1))
     before = F.trim(F.regexp_extract(F.array_join(F.slice(parts, 1, F.coalesce(first, F.lit(0))), "\n"), TITLE_LINE, 1))

@@ -140,5 +140,5 @@ def with_file(listed: DataFrame, files: DataFrame, *, name: str, path: str = "pa
     ok = (F.size(parts) >= 3) & (F.get(parts, F.lit(0)) == folder) & (F.upper(F.element_at(parts, -1)) == file.upper())
     if depth is not None:
         ok = ok & (F.size(parts) == depth)
-    there = files.filter(ok).select(F.get(parts, F.lit(1)).alias(name))
+    there = files.filter(ok).select(F.get(parts, F.lit(1)).alias(name)).distinct()
     return listed.join(there, name, "left_semi")

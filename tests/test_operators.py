@@ -463,5 +463,19 @@ def test_recrawl_limits(spark):
 
 
 def test_fixed_tables_are_whole():
-    assert len(fixed.category_rules()) == len(set(fixed.category_rules()))
-    assert {c for _, c in fixed.category_rules()} <= set(fixed.CATEGORIES)
+    assert set(fixed.CATEGORY_KEYWORDS.values()) <= set(fixed.CATEGORIES)
+
+
+def test_time_of_texts_follows_their_length(spark):
+    """Texts that begin with an install heading, and texts of very many fences, in seconds."""
+    import time
+
+    from feedloom.sources import markdown
+
+    headings = "# Install\nnpm install a\n" + "".join(f"## Step {i}\nnpm install p{i}\n" for i in range(10_000))
+    fences = "# Title\n" + "".join("```\n```\nwords\n" for _ in range(10_000))
+    df = spark.createDataFrame([(headings, fences)], "h string, f string")
+    began = time.time()
+    got = df.select(T.install_commands("h")["commands"].alias("c"), markdown.body_description("f").alias("d")).first()
+    assert len(got.c) == 10_001 and got.d.startswith("Title: words")
+    assert time.time() - began < 20

@@ -89,8 +89,7 @@ def greedy(data):
 
 def test_dropped_rows_block_nothing(spark):
     df = spark.createDataFrame([(1, "i1", "u1"), (2, "i2", "u1"), (3, "i2", "u3")], "o long, a string, b string")
-    for tail in (0, 100):
-        assert rows(L.greedy_first_wins(df, ["a", "b"], "o", tail).select("o")) == [(1,), (3,)]
+    assert rows(L.greedy_first_wins(df, ["a", "b"], "o").select("o")) == [(1,), (3,)]
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -99,7 +98,7 @@ def test_greedy_rounds_equal_the_ordered_loop(shuffled, seed):
     pick = lambda n: None if rnd.random() < 0.1 else f"k{rnd.randint(0, n)}"
     data = [(o, pick(40), pick(50)) for o in range(150)]
     df = shuffled.createDataFrame(data, "o long, a string, b string").repartition(7)
-    assert sorted(r.o for r in L.greedy_first_wins(df, ["a", "b"], "o", tail_rows=0).collect()) == greedy(data)
+    assert sorted(r.o for r in L.greedy_first_wins(df, ["a", "b"], "o").collect()) == greedy(data)
 
 
 def test_first_seen_rejects(spark):
@@ -171,3 +170,14 @@ def test_shuffles_are_sized(spark):
         assert size_shuffles(spark, 100 * 2**40) == 204_800
     finally:
         spark.conf.unset(key)
+
+
+def test_greedy_decides_a_long_chain_in_few_rounds(spark, monkeypatch):
+    n = 10_000  # each row clashes with the one before it
+    rows = spark.range(n).select(F.col("id").alias("o"), F.format_string("a%d", F.expr("(id + 1) div 2")).alias("a"),
+                                 F.format_string("b%d", F.expr("id div 2")).alias("b"))
+    rounds = []
+    follow = L._follow
+    monkeypatch.setattr(L, "_follow", lambda *a: rounds.append(1) or follow(*a))
+    assert sorted(r.o for r in L.greedy_first_wins(rows, ["a", "b"], "o").collect()) == list(range(0, n, 2))
+    assert len(rounds) <= 2
