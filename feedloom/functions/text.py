@@ -81,15 +81,16 @@ def tech_stack(text: Column | str, rules: Sequence[tuple[Sequence[str], Sequence
 
 def scene(
     name: Column, tags: Column, description: Column, category: Column,
-    scenes: Sequence[tuple[str, Sequence[str]]] | None = None, hints: Mapping[str, str] | None = None,
+    scenes: Sequence[tuple[str, Sequence[str]]] | None = None, hints: Mapping[str, str] | None = None, look: int | None = None,
 ) -> Column:
-    """First scene with a keyword as a tag, inside the name, or as a word in the first 200 characters.
+    """First scene with a keyword as a tag, inside the name, or as a word in the description (its first ``look`` characters).
 
     Inputs are in lower case. Without a hit the category may hint at a scene.
     """
     scenes = fixed.SCENES if scenes is None else scenes
     hints = fixed.SCENE_OF_CATEGORY if hints is None else hints
-    head = F.substring(F.coalesce(description, F.lit("")), 1, 200)
+    head = F.coalesce(description, F.lit(""))
+    head = head if look is None else F.substring(head, 1, look)
     rules = []
     for key, words in scenes:
         listed = F.arrays_overlap(F.coalesce(tags, F.array().cast("array<string>")), F.array(*[F.lit(w) for w in words]))

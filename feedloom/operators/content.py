@@ -12,12 +12,6 @@ from ..functions import fixed
 from ..functions.values import col, empty_as_null
 from .relational import HOT_ROWS, running_sum, top_per_key, with_key_count
 
-CONTENT_CAP = 50_000
-BUNDLE_CAP = 600_000
-FULL_PER_CLASS = 5
-SHORT_CHARS = 800
-CHUNK_CHARS = 16_000_000
-
 
 # --- evaluation input (K20) -------------------------------------------------------------------
 
@@ -41,9 +35,11 @@ def evaluation_input(
     return F.concat(F.concat_ws("", *lines), F.lit(f"\n---\n\n{heading}\n\n"), content)
 
 
-def capped(content: Column | str, cap: int = CONTENT_CAP, notice: str = "\n\n[content cut: {n} characters, first {cap} kept]") -> Column:
-    """Content of at most ``cap`` characters; a cut one says how long it was."""
+def capped(content: Column | str, cap: int | None = None, notice: str = "\n\n[content cut: {n} characters, first {cap} kept]") -> Column:
+    """The content, or a word that there is none. With a ``cap`` a longer one is cut and says how long it was."""
     c = col(content)
+    if cap is None:
+        return F.when(F.coalesce(F.length(c), F.lit(0)) == 0, "(no content provided)").otherwise(c)
     before, after = notice.replace("{cap}", str(cap)).split("{n}")
     said = F.concat(F.substring(c, 1, cap), F.lit(before), F.length(c).cast("string"), F.lit(after))
     return F.when(F.coalesce(F.length(c), F.lit(0)) == 0, "(no content provided)").when(F.length(c) > cap, said).otherwise(c)
@@ -65,7 +61,7 @@ def with_shared_prefix(
 # --- bundle text (K21) ------------------------------------------------------------------------
 
 
-def abbreviate(text: Column | str, limit: int = SHORT_CHARS) -> Column:
+def abbreviate(text: Column | str, limit: int) -> Column:
     """Front matter and the start of the first paragraph, or the start of the text."""
     c = col(text)
     pattern = r"(?s)^---\s*\n(.*?)\n---\s*\n"
@@ -77,38 +73,43 @@ def abbreviate(text: Column | str, limit: int = SHORT_CHARS) -> Column:
 
 
 def bundle_parts(
-    files: DataFrame, *, bundle: str, class_: str, path: str, text: str, cap: int = BUNDLE_CAP, full_per_class: int = FULL_PER_CLASS,
-    always: Sequence[int] = (0,),
+    files: DataFrame, *, bundle: str, class_: str, path: str, text: str, cap: int | None = None, full_per_class: int = 5,
+    short: int = 800, always: Sequence[int] = (0,),
 ) -> DataFrame:
-    """(bundle, class, path, part, before): the parts of each bundle's text in class and path order.
+    """(bundle, class, path, part): the parts of each bundle's text in class and path order, all whole.
 
-    A part is whole as long as the parts before it are under ``cap`` characters, and for the first
-    files of each class. The size only grows, and until it reaches the cap every part is whole; so
-    the running size of whole parts decides, and no file has to wait for the one before it.
-    Classes in ``always`` (manifests) stay whole.
+    With a ``cap`` a part is whole as long as the parts before it are under ``cap`` characters, for the first
+    ``full_per_class`` files of each class, and in the classes of ``always`` (manifests); of the others the first
+    ``short`` characters of the first paragraph stay. The size only grows, and until it reaches the cap every part is
+    whole; so the running size of whole parts decides. It is worked out on sizes alone; texts are then met once.
     """
     # the join characters between parts are not counted
     heading = F.concat(F.lit("## "), F.col(path), F.lit("\n"))
     whole = F.concat(heading, F.col(text), F.lit("\n"))
-    sized = running_sum(files.filter(F.col(text).isNotNull()), [bundle], [class_, path], F.length(whole), "_before")
-    firsts = top_per_key(files.select(bundle, class_, path), [bundle, class_], [F.asc(path)], full_per_class, "_i")
-    marked = sized.join(firsts.withColumn("_first", F.lit(True)).drop("_i"), [bundle, class_, path], "left")
+    files = files.filter(F.col(text).isNotNull())
+    place = [bundle, class_, path]
+    if cap is None:
+        return files.select(*place, whole.alias("part"))
+    sized = running_sum(files.select(*place, F.length(whole).alias("_n")), [bundle], [class_, path], F.col("_n"), "_before")
+    firsts = top_per_key(files.select(*place), [bundle, class_], [F.asc(path)], full_per_class, "_i")
     keep = (F.col("_before") < cap) | F.coalesce("_first", F.lit(False)) | F.col(class_).isin(*always)
-    short = F.concat(heading, abbreviate(text), F.lit("\n"))
-    return marked.select(bundle, class_, path, F.when(keep, whole).otherwise(short).alias("part"))
+    marked = sized.join(firsts.withColumn("_first", F.lit(True)).drop("_i"), place, "left").select(*place, keep.alias("_keep"))
+    cut_ = F.concat(heading, abbreviate(text, short), F.lit("\n"))
+    return files.join(marked, place).select(*place, F.when(F.col("_keep"), whole).otherwise(cut_).alias("part"))
 
 
-def bundle_text(parts: DataFrame, *, bundle: str, class_: str, path: str, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """(bundle, chunk, content): the parts joined; a text beyond ``chunk_chars`` goes on in further chunks.
+def bundle_rows(parts: DataFrame, *, bundle: str, class_: str, path: str) -> DataFrame:
+    """(bundle, before, part): the parts with the characters of the joined text before each, for a bundle of any size."""
+    place = [bundle, class_, path]
+    sizes = parts.select(*place, F.length("part").alias("_n"))
+    sized = running_sum(sizes, [bundle], [class_, path], F.col("_n") + 1, "before")
+    return parts.join(sized.select(*place, "before"), place).select(bundle, "before", "part")
 
-    So a bundle of any size stays whole, and no row or task has to hold more than one chunk.
-    """
-    sized = running_sum(parts, [bundle], [class_, path], F.length("part"), "_before")
-    chunk = F.floor(F.col("_before") / chunk_chars).cast("int")
+
+def bundle_text(parts: DataFrame, *, bundle: str, class_: str, path: str) -> DataFrame:
+    """(bundle, content): the parts joined to one text, which has to fit a row; see ``bundle_rows`` for any size."""
     ordered = F.array_sort(F.collect_list(F.struct(class_, path, "part")))
-    return sized.withColumn("chunk", chunk).groupBy(bundle, "chunk").agg(
-        F.array_join(F.transform(ordered, lambda p: p["part"]), "\n").alias("content")
-    )
+    return parts.groupBy(bundle).agg(F.array_join(F.transform(ordered, lambda p: p["part"]), "\n").alias("content"))
 
 
 # --- install commands (K22) --------------------------------------------------------------------

@@ -8,11 +8,11 @@ from ...functions.values import first_rule
 from ...operators import overlay as O
 from ..registry import query
 
-# A snapshot of customers: what they ordered in one year.
+# A snapshot of customers: all that they ordered up to the end of a year.
 
 
 def snapshot(t, year: int):
-    o = t.orders.filter(F.year("o_orderdate") == year)
+    o = t.orders.filter(F.year("o_orderdate") <= year)
     return o.groupBy(F.col("o_custkey").alias("id")).agg(
         F.sum(F.floor("o_totalprice")).alias("install_count"),
         F.max_by("o_orderstatus", "o_orderkey").alias("status"),
@@ -26,7 +26,7 @@ def sql_snapshot(year: int) -> str:
     return f"""(select o_custkey as id, cast(sum(cast(floor(o_totalprice) as bigint)) as bigint) as install_count,
   arg_max(o_orderstatus, o_orderkey) as status, arg_max(o_orderpriority, o_orderkey) as version,
   strftime(max(o_orderdate), '%Y-%m-%d') as published, min(o_orderkey) as _ord
-  from orders where year(o_orderdate) = {year} group by o_custkey)"""
+  from orders where year(o_orderdate) <= {year} group by o_custkey)"""
 
 
 def shop(t):

@@ -102,7 +102,7 @@ def a4_registry_entries(t):
     r"""
 with d as (select doc_id, source || ' ' || lang as act, trim(text) as p, lang = 'en' as dev from documents)
 select doc_id, replace(act, ' ', '-') || '-prompt' as id, trim(replace(substr(p, 1, 200), chr(10), ' ')) as description from d
-where dev or regexp_matches(act || ' ' || substr(p, 1, 500), '(?i)(?:^|[^\p{L}\p{N}_])(?:und|les|src3)(?:[^\p{L}\p{N}_]|$)')
+where dev or regexp_matches(act || ' ' || p, '(?i)(?:^|[^\p{L}\p{N}_])(?:und|les|src3)(?:[^\p{L}\p{N}_]|$)')
 """,
 )
 def a5_prompt_entries(t):

@@ -340,7 +340,7 @@ def k19_security_content(t):
     """
 with d as (select *, count(*) over (partition by source, lang) as n from documents),
 c as (select *, case when n >= 20 then '## Resource Description' || chr(10) || source || chr(10) || chr(10) || '## Repository README' || chr(10) || text else text end as c from d),
-k as (select *, case when length(c) > 5000 then substr(c, 1, 5000) || chr(10) || chr(10) || '[content cut: ' || length(c) || ' characters, first 5000 kept]' else c end as k from c)
+k as (select *, case when coalesce(length(c), 0) = 0 then '(no content provided)' else c end as k from c)
 select doc_id, sha256('# Resource: ' || doc_id || chr(10) || 'Type: ' || lang || chr(10) || 'Description: ' || source || chr(10) || 'Stars: ' || n_chars || chr(10)
   || chr(10) || '---' || chr(10) || chr(10) || '## README Content' || chr(10) || chr(10) || k) as prompt_key, length(k) as n from k
 """,
@@ -348,28 +348,62 @@ select doc_id, sha256('# Resource: ' || doc_id || chr(10) || 'Type: ' || lang ||
 def k20_evaluation_input(t):
     d = t.documents.withColumns({"repo": F.concat_ws("/", "source", "lang"), "name": F.col("doc_id").cast("string"), "url": F.lit(None).cast("string")})
     d = T.with_shared_prefix(d, repo="repo", content="text", description="source", threshold=20, spread=["doc_id"])
-    d = d.withColumn("text", T.capped("text", 5000))
+    d = d.withColumn("text", T.capped("text"))
     text = T.evaluation_input(name="name", type_="lang", description="source", url="url", stars="n_chars", tags=None, content=F.col("text"))
     return d.select("doc_id", X.content_hash(text).alias("prompt_key"), F.length("text").cast("long").alias("n"))
 
 
+def _turns(t):
+    class_ = F.when(F.col("role") == "system", 0).when(F.col("role") == "user", 1).otherwise(2)
+    return t.conversations.select("conv_id", class_.alias("class"), F.lpad(F.col("turn").cast("string"), 4, "0").alias("path"), "text")
+
+
+def _bundled(parts):
+    out = T.bundle_text(parts, bundle="conv_id", class_="class", path="path")
+    return out.select("conv_id", X.content_hash("content").alias("content_key"), F.length("content").cast("long").alias("n"))
+
+
+SQL_TURNS = """
+with f as (select conv_id, case role when 'system' then 0 when 'user' then 1 else 2 end as class, turn, text, '## ' || lpad(cast(turn as varchar), 4, '0') || chr(10) || text || chr(10) as whole from conversations)"""
+
+
 @query(
     "k21_bundle_text",
-    """
-with f as (select conv_id, case role when 'system' then 0 when 'user' then 1 else 2 end as class, turn, text, '## ' || lpad(cast(turn as varchar), 4, '0') || chr(10) || text || chr(10) as whole from conversations),
+    SQL_TURNS + """
+select conv_id, sha256(string_agg(whole, chr(10) order by class, turn)) as content_key, cast(sum(length(whole)) + count(*) - 1 as bigint) as n from f
+where text is not null group by conv_id
+""",
+)
+def k21_bundle_text(t):
+    return _bundled(T.bundle_parts(_turns(t), bundle="conv_id", class_="class", path="path", text="text"))
+
+
+@query(
+    "k21_bundle_cut",
+    SQL_TURNS + """,
 b as (select *, coalesce(sum(length(whole)) over (partition by conv_id order by class, turn rows between unbounded preceding and 1 preceding), 0) as before,
   row_number() over (partition by conv_id, class order by turn) as i from f),
 p as (select conv_id, class, turn, case when class = 0 or before < 1500 or i <= 1 then whole
   else '## ' || lpad(cast(turn as varchar), 4, '0') || chr(10) || substr(text, 1, 800) || chr(10) end as part from b)
-select conv_id, 0 as chunk, sha256(string_agg(part, chr(10) order by class, turn)) as content_key, cast(sum(length(part)) + count(*) - 1 as bigint) as n from p group by conv_id
+select conv_id, sha256(string_agg(part, chr(10) order by class, turn)) as content_key, cast(sum(length(part)) + count(*) - 1 as bigint) as n from p group by conv_id
 """,
 )
-def k21_bundle_text(t):
-    class_ = F.when(F.col("role") == "system", 0).when(F.col("role") == "user", 1).otherwise(2)
-    files = t.conversations.select("conv_id", class_.alias("class"), F.lpad(F.col("turn").cast("string"), 4, "0").alias("path"), "text")
-    parts = T.bundle_parts(files, bundle="conv_id", class_="class", path="path", text="text", cap=1500, full_per_class=1)
-    out = T.bundle_text(parts, bundle="conv_id", class_="class", path="path")
-    return out.select("conv_id", "chunk", X.content_hash("content").alias("content_key"), F.length("content").cast("long").alias("n"))
+def k21_bundle_cut(t):
+    """The cut that a caller asks for by ``cap``."""
+    return _bundled(T.bundle_parts(_turns(t), bundle="conv_id", class_="class", path="path", text="text", cap=1500, full_per_class=1, short=800))
+
+
+@query(
+    "k21_bundle_rows",
+    SQL_TURNS + """
+select conv_id, coalesce(sum(length(whole) + 1) over (partition by conv_id order by class, turn rows between unbounded preceding and 1 preceding), 0)::bigint as before,
+  sha256(whole) as part_key from f where text is not null
+""",
+)
+def k21_bundle_rows(t):
+    parts = T.bundle_parts(_turns(t), bundle="conv_id", class_="class", path="path", text="text")
+    rows = T.bundle_rows(parts, bundle="conv_id", class_="class", path="path")
+    return rows.select("conv_id", F.col("before").cast("long").alias("before"), X.content_hash("part").alias("part_key"))
 
 
 @query(

@@ -78,20 +78,27 @@ def read_prompts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**options).schema("act string, prompt string, for_devs string").csv(path)
 
 
-def prompt_entries(rows: DataFrame, words: Sequence[str] = fixed.PROMPT_WORDS, *, act: str = "act", prompt: str = "prompt", flag: str = "for_devs") -> DataFrame:
-    """Rows flagged for developers, or with one of the words in the name or the first 500 characters."""
+def prompt_entries(rows: DataFrame, words: Sequence[str] = fixed.PROMPT_WORDS, *, act: str = "act", prompt: str = "prompt", flag: str = "for_devs",
+    look: int | None = None, classify: int | None = None, say: int = 200,
+) -> DataFrame:
+    """Rows flagged for developers, or with one of the words in the name or the text.
+
+    ``look`` and ``classify`` limit the characters of the text that words and category are looked for in; ``say`` is the
+    length of the description.
+    """
+    part = lambda c, n: c if n is None else F.substring(c, 1, n)
     name, body = F.trim(F.coalesce(col(act), F.lit(""))), F.trim(F.coalesce(col(prompt), F.lit("")))
     for_devs = F.upper(F.trim(F.coalesce(col(flag).cast("string"), F.lit("")))) == "TRUE"
-    about = X.has_word(F.concat_ws(" ", name, F.substring(body, 1, 500)), words)
+    about = X.has_word(F.concat_ws(" ", name, part(body, look)), words)
     kept = rows.filter((F.length(name) > 0) & (for_devs | about))
-    kept = kept.withColumn("_t", X.joined_text(name, F.substring(body, 1, 300)))
+    kept = kept.withColumn("_t", X.joined_text(name, part(body, classify)))
     none = F.array().cast("array<string>")
     kept = kept.withColumn("_t", F.concat_ws(" ", "_t", F.array_join(X.extract_tags("_t"), " ")))
     out = kept.select(
         "*",
         F.concat(X.kebab(name), F.lit("-prompt")).alias("id"),
         name.alias("name"),
-        F.trim(F.replace(F.substring(body, 1, 200), F.lit("\n"), F.lit(" "))).alias("description"),
+        F.trim(F.replace(F.substring(body, 1, say), F.lit("\n"), F.lit(" "))).alias("description"),
         F.concat(X.extract_tags("_t"), F.when(for_devs, F.array(F.lit("for-devs"))).otherwise(none)).alias("tags"),
         X.categorize("_t").alias("category"),
     )

@@ -332,11 +332,11 @@ def test_bundle_parts_equal_the_ordered_loop(spark):
         assert out[b] == "\n".join(done)
 
 
-def test_long_bundles_go_on_in_chunks(spark):
-    df = spark.createDataFrame([(1, 0, f"p{i:03d}", "x" * 50) for i in range(40)], "b int, c int, path string, text string")
+def test_rows_of_a_long_bundle(spark):
+    df = spark.createDataFrame([("b", i % 3, f"p{i:02d}", "x" * i) for i in range(30)], "b string, c int, path string, text string")
     parts = T.bundle_parts(df, bundle="b", class_="c", path="path", text="text")
-    out = T.bundle_text(parts, bundle="b", class_="c", path="path", chunk_chars=500).orderBy("chunk").collect()
-    assert len(out) > 3 and sum(r.content.count("##") for r in out) == 40
+    found = [r.part for r in T.bundle_rows(parts, bundle="b", class_="c", path="path").orderBy("before").collect()]
+    assert "\n".join(found) == T.bundle_text(parts, bundle="b", class_="c", path="path").first().content
 
 
 def test_abbreviate(spark):
