@@ -58,15 +58,14 @@ def b4_active_latest(t):
 @query(
     "b5_reject_reason",
     """
-with d as (select doc_id, lang, source, n_chars % 200 as stars, regexp_extract(text, '^[^\n]*', 0) as d from documents)
+with d as (select doc_id, lang, source, n_chars % 200 as stars, text as d from documents)
 select doc_id, case when stars <= 50 then 'stars <= 50' when length(d) <= 20 then 'description too short' when contains(lower(source || ' ' || d), 'sted') then 'spam: sted'
   when contains(lower(source || ' ' || d), 'leau') then 'spam: leau' when lang = 'es' then 'non-coding category: es'
   when source in ('src3', 'src4') then 'duplicate with Tier 1' end as reason from d
 """,
 )
 def b5_reject_reason(t):
-    head = F.regexp_extract("text", "^[^\n]*", 0)
-    d = t.documents.select("doc_id", F.upper("lang").alias("lang"), "source", (F.col("n_chars") % 200).alias("stars"), head.alias("d"))
+    d = t.documents.select("doc_id", F.upper("lang").alias("lang"), "source", (F.col("n_chars") % 200).alias("stars"), F.col("text").alias("d"))
     d = d.withColumn("_t", X.joined_text("source", "d"))
     reason = B.reject_reason(
         stars=F.col("stars"), description=F.col("d"), text=F.col("_t"), category=F.lower("lang"), known=F.col("source").isin("src3", "src4"),
@@ -116,10 +115,10 @@ def b8_open_sources(t):
 
 @query(
     "b9_thin_text",
-    r"""select doc_id, length(d) = 0 or regexp_matches(d, '(\.\.\.|…)$') or length(d) < 80 as thin from (select doc_id, trim(split_part(text, chr(10), -1)) as d from documents)""",
+    r"""select doc_id, length(d) = 0 or regexp_matches(d, '(\.\.\.|…)$') or length(d) < 80 as thin from (select doc_id, trim(text) as d from documents)""",
 )
 def b9_thin_text(t):
-    return t.documents.select("doc_id", B.is_thin(F.element_at(F.split("text", "\n"), -1)).alias("thin"))
+    return t.documents.select("doc_id", B.is_thin("text").alias("thin"))
 
 
 @query(
@@ -311,13 +310,13 @@ def sql_rerank():
 
 @query(
     "j4_rerank",
-    f"""select doc_id, {sql_rerank()} as score from (select doc_id, lower(text) as t, lower(regexp_extract(text, '^[^\n.]*', 0)) as nm,
-  lower(regexp_extract(text, '^[^\n]*', 0)) as de, lower(source || ' ' || lang) as me from documents)""",
+    f"""select doc_id, {sql_rerank()} as score from (select doc_id, lower(text) as t, lower(source) as nm,
+  lower(text) as de, lower(source || ' ' || lang) as me from documents)""",
 )
 def j4_rerank(t):
     d = t.documents.select(
-        "doc_id", F.lower("text").alias("t"), F.lower(F.regexp_extract("text", "^[^\n.]*", 0)).alias("nm"),
-        F.lower(F.regexp_extract("text", "^[^\n]*", 0)).alias("de"), F.lower(F.concat_ws(" ", "source", "lang")).alias("me"),
+        "doc_id", F.lower("text").alias("t"), F.lower("source").alias("nm"),
+        F.lower("text").alias("de"), F.lower(F.concat_ws(" ", "source", "lang")).alias("me"),
     )
     score = Q.rerank_score(QUERY, F.lit(0.5), name=F.col("nm"), description=F.col("de"), meta=F.col("me"), search=F.col("t"))
     return d.select("doc_id", score.alias("score"))

@@ -523,10 +523,10 @@ def c27_repo_attributes(t):
 @query(
     "c28_replace_thin",
     """select doc_id, length(case when length(short) < 80 and length(text) > length(short) then text else short end) as n
-from (select *, regexp_extract(text, '^[^\n]*', 0) as short from documents)""",
+from (select *, source as short from documents)""",
 )
 def c28_replace_thin(t):
-    short = t.documents.select("doc_id", F.regexp_extract("text", "^[^\n]*", 0).alias("text"))
+    short = t.documents.select("doc_id", F.col("source").alias("text"))
     out = O.replace_thin(short, t.documents.select("doc_id", "text"), "doc_id", "text", F.length("text") < 80)
     return out.select("doc_id", F.length("text").cast("long").alias("n"))
 

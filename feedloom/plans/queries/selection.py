@@ -124,13 +124,13 @@ def g7_layered(t):
 
 @query(
     "g8_stratified_sample",
-    """select p_type, p_partkey, p_name from (select *, row_number() over (partition by p_type order by p_size desc, p_partkey) as rn from part where p_type in ('SMALL', 'ECONOMY')) where rn <= 5
-union all select x, -1, 'Empty Desc Test' from (values ('SMALL'), ('ECONOMY')) v(x)""",
+    """select p_type, p_partkey, p_name from (select *, row_number() over (partition by p_type order by p_size desc, p_partkey) as rn from part) where rn <= 5
+union all select x, -1, 'Empty Desc Test' from (values ('STANDARD'), ('ECONOMY'), ('MEDIUM'), ('LARGE'), ('SMALL'), ('PROMO')) v(x)""",
 )
 def g8_stratified_sample(t):
     p = t.part.select("p_type", "p_partkey", "p_name", "p_size")
     extra = {"p_partkey": F.lit(-1).cast("long"), "p_name": F.lit("Empty Desc Test"), "p_size": F.lit(0)}
-    out = G.stratified_sample(p, [F.desc("p_size"), F.asc("p_partkey")], 5, extra, type_="p_type", types=["SMALL", "ECONOMY"])
+    out = G.stratified_sample(p, [F.desc("p_size"), F.asc("p_partkey")], 5, extra, type_="p_type", types=["STANDARD", "ECONOMY", "MEDIUM", "LARGE", "SMALL", "PROMO"])
     return out.drop("p_size")
 
 
