@@ -21,6 +21,11 @@ def as_of_column(as_of: str) -> Column:
     return F.to_timestamp(F.lit(as_of))
 
 
+def is_stale(as_of: str, taken_at: Column | str, days: int = 14) -> Column:
+    """Whether a snapshot is more than ``days`` whole days old; one without a date is."""
+    return F.coalesce(whole_days(as_of_column(as_of), taken_at) > days, F.lit(True))
+
+
 def clamp(c: Column, low: float = 0.0, high: float = 100.0) -> Column:
     return F.when(c.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), c)))  # both skip nulls
 

@@ -122,10 +122,12 @@ SERVER_FIELDS = {
 }
 
 
-def repair_category(df: DataFrame, text: Column, category: str = "category", known: Sequence[str] = fixed.CATEGORIES) -> DataFrame:
+def repair_category(
+    df: DataFrame, text: Column, category: str = "category", known: Sequence[str] = fixed.CATEGORIES, rules: Sequence[tuple[str, str]] | None = None,
+) -> DataFrame:
     """Work the category out again where it is not one of the known ones."""
     ok = F.coalesce(F.col(category).isin(*known), F.lit(False))
-    return df.withColumn(category, F.when(ok, F.col(category)).otherwise(categorize(text)))
+    return df.withColumn(category, F.when(ok, F.col(category)).otherwise(categorize(text, rules=rules)))
 
 
 def config_violations(

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed
 from ..functions.values import col, empty_as_null, first_rule
+from ..session import cut
 from .linkage import greedy_first_wins
 from .relational import HOT_ROWS, first_per_key, skew_join
 
@@ -36,7 +37,7 @@ def union_per_key(df: DataFrame, key: str, items: str, order: str, latest_first:
 
 def _match(entries: DataFrame, extra: DataFrame, key: str, url: str, order: str) -> DataFrame:
     """``extra`` rows with ``_target``: the entry of the same id, else the last one with the same address."""
-    ids = entries.filter(F.col(key).isNotNull()).select(key, F.col(key).alias("_by_id"))
+    ids = entries.filter(F.col(key).isNotNull()).select(key, F.col(key).alias("_by_id")).distinct()
     urls = entries.filter(F.col(url).isNotNull()).groupBy(url).agg(F.max_by(key, order).alias("_by_url"))
     hit = skew_join(extra.join(ids, key, "left"), urls, [url], "left", spread=[order], hot_from=extra)
     return hit.withColumn("_target", F.coalesce("_by_id", "_by_url")).drop("_by_id", "_by_url")
@@ -64,10 +65,10 @@ def overlay_curated(
     ``curated`` has the columns of ``entries``. A row matches by id, else by address.
     Unmatched rows are appended once; later ones that clash with an appended row merge into it.
     """
-    hits = _match(entries, curated, key, url, order)
+    hits = cut(_match(entries, curated, key, url, order))  # read for both lists and for the rows without an entry
     merged = _merge_lists(entries, hits.filter("_target is not null"), key, order, lead, trail)
     new = hits.filter("_target is null").drop("_target").select(entries.columns)
-    kept = greedy_first_wins(new, [key, url], order)
+    kept = cut(greedy_first_wins(new, [key, url], order))
     late = new.join(kept.select(order), order, "left_anti")
     appended = _merge_lists(kept, _match(kept, late, key, url, order), key, order, lead, trail)
     return merged.unionByName(appended)

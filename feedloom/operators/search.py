@@ -184,11 +184,25 @@ def full_text(
     found = _terms(tokens, fields, key).filter(weight > 0)
     tf = found.groupBy(key, "field", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
     per_term = tf.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    hits = tf.join(per_term, ["field", "term"]).withColumn("weight", weight)
+    hits = skew_join(tf, per_term, ["field", "term"], "inner", spread=[key]).withColumn("weight", weight)
     stats = _stats(tokens, fields)
     return _rank(hits, stats.select(F.struct("*")).scalar(), boosts, key, limit)
 
 
+def search_page(
+    df: DataFrame, query: str, boosts: Mapping[str, float], *, key: str = "id", name: str, description: str, meta: str, search: str,
+    limit: int = 200, fuzzy: float = FUZZY,
+) -> DataFrame:
+    """(key, score): the ``limit`` best rows by full text, put in the order of ``rerank_score`` with the text score as base.
+
+    The texts of the rows found are met by their keys, of which there are at most ``limit``.
+    """
+    found = F.broadcast(full_text(df, query, boosts, key=key, limit=limit, fuzzy=fuzzy).withColumnRenamed("score", "_base"))
+    texts = [F.lower(F.col(c)) for c in (name, description, meta, search)]
+    score = rerank_score(query, F.col("_base"), name=texts[0], description=texts[1], meta=texts[2], search=texts[3])
+    return df.join(found, key).select(key, score.alias("score")).orderBy(F.desc("score"), key)
+
+
 def build_index(df: DataFrame, fields: Sequence[str], *, key: str = "id") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(postings, vocabulary, statistics) for ``search_index``; built once and written as tables.
 

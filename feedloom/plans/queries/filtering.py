@@ -294,12 +294,12 @@ def j3_gate(t):
 QUERY = "Those einen of verbe"
 
 
-def sql_rerank():
+def sql_rerank(base="0.5::double"):
     words = ["those", "einen", "of", "verbe"]
     phrase = QUERY.lower()
     cover = lambda c: "(" + " + ".join(f"cast(contains({c}, '{w}') as integer)" for w in words) + ")"
     n, d, m, s = (cover(c) for c in ("nm", "de", "me", "t"))
-    parts = ["0.5::double"]
+    parts = [base]
     parts += [f"case when contains({c}, '{phrase}') then {p} else 0 end" for c, p in (("nm", 140), ("de", 90), ("me", 50))]
     parts += [f"{n} * 36 + {d} * 20 + {m} * 12 + {s} * 4"]
     parts += [f"case when {c} = 4 then {p} else 0 end" for c, p in ((n, 80), (d, 50), (m, 25), (s, 10))]
@@ -323,26 +323,32 @@ def j4_rerank(t):
 
 
 def sql_weight(words):
+    # DuckDB's distance counts bytes: other characters are made one byte first
     def one(w):
         e = int(len(w) * 0.2 + 0.5)
-        near = f" when abs(length(term) - {len(w)}) <= {e} and levenshtein(term, '{w}') <= {e} then 0.45" if e else ""
+        near = f" when abs(length(term) - {len(w)}) <= {e} and levenshtein(regexp_replace(term, '[^\\x00-\\x7F]', '_', 'g'), '{w}') <= {e} then 0.45" if e else ""
         return f"case when term = '{w}' then 1.0 when starts_with(term, '{w}') then 0.375{near} else 0 end"
 
     return "(" + " + ".join(one(w) for w in words) + ")::double"
 
 
-SQL_FULL_TEXT = rf"""
+def sql_full_text(words, name="score", shown="round({}, 6)"):
+    score = "sum(w * boost * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.3 + 0.7 * len / mean)))"
+    return rf"""
 with f as (select doc_id, 'head' as field, 3.0 as boost, regexp_extract(text, '^[^\n]*', 0) as v from documents union all select doc_id, 'text', 1.0, text from documents),
 k as (select doc_id, field, boost, regexp_extract_all(lower(v), '[\p{{L}}\p{{N}}]+') as toks from f),
 st as (select field, avg(len(toks)) as mean, count(*) as n from k group by field),
 x as (select doc_id, field, boost, len(toks) as len, unnest(toks) as term from k),
-tf as (select doc_id, field, boost, len, term, count(*) as tf, {sql_weight(['anden', 'verbe', 'the'])} as w from x group by all),
+tf as (select doc_id, field, boost, len, term, count(*) as tf, {sql_weight(words)} as w from x group by all),
 h as (select * from tf where w > 0), df as (select field, term, count(*) as df from h group by all)
-select doc_id, round(sum(w * boost * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.3 + 0.7 * len / mean))), 6) as score
-from h join df using (field, term) join st using (field) group by doc_id order by score desc, doc_id limit 200
+select doc_id, {shown.format(score)} as {name}
+from h join df using (field, term) join st using (field) group by doc_id order by {name} desc, doc_id limit 200
 """
 
 
+SQL_FULL_TEXT = sql_full_text(["anden", "verbe", "the"])
+
+
 @query("j5_full_text", SQL_FULL_TEXT)
 def j5_full_text(t):
     d = t.documents.select("doc_id", F.regexp_extract("text", "^[^\n]*", 0).alias("head"), "text")
@@ -350,6 +356,18 @@ def j5_full_text(t):
     return out.select("doc_id", F.round("score", 6).alias("score"))
 
 
+@query(
+    "j5_search_page",
+    f"""select doc_id, round(score, 6) as score from (select doc_id, {sql_rerank("base")} as score from (
+  select doc_id, base, lower(text) as t, lower(source) as nm, lower(text) as de, lower(source || ' ' || lang) as me
+  from documents join ({sql_full_text(QUERY.lower().split(), "base", "{}")}) using (doc_id)))""",
+)
+def j5_search_page(t):
+    d = t.documents.select("doc_id", F.regexp_extract("text", "^[^\n]*", 0).alias("head"), "text", "source", F.concat_ws(" ", "source", "lang").alias("meta"))
+    out = Q.search_page(d, QUERY, {"head": 3.0, "text": 1.0}, key="doc_id", name="source", description="text", meta="meta", search="text")
+    return out.select("doc_id", F.round("score", 6).alias("score"))
+
+
 @query("j5_search_index", SQL_FULL_TEXT)
 def j5_search_index(t):
     """Build the index, write and read its postings, and ask the same question."""

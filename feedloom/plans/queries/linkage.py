@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions import urls
+from ...functions import fixed, urls
 from ...operators import linkage as L
 from ...operators.relational import first_per_key
 from ..registry import query
@@ -109,6 +109,51 @@ def d5_plugin_identity(t):
     return t.part.select("p_partkey", L.plugin_key("p_brand", name).alias("plugin_key"))
 
 
+# Documents as entries of four types, with addresses as the feeds write them.
+def typed(t):
+    n, m = F.col("doc_id").cast("string"), (F.col("doc_id") % 7).cast("string")
+    type_ = F.when(F.col("lang") == "en", "skill").when(F.col("lang") == "de", "mcp").when(F.col("lang") == "fr", "rule").otherwise("plugin")
+    repo = F.when(F.col("doc_id") % 2 == 0, fixed.RULE_REPOS[0]).otherwise(fixed.RULE_REPOS[1])
+    url = (
+        F.when(F.col("lang") == "en", F.concat(F.lit("https://github.com/O/r"), m, F.lit("#skill=S"), F.col("source")))
+        .when((F.col("lang") == "de") & (F.col("doc_id") % 3 == 0), F.concat(F.lit("https://registry.modelcontextprotocol.io/v0/servers/io.github.o%2Fr"), m))
+        .when(F.col("lang") == "de", F.concat(F.lit("https://github.com/o/r"), m, F.lit("/tree/main/"), F.col("source")))
+        .when(F.col("lang") == "fr", F.concat(F.lit("https://github.com/"), repo, F.lit("/blob/main/rules/"), F.col("source"), F.lit("/"), n))
+        .otherwise(F.lit("https://example.com/p"))
+    )
+    plugin = F.when(F.col("doc_id") % 5 > 0, F.col("source"))
+    install = F.struct(F.concat(F.lit("o/r"), m).alias("marketplace_repo"), plugin.alias("plugin_name"))
+    return t.documents.select(
+        "doc_id", type_.alias("type"), url.alias("source_url"), F.lit("n").alias("name"), install.alias("install"),
+        (F.col("doc_id") % 4).cast("int").alias("source_priority"))
+
+
+SQL_TYPED = f"""
+with e as (select doc_id, lang, source, doc_id % 7 as m, doc_id % 5 > 0 as named from documents),
+k as (select doc_id, case
+  when lang = 'en' then 'skill|o/r' || m || '|s' || source
+  when lang = 'de' and doc_id % 3 = 0 then 'repo|o/r' || m || '|'
+  when lang = 'de' then 'repo|o/r' || m || '|' || source
+  when lang = 'fr' then 'rule|' || source
+  when named then 'plugin|o/r' || m || '|' || source end as key,
+  case when lang = 'de' then case when doc_id % 3 = 0 then 1 else 0 end when lang = 'fr' then doc_id % 2 else 0 end as special,
+  case when lang not in ('en', 'de', 'fr') then doc_id % 4 else 0 end as preferred from e)"""
+
+
+@query("d5_identity_by_type", SQL_TYPED + " select doc_id, coalesce(key, '-') as key from k")
+def d5_identity_by_type(t):
+    return typed(t).select("doc_id", F.coalesce(L.identity_key(), F.lit("-")).alias("key"))
+
+
+@query(
+    "d6_ranked_by_type",
+    SQL_TYPED + """ select doc_id from (select *, row_number() over (partition by key order by special, -preferred, doc_id) as rn from k) where rn = 1 or key is null""",
+)
+def d6_ranked_by_type(t):
+    e = typed(t).withColumn("key", L.identity_key()).withColumn("rank", L.identity_rank())
+    return L.collapse(e, "key", [F.asc("rank"), F.asc("doc_id")]).select("doc_id")
+
+
 @query(
     "d6_identity_collapse",
     f"""

@@ -37,6 +37,14 @@ def a1_json_scan(t):
     return read(folder).unionByName(read(folder + "-missing"))
 
 
+@query("a1_json_arrays", SQL_ORDERS)
+def a1_json_arrays(t):
+    """Files that hold one array each, as feeds are published."""
+    folder = scratch(t, "arrays")
+    A.write_json_arrays(t.orders.select(*ORDER_DDL.replace(",", "").split()[::2]), folder)
+    return A.read_json_table(t.spark, folder, ORDER_DDL)
+
+
 @query(
     "a2_json_sink",
     "select o_orderkey, o_totalprice, row_number() over (order by o_totalprice desc, o_orderkey) - 1 as pos from orders",
@@ -97,20 +105,32 @@ def a4_registry_entries(t):
     )
 
 
-@query(
-    "a5_prompt_entries",
-    r"""
+SQL_PROMPTS = r"""
 with d as (select doc_id, source || ' ' || lang as act, trim(text) as p, lang = 'en' as dev from documents)
 select doc_id, replace(act, ' ', '-') || '-prompt' as id, trim(replace(substr(p, 1, 200), chr(10), ' ')) as description from d
 where dev or regexp_matches(act || ' ' || p, '(?i)(?:^|[^\p{L}\p{N}_])(?:und|les|src3)(?:[^\p{L}\p{N}_]|$)')
-""",
-)
-def a5_prompt_entries(t):
-    rows = t.documents.select(
+"""
+
+
+def prompts(t):
+    return t.documents.select(
         "doc_id", F.concat(F.lit(" "), "source", F.lit(" "), "lang").alias("act"), F.col("text").alias("prompt"),
         F.when(F.col("lang") == "en", "true").alias("for_devs"),
     )
-    return D.prompt_entries(rows, ["und", "les", "src3"]).select("doc_id", "id", "description")
+
+
+@query("a5_prompt_entries", SQL_PROMPTS)
+def a5_prompt_entries(t):
+    return D.prompt_entries(prompts(t), ["und", "les", "src3"]).select("doc_id", "id", "description")
+
+
+@query("a5_prompt_csv", SQL_PROMPTS.replace("doc_id, replace", "replace"))
+def a5_prompt_csv(t):
+    """The same from a quoted CSV, with texts over several lines."""
+    folder = scratch(t, "prompts")
+    plain = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    prompts(t).drop("doc_id").write.options(header=True, quoteAll=True, **plain).csv(folder)
+    return D.prompt_entries(D.read_prompts(t.spark, folder), ["und", "les", "src3"]).select("id", "description")
 
 
 # Short lines of the documents become headings, long ones list entries.

@@ -261,9 +261,7 @@ def l3_typed_fields(t):
 )
 def l4_repair_category(t):
     p = t.part.withColumn("category", F.when(F.col("p_type") == "SMALL", "tooling").otherwise(F.lower("p_type"))).withColumn("_t", F.lower("p_name"))
-    ok = F.col("category").isin(*fixed.CATEGORIES)
-    fixed_cat = F.when(ok, F.col("category")).otherwise(X.categorize("_t", rules=[("red", "r"), ("bolt", "b")]))
-    return p.select("p_partkey", fixed_cat.alias("category"))
+    return C.repair_category(p, F.col("_t"), rules=[("red", "r"), ("bolt", "b")]).select("p_partkey", "category")
 
 
 @query(

@@ -176,11 +176,10 @@ def k9_parse_time(t):
     """select event_id, event_type = 'purchase' or floor(epoch(timestamp '2024-02-01' - case when event_type = 'view' then date_trunc('day', ts) else date_trunc('second', ts) end) / 86400) > 14 as stale from events""",
 )
 def k10_stale(t):
-    from ...functions.scores import as_of_column, whole_days
+    from ...functions.scores import is_stale
 
     e = t.events.withColumn("s", time_text())
-    days = whole_days(as_of_column("2024-02-01"), X.parse_time("s"))
-    return e.select("event_id", F.coalesce(days > 14, F.lit(True)).alias("stale"))
+    return e.select("event_id", is_stale("2024-02-01", X.parse_time("s")).alias("stale"))
 
 
 @query(
@@ -467,15 +466,14 @@ def k25_display(t):
 
 @query(
     "k26_accept_result",
-    """select event_id, event_type in ('view', 'click') as accepted, case when event_type = 'view' then 'ready' else 'unknown' end as state from events""",
+    """select event_id, event_type in ('view', 'click') as accepted from events""",
 )
 def k26_accept_result(t):
     k = F.get_json_object("props", "$.k").cast("int")
     metrics = F.when(
         F.col("event_type").isin("view", "click"), F.create_map(F.lit("a"), k, F.lit("b"), k)
     ).when(F.col("event_type") == "error", F.create_map(F.lit("a"), k))
-    state = F.coalesce(F.when(F.col("event_type") == "view", "ready"), F.lit("unknown"))
-    return t.events.select("event_id", J.accept_result(metrics, ["a", "b"]).alias("accepted"), state.alias("state"))
+    return t.events.select("event_id", J.accept_result(metrics, ["a", "b"]).alias("accepted"))
 
 
 @query(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import fixed
@@ -64,8 +65,8 @@ def read_json_table(
 ) -> DataFrame:
     """Rows of a JSON file or folder; a missing path or unreadable file gives no rows.
 
-    ``array_file`` reads files that hold one array (or object) each, as feeds are published; such a
-    file is one row until it is parsed. Large tables come as one object per line. ``extras`` names a
+    ``array_file`` reads files that hold one array (or object) each, as feeds are published; the reader takes such a
+    file apart as it goes. Large tables come in many files, or as one object per line. ``extras`` names a
     VARIANT column for the whole object, so that keys outside the schema are not lost.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -80,9 +81,13 @@ def read_json_table(
         return items.select(F.from_json(F.to_json(extras), schema).alias("_r"), extras).select("_r.*", extras)
     if not array_file:
         return split_rejects(spark.read.text(path), "value", schema)[0]
-    files = spark.read.text(path, wholetext=True)
-    whole = F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", T.ArrayType(schema)))
-    return files.select(F.inline(whole))
+    marked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    rows = spark.read.schema(marked).options(multiLine=True, columnNameOfCorruptRecord="_bad").json(path)
+    # an unreadable file is one row of nulls; a row with a bad field keeps the others
+    read = F.col("_bad").isNull()
+    for f in schema.fields:
+        read = read | F.col(f"`{f.name}`").isNotNull()
+    return rows.filter(read).drop("_bad")
 
 
 def split_rejects(df: DataFrame, text: str, schema: str | T.StructType, keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -105,6 +110,23 @@ def write_json(df: DataFrame, path: str, order: Sequence[Column | str] = ()) ->
     (df.orderBy(*order) if order else df).write.mode("overwrite").json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, order: Sequence[Column | str] = ()) -> None:
+    """As ``write_json``, every file one JSON array."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = "["
+        for batch in batches:
+            out = []
+            for row in batch.column(0).to_pylist():
+                out.append(lead + row)
+                lead = ","
+            yield pa.RecordBatch.from_pydict({"value": out})
+        yield pa.RecordBatch.from_pydict({"value": ["]" if lead == "," else "[]"]})
+
+    rows = (df.orderBy(*order) if order else df).select(F.to_json(F.struct(*df.columns)).alias("value"))
+    rows.mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+
+
 def tiered_union(tables: Sequence[tuple[DataFrame, str | Column]], order: str = "_ord") -> DataFrame:
     """Union of tables in the given order, each with its own position column.
 
