@@ -207,10 +207,33 @@ def write_state(df: DataFrame, folder: str, version: str) -> None:
     if current == version:
         return
     df.write.mode("overwrite").parquet(f"{base}/{version}")
-    line = spark.createDataFrame([(number + 1, version)], "number bigint, version string")
+    point_to(spark, folder, version, number + 1)
+
+
+def point_to(spark: SparkSession, folder: str, version: str, number: int | None = None) -> None:
+    """Name a version in the log, which makes it the current one; one small file, written after the data."""
+    number = current_state(spark, folder)[0] + 1 if number is None else number
+    line = spark.createDataFrame([(number, version)], "number bigint, version string")
     line.coalesce(1).write.mode("append").json(_log(folder))
 
 
+def drop_versions(spark: SparkSession, folder: str, keep: int = 1) -> list[str]:
+    """Delete the data of all but the last ``keep`` versions; their names, oldest first. The log stays."""
+    if keep < 1:
+        raise ValueError("the current version has to stay")
+    if not path_exists(spark, _log(folder)):
+        return []
+    log = spark.read.schema("number bigint, version string").json(_log(folder))
+    names = list(dict.fromkeys(r.version for r in log.orderBy(F.desc("number"), F.desc("version")).collect()))
+    jvm, base = spark.sparkContext._jvm, folder.rstrip("/")
+    dropped = []
+    for name in reversed(names[keep:]):
+        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{name}")
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True):
+            dropped.append(name)
+    return dropped
+
+
 def rotate_snapshot(new: DataFrame, folder: str, version: str, schema: str, fallback: DataFrame | None = None) -> DataFrame:
     """The baseline to compare with (the stored one, else ``fallback``); then store the new one."""
     spark = new.sparkSession

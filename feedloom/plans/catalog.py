@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import fixed, scores, text as X, urls
 from ..functions.values import first_rule
@@ -205,16 +205,31 @@ def search_table(entries: DataFrame) -> DataFrame:
     return filters.search_projection(entries)
 
 
-def publish(entries: DataFrame, path: str, dry_run: bool = True) -> bool:
-    """Write the ordered catalog, the search table and the files per type; nothing for an empty run."""
+def publish(entries: DataFrame, path: str, version: str, dry_run: bool = True) -> bool:
+    """Write the ordered catalog, the search table and the files per type below ``path/version``, then point to them.
+
+    Readers ask ``published`` for the folder, so a run that dies in between changes nothing for them; run again under
+    the same version it replaces what it left. Nothing is written for an empty run.
+    """
+    spark, path = entries.sparkSession, path.rstrip("/")
+    if state.current_state(spark, path)[1] == version:
+        return True
+    folder = f"{path}/{version}"
     kept = cut(scoring.drop_rejects(entries, dry_run=dry_run))  # four tables are written from it
     order = select.catalog_order()
 
     def write(df: DataFrame) -> None:
-        tables.write_json(df, f"{path}/index", order)
-        tables.write_json(search_table(df), f"{path}/search")
-        tables.publish_partitions(df, f"{path}/types", order=order)
+        tables.write_json(df, f"{folder}/index", order)
+        tables.write_json(search_table(df), f"{folder}/search")
+        tables.publish_partitions(df, f"{folder}/types", order=order)
         documents = tables.entry_documents(df).repartitionByRange("type", "file_id")
-        documents.write.mode("overwrite").partitionBy("type").json(f"{path}/entries")
+        documents.write.mode("overwrite").partitionBy("type").json(f"{folder}/entries")
+        state.point_to(spark, path, version)
 
     return tables.publish_if_rows(kept, write)
+
+
+def published(spark: SparkSession, path: str) -> str | None:
+    """Folder of the version that is current; None before the first."""
+    version = state.current_state(spark, path)[1]
+    return None if version is None else f"{path.rstrip('/')}/{version}"

@@ -121,9 +121,14 @@ def test_results_fall_back(spark, tmp_path):
     assert {r.type: (r.succeeded, r.fallback_old, r.fallback_synth, r.status) for r in status.collect()} == {"skill": (1, 1, 1, "partial"), "mcp": (0, 0, 1, "failed")}
     out = str(tmp_path / "pub")
     table = done.withColumns({"name": F.col("id"), "stars": F.lit(1), "_ord": F.col("id"), "source": F.lit("s"), "bundled_in": F.lit(None).cast("string")})
-    assert P.publish(table, out)
-    assert spark.read.json(f"{out}/search").count() == 4 and spark.read.json(f"{out}/entries").count() == 4
-    assert [r.id for r in spark.read.json(f"{out}/types/type=skill").collect()][0] == "a"
+    assert P.published(spark, out) is None
+    assert P.publish(table, out, "v1") and P.publish(table.limit(0), out, "v1")
+    folder = P.published(spark, out)
+    assert spark.read.json(f"{folder}/search").count() == 4 and spark.read.json(f"{folder}/entries").count() == 4
+    assert [r.id for r in spark.read.json(f"{folder}/types/type=skill").collect()][0] == "a"
+    assert not P.publish(table.limit(0), out, "v2") and P.published(spark, out) == folder
+    assert P.publish(table.filter("id = 'a'"), out, "v2") and spark.read.json(f"{P.published(spark, out)}/search").count() == 1
+    assert N.drop_versions(spark, out) == ["v1"] and spark.read.json(f"{P.published(spark, out)}/search").count() == 1
 
 
 def test_merge_does_not_depend_on_partitions(spark):
