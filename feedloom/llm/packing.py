@@ -76,19 +76,17 @@ def best_fit(lengths: list[int], sources: list, clusters: list, capacity: int) -
 
 def _shard(capacity: int):
     def go(table: pa.Table) -> pa.Table:
-        df = table.to_pandas()
-        df = df.sort_values(["n_words", "id", "piece", "cluster", "source"], ascending=[False, True, True, True, True], kind="stable")
-        clean = lambda c: [None if x is None or x != x else x for x in df[c]]
-        bins, before = best_fit(df.n_words.tolist(), clean("source"), clean("cluster"), capacity)
+        table = table.sort_by([("n_words", "descending"), *((c, "ascending") for c in ("id", "piece", "cluster", "source"))])
+        rows = {c: table.column(c).to_pylist() for c in ("n_words", "source", "cluster")}
+        bins, before = best_fit(rows["n_words"], rows["source"], rows["cluster"], capacity)
         slot, seen = [], Counter()
         for b in bins:
             slot.append(seen[b])
             seen[b] += 1
-        first = (int(df["shard"].iloc[0]) << 32) + np.array(bins, np.int64)
+        first = (table.column("shard")[0].as_py() << 32) + np.array(bins, np.int64)
         return pa.table({
             "bin_id": pa.array(first), "slot": pa.array(slot, pa.int32()), "offset": pa.array(before, pa.int64()),
-            "id": pa.Array.from_pandas(df["id"], type=pa.int64()), "piece": pa.array(df["piece"], pa.int64()),
-            "first_word": pa.array(df["first_word"], pa.int64()), "n_words": pa.array(df["n_words"], pa.int64())})
+            **{c: table.column(c) for c in ("id", "piece", "first_word", "n_words")}})
 
     return go
 

@@ -311,7 +311,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     few = lambda y: known.filter(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(sample)
     ids = F.broadcast(few(1).unionByName(few(0)))  # 2 * sample rows at most
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).join(ids, "k").filter("t is not null")
-    got = sorted({(r.k, r.t, r.y) for r in rows.collect()})
+    got = sorted((r.k, r.t, r.y) for r in rows.groupBy("k", "y").agg(F.min("t").alias("t")).collect())
     return fit_texts([t for _, t, _ in got], np.array([y == 1 for _, _, y in got], bool), **how)
 
 

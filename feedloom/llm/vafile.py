@@ -4,7 +4,7 @@ Vectors are dealt to shards by a hash of their id. A shard keeps an approximatio
 its values cut in equal cells, and for each vector the cells it falls in. A query scans the cells first: the middle of a
 cell gives the score within a known error, so each vector has a lower and an upper bound. Exact vectors are then read in
 the order of their upper bounds (the lower bound of the distance), until no unread one can reach the k-th best score.
-The shards' k best are merged. Queries come to a shard in one block and are worked on in parts of bounded size.
+The shards' k best are merged. Queries come in blocks of bounded size as well: a task holds one shard and one block.
 
 Components become floor(scale * x), so scores are integers and exact; ties go to the smaller id. Vectors that are null,
 or hold a null or non-finite component or one of 2**26 or more after scaling, take no part, nor do rows with a null id.
@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 SCALE, CELLS = 256, 16
 SHARD_ROWS = 8192
-QUERY_ROWS = 512  # queries scanned at a time within a shard
+BLOCK_ROWS = 1 << 14  # queries that meet a shard in one task
+QUERY_ROWS = 512  # of these, scanned at a time
 _READ = 32  # exact vectors read at a time
 
 _OUT = "query_id long, vec_id long, score long"
@@ -110,7 +111,7 @@ def _shard(k: int, cells: int, query_rows: int):
 
 def top_k(
     rows: DataFrame, queries: DataFrame, *, key: str = "vec_id", vector: str = "embedding", k: int = 5, scale: int = SCALE, cells: int = CELLS,
-    shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS,
+    shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products of each query with the other rows."""
 
@@ -120,14 +121,21 @@ def top_k(
         return df.filter(sound & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("long").alias("id"), cells_.alias("vector"))
 
     data, asked = whole(rows), whole(queries)
-    sizes = data.groupBy(F.size("vector").alias("length")).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / shard_rows)).cast("int").alias("shards"))
-    # one row for each length of vector: a handful, and at most one for each shard of rows
-    sizes = F.broadcast(sizes)
-    data = data.withColumn("length", F.size("vector")).join(sizes, "length").withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")))
+
+    def parts(df: DataFrame, name: str, rows_: int) -> DataFrame:
+        n = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / rows_)).cast("long")
+        return df.groupBy(F.size("vector").alias("length")).agg(n.alias(name))
+
+    # one row for each length of vector that is asked for
+    sizes = F.broadcast(parts(data, "shards", shard_rows).join(parts(asked, "blocks", block_rows), "length"))
+    data = data.withColumn("length", F.size("vector")).join(sizes, "length")
     asked = asked.withColumn("length", F.size("vector")).join(sizes, "length")
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards").cast("long") - 1)))
-    side = lambda df, q: df.select("length", "shard", "id", "vector", F.lit(q).alias("asked"))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    data = data.withColumn("shard", own("shards")).withColumn("block", each("blocks"))
+    asked = asked.withColumn("block", own("blocks")).withColumn("shard", each("shards"))
+    side = lambda df, q: df.select("length", "shard", "block", "id", "vector", F.lit(q).alias("asked"))
     met = side(data, False).unionByName(side(asked, True))
-    found = met.groupBy("length", "shard").applyInArrow(_shard(k, cells, query_rows), _OUT)
+    found = met.groupBy("length", "shard", "block").applyInArrow(_shard(k, cells, query_rows), _OUT)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

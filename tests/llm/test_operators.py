@@ -196,6 +196,8 @@ def test_best_fit_takes_the_tightest_bin_without_conflict():
 
 def test_packing_without_rows_and_with_own_clusters(docs, none):
     assert packing.pack(none).count() == 0
+    big = docs.withColumn("doc_id", F.col("doc_id") + (1 << 60))  # ids beyond what a float holds, and nulls
+    assert {r.doc_id for r in packing.pack(big).collect()} == {r.doc_id for r in big.collect()}
     held = packing.pack(docs.withColumn("source", F.lit(None).cast("string")).withColumn("c", F.lit(1)), cluster="c", capacity=100_000)
     assert held.groupBy("bin_id").count().filter("count > 1").count() == 0
     with pytest.raises(ValueError):
@@ -263,7 +265,7 @@ def test_top_k(spark, shard_rows):
     rows = spark.createDataFrame([*sound, *odd, sound[3], sound[50]], "vec_id long, embedding array<float>").withColumn("id", F.lit(0))
     smaller = {7: min(sound[7][1], [9.0] * 6)}
     want = [(i, smaller.get(i, v)) for i, v in sound]
-    got = vafile.top_k(rows, rows.filter("vec_id % 50 = 0"), shard_rows=shard_rows, query_rows=2)
+    got = vafile.top_k(rows, rows.filter("vec_id % 50 = 0"), shard_rows=shard_rows, block_rows=3, query_rows=2)
     assert sorted(map(tuple, got.collect())) == sorted(x for q in (0, 50, 100, 200, 250, 300, 350, 400) for x in best(want, q, 5))
     assert vafile.top_k(rows, rows.limit(0)).count() == 0 and vafile.top_k(rows.limit(0), rows).count() == 0
 
