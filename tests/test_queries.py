@@ -35,9 +35,9 @@ def test_query(spark, con, name):
 
 
 SALTED = [
-    "a18_layouts", "b8_open_sources", "c1_overlay_curated", "c5_first_seen", "c6_resolve_members", "c10_cache_split", "c12_reuse_or_evaluate",
+    "a18_layouts", "a24_with_file", "b1_drop_listed_urls", "b8_open_sources", "c1_overlay_curated", "c5_first_seen", "c6_resolve_members", "c10_cache_split", "c12_reuse_or_evaluate",
     "c14_verify_membership", "c16_merge_incumbent", "c19_fan_out_text", "c21_containment_match", "c22_match_either", "c25_flag_existing",
-    "d8_greedy_dedup", "e8_repo_counts", "f11_star_weight", "j5_search_index", "k20_evaluation_input", "n1_failure_ledger",
+    "d8_greedy_dedup", "e8_repo_counts", "f11_star_weight", "j5_full_text", "j5_search_index", "k20_evaluation_input", "n1_failure_ledger",
 ]
 
 
