@@ -36,7 +36,7 @@ PATTERNS = {
 }
 
 SUPPORT, GENERALISE_AT, REMOVE_AT = 2, 0.8, 0.95
-COUNT_BYTES = 8 << 20
+COUNT_BYTES = 4 << 20  # text whose terms are counted together
 
 # The same matches in time that follows the length of the text: an address begins where its run of digits begins, and an
 # email with the run of characters in front of an @.
@@ -158,7 +158,7 @@ _FOLD[65:91] += 32
 
 
 def _counted(batches):
-    """(key, n): lines of this slice that hold each term; key null: all lines with a word."""
+    """(key, n): lines of this slice that hold each term."""
     for part in slices(batches, "text", COUNT_BYTES):
         words = Words.of(part.column("text"))
         data = _FOLD[words.data]
@@ -172,7 +172,6 @@ def _counted(batches):
         long = point[end] - point[start] >= 2
         breaks = np.unique(np.concatenate([np.flatnonzero(data == 10) + 1, words.offsets]))
         line = np.searchsorted(breaks, words.start, "right")
-        lines = len(np.unique(line))
         used = Words(data, words.offsets, start[long], end[long], np.zeros(1, np.int64))
         key = _cores(used)
         order = np.lexsort((line[long], key))
@@ -181,7 +180,7 @@ def _counted(batches):
         new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
         key, n = np.unique(key[new], return_counts=True)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([*key.view(np.int64).tolist(), None], pa.int64()), pa.array(np.append(n, lines).astype(np.int64))], ["key", "n"])
+            [pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
 
 def _cores(words: Words) -> np.ndarray:
@@ -196,6 +195,12 @@ def _cores(words: Words) -> np.ndarray:
     return Words(data, words.offsets, upto - length - 1, upto - 1, words.first).hashes()
 
 
+def _lines(docs: DataFrame) -> DataFrame:
+    """One row: the number of lines with a word."""
+    lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return docs.agg(F.sum(F.size(lines)).alias("n"))
+
+
 def disclosures(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", support: int = SUPPORT, generalise_at: float = GENERALISE_AT,
     remove_at: float = REMOVE_AT,
@@ -207,12 +212,11 @@ def disclosures(
     alone = beside.filter("key is null").select(F.col("entity").alias("_e"), F.col("n_et").alias("n_e"))
     tried = beside.filter("key is not null").join(alone, F.col("entity") == F.col("_e")).drop("_e").filter("2 * n_et >= n_e")
     counts = own.select("text").mapInArrow(_counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    # the number of all lines is one row; joined as a constant column of one key
-    everything = counts.filter("key is null").select(F.lit(0).alias("_o"), F.col("n").alias("n_all"))
-    known = counts.filter("key is not null").select(F.col("key").alias("_k"), F.col("n").alias("n_t"))
-    scored = tried.join(known, F.col("key") == F.col("_k")).withColumn("_o", F.lit(0)).join(F.broadcast(everything), "_o")
-    about = F.log2(F.col("n_all") / F.col("n_e"))
-    told = F.log2(F.col("n_all") * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
+    known = counts.select(F.col("key").alias("_k"), F.col("n").alias("n_t"))
+    n_all = _lines(own).first()[0] or 0  # one number
+    scored = tried.join(known, F.col("key") == F.col("_k"))
+    about = F.log2(F.lit(n_all) / F.col("n_e"))
+    told = F.log2(F.lit(n_all) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     scored = scored.withColumn("share", F.when(about > 0, told / about)).filter(F.col("share") >= generalise_at)
     scored = scored.select(F.col("entity").alias("_e"), F.col("key").alias("_k"), "share")
     holds = pairs.filter("key is null").select("entity", "id").distinct()
@@ -284,5 +288,5 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
     of = lambda k: F.filter("spans", lambda s: s["kind"] == k)
     base = F.filter("spans", lambda s: s["kind"] != "term")
     return found.select(
-        key, *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS],
-        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+        key, *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS[:4]],
+        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"), F.size(of("term")).cast("long").alias("n_term"))
