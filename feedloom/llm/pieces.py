@@ -29,7 +29,8 @@ from .words import mix, texts
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SEED = 1.0, 0
 SPACE = "▁"
-SLICE = 4 << 20  # bytes of text whose distinct words get lattices together
+SLICE = 1 << 20  # bytes of text whose distinct words get lattices together: about 100 times as much memory
+DECODED = 1 << 18  # ids decoded together
 
 
 @dataclass(frozen=True)
@@ -303,8 +304,13 @@ def decode(rows: DataFrame, *, pieces: str = "pieces", model: str = MODEL, name:
 
     def go(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            length = batch.column(0).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            upto = np.append(0, np.cumsum(length.astype(np.int64)))
+            at = 0
+            while at < batch.num_rows:
+                end = max(at + 1, int(np.searchsorted(upto, upto[at] + DECODED, "right")) - 1)
+                part = batch.slice(at, min(end, batch.num_rows) - at)
+                at += part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[1:], join(part.column(0), table.value.pieces)], [f.name for f in out.fields])
 
