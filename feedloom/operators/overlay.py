@@ -183,7 +183,7 @@ def resolve_members(
         ("same_repo", members.select(F.col(tail).alias("_short"), F.col(member_repo).alias(repo), member, order), ["_short", repo]),
         ("tail", members.select(F.col(tail).alias("_short"), member, order), ["_short"]),
     )
-    base = flat
+    base = flat = cut(flat)  # read by every lookup and its count of hot keys
     for strategy, rows, keys in lookups:
         one = rows.dropna(subset=keys).groupBy(*keys).agg(F.min_by(member, order).alias(f"_by_{strategy}"))
         flat = skew_join(flat, one, keys, "left", spread=[group, "pos"], min_rows=min_rows, hot_from=base)
@@ -371,21 +371,24 @@ def _grams(c: Column) -> Column:
     return F.array_distinct(F.concat(*pieces))
 
 
-def contained(short: DataFrame, long: DataFrame, a: str, b: str) -> DataFrame:
+def contained(
+    short: DataFrame, long: DataFrame, a: str, b: str, *, with_short: Sequence[str] = (), with_long: Sequence[str] = ()
+) -> DataFrame:
     """Pairs (a, b) of distinct texts where a is part of b; an equi-join, not a nested loop.
 
     Every piece of a is a piece of b. So a is looked up only by its piece that occurs in
-    the fewest b, and the few pairs left are tested.
+    the fewest b, and the few pairs left are tested. ``with_short`` and ``with_long`` name columns
+    that come along, so that the caller can reduce the pairs where they are made.
     """
-    grams = long.select(b, F.explode(_grams(F.col(b))).alias("_g"))
+    grams = long.select(b, *with_long, F.explode(_grams(F.col(b))).alias("_g"))
     size = F.least(F.length(a), F.lit(3))
-    own = short.select(a, F.explode(F.filter(_grams(F.col(a)), lambda g: F.length(g) == size)).alias("_g"))
+    own = short.select(a, *with_short, F.explode(F.filter(_grams(F.col(a)), lambda g: F.length(g) == size)).alias("_g"))
     freq = grams.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
     # a piece that is in no b at all ranks first, and then the text matches nothing
-    probes = own.join(freq, "_g", "left").groupBy(a).agg(
+    probes = own.join(freq, "_g", "left").groupBy(a, *with_short).agg(
         F.min_by("_g", F.struct(F.coalesce("_f", F.lit(0)), "_g")).alias("_g")
     )
-    return skew_join(grams, probes, ["_g"], "inner", spread=[b]).filter(F.contains(F.col(b), F.col(a))).select(a, b)
+    return skew_join(grams, probes, ["_g"], "inner", spread=[b]).filter(F.contains(F.col(b), F.col(a))).select(a, b, *with_short, *with_long)
 
 
 def containment_match(names: DataFrame, rows: DataFrame, *, name: str, title: str, value: str, order: str) -> DataFrame:
@@ -393,10 +396,11 @@ def containment_match(names: DataFrame, rows: DataFrame, *, name: str, title: st
     n = names.select(F.lower(F.trim(name)).alias("_n")).filter(F.length("_n") > 0).distinct()
     t = rows.select(F.lower(F.trim(title)).alias("_t"), value, order).filter(F.length("_t") > 0)
     t = t.groupBy("_t").agg(F.min_by(value, order).alias(value), F.min(order).alias(order))
-    pairs = contained(n, t.select("_t"), "_n", "_t").unionByName(
-        contained(t.select("_t"), n, "_t", "_n").select("_n", "_t")
-    )
-    best = pairs.join(t, "_t").groupBy("_n").agg(F.min_by(value, order).alias(value))
+    n, t = cut(n), cut(t)
+    # the least of each name is taken where its pairs are made, so pairs do not travel
+    least = lambda pairs: pairs.groupBy("_n").agg(F.min(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))).alias("m"))
+    one = least(contained(n, t, "_n", "_t", with_long=[value, order])).unionByName(least(contained(t, n, "_t", "_n", with_short=[value, order])))
+    best = one.groupBy("_n").agg(F.min("m").getField("v").alias(value))
     keyed = names.withColumn("_n", F.lower(F.trim(name)))
     return skew_join(keyed, best, ["_n"], "left").drop("_n")
 
