@@ -3,8 +3,9 @@
 Every line of a text, every block of lines without a blank line between, and the text as a whole is compared. Text is
 normalised: A-Z lowered, everything but a-z and 0-9 a space. With a and b distinct bigrams on the two sides and c in
 common the coefficient is 2c / (a + b); for it to reach ``least``, a must lie between least / (2 - least) * b and
-(2 - least) / least * b, so only templates of a fitting size are compared, and only for units that hold enough bigrams
-of any template. The comparison stays in its row: nothing is shuffled and nothing joined.
+(2 - least) / least * b, so only templates of a fitting size are compared. Since a is at least c, c is at least
+least / (2 - least) * b: a unit that matches holds one of a few words or bigrams of the templates, so texts and units without
+any of these are left out before their bigrams are made. The comparison stays in its row: nothing is shuffled and nothing joined.
 
 Null and empty texts, and units of fewer than two words, match nothing. Of equal scores the template with the smallest
 name wins. Repeated rows are compared each on their own. No rows: no rows out.
@@ -12,6 +13,7 @@ name wins. Repeated rows are compared each on their own. No rows: no rows out.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Mapping
 
@@ -75,6 +77,27 @@ def bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
+def telling(known: Mapping[str, list[str]], least: float) -> list[str]:
+    """Words and bigrams of which every unit that reaches ``least`` with a template holds at least one.
+
+    So many bigrams of each template are one of these or have one of these words that the others are too few for a
+    match. Long words, which are seldom found elsewhere, are taken first; then, instead of short words, bigrams.
+    """
+    chosen: set[str] = set()
+
+    def covered(gram: str) -> bool:
+        return gram in chosen or not chosen.isdisjoint(gram.split(" "))
+
+    for grams in known.values():
+        need = math.ceil(least / (2 - least) * len(grams) - 1e-9)
+        words = {w for g in grams for w in g.split(" ") if len(w) >= 5}
+        for more in [*sorted(words, key=lambda w: (-len(w), w)), *sorted(grams, key=lambda g: (-len(g), g))]:
+            if sum(not covered(g) for g in grams) < need:
+                break
+            chosen.add(more)
+    return sorted(chosen)
+
+
 def _units(text: Column) -> Column:
     """(unit, unit_no, words with single spaces) of the lines, blocks and whole of a normalised text with line breaks."""
     kind = lambda name, no, x: F.struct(F.lit(name).alias("unit"), no.cast("int").alias("unit_no"), F.trim(x).alias("body"))
@@ -99,7 +122,10 @@ def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", templates:
                            F.lit(0.0).alias("score")).limit(0)
     fewest = min(len(g) for g in known.values())
     plain = F.regexp_replace(F.translate(F.col(f"`{text}`"), _UPPER, _LOWER), "[^a-z0-9\n]+", " ")
-    unit = docs.select(F.col(f"`{key}`").alias("id"), F.explode(_units(plain)).alias("u")).select("id", "u.*")
+    marks = [m.replace(" ", r"[ \n]+") for m in telling(known, least)]
+    some = rf"\b(?:{'|'.join(marks)})\b"
+    text_rows = docs.select(F.col(f"`{key}`").alias("id"), plain.alias("plain")).filter(F.col("plain").rlike(some))
+    unit = text_rows.select("id", F.explode(_units(F.col("plain"))).alias("u")).select("id", "u.*")
 
     def pairs(words: Column) -> Column:
         n = F.greatest(F.size(words) - 1, F.lit(0))
@@ -107,7 +133,7 @@ def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", templates:
 
     # bound once for each unit: an array of one element whose lambda variable is used several times
     grams = F.transform(F.array(F.split("body", " ", -1)), pairs)[0]
-    unit = unit.filter(F.contains("body", F.lit(" "))).withColumn("grams", grams)
+    unit = unit.filter(F.col("body").rlike(some)).withColumn("grams", grams)
     unit = unit.withColumn("common", F.filter("grams", lambda g: g.isin(every)))
     # c is at least half of least * (a + b), and a at least least / (2 - least) * b
     enough = least * fewest * (1 + least / (2 - least)) / 2
