@@ -16,6 +16,8 @@ SETTINGS = {
     # split a hot partition even where that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows sent to Python at a time; whole texts are among them, and batches wait on both sides
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
