@@ -29,7 +29,7 @@ from .words import mix, texts
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SEED = 1.0, 0
 SPACE = "▁"
-SLICE = 1 << 20  # bytes of text whose distinct words get lattices together: about 100 times as much memory
+SLICE = 1 << 19  # bytes of text whose distinct words get lattices together: about 100 times as much memory
 DECODED = 1 << 18  # ids decoded together
 
 
