@@ -217,7 +217,8 @@ def read_artifacts(spark: SparkSession, folder: str) -> DataFrame:
 
 def artifact_results(artifacts: DataFrame) -> DataFrame:
     """(type, entry_id, evaluation) of all succeeded rows that have a result."""
-    rows = artifacts.select("type", F.explode("succeeded").alias("s")).select("type", "s.entry_id", "s.evaluation")
+    rows = artifacts.select("type", F.explode("succeeded").alias("s")).select("type", "s.entry_id", F.coalesce(
+        F.get_json_object("s.evaluation", "$"), "s.evaluation").alias("evaluation"))  # without the blanks of the file
     return rows.filter((F.length("entry_id") > 0) & F.col("evaluation").isNotNull())
 
 
