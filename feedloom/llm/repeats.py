@@ -10,8 +10,8 @@ anchor reaches; consecutive segments join to maximal repeats.
 2. Where an anchor stands in several contexts, the first document of each context sends the windows of the segment, and
    a window that an earlier document has too is a repeat. This settles the ends of passages exactly.
 
-Both decisions are made on the input, not on what is left. Equality is tested by hashes of 96 bits. Rows of one slice
-that repeat a segment of an earlier row in the slice are settled there, so a hot passage does not reach the shuffle once
+Both decisions are made on the input, not on what is left. Equality of segments and of windows is tested by hashes of 96
+bits of all their words; the anchor's hash only deals segments out. Rows of one slice that repeat a segment of an earlier row in the slice are settled there, so a hot passage does not reach the shuffle once
 for every copy.
 
 Null text: no words. A row with a null id neither loses words nor makes others lose them. Rows that share an id are no
@@ -31,14 +31,16 @@ from .words import SLICE_BYTES, Words, runs, slices, spans
 
 SIZE, GRAM = 13, 6
 _COUNT_BITS = 8  # of a packed segment: its windows; the bits above hold its first word
+_TAG_BITS = 15  # below a packed segment on its way through the shuffle: the tag of its text
 
 
 @dataclass
 class Segments:
-    """Segments of a slice of texts: the anchor's hash, the hash of the whole segment, its text, first window, windows."""
+    """Segments of a slice of texts: the anchor's hash, two hashes of the whole segment, its text, first window, windows."""
 
     anchor: np.ndarray
     whole: np.ndarray
+    back: np.ndarray
     row: np.ndarray
     begin: np.ndarray
     windows: np.ndarray
@@ -48,7 +50,7 @@ class Segments:
         at = np.flatnonzero(words.left() >= size)
         none = np.zeros(0, np.int64)
         if not len(at):
-            return cls(none.view(np.uint64), none.view(np.uint64), none, none, none)
+            return cls(*[none.view(np.uint64)] * 3, none, none, none)
         grams = runs(hashes, gram)
         wide = size - gram + 1
         anchor = at + np.lib.stride_tricks.sliding_window_view(grams, wide)[at].argmin(axis=1)
@@ -58,12 +60,14 @@ class Segments:
         first = np.flatnonzero(new)
         windows = np.diff(np.append(first, len(at)))
         begin, place = at[first], anchor[first]
-        whole = spans(hashes, begin, begin + windows - 1 + size) + (place - begin).astype(np.uint64)
-        return cls(grams[place], whole, row[first], begin - words.first[row[first]], windows)
+        end = begin + windows - 1 + size
+        whole = spans(hashes, begin, end) + (place - begin).astype(np.uint64)
+        back = spans(hashes[::-1], len(hashes) - end, len(hashes) - begin)
+        return cls(grams[place], whole, back, row[first], begin - words.first[row[first]], windows)
 
 
 def _segments(size: int, gram: int):
-    """Rows (a, g, id, tag, at, gone) of the segments of every text."""
+    """Rows (a, g, h, id, at) of the segments of every text; ``at`` is negative where the segment is settled."""
 
     def go(batches):
         for part in slices(batches, "text"):
@@ -72,25 +76,26 @@ def _segments(size: int, gram: int):
             tags = part.column("tag").to_numpy(zero_copy_only=False)
             seg = Segments.of(words, words.hashes(), size, gram)
             own = ids[seg.row]
-            whole = (seg.whole >> np.uint64(32)).astype(np.int64).astype(np.int32)
-            # the earliest id of each (anchor, whole) in this slice settles the later ones
-            order = np.lexsort((own, whole, seg.anchor))
-            a, g, d = seg.anchor[order], whole[order], own[order]
+            back = (seg.back >> np.uint64(32)).astype(np.int64).astype(np.int32)
+            # the earliest id of each (anchor, whole, back) in this slice settles the later ones
+            order = np.lexsort((own, back, seg.whole, seg.anchor))
+            a, g, h, d = seg.anchor[order], seg.whole[order], back[order], own[order]
             head = np.ones(len(order), bool)
-            head[1:] = (a[1:] != a[:-1]) | (g[1:] != g[:-1])
+            head[1:] = (a[1:] != a[:-1]) | (g[1:] != g[:-1]) | (h[1:] != h[:-1])
             least = d[np.flatnonzero(head)][np.cumsum(head) - 1] if len(d) else d
             gone = np.zeros(len(order), bool)
             gone[order] = d > least
+            packed = (((seg.begin << _COUNT_BITS) | seg.windows) << _TAG_BITS) | tags[seg.row]
             yield pa.RecordBatch.from_arrays(
                 [
                     # a settled segment is dealt by its own place
                     pa.array(np.where(gone, (own * 1_000_003 + seg.begin).view(np.uint64) if len(own) else seg.anchor, seg.anchor).view(np.int64)),
-                    pa.array(whole),
+                    pa.array(seg.whole.view(np.int64)),
+                    pa.array(back),
                     pa.array(own),
-                    pa.array(((seg.begin << _COUNT_BITS) | seg.windows) * np.where(gone, -1, 1)),
-                    pa.array(tags[seg.row]),
+                    pa.array(packed * np.where(gone, -1, 1)),
                 ],
-                ["a", "g", "id", "at", "tag"],
+                ["a", "g", "h", "id", "at"],
             )
 
     return go
@@ -185,20 +190,22 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
     wide = docs.select(
         F.col(f"`{key}`").cast("long").alias("id"),
-        (F.xxhash64(F.col(f"`{text}`")).bitwiseAND(0x7FFF)).cast("int").alias("tag"),  # tells apart rows that share an id
+        (F.xxhash64(F.col(f"`{text}`")).bitwiseAND((1 << _TAG_BITS) - 1)).cast("int").alias("tag"),  # tells apart rows that share an id
         F.col(f"`{text}`").alias("text"),
         *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names) if c not in (key, text)],
     )
     own = wide.select("id", "tag", "text").filter("id is not null")
-    seg = own.mapInArrow(_segments(size, gram), "a long, g int, id long, at long, tag int").repartition("a")
-    anchor, context = Window.partitionBy("a"), Window.partitionBy("a", "g")
-    low = lambda c, w: F.min(c).over(w)
+    seg = own.mapInArrow(_segments(size, gram), "a long, g long, h int, id long, at long").repartition("a")
+    anchor, context = Window.partitionBy("a"), Window.partitionBy("a", "g", "h")
+    low, high = lambda c, w: F.min(c).over(w), lambda c, w: F.max(c).over(w)
     seg = seg.select(
-        "id", "tag", "at", low("id", context).alias("first"), low("id", anchor).alias("low"), F.max("id").over(anchor).alias("high"),
-        low("g", anchor).alias("g0"), F.max("g").over(anchor).alias("g1"),
+        "id", (F.abs("at").bitwiseAND((1 << _TAG_BITS) - 1)).cast("int").alias("tag"),
+        (F.shiftright(F.abs("at"), _TAG_BITS) * F.when(F.col("at") < 0, -1).otherwise(1)).alias("at"),
+        low("id", context).alias("first"), low("id", anchor).alias("low"), high("id", anchor).alias("high"),
+        ((low("g", anchor) < high("g", anchor)) | (low("h", anchor) < high("h", anchor))).alias("several"),
     )
     settled = (F.col("at") < 0) | (F.col("id") > F.col("first"))
-    unsure = (F.col("low") < F.col("high")) & (F.col("g0") < F.col("g1"))
+    unsure = (F.col("low") < F.col("high")) & F.col("several")
     pick = lambda c: F.collect_list(F.when(c, F.col("at")))
     marks = seg.filter(settled | unsure).groupBy("id", "tag").agg(pick(settled).alias("full"), pick(~settled).alias("open"))
     ends = own.join(marks.filter(F.size("open") > 0).select("id", "tag", "open"), ["id", "tag"]).mapInArrow(

@@ -162,6 +162,19 @@ def test_repeats(docs, rows, size, gram):
     assert found == sorted(want)
 
 
+def test_repeats_in_contexts_that_share_half_a_hash(spark):
+    # one anchor; the upper 32 bits of both segments' hashes are equal, the words are not
+    both = [f"a15885 b c d e f t u v w x y z{n}" for n in (91215, 116359)]
+    found = words.Words.of(pa.array(both, pa.string()))
+    seg = repeats.Segments.of(found, found.hashes(), 13, 6)
+    assert seg.anchor[0] == seg.anchor[1] and seg.whole[0] >> np.uint64(32) == seg.whole[1] >> np.uint64(32)
+    # a slice of its own for each text, so that the windows decide, and both in one
+    for parts in (3, 1):
+        docs = spark.createDataFrame([(1, both[0]), (2, both[1]), (3, both[1])], "doc_id long, text string").repartition(parts, "doc_id")
+        got = {r.doc_id: (r.n_removed, r.kept) for r in repeats.remove_repeats(docs).collect()}
+        assert got == {1: (0, both[0]), 2: (0, both[1]), 3: (13, "")}
+
+
 def test_repeats_of_nothing(none):
     assert repeats.remove_repeats(none).count() == 0
 
