@@ -4,8 +4,8 @@ A base entity is an address, number or phone found by a pattern. Its context is
 term t reveals an entity e is taken from the whole corpus: with the lines that hold e, t, both, or anything (n_e, n_t,
 n_et, N), the information that e carries is log2(N / n_e), and t gives log2(N * n_et / (n_e * n_t)) of it. The share of
 the two is the disclosure: 1 when t is found only beside e. In a document that holds e, a term that discloses
-``generalise_at`` of it is replaced by its kind (name, code or word), one that discloses ``remove_at`` is removed. Terms
-need ``support`` lines with e and at least half of e's lines.
+``generalise_at`` of it is replaced by its kind (name, code or word), one that discloses ``remove_at`` is removed,
+on whichever line it stands there. Terms need ``support`` lines with e; no other limit is set.
 
 All counts cover all lines of all documents. Base spans never depend on the counts. Null text: empty, no spans. A row
 with a null id keeps its base spans and takes no part in the counts of pairs, so it has no term spans. Rows that share
@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..session import cut
 from .frames import append, field
 from .words import Words, slices, texts
 
@@ -157,32 +158,52 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
 
+def _keyed(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, text, line) of every term, the lines numbered over all texts."""
+    words = Words.of(column)
+    data = _FOLD[words.data]
+    start, end = words.start.copy(), words.end.copy()
+    while len(more := np.flatnonzero((start < end) & _TRIM[data[np.minimum(start, len(data) - 1)]])):
+        start[more] += 1
+    while len(more := np.flatnonzero((start < end) & _TRIM[data[np.maximum(end - 1, 0)]])):
+        end[more] -= 1
+    point = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=point[1:])
+    long = point[end] - point[start] >= 2
+    breaks = np.unique(np.concatenate([np.flatnonzero(data == 10) + 1, words.offsets]))
+    line = np.searchsorted(breaks, words.start, "right")
+    used = Words(data, words.offsets, start[long], end[long], np.zeros(1, np.int64))
+    return _cores(used), words.row[long], line[long]
+
+
+def _once(key: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs, by key."""
+    order = np.lexsort((of, key))
+    key, of = key[order], of[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (of[1:] != of[:-1])
+    return key[new], of[new]
+
+
 def _counted(batches):
     """(key, n): lines of this slice that hold each term."""
     for part in slices(batches, "text", COUNT_BYTES):
-        words = Words.of(part.column("text"))
-        data = _FOLD[words.data]
-        start, end = words.start.copy(), words.end.copy()
-        while len(more := np.flatnonzero((start < end) & _TRIM[data[np.minimum(start, len(data) - 1)]])):
-            start[more] += 1
-        while len(more := np.flatnonzero((start < end) & _TRIM[data[np.maximum(end - 1, 0)]])):
-            end[more] -= 1
-        point = np.zeros(len(data) + 1, np.int64)
-        np.cumsum((data & 0xC0) != 0x80, out=point[1:])
-        long = point[end] - point[start] >= 2
-        breaks = np.unique(np.concatenate([np.flatnonzero(data == 10) + 1, words.offsets]))
-        line = np.searchsorted(breaks, words.start, "right")
-        used = Words(data, words.offsets, start[long], end[long], np.zeros(1, np.int64))
-        key = _cores(used)
-        order = np.lexsort((line[long], key))
-        key, line = key[order], line[long][order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
-        key, n = np.unique(key[new], return_counts=True)
+        key, _, line = _keyed(part.column("text"))
+        key, n = np.unique(_once(key, line)[0], return_counts=True)
         yield pa.RecordBatch.from_arrays(
             [pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
 
+def _said(batches):
+    """(key, id): the terms of each text that holds an entity, on any line."""
+    for part in slices(batches, "text"):
+        part = part.filter(pa.array([bool(t and base_spans(t)) for t in part.column("text").to_pylist()], pa.bool_()))
+        key, row, _ = _keyed(part.column("text"))
+        key, row = _once(key, row)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key.view(np.int64)), pa.array(part.column("id").to_numpy(zero_copy_only=False)[row], pa.int64())], ["key", "id"])
+
+
 def _cores(words: Words) -> np.ndarray:
     """Hashes of trimmed words, equal to those of the trimmed words on their own."""
     if not len(words):
@@ -207,24 +228,26 @@ def disclosures(
 ) -> DataFrame:
     """(id, generalise, remove): keys of the terms to mask in each document that holds an entity they disclose."""
     own = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    pairs = own.filter(F.col("id").isNotNull() & F.col("text").rlike("[@0-9]")).mapInArrow(_pairs, "entity string, key long, id long")
+    may = own.filter(F.col("id").isNotNull() & F.col("text").rlike("[@0-9]"))
+    pairs = may.mapInArrow(_pairs, "entity string, key long, id long")
     beside = pairs.groupBy("entity", "key").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= support)
     alone = beside.filter("key is null").select(F.col("entity").alias("_e"), F.col("n_et").alias("n_e"))
-    tried = beside.filter("key is not null").join(alone, F.col("entity") == F.col("_e")).drop("_e").filter("2 * n_et >= n_e")
-    counts = own.select("text").mapInArrow(_counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    known = counts.select(F.col("key").alias("_k"), F.col("n").alias("n_t"))
+    tried = beside.filter("key is not null").join(alone, F.col("entity") == F.col("_e")).drop("_e")
+    # tables of their own: the joins with them are plain exchanges, so adaptive execution splits a hot term
+    known = cut(own.select("text").mapInArrow(_counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).select(
+        F.col("key").alias("_k"), F.col("n").alias("n_t")))
     n_all = _lines(own).first()[0] or 0  # one number
     scored = tried.join(known, F.col("key") == F.col("_k"))
     about = F.log2(F.lit(n_all) / F.col("n_e"))
     told = F.log2(F.lit(n_all) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     scored = scored.withColumn("share", F.when(about > 0, told / about)).filter(F.col("share") >= generalise_at)
-    scored = scored.select(F.col("entity").alias("_e"), F.col("key").alias("_k"), "share")
+    scored = cut(scored.select("entity", F.col("key").alias("_k"), "share"))
+    # the terms a document has and not those its entities have: an entity on many lines has no end of terms
+    said = may.mapInArrow(_said, "key long, id long")
     holds = pairs.filter("key is null").select("entity", "id").distinct()
-    keys = lambda c: F.collect_set(F.when(c, F.col("_k")))
-    return (
-        holds.join(scored, F.col("entity") == F.col("_e"))
-        .groupBy("id").agg(keys(F.col("share") < remove_at).alias("generalise"), keys(F.col("share") >= remove_at).alias("remove"))
-    )
+    met = said.join(scored, F.col("key") == F.col("_k")).join(holds, ["entity", "id"], "left_semi")
+    keys = lambda c: F.collect_set(F.when(c, F.col("key")))
+    return met.groupBy("id").agg(keys(F.col("share") < remove_at).alias("generalise"), keys(F.col("share") >= remove_at).alias("remove"))
 
 
 def _masked(text: str, spans: list[tuple[str, int, int, str]]) -> str:

@@ -56,6 +56,18 @@ def test_terms_beside_an_entity_are_masked(spark):
     assert got[50][0].clean is None and got[51][0].clean == "" and got[None][0].clean == "write [EMAIL]"
 
 
+def test_terms_on_few_lines_of_an_entity_are_masked(spark):
+    # a shared address: each name stands only beside it, on 4 of its 40 lines; in document 1 another also stands on another line
+    names = ["Zoltan", "Mirabel", "Quentin", "Ottoline", "Peregrine", "Xanthe", "Isolde", "Leopold", "Fenella", "Dagmar"]
+    told = [(i, f"{names[i % 10]} at zo@mail.org" + "\n\nZoltan again" * (i == 1), "x", None, 1) for i in range(40)]
+    filler = [(100 + i, "we meet at noon\nand go again", "x", None, 1) for i in range(60)]
+    got = {r.doc_id: r for r in pii.sanitise(frame(spark, told + filler)).collect()}
+    for i in range(40):
+        assert names[i % 10] not in got[i].clean and "[EMAIL]" in got[i].clean
+    assert "Zoltan" not in got[1].clean and "again" in got[1].clean
+    assert all(got[100 + i].clean == filler[i][1] for i in range(60))
+
+
 def test_counts_equal_a_plain_count(spark):
     import collections
 
