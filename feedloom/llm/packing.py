@@ -1,6 +1,7 @@
 """Conflict-constrained best-fit packing of documents into sequences of a fixed number of words.
 
-Two pieces conflict when they come from the same source or from the same cluster of duplicates; a bin never holds both.
+Two pieces conflict when they come from the same source or from the same cluster of duplicates (equal words, with
+``near`` linked fingerprints, or a column of the caller's); a bin never holds both.
 A text longer than a bin is cut into full bins and a rest; no word is dropped. The rests are dealt to shards of a bounded
 number of rows by a hash, so a hot source or a large cluster is spread evenly. A shard packs its rows from the longest
 to the shortest: its bins are ordered by residual and carry a bitmap of sources and one of clusters; the search begins at
@@ -20,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import cut
-from .frames import append, field
+from . import simhash
+from .frames import append, components, field
 from .words import Words, spans
 
 CAPACITY = 2048  # words of a bin
@@ -29,12 +31,14 @@ SHARD_ROWS = 4096
 _OUT = "bin_id long, slot int, offset long, id long, piece long, first_word long, n_words long"
 
 
-def measure(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def measure(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None, near: bool = False) -> DataFrame:
     """``docs`` with ``n_words`` and ``cluster``: a hash of the lower-cased words, equal for copies that differ only in
-    case (A to Z) or white space."""
+    case (A to Z) or white space, or with ``near`` the fingerprint, equal for these as well."""
 
     def fn(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         words = Words.of(batch.column(0))
+        if near:
+            return {"n_words": pa.array(words.count.astype(np.int64)), "cluster": pa.array(simhash.fingerprints(batch.column(0)).view(np.int64))}
         fold = np.arange(256, dtype=np.uint8)
         fold[65:91] += 32
         words.data = fold[words.data]
@@ -44,6 +48,17 @@ def measure(docs: DataFrame, *, text: str = "text", keep: list[str] | None = Non
     return append(docs, fn, [field("n_words", T.LongType()), field("cluster", T.LongType())], text=text, keep=keep)
 
 
+def _grouped(sized: DataFrame, radius: int) -> DataFrame:
+    """``sized`` with each fingerprint in ``cluster`` replaced by the smallest that it is linked with. Rows without a key
+    are grouped like others."""
+    sized = cut(sized)
+    nodes = cut(sized.select(F.col("cluster").alias("point")).distinct().withColumn("node", F.col("point")))
+    found = cut(components(simhash.links(nodes, radius=radius)))
+    # plain exchanges on both sides, so adaptive execution splits a hot fingerprint
+    named = sized.join(found, sized.cluster == found.node, "left")
+    return named.withColumn("cluster", F.coalesce("component", "cluster")).drop("node", "component")
+
+
 def best_fit(lengths: list[int], sources: list, clusters: list, capacity: int) -> tuple[list[int], list[int]]:
     """(bin, words before it in the bin) of each piece, in the given order."""
     number = {s: i for i, s in enumerate(dict.fromkeys(s for s in sources if s is not None))}
@@ -93,21 +108,25 @@ def _shard(capacity: int):
 
 def pack(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", cluster: str | None = None,
-    capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS,
+    near: int | None = None, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """(bin_id, slot, offset, key, piece, first_word, n_words): where every piece of every text goes.
 
-    ``cluster`` names a column with the duplicate cluster; without it copies of the same words are a cluster. Texts are
-    only measured, never shuffled.
+    ``cluster`` names a column with the duplicate cluster; without it copies of the same words are a cluster, or, with
+    ``near``, texts linked by fingerprints that differ in at most so many bits. Texts are only measured, never shuffled.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
+    if cluster and near is not None:
+        raise ValueError("cluster and near exclude each other")
     plain = docs.select(
         F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").cast("string").alias("source"),
         *([F.xxhash64(F.col(f"`{cluster}`")).alias("own")] if cluster else []))
-    sized = measure(plain, keep=["id", "source", *(["own"] if cluster else [])])
+    sized = measure(plain, keep=["id", "source", *(["own"] if cluster else [])], near=near is not None)
     if cluster:
         sized = sized.withColumn("cluster", F.col("own")).drop("own")
+    if near is not None:
+        sized = _grouped(sized, near)
     pieces = F.greatest(F.lit(1), F.ceil(F.col("n_words") / capacity))
     cutup = sized.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1))).select(
         "id", "source", "cluster", F.col("piece").cast("long").alias("piece"), (F.col("piece") * capacity).alias("first_word"),

@@ -33,7 +33,7 @@ def _(docs):
 
 @_query("op2_best_fit_packing", "documents")
 def _(docs):
-    return packing.pack(docs)
+    return packing.pack(docs, near=2)
 
 
 @_query("op3_pii", "documents")

@@ -1,6 +1,7 @@
 """Every operator against a plain version, with nulls, empty and long texts, ties, repeated rows and clashing names."""
 
 import random
+import tempfile
 
 import numpy as np
 import pyarrow as pa
@@ -207,6 +208,25 @@ def test_best_fit_takes_the_tightest_bin_without_conflict():
     assert packing.best_fit(lengths, sources, clusters, 100) == ([0, 1, 1, 0, 2], [0, 0, 70, 60, 0])
 
 
+def test_packing_keeps_near_copies_apart(spark):
+    base = [f"w{i}" for i in range(400)]
+    made = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in range(0, 400, 5)]
+    prints = simhash.fingerprints(pa.array([" ".join(base), *made], pa.string()))
+    copies = [t for t, p in zip(made, prints[1:]) if 1 <= int(p ^ prints[0]).bit_count() <= 2][:8]
+    assert len(copies) == 8
+    texts = [" ".join(base), *copies, " ".join(f"v{i}" for i in range(400))]
+    docs = spark.createDataFrame([(i if i != 3 else None, t, f"s{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    together = lambda d: d.groupBy("bin_id").agg(F.count("*").alias("n"), F.max("doc_id").alias("m")).collect()
+    from feedloom.llm import queries
+
+    docs.write.mode("overwrite").parquet(folder := f"{tempfile.mkdtemp()}/documents.parquet")
+    found = together(queries.QUERIES["op2_best_fit_packing"](spark, folder.rsplit("/", 1)[0]))
+    # nine bins of one copy each, the text of its own in one of them
+    assert sorted(r.n for r in found) == [1] * 8 + [2] and max(r.m or 0 for r in found if r.n == 2) == 9
+    assert len(together(packing.pack(docs))) == 2
+    assert packing.pack(docs.limit(0), near=2).count() == 0
+
+
 def test_packing_without_rows_and_with_own_clusters(docs, none):
     assert packing.pack(none).count() == 0
     big = docs.withColumn("doc_id", F.col("doc_id") + (1 << 60))  # ids beyond what a float holds, and nulls
