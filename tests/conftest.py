@@ -25,7 +25,3 @@ def shuffled(spark):
     spark.conf.set(key, "-1")
     yield spark
     spark.conf.set(key, old)
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames_as_rows import rows
 from feedloom.functions import fixed, jsons as J, scores as S, text as X, urls as U, values as V
 from feedloom.operators import checks as C, content as T, filters as B, linkage as L, overlay as O, scoring as SC, select as G, state as N
 from feedloom.sources.tables import empty_frame

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames_as_rows import rows
 from feedloom.operators import linkage as L, overlay as O, relational as R, select as G, state as N
 
 

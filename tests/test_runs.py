@@ -4,7 +4,7 @@ import shutil
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames_as_rows import rows
 from feedloom.operators import state as N
 from feedloom.plans import catalog as P
 from feedloom.sources.tables import ENTRY_DDL, empty_frame, entry_schema

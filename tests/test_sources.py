@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames_as_rows import rows
 from feedloom.operators import report as R, state as N
 from feedloom.sources import feeds as D, html as W, markdown as M, tables as A, tree as T
 
