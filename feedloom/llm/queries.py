@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut, tune
-from . import chat, licenses, packing, pieces, pii, quality, repeats, simhash, toxicity, vafile
+from . import chat, licenses, middles, packing, pieces, pii, quality, repeats, simhash, toxicity, vafile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,3 +154,35 @@ def _(docs):
     measured = cut(quality.measure(docs, keep=["doc_id"]))
     judged = quality.judge(measured, quality.fit(measured))
     return judged.select("doc_id", *quality.FIGURES[:5], "base_failed", "kept", "p_good", "pattern")
+
+
+_MIDDLES = r"""
+with t as (
+    select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units,
+        list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(sha256('1:' || coalesce(doc_id::varchar, '')), i, 8))::ubigint::bigint) as h
+    from documents
+), cut as (
+    select doc_id, text, units, len(units) as n,
+        least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) as a, greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) as b,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h[3] % 100 >= 90 then 'plain'
+            when h[4] % 100 < 20 then 'spm' else 'psm' end as form
+    from t
+), part as (
+    select doc_id, text, n, form, array_to_string(units[1 : a], '') as p, array_to_string(units[a + 1 : b], '') as m,
+        array_to_string(units[b + 1 : n], '') as s
+    from cut
+)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then len(p) end as prefix_chars,
+    case when form <> 'plain' then len(m) end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+        else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+    sha256(text) as restored_sha256
+from part"""
+
+
+@_query("op12_fill_in_middle", "documents", _MIDDLES)
+def _(docs):
+    done = middles.transform(docs.select("doc_id", "text"))
+    return done.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middles.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
