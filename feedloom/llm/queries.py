@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut, tune
-from . import chat, licenses, middles, packing, pieces, pii, quality, repeats, simhash, toxicity, vafile
+from . import chat, lexical, licenses, middles, packing, pieces, pii, quality, repeats, simhash, toxicity, vafile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -186,3 +186,33 @@ def _(docs):
     return done.select(
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
         F.sha2(middles.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+_RANKED = r"""
+with words as (
+    select 'd' as kind, doc_id as id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents
+    union all
+    select 'q', item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) from benchmark
+), tf as (
+    select id as doc_id, term, count(*) as tf from words where kind = 'd' and id is not null group by all
+), size as (
+    select doc_id, sum(tf)::bigint as n from tf group by doc_id
+), shared as (
+    select count(*) as docs, sum(n)::bigint as total from size
+), term as (
+    select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w from tf, shared group by term, docs
+), asked as (
+    select distinct id as item_id, term from words where kind = 'q' and id is not null
+), scored as (
+    select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::bigint as score
+    from asked join tf using (term) join term using (term) join size using (doc_id), shared group by all
+)
+select item_id, (row_number() over w)::integer as rank, doc_id, score from scored where score > 0
+window w as (partition by item_id order by score desc, doc_id) qualify row_number() over w <= 10"""
+
+
+@_query("op13_ranked_search", "documents", _RANKED, tables=["benchmark"])
+def _(docs, items):
+    return lexical.search(docs, items)
