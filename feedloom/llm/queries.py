@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut, tune
-from . import chat, lexical, licenses, middles, packing, pieces, pii, quality, repeats, simhash, toxicity, vafile
+from . import chat, lexical, licenses, middles, packing, pieces, pii, quality, repeats, simhash, suffixes, toxicity, vafile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -156,6 +156,39 @@ def _(docs):
     return judged.select("doc_id", *quality.FIGURES[:5], "base_failed", "kept", "p_good", "pattern")
 
 
+# every string of 400 bytes by a hash, runs of those that are there again, and the bytes between the runs
+_STRINGS = r"""
+with t as (
+    select row_number() over () as row, doc_id, encode(coalesce(text, '')) as b from documents
+), string as (
+    select row, s, md5(b[s + 1 : s + 400]) as m from (select row, b, unnest(range(0, octet_length(b) - 399)) as s from t)
+), again as (
+    select m from string group by m having count(*) > 1
+), hit as (
+    select row, s, case when s <= 400 + lag(s) over (partition by row order by s) then 0 else 1 end as new from string semi join again using (m)
+), run as (
+    select row, min(s) as a, max(s) + 400 as e
+    from (select row, s, sum(new) over (partition by row order by s) as run from hit) group by row, run
+), edge as (
+    select row, a, e, coalesce(lag(e) over (partition by row order by a), 0) as before from run
+), kept as (
+    select row, sum(e - a)::bigint as removed, count(*) as spans, max(e) as last,
+        string_agg(hex(b[before + 1 : a]), '' order by a) || hex(any_value(b)[max(e) + 1 :]) as rest
+    from edge join t using (row) group by row
+)
+select doc_id, octet_length(b)::bigint as n_bytes, coalesce(removed, 0) as n_removed, coalesce(spans, 0) as n_spans,
+    sha256(case when removed is null then b else unhex(rest) end) as kept_sha256
+from t left join kept using (row)
+"""
+
+
+@_query("op11_suffix_dedup", "documents", _STRINGS)
+def _(docs):
+    done = suffixes.remove_repeats(docs.select("doc_id", "text"))
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _MIDDLES = r"""
 with t as (
     select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units,
