@@ -43,8 +43,9 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column; a null is an empty text."""
-    column = column.fill_null("").cast(pa.large_string())
+    """(bytes, offsets) of a string or binary column; a null is an empty text."""
+    raw = pa.types.is_binary(column.type)
+    column = column.fill_null(b"" if raw else "").cast(pa.large_binary() if raw else pa.large_string())
     _, offsets, data = column.buffers()
     if len(column) == 0 or offsets is None:
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
