@@ -128,7 +128,6 @@ def test_vantage_trees_find_all_links(spark):
     points = np.unique(np.concatenate([*near, rng.integers(0, 2**63, 600, dtype=np.uint64)]))
     nodes = spark.createDataFrame([(i, int(p)) for i, p in enumerate(points.view(np.int64))], "node long, point long")
     links = simhash.links(nodes, shard_nodes=50)
-    assert all(bin(int(points[r.a] ^ points[r.b])).count("1") <= 2 for r in links.collect())
     got = {r.node: r.component for r in frames.components(links).collect()}
     want = brute.groups([(i, int(p)) for i, p in enumerate(points)])
     assert {i: got.get(i, i) for i in want} == want
