@@ -43,8 +43,9 @@ def _(docs):
 
 _TOP = """
 with v as (
-    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+    select vec_id, min(list_transform(embedding, lambda x: floor(256 * x::double))) as v from embeddings
     where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    group by vec_id
 ), scored as (
     select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
     from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)

@@ -7,9 +7,10 @@ the order of their upper bounds (the lower bound of the distance), until no unre
 The shards' k best are merged. Queries come in blocks of bounded size as well: a task holds one shard and one block.
 
 Components become floor(scale * x), so scores are integers and exact; ties go to the smaller id. Vectors that are null,
-or hold a null or non-finite component or one of 2**26 or more after scaling, take no part, nor do rows with a null id.
-Of rows that share an id the one with the smallest vector counts. Only vectors of a query's length are its candidates.
-No queries or no candidates: no rows out.
+or hold a null component or one that is not finite after scaling, take no part, nor do rows with a null id. Where a pair has a component of ``WIDE`` or
+more after scaling, its bounds are those of floating point and its exact score is taken in integers of any size; a score that
+64 bits do not hold is ranked by its exact value and reported as the nearest long. Of rows that share an id the one with the
+smallest vector counts. Only vectors of a query's length are its candidates. No queries or no candidates: no rows out.
 """
 
 from __future__ import annotations
@@ -18,27 +19,62 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import cut
+
 SCALE, CELLS = 256, 16
 SHARD_ROWS = 8192
 BLOCK_ROWS = 1 << 14  # queries that meet a shard in one task
 QUERY_ROWS = 512  # of these, scanned at a time
 _READ = 32  # exact vectors read at a time
 
-_OUT = "query_id long, vec_id long, score long"
+WIDE = 1 << 26  # products of smaller components add up in 64 bits for up to 2048 dimensions
+_BEYOND = 264  # bytes of an exact score that a long does not hold
+
+_OUT = "query_id long, vec_id long, score long, beyond binary"
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), -1)
-
-
-def _unique(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One vector for each id, the smallest."""
-    order = np.lexsort((*vectors.T[::-1], ids))
-    ids, vectors = ids[order], vectors[order]
-    first = np.ones(len(ids), bool)
-    first[1:] = ids[1:] != ids[:-1]
-    return ids[first], vectors[first]
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def _is_wide(vectors: np.ndarray) -> np.ndarray:
+    """Rows whose products with others 64 bits might not hold."""
+    limit = min(WIDE, 2 ** (31 - max(vectors.shape[1] - 1, 0).bit_length() // 2 - 1))
+    return (np.abs(vectors) >= limit).any(axis=1) if vectors.size else np.zeros(len(vectors), bool)
+
+
+def _best_wide(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int):
+    """As ``ApproximationFile.search`` for components of any size: (index, id, score) with scores as Python integers."""
+    if not len(queries) or not len(vectors):
+        return
+    shift = [int(np.frexp(np.abs(x).max(initial=0))[1]) for x in (queries, vectors)]
+    q, v = np.ldexp(queries, -shift[0]), np.ldexp(vectors, -shift[1])
+    about = q @ v.T
+    # rounding of a sum of products, and of components too small to be held beside the largest
+    wide = (np.abs(q) @ np.abs(v).T) * (2 * q.shape[1] + 4) * 2.0**-52 + 2.0**-1000
+    for i in range(len(queries)):
+        other = np.flatnonzero(ids != own[i])
+        if not len(other):
+            continue
+        low, high = (about[i] - wide[i])[other], (about[i] + wide[i])[other]
+        n = min(k, len(other))
+        sure = np.partition(low, len(low) - n)[len(low) - n]
+        at = other[high >= sure]
+        at = at[np.argsort(-(about[i] + wide[i])[at], kind="stable")]
+        asked, found = [int(x) for x in queries[i]], []
+        for j in at.tolist():
+            if len(found) == k and (about[i, j] + wide[i, j]) < about[i, found[-1][2]] - wide[i, found[-1][2]]:
+                break
+            found.append((-sum(a * int(b) for a, b in zip(asked, vectors[j])), int(ids[j]), j))
+            found = sorted(found)[:k]
+        yield from ((i, d, -s) for s, d, _ in found)
+
+
+def _as_long(score: int) -> tuple[int, bytes | None]:
+    """(nearest long, bytes in whose order equal longs rank)."""
+    near = max(min(score, 2**63 - 1), -(2**63))
+    return near, None if abs(score) < 2**63 - 1 else (score + (1 << 8 * _BEYOND - 1)).to_bytes(_BEYOND, "big")
 
 
 class ApproximationFile:
@@ -81,6 +117,11 @@ class ApproximationFile:
             yield i, best_id, best
 
 
+def _floor(x):
+    """The largest whole number that is not above ``x``, as a double also beyond 64 bits."""
+    return F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
+
+
 def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of rows, exact: in floating point only where all sums are below 2**53."""
     if a.shape[1] == 0 or not len(a) or not len(b):
@@ -94,17 +135,26 @@ def _shard(k: int, cells: int, query_rows: int):
     def go(table: pa.Table) -> pa.Table:
         asked = table.column("asked").to_numpy(zero_copy_only=False).astype(bool)
         ids, vectors = table.column("id").to_numpy(), _matrix(table.column("vector"))
-        query_ids, queries = _unique(ids[asked], vectors[asked])
-        ids, vectors = _unique(ids[~asked], vectors[~asked])
-        got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if len(ids) and len(query_ids):
-            file = ApproximationFile(vectors, cells)
+        big = _is_wide(vectors)
+        got: list[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes | None]]] = []
+        pick = lambda some: (ids[some], vectors[some].astype(np.int64))
+        (query_ids, queries), (near_ids, near) = pick(asked & ~big), pick(~asked & ~big)
+        if len(near_ids) and len(query_ids):
+            file = ApproximationFile(near, cells)
             for at in range(0, len(query_ids), query_rows):
                 part = slice(at, at + query_rows)
-                for i, found, score in file.search(queries[part], query_ids[part], ids, k):
-                    got.append((np.full(len(found), query_ids[at + i]), found, score))
-        columns = [np.concatenate(x) if got else np.zeros(0, np.int64) for x in (zip(*got) if got else ((), (), ()))]
-        return pa.table(dict(zip(["query_id", "vec_id", "score"], map(pa.array, columns))))
+                for i, found, score in file.search(queries[part], query_ids[part], near_ids, k):
+                    got.append((np.full(len(found), query_ids[at + i]), found, score, [None] * len(found)))
+        for some, others in ((asked & ~big, ~asked & big), (asked & big, ~asked)) if big.any() else ():
+            some = np.flatnonzero(some)
+            for at in range(0, len(some), query_rows):
+                part = some[at : at + query_rows]
+                for i, found, score in _best_wide(vectors[part], ids[part], vectors[others], ids[others], k):
+                    near_score, beyond = _as_long(score)
+                    got.append((ids[part[i : i + 1]], np.array([found]), np.array([near_score]), [beyond]))
+        columns = [np.concatenate(x) if got else np.zeros(0, np.int64) for x in (list(zip(*got))[:3] if got else ((), (), ()))]
+        beyond = pa.array([b for *_, more in got for b in more], pa.binary())
+        return pa.table(dict(zip(["query_id", "vec_id", "score", "beyond"], [*map(pa.array, columns), beyond])))
 
     return go
 
@@ -116,9 +166,17 @@ def top_k(
     """(query_id, rank, vec_id, score): the ``k`` largest inner products of each query with the other rows."""
 
     def whole(df: DataFrame) -> DataFrame:
-        cells_ = F.transform(F.col(f"`{vector}`"), lambda x: F.floor(scale * x.cast("double")))
-        sound = F.forall(F.col(f"`{vector}`"), lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < 2**26 / scale))
-        return df.filter(sound & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("long").alias("id"), cells_.alias("vector"))
+        cells_ = F.transform(F.col(f"`{vector}`"), lambda x: _floor(scale * x.cast("double")))
+        sound = F.forall(F.col(f"`{vector}`"), lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(scale * x.cast("double")) < float("inf")))
+        return once(df.filter(sound & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("long").alias("id"), cells_.alias("vector")))
+
+    def once(df: DataFrame) -> DataFrame:
+        """One row for each id; only rows of ids that repeat are shuffled for it."""
+        again = cut(df.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"))
+        if again.isEmpty():
+            return df
+        folded = df.join(again, "id", "left_semi").groupBy("id").agg(F.min("vector").alias("vector"))
+        return df.join(again, "id", "left_anti").unionByName(folded)
 
     data, asked = whole(rows), whole(queries)
 
@@ -137,5 +195,5 @@ def top_k(
     side = lambda df, q: df.select("length", "shard", "block", "id", "vector", F.lit(q).alias("asked"))
     met = side(data, False).unionByName(side(asked, True))
     found = met.groupBy("length", "shard", "block").applyInArrow(_shard(k, cells, query_rows), _OUT)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -302,6 +302,22 @@ def test_top_k(spark, shard_rows):
     assert vafile.top_k(rows, rows.limit(0)).count() == 0 and vafile.top_k(rows.limit(0), rows).count() == 0
 
 
+@pytest.mark.parametrize("shard_rows", [20, 8192])
+def test_top_k_of_any_finite_size(spark, shard_rows):
+    rng = np.random.default_rng(6)
+    sizes = [1.0, 3e5, 1e12, 1e30, 3e38]
+    sound = [(i, (rng.normal(size=3) * sizes[i % 5] * 0.1).tolist()) for i in range(120)]
+    sound += [(200 + i, [0.0, 3e5 * (-1) ** i, 0.0]) for i in range(6)]  # ties among the large ones
+    sound += [(300 + i, rng.normal(size=2000).tolist()) for i in range(30)] + [(350, [3e5] * 2000), (351, [1e30] * 2000)]
+    odd = [(500, [float("inf"), 1.0, 1.0]), (501, [1.0, None, 1.0])]
+    rows = spark.createDataFrame([*sound, *odd, sound[1], sound[3], sound[3]], "vec_id long, embedding array<float>")
+    got = vafile.top_k(rows, rows.filter("vec_id % 50 = 0"), shard_rows=shard_rows, query_rows=2).collect()
+    near = lambda x: max(min(x, 2**63 - 1), -(2**63))
+    want = [(q, r, i, near(s)) for n in (0, 50, 100, 200, 300, 350) for q, r, i, s in best(sound, n, 5)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert any(w[3] == 2**63 - 1 for w in want)
+
+
 def test_pieces(docs, rows):
     vocabulary = pieces.Vocabulary.read()
     done = pieces.encode(docs, keep=["doc_id", "text", "c0"])
