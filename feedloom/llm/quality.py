@@ -1,9 +1,10 @@
 """Quality rules by weak supervision: rules vote, expectation-maximisation weighs them, a posterior decides.
 
-Every rule looks at the figures of one whole text and votes good (2), bad (0) or abstains (1). A row's votes are its
-pattern. Patterns are counted over all rows, and expectation-maximisation over the counts estimates, for each rule, how
-often it votes each way on good and on bad texts, and the share of good texts. The posterior of a pattern then replaces
-"all rules must pass": one weak bad vote may be outvoted, a telling one is enough.
+Every rule looks at the figures of one whole text and votes good (2), bad (0) or abstains (1), between the two limits. A
+row's votes are its pattern. Patterns are counted over all rows, and expectation-maximisation over the counts estimates, for
+each rule, how often it does each of the three on good and on bad texts, and the share of good texts. The posterior of a
+pattern then replaces "all rules must pass": one weak bad vote may be outvoted, several or a telling one are enough. A rule
+that never votes good speaks too: where it could have condemned a text and did not, it abstained.
 
 Null text: empty. An empty text fails the base rules. Repeated rows, ties and null ids are rows like any other. No rows:
 no rows out. The counted table has at most 3 ** (number of rules) rows, whatever the input.
@@ -53,13 +54,13 @@ class Rule:
 
 RULES = (
     Rule("length", "n_words", None, bad_under=50, good=(100, np.inf)),
-    Rule("word length", "word_chars", "n_words", bad_over=12, bad_under=2.2),
-    Rule("symbols", "n_symbols", "n_words", bad_over=0.1),
+    Rule("word length", "word_chars", "n_words", bad_over=12, bad_under=2.2, good=(3, 9)),
+    Rule("symbols", "n_symbols", "n_words", bad_over=0.1, good=(0, 0.05)),
     Rule("signs in words", "n_signs", "word_chars", bad_over=0.08, good=(0, 0.04)),
-    Rule("repeated lines", "n_dup_lines", "n_lines", bad_over=0.4),
+    Rule("repeated lines", "n_dup_lines", "n_lines", bad_over=0.4, good=(0, 0.2)),
     Rule("repeated words", "n_repeat_words", "n_words", bad_over=0.4, good=(0, 0.1)),
-    Rule("capitals", "n_upper", "n_letters", bad_over=0.5),
-    Rule("shouting", "n_marks", "n_words", bad_over=0.2),
+    Rule("capitals", "n_upper", "n_letters", bad_over=0.5, good=(0, 0.3)),
+    Rule("shouting", "n_marks", "n_words", bad_over=0.2, good=(0, 0.1)),
 )
 
 
@@ -144,25 +145,32 @@ def measure(docs: DataFrame, *, text: str = "text", keep: list[str] | None = Non
 def posterior(patterns: np.ndarray, counts: np.ndarray, n_rules: int, *, prior: float = 0.9, rounds: int = 200) -> np.ndarray:
     """Probability that a row of each pattern is good.
 
-    An abstention says nothing. Starts from rules of equal worth: a rule that votes on a bad text votes bad in one case
-    of two, on a good text in one of fifty. Rates are smoothed by one row each way.
+    Each rule has three outcomes, an abstention among them. Starts from rules of equal worth: on a bad text a rule votes bad
+    in two cases of five, on a good text in one of fifty, and otherwise does what it does on the whole. Rates are smoothed by
+    one row each way. A bad vote is never taken as a sign of a good text, nor an abstention or a good vote against a bad one
+    by more than it tells: where the estimates say otherwise, both classes get the rule's common rates.
     """
     votes = np.stack([patterns // 3**i % 3 for i in range(n_rules)], axis=1)
-    said, at = votes != 1, votes // 2
-    rates = np.tile(np.array([[0.5, 0.5], [0.02, 0.98]])[:, None, :], (1, n_rules, 1))  # class, rule, vote
+    rule = np.arange(n_rules)
+    seen = np.stack([np.bincount(votes[:, i], weights=counts, minlength=3) + 1 for i in rule]) if len(counts) else np.ones((n_rules, 3))
+    rates = np.empty((2, n_rules, 3))  # class, rule, vote
+    for c, bad in enumerate((0.4, 0.02)):
+        rates[c, :, 0] = bad
+        rates[c, :, 1:] = (1 - bad) * seen[:, 1:] / seen[:, 1:].sum(axis=1, keepdims=True)
     share = prior
     good = np.full(len(patterns), prior)
     for _ in range(rounds):
-        logs = (np.log(rates[:, np.arange(n_rules), at]) * said).sum(axis=2)
+        logs = np.log(rates[:, rule, votes]).sum(axis=2)
         odds = logs[1] - logs[0] + np.log(share) - np.log1p(-share)
         before, good = good, 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
-        for c, weight in enumerate((counts * (1 - good), counts * good)):
-            for i in range(n_rules):
-                seen = np.bincount(at[said[:, i], i], weights=weight[said[:, i]], minlength=2) + 1
-                rates[c, i] = seen / seen.sum()
-        share = float(np.clip((counts @ good + 1) / (counts.sum() + 2), 1e-6, 1 - 1e-6))
         if np.abs(good - before).max(initial=0) < 1e-9:
             break
+        held = np.stack([[np.bincount(votes[:, i], weights=w, minlength=3) for i in rule] for w in (counts * (1 - good), counts * good)]) + 1
+        rates = held / held.sum(axis=2, keepdims=True)
+        wrong = rates[0, :, 0] < rates[1, :, 0]
+        both = held.sum(axis=0)
+        rates[:, wrong] = (both / both.sum(axis=1, keepdims=True))[wrong]
+        share = float(np.clip((counts @ good + 1) / (counts.sum() + 2), 1e-6, 1 - 1e-6))
     return good
 
 

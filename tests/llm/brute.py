@@ -72,6 +72,36 @@ def quality(t):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(rep)
 
 
+def posterior(votes, prior=0.9, rounds=200):
+    """Probability of being good of each row of votes (0 bad, 1 none, 2 good), row by row."""
+    n, rules = len(votes), range(len(votes[0]))
+    count = lambda weight, i: [sum(w for v, w in zip(votes, weight) if v[i] == o) + 1 for o in range(3)]
+    rates = [[], []]
+    for i in rules:
+        c = count([1] * n, i)
+        for cls, bad in enumerate((0.4, 0.02)):
+            rates[cls].append([bad, (1 - bad) * c[1] / (c[1] + c[2]), (1 - bad) * c[2] / (c[1] + c[2])])
+    share, good = prior, [prior] * n
+    for _ in range(rounds):
+        before, good = good, []
+        for v in votes:
+            like = [share_ for share_ in (1 - share, share)]
+            for cls in (0, 1):
+                for i in rules:
+                    like[cls] *= rates[cls][i][v[i]]
+            good.append(like[1] / (like[0] + like[1]))
+        if max(abs(a - b) for a, b in zip(good, before)) < 1e-9:
+            break
+        for i in rules:
+            held = [count([1 - g for g in good], i), count(good, i)]
+            if held[0][0] / sum(held[0]) < held[1][0] / sum(held[1]):
+                held = [[a + b for a, b in zip(*held)]] * 2
+            for cls in (0, 1):
+                rates[cls][i] = [x / sum(held[cls]) for x in held[cls]]
+        share = (sum(good) + 1) / (n + 2)
+    return good
+
+
 def pieces(text, key_hash, vocabulary, alpha, seed):
     """Forward filtering and backward sampling of one text, place by place."""
     import math

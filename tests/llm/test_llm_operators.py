@@ -93,6 +93,61 @@ def test_quality_posterior_finds_the_telling_rules():
     assert (found == best).mean() > 0.995
 
 
+def test_quality_posterior_hears_rules_that_never_vote_good():
+    rng = np.random.default_rng(7)
+    good = rng.random(60_000) < 0.8
+    # (bad, abstains, good) of each rule on good and on bad texts; three rules never vote good
+    rates = {True: [(0.02, 0.98, 0), (0.01, 0.99, 0), (0.03, 0.97, 0), (0.02, 0.1, 0.88)],
+             False: [(0.7, 0.3, 0), (0.6, 0.4, 0), (0.5, 0.5, 0), (0.4, 0.4, 0.2)]}
+    draw = lambda p: np.searchsorted(np.cumsum(p)[:2], rng.random(len(good)), "right")
+    votes = np.stack([np.where(good, draw(rates[True][i]), draw(rates[False][i])) for i in range(4)], axis=1)
+    pattern, inverse, times = np.unique(votes @ 3 ** np.arange(4), return_inverse=True, return_counts=True)
+    p = quality.posterior(pattern, times.astype(float), 4)
+    like = lambda r: np.prod([np.array(r[i])[votes[:, i]] for i in range(4)], axis=0)
+    best = 0.8 * like(rates[True]) >= 0.2 * like(rates[False])
+    assert ((p[inverse] >= 0.5) == best).mean() > 0.99
+    of = dict(zip(pattern.tolist(), p))
+    assert of[sum(v * 3**i for i, v in enumerate((0, 0, 0, 1)))] < 0.01 < 0.9 < of[sum(v * 3**i for i, v in enumerate((1, 1, 1, 2)))]
+
+
+def test_quality_posterior_of_rows_condemned_by_mute_rules():
+    mute, all_good = (1, 2, 4, 6, 7), [2] * 8
+    for first in (1, 2):  # the mute rules abstain on good texts, or vote good
+        base = [first if i in mute else 2 for i in range(8)]
+        rows = [(base, 90_000), *[([0 if i == m else v for i, v in enumerate(base)], 2_000) for m in mute],
+                ([0 if i in mute else v for i, v in enumerate(all_good)], 5_000)]
+        pattern = np.array([sum(v * 3**i for i, v in enumerate(r)) for r, _ in rows])
+        p = quality.posterior(pattern, np.array([n for _, n in rows], float), 8)
+        assert (p[:6] > 0.9).all() and p[6] < 0.01
+
+
+def test_quality_kept_is_that_of_a_plain_row_by_row_estimate(docs, rows):
+    votes = []
+    for _, t in rows:
+        t = t or ""
+        n, chars, symbols, again, repeat = brute.quality(t)
+        lines = [x for x in t.split("\n") if brute.WORD.search(x)]
+        letters = [c for c in t if c.isascii() and c.isalpha()]
+        made = {"n_words": n, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": again, "n_repeat_words": repeat, "n_lines": len(lines),
+                "n_upper": sum(c.isupper() for c in letters), "n_letters": len(letters), "n_marks": sum(c in "!?" for c in t),
+                "n_signs": sum(33 <= ord(c) < 127 and not c.isalnum() for c in t)}
+        ratio = [made[r.part] / (max(made[r.whole], 1) if r.whole else 1) for r in quality.RULES]
+        votes.append([0 if x > r.bad_over or x < r.bad_under else 2 if r.good and r.good[0] <= x <= r.good[1] else 1
+                      for x, r in zip(ratio, quality.RULES)])
+    good = brute.posterior(votes)
+    want = sorted((i or -1, bool(g >= 0.5) and (q := brute.quality(t))[0] >= 50 and 100 * q[4] <= 50 * q[0]) for (i, t), g in zip(rows, good))
+    measured = quality.measure(docs)
+    got = quality.judge(measured, quality.fit(measured)).collect()
+    assert sorted((r.doc_id or -1, r.kept) for r in got) == want
+
+
+def test_quality_posterior_at_the_limit(spark):
+    model = spark.createDataFrame([(0, 0.5), (1, 0.49999)], "pattern long, p_good double")
+    rows = spark.createDataFrame([(0, False), (1, False), (0, True)], "pattern long, base_failed boolean")
+    assert sorted(map(tuple, quality.judge(rows, model).select("pattern", "base_failed", "kept").collect())) == [
+        (0, False, True), (0, True, False), (1, False, False)]
+
+
 def test_quality_keeps_rows_unchanged(docs, none):
     kept = quality.keep_good(docs)
     assert kept.columns == docs.columns and kept.exceptAll(docs).count() == 0
