@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed, urls
@@ -114,20 +115,39 @@ def has_install_config(command: Column | str, url: Column | str) -> Column:
 def front_block(text: Column | str) -> Column:
     """Text between the opening ``---`` and the next line that begins with it; null if there is none."""
     c = col(text)
-    block = F.regexp_extract(c, r"(?s)\A---(.*?)\n---", 1)
-    return F.when(c.rlike(r"(?s)\A---.*?\n---"), block)
+    end = F.locate("\n---", c, 4)
+    return F.when(F.startswith(c, F.lit("---")) & (end > 0), F.substr(c, F.lit(4), end - 4))
+
+
+def _unreadable(block: str | None, load, errors: tuple[type[Exception], ...]) -> bool:
+    if block is None:
+        return False
+    try:
+        load(block)
+    except errors:
+        return True
+    return False
 
 
 def broken_front_matter(text: Column | str) -> Column:
-    """True where a line of the front matter has a second colon and blank in an unquoted value, which no reader of
-    YAML takes. Texts without front matter are sound."""
+    """True where a YAML reader cannot load the front matter. Texts without front matter are sound.
 
-    def broken(line: Column) -> Column:
-        value = F.trim(F.regexp_extract(line, r"\A[^:]*:(.*)\z", 1))
-        quoted = (F.left(value, F.lit(1)) == F.right(value, F.lit(1))) & F.left(value, F.lit(1)).isin("'", '"')
-        return ~F.ltrim(line).startswith("#") & ~quoted & value.contains(": ")
+    Only the front block goes to Python, in Arrow batches, and only of texts that have one. Needs PyYAML on the executors;
+    where it is missing the query fails and says so, since a guess would drop sound rows and keep broken ones.
+    """
 
-    return F.coalesce(F.exists(F.split(front_block(text), r"\r?\n"), broken), F.lit(False))
+    @F.pandas_udf("boolean")
+    def broken(blocks: pd.Series) -> pd.Series:
+        try:
+            import yaml
+        except ImportError as missing:
+            raise ImportError("broken_front_matter needs PyYAML on every executor") from missing
+        # a value that cannot be made (a date with month 13) or is nested too deep is no more readable than a bad line
+        errors = (yaml.YAMLError, ValueError, OverflowError, RecursionError)
+        return blocks.map(lambda b: _unreadable(b, yaml.safe_load, errors)).astype(bool)
+
+    block = front_block(text)
+    return F.when(block.isNull(), F.lit(False)).otherwise(broken(F.coalesce(block, F.lit(""))))
 
 
 def empty_stub(config: Column | str, field: str = "mcpServers") -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions import text as X
+from ...functions.values import first_rule
 from ...operators import filters as B, scoring as S, search as Q
 from ..registry import query
 
@@ -142,25 +143,56 @@ def b11_complete_plugins(t):
     return t.part.filter(B.complete_plugins("p_type", repo, verified, "SMALL")).select("p_partkey")
 
 
+# front matter made of whole texts, in ten forms; the second, third, fifth, sixth and seventh are not YAML
+FRONT_FORMS = (
+    lambda text, quoted, name: F.concat(F.lit("---\ntitle: "), name, F.lit("\ndescription: "), quoted, F.lit("\n---\n")),
+    lambda text, quoted, name: F.concat(F.lit("---\ndescription: "), name, F.lit(": a: b\nbody: "), quoted, F.lit("\n---\n")),
+    lambda text, quoted, name: F.concat(F.lit("---\nbody: "), quoted, F.lit('\ntitle: "'), name, F.lit("\n---\n")),
+    lambda text, quoted, name: F.concat(F.lit('---\nmetadata: {"a": {"b": "c"}, "d": '), quoted, F.lit("}\n---\n")),
+    lambda text, quoted, name: F.concat(F.lit("---\ntags: ["), name, F.lit(", "), quoted, F.lit("\n---\n")),
+    lambda text, quoted, name: F.concat(F.lit("---\nouter:\n\tinner: "), quoted, F.lit("\n---\n")),
+    lambda text, quoted, name: F.concat(F.lit("---\nname: "), name, F.lit("\u0007\nbody: "), quoted, F.lit("\n---\n")),
+    lambda text, quoted, name: F.concat(
+        F.lit("---\nUse: |2\n  Use: foo: bar\n  "), F.regexp_replace(text, r"\r\n?|\n", "\n  "), F.lit("\nkey: v # note: x\n---\n")),
+    lambda text, quoted, name: F.concat(F.lit("---\nlist:\n  - "), name, F.lit("\n  - "), quoted, F.lit("\nempty:\n---\n")),
+    lambda text, quoted, name: F.concat(F.lit("a: b: c\n"), text),
+)
+
+
+def fronted(t):
+    """Documents with front matter of the form that their id names, and its body behind it."""
+    quoted = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("t")))
+    quoted = F.substr(quoted, F.lit(6), F.length(quoted) - 6)
+    name = F.concat(F.lit("n"), F.col("doc_id").cast("string"))
+    text = F.coalesce("text", F.lit(""))
+    made = first_rule([(F.col("doc_id") % 10 == i, form(text, quoted, name)) for i, form in enumerate(FRONT_FORMS)])
+    return t.documents.withColumn("file", F.concat(made, text))
+
+
 @query(
     "b12_usability",
     """select reason, count(*) as n from (select case when lang = 'es' then 'unknown_type' when quality is null then 'orphan_no_file'
-  when lang = 'en' and toxic = 1 then 'mcp_empty_stub' when lang <> 'en' and n_chars > 2000 then 'md_yaml_broken' else 'kept' end as reason
+  when lang = 'en' and toxic = 1 then 'mcp_empty_stub' when lang <> 'en' and doc_id % 10 in (1, 2, 4, 5, 6) then 'md_yaml_broken' else 'kept' end as reason
   from documents left join labels using (doc_id)) group by reason""",
 )
 def b12_usability(t):
     from ...operators.report import drop_counts
 
-    d = t.documents.join(t.labels, "doc_id", "left")
-    front = F.when(F.col("n_chars") > 2000, "---\nname: a: b: c\n---\n").otherwise("---\nname: 'a: b'\n---\n")
+    d = fronted(t).join(t.labels, "doc_id", "left")
     config = F.when(F.col("toxic") == 1, '{"mcpServers": {"a": {}, "b": {"command": " "}}}').otherwise('{"mcpServers": {"a": {"url": "http://x"}}}')
     reason = B.usability_reason(
         type_=F.when(F.col("lang") != "es", F.col("lang")), has_file=F.col("quality").isNotNull(), stub=B.empty_stub(config),
-        broken=B.broken_front_matter(F.concat(front, "text")), known=["en", "de", "fr"], stub_type="en", text_types=["de", "fr"],
+        broken=B.broken_front_matter("file"), known=["en", "de", "fr"], stub_type="en", text_types=["de", "fr"],
     )
     return drop_counts(d.withColumn("reason", reason))
 
 
+@query("b12_front_matter", "select doc_id, doc_id % 10 in (1, 2, 4, 5, 6) as broken from documents")
+def b12_front_matter(t):
+    """Every whole text behind front matter of one of ten forms."""
+    return fronted(t).select("doc_id", B.broken_front_matter("file").alias("broken"))
+
+
 @query("b13_install_gate", "select event_id from events where event_type in ('view', 'click')")
 def b13_install_gate(t):
     cfg = F.when(F.col("event_type") == "view", F.lit('{"command": "run"}')).when(F.col("event_type") == "click", F.lit('{"command": " ", "url": "u"}')).otherwise('{"command": ""}')

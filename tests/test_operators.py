@@ -379,6 +379,33 @@ def test_thin_and_broken(spark):
     assert one(spark, B.broken_front_matter("t"), t="---\na: b: c\n---\n") is True
     assert one(spark, B.broken_front_matter("t"), t="---\na: 'b: c'\n---\n") is False
     assert one(spark, B.broken_front_matter("t"), t="no front") is False
+
+
+def test_front_matter_is_judged_as_a_yaml_reader_does(spark):
+    import yaml
+
+    sound = ['metadata: {"a": {"b": "c"}}', "text: |\n  Use: foo: bar", "key: v # note: x", "", "- a\n- b", "a: 'x: y'", "just a line"]
+    broken = ['title: "abc', "tags: [a, b", "a:\n\tb: c", "a: b: c", "name: a\x07b", "a: *nobody", "a: !unknown x", "{", "day: 2024-13-45", "[" * 3000]
+    texts = [f"---\n{b}\n---\nbody: a: b" for b in sound + broken] + [None, "", "---\na: b: c", " ---\na: b: c\n---", "---\n---", "---a: b: c\n---"]
+    want = [False] * len(sound) + [True] * len(broken) + [False, False, False, False, False, True]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert [r.b for r in df.select("i", B.broken_front_matter("t").alias("b")).orderBy("i").collect()] == want
+
+    def row_wise(t):
+        end = t.find("\n---", 3) if t and t.startswith("---") else -1
+        try:
+            yaml.safe_load(t[3:end] if end >= 0 else "")
+        except (yaml.YAMLError, ValueError, RecursionError):
+            return True
+        return False
+
+    assert [row_wise(t) for t in texts] == want
+    from feedloom.plans.queries.filtering import FRONT_FORMS, fronted
+    from feedloom.plans.registry import Tables
+
+    files = fronted(Tables(spark, "/root/testdata/sf0.001")).select("doc_id", "file", B.broken_front_matter("file").alias("b")).collect()
+    assert len({r.doc_id % 10 for r in files}) == len(FRONT_FORMS) and {r.b for r in files} == {True, False}
+    assert all(r.b == row_wise(r.file) for r in files)
     assert one(spark, B.empty_stub("t"), t='{"mcpServers": {"a": {}}}') is True
     assert one(spark, B.empty_stub("t"), t="{bad") is False
 
