@@ -1,19 +1,22 @@
 """Incremental state as tables: failure ledger, checkpoint, result cache, frontier, snapshots.
 
 A state table is a parquet directory per version and a log that names the versions in turn.
-A run writes a new version and then appends its name to the log, so a lost run changes nothing
-and no reader ever finds the table gone.
+A run writes a new version and then its name into the log, so a lost run changes nothing
+and no reader ever finds the table gone. Tables that change by key are kept in buckets instead
+(``sources.keyed``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.fixed import QUARANTINE_AT, QUARANTINE_UNTIL
 from ..functions.values import col
-from ..sources.tables import empty_frame, path_exists
+from ..sources import versions
+from ..sources.tables import empty_frame
+from ..sources.versions import StateConflict
 from .relational import first_per_key, skew_join, with_position
 
 LEDGER_KEYS = ("type", "rubric_version", "entry_id")
@@ -175,17 +178,10 @@ def batch_log(items: DataFrame, returned: DataFrame, order: Sequence[Column], *,
 # --- versioned state tables ------------------------------------------------------------------------
 
 
-def _log(folder: str) -> str:
-    return folder.rstrip("/") + "/versions"
-
-
 def current_state(spark: SparkSession, folder: str) -> tuple[int, str | None]:
     """(number, name) of the current version; (0, None) before the first write."""
-    if not path_exists(spark, _log(folder)):
-        return 0, None
-    lines = spark.read.schema("number bigint, version string").json(_log(folder))
-    last = lines.orderBy(F.desc("number"), F.desc("version")).first()
-    return (0, None) if last is None else (last["number"], last["version"])
+    number, said = versions.latest(spark, folder)
+    return number, said.get("version")
 
 
 def read_state(spark: SparkSession, folder: str, schema: str) -> DataFrame:
@@ -196,40 +192,56 @@ def read_state(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{folder.rstrip('/')}/{version}")
 
 
-def write_state(df: DataFrame, folder: str, version: str) -> None:
+def write_state(df: DataFrame, folder: str, version: str, after: int | None = None) -> None:
     """Write a version, then name it in the log. Older versions stay readable.
 
-    Data of the same version left by a lost run is replaced; writing the current version again
-    changes nothing.
+    Data of the same version left by a lost run is replaced; writing the current version again changes nothing. ``after``
+    is the number of the state that ``df`` was made from: if another run has named a version since, this one is not named
+    (``StateConflict``). Without it the version replaces whatever is there.
     """
     spark, base = df.sparkSession, folder.rstrip("/")
-    number, current = current_state(spark, folder)
-    if current == version:
+    if current_state(spark, folder)[1] == version:
         return
     df.write.mode("overwrite").parquet(f"{base}/{version}")
-    point_to(spark, folder, version, number + 1)
+    point_to(spark, folder, version, after)
+
 
+def update_state(spark: SparkSession, folder: str, version: str, schema: str, fn: Callable[[DataFrame], DataFrame], tries: int = 8) -> None:
+    """Write ``fn(current rows)`` as the next version; asked again where another run was faster."""
+    for i in range(tries):
+        number, current = current_state(spark, folder)
+        if current == version:
+            return
+        try:
+            return write_state(fn(read_state(spark, folder, schema)), folder, version, after=number)
+        except StateConflict:
+            if i + 1 == tries:
+                raise
 
-def point_to(spark: SparkSession, folder: str, version: str, number: int | None = None) -> None:
-    """Name a version in the log, which makes it the current one; one small file, written after the data."""
-    number = current_state(spark, folder)[0] + 1 if number is None else number
-    line = spark.createDataFrame([(number, version)], "number bigint, version string")
-    line.coalesce(1).write.mode("append").json(_log(folder))
+
+def point_to(spark: SparkSession, folder: str, version: str, after: int | None = None) -> None:
+    """Name a version in the log, which makes it the current one; one small file, written after the data.
+
+    Of two runs that name a version at the same time both are in the log, unless one says ``after`` which number it follows.
+    """
+    while True:
+        number = current_state(spark, folder)[0] if after is None else after
+        if versions.commit(spark, folder, number + 1, {"version": version}):
+            return
+        if after is not None:
+            raise StateConflict(f"{folder} has a version after {after} already")
 
 
 def drop_versions(spark: SparkSession, folder: str, keep: int = 1) -> list[str]:
     """Delete the data of all but the last ``keep`` versions; their names, oldest first. The log stays."""
     if keep < 1:
         raise ValueError("the current version has to stay")
-    if not path_exists(spark, _log(folder)):
-        return []
-    log = spark.read.schema("number bigint, version string").json(_log(folder))
-    names = list(dict.fromkeys(r.version for r in log.orderBy(F.desc("number"), F.desc("version")).collect()))
-    jvm, base = spark.sparkContext._jvm, folder.rstrip("/")
+    numbers = versions.entries(spark, folder)
+    names = list(dict.fromkeys(versions.entry(spark, folder, n)["version"] for n in reversed(numbers)))
     dropped = []
     for name in reversed(names[keep:]):
-        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{name}")
-        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True):
+        fs, path = versions._hadoop(spark, f"{folder.rstrip('/')}/{name}")
+        if fs.delete(path, True):
             dropped.append(name)
     return dropped
 

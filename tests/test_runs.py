@@ -2,12 +2,15 @@
 
 import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from frames_as_rows import rows
 from feedloom.operators import state as N
 from feedloom.plans import catalog as P
 from feedloom.sources.tables import ENTRY_DDL, empty_frame, entry_schema
+from feedloom.sources import versions
+from feedloom.sources.keyed import KeyedTable
 from feedloom.streaming import ledger as S
 
 FOLDER = "/root/testdata/sf0.001"
@@ -157,6 +160,7 @@ def test_stream_equals_batch(spark, tmp_path):
     from feedloom.plans.queries.selection import outcomes
     from feedloom.plans.registry import Tables
 
+    S.use_state_store(spark)
     all_ = outcomes(Tables(spark, FOLDER))
     folder, base, other = tmp_path / "in", str(tmp_path / "state"), str(tmp_path / "other")
     # three files in the order of event time, as a stream would bring them
@@ -179,9 +183,9 @@ def test_stream_equals_batch(spark, tmp_path):
         raw = stream.writeStream.foreachBatch(S.merge_outcomes(other)).option("checkpointLocation", str(tmp_path / "ck2"))
         raw.trigger(availableNow=True).start().awaitTermination()
     batch = N.ledger_update(empty_frame(spark, N.LEDGER_SCHEMA), all_)
-    streamed = N.read_state(spark, base, N.LEDGER_SCHEMA)
+    streamed = S.ledger_table(spark, base).read()
     assert rows(streamed.select(batch.columns)) == rows(batch)
-    assert rows(N.read_state(spark, other, N.LEDGER_SCHEMA).select(batch.columns)) == rows(batch)
+    assert rows(S.ledger_table(spark, other).read().select(batch.columns)) == rows(batch)
     assert batch.count() > 0
 
 
@@ -195,3 +199,133 @@ def test_a_lost_write_changes_nothing(spark, tmp_path):
     N.write_state(frame(7), folder, "v2")  # run again after it was done
     assert rows(N.read_state(spark, folder, ddl)) == [(2,)]
     assert N.current_state(spark, folder) == (2, "v2")
+
+
+def test_two_writers_of_a_state(spark, tmp_path):
+    folder, ddl = str(tmp_path / "state"), "id int"
+    frame = lambda *ids: spark.createDataFrame([(i,) for i in ids], ddl)
+    N.write_state(frame(1), folder, "v1")
+    # both have read version 1; the second one gets to know
+    N.write_state(frame(1, 2), folder, "a", after=1)
+    with pytest.raises(N.StateConflict):
+        N.write_state(frame(1, 3), folder, "b", after=1)
+    assert N.current_state(spark, folder) == (2, "a")
+    # asked again with what is there then
+    seen = []
+
+    def add(old):
+        if not seen:
+            N.write_state(frame(1, 2, 4), folder, "c")  # another run in between
+        seen.append(old.count())
+        return old.unionByName(frame(3))
+
+    N.update_state(spark, folder, "d", ddl, add)
+    assert rows(N.read_state(spark, folder, ddl)) == [(1,), (2,), (3,), (4,)] and len(seen) == 2
+    # of two that only name a version none is lost
+    N.point_to(spark, folder, "a")
+    N.point_to(spark, folder, "d")
+    assert [versions.entry(spark, folder, n)["version"] for n in versions.entries(spark, folder)] == ["v1", "a", "c", "d", "a", "d"]
+    assert not versions.commit(spark, folder, 3, {"version": "late"}) and versions.entry(spark, folder, 3) == {"version": "c"}
+
+
+def buckets_of(folder):
+    return {p.relative_to(folder).as_posix() for p in folder.glob("data/_bucket=*/_version=*/*.parquet")}
+
+
+def exchanges(df):
+    import re
+
+    return len(re.findall(r"\bExchange\b", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_keyed_table_writes_what_it_touches(shuffled, tmp_path):
+    spark, folder = shuffled, tmp_path / "cache"
+    ddl = "k string, n int, x string"
+    table = KeyedTable(spark, str(folder), ddl, ["k"], buckets=16)
+    assert table.read().count() == 0
+    many = spark.range(1000).selectExpr("cast(id as string) k", "1 n", "'old' x")
+    table.upsert(many, name="first", writer="w")
+    before = buckets_of(folder)
+    assert len(before) == 16 and rows(table.read()) == rows(many)
+    ten = spark.createDataFrame([(str(i * 3), 5 + i, "new") for i in range(5)] + [("fresh", 1, "new")], ddl)
+    table.upsert(ten, name="second", writer="w")
+    new = buckets_of(folder) - before
+    assert 1 <= len(new) <= 6 and before <= buckets_of(folder)
+    want = dict.fromkeys((str(i) for i in range(1000)), (1, "old")) | {r.k: (r.n, r.x) for r in ten.collect()}
+    assert {r.k: (r.n, r.x) for r in table.read().collect()} == want
+    assert table.upsert(ten, name="second", writer="w").number == 2  # run again after it was done
+    # order: the larger n stays
+    table.upsert(spark.createDataFrame([("0", 2, "low"), ("1", 9, "high")], ddl), order=[F.desc("n")])
+    assert {r.k: r.x for r in table.read().filter("k in ('0', '1')").collect()} == {"0": "new", "1": "high"}
+    # the table's side is not shuffled, nor is either of two tables
+    again = KeyedTable(spark, str(folder), ddl, ["k"])
+    assert again.buckets == 16 and rows(again.read()) == rows(table.read())
+    asked = spark.range(50).selectExpr("cast(id as string) k")
+    assert exchanges(asked.join(table.read(), "k", "left")) == 1
+    other = KeyedTable(spark, str(tmp_path / "other"), ddl, ["k"], buckets=16)
+    other.replace(many)
+    assert exchanges(table.read().join(other.read(), "k", "full_outer")) == 0
+    assert exchanges(table.read().groupBy("k").count()) == 0
+    # cleared keys, and states before
+    first = table.head()
+    table.change(ten, lambda old, new: old.join(new.select("k"), "k", "left_anti"))
+    assert table.read().count() == 995 and table.read(first).count() == 1001
+    assert table.drop_old() > 0 and table.read().count() == 995
+    table.replace(many.limit(0))
+    assert table.read().count() == 0
+
+
+def test_keyed_table_with_two_writers(spark, tmp_path):
+    ddl = "k int, n int"
+    table = KeyedTable(spark, str(tmp_path / "t"), ddl, ["k"], buckets=8)
+    other = KeyedTable(spark, str(tmp_path / "t"), ddl, ["k"], buckets=8)
+    frame = lambda *rows_: spark.createDataFrame(rows_, ddl)
+    table.replace(frame(*[(i, 0) for i in range(50)]))
+    at = {r.k: r.b for r in spark.range(50).selectExpr("cast(id as int) k").select("k", table.bucket().alias("b")).collect()}
+    far = next(k for k in at if at[k] != at[0])
+    asked = []
+
+    def meanwhile(key):
+        def fn(old, new):
+            asked.append(key)
+            if len(asked) == 1:  # another run writes between the read and the commit
+                other.upsert(frame((key, 7)))
+            return old.join(new.select("k"), "k", "left_anti").unionByName(new)
+        return fn
+
+    table.change(frame((0, 1)), meanwhile(far))  # another bucket: both get through at once
+    assert len(asked) == 1 and {r.k: r.n for r in table.read().filter("n > 0").collect()} == {0: 1, far: 7}
+    asked.clear()
+    same = next(k for k in at if k and at[k] == at[0])
+    table.change(frame((0, 2)), meanwhile(same))  # the same bucket: asked again
+    assert len(asked) == 2 and {r.k: r.n for r in table.read().filter("n > 0").collect()} == {0: 2, far: 7, same: 7}
+    assert table.read().count() == 50
+
+
+def test_stream_state_is_cleared_and_forgotten(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    S.use_state_store(spark)
+    ddl = "type string, rubric_version string, entry_id string, ok boolean, ts timestamp, event_id long, error_kind string"
+    folder, base = tmp_path / "in", str(tmp_path / "state")
+    folder.mkdir()
+    day = lambda d: datetime(2024, 1, 1) + timedelta(days=d)
+    row = lambda e, ok, d: ("skill", "1", e, ok, day(d), d, None if ok else "timeout")
+    batches = [
+        [row("a", False, 1), row("a", False, 2), row("b", False, 1), row("c", False, 2)],
+        [row("a", True, 4), row("c", False, 20)],
+        [row("d", False, 40)],
+        [row("d", False, 41)],
+    ]
+    found = []
+    for i, batch in enumerate(batches):
+        spark.createDataFrame(batch, ddl).coalesce(1).write.parquet(str(tmp_path / f"p{i}"))
+        shutil.copy(next((tmp_path / f"p{i}").glob("*.parquet")), folder / f"{i}.parquet")
+        stream = spark.readStream.schema(ddl).parquet(str(folder))
+        S.ledger_stream(stream, delay="1 day", forget=timedelta(days=30)).writeStream.outputMode("update").foreachBatch(
+            S.upsert_ledger(base, 4)).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+        found.append({r.entry_id: r.attempt_count for r in S.ledger_table(spark, base).read().collect()})
+    assert found[0] == {"a": 2, "b": 1, "c": 1} and found[1] == {"b": 1, "c": 2}
+    assert found[-1] == {"c": 2, "d": 2}  # b had nothing for 30 days
+    state = spark.read.format("statestore").option("stateVarName", "failures").load(str(tmp_path / "ck"))
+    assert sorted(r.key.entry_id for r in state.collect()) == ["c", "d"]
