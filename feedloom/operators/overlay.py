@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed
 from ..functions.values import col, empty_as_null, first_rule
 from ..session import cut
+from ..sources.keyed import KeyedTable
 from .linkage import greedy_first_wins
-from .relational import HOT_ROWS, first_per_key, skew_join
+from .relational import HOT_ROWS, first_per_key, lookup_join, skew_join
 
 
 def _side(df: DataFrame, key: str, fields: Sequence[str], prefix: str = "_old_") -> DataFrame:
@@ -213,17 +214,23 @@ def owner_of_member(resolved: DataFrame, groups: DataFrame, group: str = "plugin
 
 
 def split_by_cache(
-    asked: DataFrame, cache: DataFrame, as_of: str, *, key: str = "cache_key", expires: str = "expires_at",
+    asked: DataFrame, cache: DataFrame | KeyedTable, as_of: str, *, key: str = "cache_key", expires: str = "expires_at",
     spread: Sequence[str] | None = None, min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Asked rows with ``hit`` and the cached columns of the live row of their key.
 
-    ``cache`` has one row per key. A hit keeps the asking row's own id.
+    ``cache`` has one row per key; where it is a table kept by that key, it is read in its buckets and not shuffled. A hit
+    keeps the asking row's own id.
     """
+    kept = isinstance(cache, KeyedTable)
+    cache = cache.read() if kept else cache
     live = cache.filter(F.col(expires).isNull() | (F.col(expires) >= F.to_timestamp(F.lit(as_of))))
     keep = [c for c in live.columns if c not in asked.columns or c == key]
     live = live.select(*keep, F.lit(True).alias("hit"))
-    out = skew_join(asked, live, [key], "left", spread=spread, min_rows=min_rows)
+    if kept:
+        out = lookup_join(asked, live, [key], min_rows=min_rows)
+    else:
+        out = skew_join(asked, live, [key], "left", spread=spread, min_rows=min_rows)
     return out.withColumn("hit", F.coalesce("hit", F.lit(False)))
 
 

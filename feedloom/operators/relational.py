@@ -78,6 +78,27 @@ def skew_join(
     return lhs.join(rhs, [*keys, "_salt"], how).drop("_salt")
 
 
+def lookup_join(left: DataFrame, table: DataFrame, keys: Sequence[str], *, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Left join to a table that lies in buckets of the keys, with one row for each key: only ``left`` is shuffled.
+
+    A salt would move the table as well, so hot keys of ``left`` go another way: their rows of the table, one for each hot key,
+    are broadcast. Rows without a key meet nothing and are not moved.
+    """
+    keys = list(keys)
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    named, lost = left.filter(~no_key), left.filter(no_key)
+    hot = cut(hot_keys(named, keys, min_rows).select(*keys))
+    if hot.isEmpty():
+        met = named.join(table, keys, "left")
+    else:
+        hot = F.broadcast(hot)
+        cold = named.join(hot, keys, "left_anti").join(table, keys, "left")
+        met = cold.unionByName(named.join(hot, keys, "left_semi").join(F.broadcast(table.join(hot, keys, "left_semi")), keys, "left"))
+    return met.unionByName(lost, allowMissingColumns=True)
+
+
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rn") -> DataFrame:
     """First ``k`` rows of each key. Spark keeps at most ``k`` rows per key before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)

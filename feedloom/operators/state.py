@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.fixed import QUARANTINE_AT, QUARANTINE_UNTIL
 from ..functions.values import col
 from ..sources import versions
+from ..sources.keyed import KeyedTable
 from ..sources.tables import empty_frame
 from ..sources.versions import StateConflict
 from .relational import first_per_key, skew_join, with_position
@@ -253,3 +254,13 @@ def rotate_snapshot(new: DataFrame, folder: str, version: str, schema: str, fall
     baseline = fallback if current is None and fallback is not None else read_state(spark, folder, schema)
     write_state(new, folder, version)
     return baseline
+
+
+def rotate_keyed(new: DataFrame, table: KeyedTable, version: str, fallback: DataFrame | None = None) -> DataFrame:
+    """As ``rotate_snapshot`` for a snapshot kept by key: the baseline to compare with, after the new one is stored.
+
+    Baseline and ``table.read()`` lie in the same buckets, so they are compared without a shuffle.
+    """
+    before = table.head()
+    table.replace(new, writer="rotate", name=version)
+    return fallback if before.number == 0 and fallback is not None else table.read(before)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ...functions.values import first_rule
 from ...operators import overlay as O
-from ..registry import query
+from ...sources.keyed import KeyedTable
+from ..registry import query, scratch
 
 # A snapshot of customers: all that they ordered up to the end of a year.
 
@@ -254,7 +255,9 @@ def c10_cache_split(t):
         "cache_key", "score",
         F.when(F.col("first_doc") < 20, F.to_timestamp(F.lit("2023-12-31"))).otherwise(F.to_timestamp(F.lit("2024-03-01"))).alias("expires_at"),
     )
-    out = O.split_by_cache(k, cache, "2024-02-01", spread=["doc_id"])
+    table = KeyedTable(t.spark, scratch(t, "cache"), "cache_key string, score bigint, expires_at timestamp", ["cache_key"], buckets=8)
+    table.replace(cache)
+    out = O.split_by_cache(k, table, "2024-02-01", spread=["doc_id"])
     return out.select("doc_id", "cache_key", F.coalesce("score", F.lit(0)).alias("score"), "hit")
 
 

@@ -8,7 +8,7 @@ from ...functions.values import first_rule
 from ...functions import text as X
 from ...operators.relational import with_position
 from ...sources import feeds as D, html as W, markdown as M, tables as A, tree as R
-from ..registry import query
+from ..registry import query, scratch
 
 
 def s(c):
@@ -19,15 +19,6 @@ ORDER_DDL = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalp
 SQL_ORDERS = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders"
 
 
-def scratch(t, name):
-    """A new folder below the shared checkpoint folder."""
-    import uuid
-
-    from ...session import checkpoint_dir
-
-    return f"{checkpoint_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
-
-
 @query("a1_json_scan", SQL_ORDERS + " union all " + SQL_ORDERS + " where false")
 def a1_json_scan(t):
     """A JSON table read back with its schema, and one that is not there."""

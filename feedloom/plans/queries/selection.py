@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ...functions.values import first_rule
 from ...operators import overlay as O, select as G, state as N
+from ...sources.keyed import KeyedTable
 from ...sources.tables import empty_frame
-from ..registry import query
+from ..registry import query, scratch
 from .overlay import SQL_ORDERED, snapshot, sql_snapshot
 
 SQL_E = "select o_orderkey, o_orderstatus, o_orderpriority, cast(floor(o_totalprice / 5000) as bigint) as score, day(o_orderdate) as health, o_custkey as stars from orders"
@@ -287,9 +288,12 @@ def n5_cache_upsert(t):
         F.col("ts").alias("evaluated_at"), (F.col("ts") + F.expr("interval 10 days")).alias("expires_at"),
     )
     half = F.to_timestamp(F.lit("2024-01-15"))
-    stored = N.cache_upsert(empty_frame(t.spark, e.schema), e.filter(F.col("evaluated_at") < half), tie="event_id")
-    merged = N.cache_upsert(stored, e.filter(F.col("evaluated_at") >= half), tie="event_id")
-    return N.cache_purge(merged, "2024-02-01").select("user_id", "event_type", "event_id")
+    # kept by key: the second half writes only the buckets of its keys
+    cache = KeyedTable(t.spark, scratch(t, "cache"), e.schema, ["cache_key"], buckets=8)
+    newest = [F.desc("evaluated_at"), F.desc("event_id")]
+    for part in (e.filter(F.col("evaluated_at") < half), e.filter(F.col("evaluated_at") >= half)):
+        cache.upsert(part, order=newest)
+    return N.cache_purge(cache.read(), "2024-02-01").select("user_id", "event_type", "event_id")
 
 
 @query(
@@ -346,14 +350,10 @@ def n9_batch_log(t):
 
 @query("n10_snapshot_rotation", SQL_ORDERED)
 def n10_snapshot_rotation(t):
-    import uuid
-
-    from ...session import checkpoint_dir
-
     # two runs against one state folder: the first stores the wide baseline, the second diffs against it
     schema = "id bigint, status string, version string"
     rows = lambda y: snapshot(t, y).select("id", "status", "version")
-    folder = f"{checkpoint_dir(t.spark)}/baseline-{uuid.uuid4().hex}"
-    N.rotate_snapshot(rows(1997), folder, "v1", schema)
-    baseline = N.rotate_snapshot(rows(1998), folder, "v2", schema)
-    return O.ordered_diff(baseline, rows(1998), {"status": "status_changed", "version": "version_bumped"})
+    table = KeyedTable(t.spark, scratch(t, "baseline"), schema, ["id"], buckets=8)
+    N.rotate_keyed(rows(1997), table, "v1")
+    baseline = N.rotate_keyed(rows(1998), table, "v2")
+    return O.ordered_diff(baseline, table.read(), {"status": "status_changed", "version": "version_bumped"})

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import tune
+from ..session import checkpoint_dir, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +23,11 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
+def scratch(t: Tables, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{checkpoint_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def query(name: str, sql: str | None = None):
     """Decorator: register ``fn(tables)`` under ``name`` with its SQL."""
 

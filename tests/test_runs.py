@@ -275,6 +275,35 @@ def test_keyed_table_writes_what_it_touches(shuffled, tmp_path):
     assert table.read().count() == 0
 
 
+def test_cache_and_snapshots_are_read_in_their_buckets(shuffled, tmp_path):
+    from feedloom.operators import overlay as O
+
+    spark = shuffled
+    cache = KeyedTable(spark, str(tmp_path / "cache"), "cache_key string, score int, expires_at timestamp", ["cache_key"], buckets=8)
+    cache.replace(spark.range(100).selectExpr("cast(id as string) cache_key", "cast(id as int) score", "if(id % 2 = 0, timestamp'2024-03-01', null) expires_at"))
+    asked = spark.range(3000).selectExpr("id", "case when id % 3 = 0 then '7' when id % 3 = 1 then null else cast(id as string) end cache_key")
+    out = O.split_by_cache(asked, cache, "2024-02-01")
+    assert exchanges(out) == 1
+    hot = O.split_by_cache(asked, cache, "2024-02-01", min_rows=500)  # the hot key and the rows without one are not shuffled
+    want = sorted((r.id, None if r.id % 3 == 1 else 7 if r.id % 3 == 0 else r.id if r.id < 100 else None) for r in asked.collect())
+    for got in (out, hot):
+        assert sorted((r.id, r.score) for r in got.collect()) == want
+        assert all(r.hit == (r.score is not None) for r in got.collect())
+    snap = KeyedTable(spark, str(tmp_path / "snap"), "id bigint, status string, version string", ["id"], buckets=8)
+    day = lambda lo, hi, v: spark.range(lo, hi).selectExpr("id", "if(id % 5 = 0, 'x', 'y') status", f"if(id % 7 = 0, '{v}', '1') version")
+    first = N.rotate_keyed(day(0, 90, "1"), snap, "v1", fallback=day(0, 0, "1"))
+    assert first.count() == 0
+    diff = O.ordered_diff(N.rotate_keyed(day(10, 100, "2"), snap, "v2"), snap.read(), {"status": "status_changed", "version": "version_bumped"})
+    assert exchanges(diff) == 0
+    plain = O.ordered_diff(day(0, 90, "1"), day(10, 100, "2"), {"status": "status_changed", "version": "version_bumped"})
+    assert rows(diff) == rows(plain)
+    drift = lambda lo, hi: spark.range(lo, hi).selectExpr("id", "id * 10 install_count")
+    one, two = (KeyedTable(spark, str(tmp_path / n), "id bigint, install_count bigint", ["id"], buckets=8) for n in "ab")
+    one.replace(drift(0, 50)), two.replace(drift(20, 70))
+    assert exchanges(O.drift_diff(one.read(), two.read())) == 0
+    assert rows(O.drift_diff(one.read(), two.read())) == rows(O.drift_diff(drift(0, 50), drift(20, 70)))
+
+
 def test_keyed_table_with_two_writers(spark, tmp_path):
     ddl = "k int, n int"
     table = KeyedTable(spark, str(tmp_path / "t"), ddl, ["k"], buckets=8)
