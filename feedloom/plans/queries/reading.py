@@ -30,12 +30,23 @@ def a1_json_scan(t):
 
 @query("a1_json_arrays", SQL_ORDERS)
 def a1_json_arrays(t):
-    """Files that hold one array each, as feeds are published."""
+    """Files that hold one array each, as feeds are published; written as two versions, read as of the second."""
     folder = scratch(t, "arrays")
-    A.write_json_arrays(t.orders.select(*ORDER_DDL.replace(",", "").split()[::2]), folder)
+    A.write_json_arrays(t.orders.limit(1).select("o_orderkey"), folder, version="first")
+    A.write_json_arrays(t.orders.select(*ORDER_DDL.replace(",", "").split()[::2]), folder, version="second")
     return A.read_json_table(t.spark, folder, ORDER_DDL)
 
 
+@query("a1_one_array", "select o_orderkey, row_number() over (order by o_orderkey) - 1 as number, o_totalprice as price, o_orderpriority as level from orders")
+def a1_one_array(t):
+    """All rows as one array in one file, nested and in order, read with the place of each object."""
+    folder = scratch(t, "one")
+    o = t.orders.select("o_orderkey", F.struct(F.struct(F.col("o_totalprice").alias("p")).alias("price"), F.array(F.col("o_orderpriority")).alias("level")).alias("more"))
+    A.write_json_arrays(o.coalesce(1).sortWithinPartitions("o_orderkey"), folder)
+    read = A.read_json_table(t.spark, folder, "o_orderkey bigint, more struct<price:struct<p:double>,level:array<string>>", position="at")
+    return read.select("o_orderkey", "at.number", F.col("more.price.p").alias("price"), F.col("more.level")[0].alias("level"))
+
+
 @query(
     "a2_json_sink",
     "select o_orderkey, o_totalprice, row_number() over (order by o_totalprice desc, o_orderkey) - 1 as pos from orders",
@@ -44,7 +55,7 @@ def a2_json_sink(t):
     """Written in order; the order is held by a column as well, since a folder of files has none."""
     folder = scratch(t, "sink")
     o = with_position(t.orders.select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), F.asc("o_orderkey")])
-    A.write_json(o, folder, ["pos"])
+    A.write_json(o, folder, ["pos"], version="v1")
     return A.read_json_table(t.spark, folder, "o_orderkey bigint, o_totalprice double, pos bigint", array_file=False)
 
 
@@ -460,6 +471,25 @@ def a21_publishable(t):
     return A.publishable(o, type_="o_orderstatus", bundled_type="F").select("o_orderkey", "o_orderstatus")
 
 
+@query(
+    "a21_published_folders",
+    """select o_orderstatus as type, o_orderkey, row_number() over (partition by o_orderstatus order by o_totalprice desc, o_orderkey) - 1 as place from orders
+where o_orderstatus <> 'F' or o_orderpriority <> '1-URGENT'""",
+)
+def a21_published_folders(t):
+    """The folders by type written and read back; the place is that of the row among the lines of its folder."""
+    from pyspark.sql import Window
+
+    folder = scratch(t, "types")
+    o = t.orders.select(
+        F.col("o_orderstatus").alias("type"), "o_orderkey", "o_totalprice", F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("x")).alias("bundled_in"))
+    A.publish_partitions(o, folder, order=[F.desc("o_totalprice"), F.asc("o_orderkey")], known=["F", "O", "P", "none"], bundled_type="F", version="v1")
+    lines = t.spark.read.schema("o_orderkey bigint, type string").json(A.current_folder(t.spark, folder))
+    lines = lines.withColumn("file", F.col("_metadata.file_path")).withColumn("line", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("type").orderBy("file", "line")) - 1
+    return lines.select("type", "o_orderkey", place.alias("place"))
+
+
 @query(
     "a21_entry_documents",
     """select p_type as type, replace(replace(replace(p_brand || '/' || p_name, '#', '-'), '/', '--'), ' ', '-') as file_id, '{"id":"' || p_brand || '/' || p_name || '"'

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import fixed
+from . import arrays, versions
 
 ENTRY_DDL = (
     "id string, name string, type string, description string, source_url string, stars bigint, category string, "
@@ -61,35 +62,61 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_json_table(
-    spark: SparkSession, path: str, schema: str | T.StructType, *, array_file: bool = True, extras: str | None = None
+    spark: SparkSession, path: str, schema: str | T.StructType, *, array_file: bool = True, extras: str | None = None, position: str | None = None,
 ) -> DataFrame:
     """Rows of a JSON file or folder; a missing path or unreadable file gives no rows.
 
-    ``array_file`` reads files that hold one array (or object) each, as feeds are published; the reader takes such a
-    file apart as it goes. Large tables come in many files, or as one object per line. ``extras`` names a
-    VARIANT column for the whole object, so that keys outside the schema are not lost.
+    ``array_file`` reads files that hold one array (or object) each, as feeds are published; a large file is read by many tasks
+    (``sources.arrays``). Otherwise every line is an object. ``extras`` names a VARIANT column for the whole object, so that
+    keys outside the schema are not lost; ``position`` a column (file, number) with the place of an array's object. A folder
+    written with versions is read as of its current one.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    path = current_folder(spark, path)
     if not path_exists(spark, path):
         empty = empty_frame(spark, schema)
-        return empty if extras is None else empty.withColumn(extras, F.lit(None).cast("variant"))
+        if extras is not None:
+            empty = empty.withColumn(extras, F.lit(None).cast("variant"))
+        return empty if position is None else empty.withColumn(position, F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("number")))
+    if array_file:
+        objects = arrays.read_objects(spark, path)
+        texts = objects.select(F.col("body").alias("value"), *([F.struct("file", "number").alias(position)] if position else []))
+    else:
+        texts = spark.read.text(path)
+    place = [position] if position and array_file else []
     if extras is not None:
-        texts = spark.read.text(path, wholetext=array_file)
-        kind = "array<variant>" if array_file else "variant"
-        parsed = F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", kind))
-        items = texts.select((F.explode(parsed) if array_file else parsed).alias(extras)).filter(F.col(extras).isNotNull())
-        return items.select(F.from_json(F.to_json(extras), schema).alias("_r"), extras).select("_r.*", extras)
+        parsed = F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", "variant"))
+        items = texts.select(parsed.alias(extras), *place).filter(F.col(extras).isNotNull())
+        return items.select(F.from_json(F.to_json(extras), schema).alias("_r"), extras, *place).select("_r.*", extras, *place)
     if not array_file:
-        return split_rejects(spark.read.text(path), "value", schema)[0]
+        return split_rejects(texts, "value", schema)[0]
     marked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    rows = spark.read.schema(marked).options(multiLine=True, columnNameOfCorruptRecord="_bad").json(path)
-    # an unreadable file is one row of nulls; a row with a bad field keeps the others
+    rows = texts.select(F.from_json("value", marked, {"columnNameOfCorruptRecord": "_bad"}).alias("_r"), *place).select("_r.*", *place)
+    # an unreadable object is a row of nulls; a row with a bad field keeps the others
     read = F.col("_bad").isNull()
     for f in schema.fields:
         read = read | F.col(f"`{f.name}`").isNotNull()
     return rows.filter(read).drop("_bad")
 
 
+def current_folder(spark: SparkSession, path: str) -> str:
+    """Where the data of ``path`` is: the folder of its current version, or itself where it has none."""
+    version = versions.latest(spark, path)[1].get("version")
+    return path if version is None else f"{path.rstrip('/')}/{version}"
+
+
+def _in_version(spark: SparkSession, path: str, version: str | None, write: Callable[[str], None]) -> None:
+    """Call ``write`` with the folder to write to. With a version that is a folder of its own below ``path``, which becomes the
+    current one when all is written; until then, and if the run dies, readers get the version before."""
+    if version is None:
+        return write(path)
+    if versions.latest(spark, path)[1].get("version") == version:
+        return
+    write(f"{path.rstrip('/')}/{version}")
+    while not versions.commit(spark, path, versions.latest(spark, path)[0] + 1, {"version": version}):
+        pass
+
+
 def split_rejects(df: DataFrame, text: str, schema: str | T.StructType, keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected texts with reason) of a column of JSON texts; a bad one stops nothing."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -105,12 +132,16 @@ def read_json_with_rejects(spark: SparkSession, path: str, schema: str | T.Struc
     return split_rejects(spark.read.text(path), "value", schema)
 
 
-def write_json(df: DataFrame, path: str, order: Sequence[Column | str] = ()) -> None:
-    """Write in row order. The order is a range partitioning, so the files follow it too."""
-    (df.orderBy(*order) if order else df).write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, order: Sequence[Column | str] = (), version: str | None = None) -> None:
+    """Write in row order. The order is a range partitioning, so the files follow it too.
+
+    ``version`` names the run: its files are a version of the table (``current_folder``), so a lost run leaves the old one.
+    """
+    laid = df.orderBy(*order) if order else df
+    _in_version(df.sparkSession, path, version, lambda folder: laid.write.mode("overwrite").json(folder))
 
 
-def write_json_arrays(df: DataFrame, path: str, order: Sequence[Column | str] = ()) -> None:
+def write_json_arrays(df: DataFrame, path: str, order: Sequence[Column | str] = (), version: str | None = None) -> None:
     """As ``write_json``, every file one JSON array."""
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +155,7 @@ def write_json_arrays(df: DataFrame, path: str, order: Sequence[Column | str] =
         yield pa.RecordBatch.from_pydict({"value": ["]" if lead == "," else "[]"]})
 
     rows = (df.orderBy(*order) if order else df).select(F.to_json(F.struct(*df.columns)).alias("value"))
-    rows.mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+    _in_version(df.sparkSession, path, version, lambda folder: rows.mapInArrow(lines, "value string").write.mode("overwrite").text(folder))
 
 
 def tiered_union(tables: Sequence[tuple[DataFrame, str | Column]], order: str = "_ord") -> DataFrame:
@@ -148,20 +179,24 @@ def load_threshold(df: DataFrame, measure: str, at_least: int, key: str, order:
 
 
 def publish_partitions(df: DataFrame, path: str, *, type_: str = "type", order: Sequence[Column], known: Sequence[str] = fixed.TYPES,
-                       bundled: str | None = "bundled_in", bundled_type: str = "skill") -> None:
+                       bundled: str | None = "bundled_in", bundled_type: str = "skill", version: str | None = None) -> None:
     """One folder of JSON per type, best rows first in each file; every known type gets a folder.
 
-    Bundled skills are left out of the skill folder.
+    Bundled skills are left out of the skill folder. ``version`` as for ``write_json``.
     """
     rows = publishable(df, type_=type_, bundled=bundled, bundled_type=bundled_type)
     # one range per task, so a task writes one or two files and not one per type
     laid = rows.repartitionByRange(F.col(type_), *order).sortWithinPartitions(F.col(type_), *order)
-    laid.write.mode("overwrite").partitionBy(type_).json(path)
-    spark = df.sparkSession
-    for t in known:
-        folder = f"{path.rstrip('/')}/{type_}={t}"
-        if not path_exists(spark, folder):
-            spark.createDataFrame([], "value string").coalesce(1).write.mode("overwrite").text(folder)
+
+    def write(to: str) -> None:
+        laid.write.mode("overwrite").partitionBy(type_).json(to)
+        spark = df.sparkSession
+        for t in known:
+            folder = f"{to.rstrip('/')}/{type_}={t}"
+            if not path_exists(spark, folder):
+                spark.createDataFrame([], "value string").coalesce(1).write.mode("overwrite").text(folder)
+
+    _in_version(df.sparkSession, path, version, write)
 
 
 def publishable(df: DataFrame, *, type_: str = "type", bundled: str | None = "bundled_in", bundled_type: str = "skill") -> DataFrame:

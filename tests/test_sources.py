@@ -1,13 +1,14 @@
 """Readers and writers on files, and parsers on hand-made texts."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from frames_as_rows import rows
 from feedloom.operators import report as R, state as N
-from feedloom.sources import feeds as D, html as W, markdown as M, tables as A, tree as T
+from feedloom.sources import arrays, feeds as D, html as W, markdown as M, tables as A, tree as T
 
 
 def write(path, obj):
@@ -23,6 +24,72 @@ def test_json_table_never_fails(spark, tmp_path):
     assert A.read_json_table(spark, write(tmp_path / "bad.json", "[{"), ddl).count() == 0
 
 
+def random_value(rng, depth=0):
+    some = lambda: "".join(rng.choice('ab{}[]"\\,: \n}é😀') for _ in range(rng.randrange(12)))
+    kind = rng.randrange(7 if depth < 3 else 4)
+    if kind == 4:
+        return [random_value(rng, depth + 1) for _ in range(rng.randrange(4))]
+    if kind > 4:
+        return {some(): random_value(rng, depth + 1) for _ in range(rng.randrange(4))}
+    return [some(), rng.randrange(1000), rng.choice([None, True, False, 1.5e3]), some() * 3][kind]
+
+
+@pytest.mark.parametrize("size", ["128m", "41", "5000"])
+def test_arrays_in_ranges(spark, tmp_path, size):
+    rng, files = random.Random(3), {}
+
+    def put(name, objects, text):
+        files[name] = objects
+        (tmp_path / f"{name}.json").write_text(text)
+
+    for i in range(6):
+        items = [random_value(rng) if rng.random() < 0.1 else {"k": random_value(rng), "n": j} for j in range(rng.randrange(40))]
+        put(f"a{i}", [x for x in items if isinstance(x, dict)], json.dumps(items, indent=rng.choice([None, 2]), ensure_ascii=rng.random() < 0.5))
+    rows_ = [{"a": i} for i in range(50)]
+    put("object", [{"x": {"y": "}"}}], '{"x": {"y": "}"}}')
+    put("lines", rows_, "\n".join(map(json.dumps, rows_)))
+    put("blank", [], ""), put("none", [], "[]"), put("cut", [], "[{"), put("open", [], json.dumps(rows_)[:-1]), put("closed", [], json.dumps(rows_) + "]")
+    put("within", [{"b": 1}], json.dumps([[{"a": 1}, {"c": 2}], {"b": 1}, [[]]]))
+    wide = [{"id": 0, "m": {str(i): {"z": i} for i in range(400)}}, {"id": 1}]
+    put("wide", wide, json.dumps(wide))
+    if size != "41":
+        big = [{"id": i, "t": "}" * rng.randrange(3) + "x" * rng.randrange(40), "o": {"p": {"q": [i]}}} for i in range(3000)]
+        put("big", big, json.dumps(big))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        found = arrays.read_objects(spark, str(tmp_path)).collect()
+        tasks = spark.read.text(str(tmp_path), lineSep="}").select(F.spark_partition_id()).distinct().count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    got = {}
+    for r in sorted(found, key=lambda r: (r.file, r.number)):
+        got.setdefault(r.file.rsplit("/", 1)[1][:-5], []).append((r.number, json.loads(r.body)))
+    assert {n: [x for _, x in got.get(n, [])] for n in files} == files
+    assert all([i for i, _ in v] == list(range(len(v))) for v in got.values())
+    assert size == "128m" or tasks > 50
+
+
+def test_a_lost_sink_leaves_the_old_table(spark, tmp_path):
+    out, ddl = str(tmp_path / "out"), "id int"
+    frame = lambda *ids: spark.createDataFrame([(i,) for i in ids], ddl)
+    A.write_json_arrays(frame(1, 2), out, version="a")
+
+    def dies(batches):
+        for batch in batches:
+            yield batch
+            raise RuntimeError("lost")
+
+    with pytest.raises(Exception):
+        A.write_json_arrays(frame(3).mapInArrow(dies, ddl), out, version="b")
+    assert rows(A.read_json_table(spark, out, ddl)) == [(1,), (2,)]
+    A.write_json_arrays(frame(3), out, version="b")
+    A.write_json_arrays(frame(4), out, version="b")  # run again after it was done
+    assert rows(A.read_json_table(spark, out, ddl)) == [(3,)]
+
+
 @pytest.mark.parametrize("array_file", [True, False])
 def test_unknown_keys_are_kept(spark, tmp_path, array_file):
     data = [{"id": "a", "odd": {"x": 1}}, {"id": "b"}]
