@@ -16,7 +16,8 @@ from ..functions.values import col, empty_as_null, first_rule
 from ..session import cut
 from ..sources.keyed import KeyedTable
 from .linkage import greedy_first_wins
-from .relational import HOT_ROWS, first_per_key, lookup_join, skew_join
+from .patterns import least_containment
+from .relational import HOT_ROWS, first_per_key, lookup_join, skew_join, with_position
 
 
 def _side(df: DataFrame, key: str, fields: Sequence[str], prefix: str = "_old_") -> DataFrame:
@@ -369,45 +370,19 @@ def fill_empty_list(df: DataFrame, side: DataFrame, key: str, field: str) -> Dat
     return out.withColumn(field, F.when(own | F.col("_side").isNull(), F.col(field)).otherwise(F.col("_side"))).drop("_side")
 
 
-def _grams(c: Column) -> Column:
-    """All distinct 1-, 2- and 3-letter pieces of a text."""
-    pieces = [
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - (n - 1), F.lit(1))), lambda i: F.substr(c, i, F.lit(n)))
-        for n in (1, 2, 3)
-    ]
-    return F.array_distinct(F.concat(*pieces))
+def containment_match(names: DataFrame, rows: DataFrame, *, name: str, title: str, value: str, order: str, **sizes: int) -> DataFrame:
+    """Per name the value of the first row whose title equals, contains or is contained in it; blanks never match.
 
-
-def contained(
-    short: DataFrame, long: DataFrame, a: str, b: str, *, with_short: Sequence[str] = (), with_long: Sequence[str] = ()
-) -> DataFrame:
-    """Pairs (a, b) of distinct texts where a is part of b; an equi-join, not a nested loop.
-
-    Every piece of a is a piece of b. So a is looked up only by its piece that occurs in
-    the fewest b, and the few pairs left are tested. ``with_short`` and ``with_long`` name columns
-    that come along, so that the caller can reduce the pairs where they are made.
+    Names and titles are looked for in each other by automatons over blocks of them (``patterns``); ``sizes`` are its own.
     """
-    grams = long.select(b, *with_long, F.explode(_grams(F.col(b))).alias("_g"))
-    size = F.least(F.length(a), F.lit(3))
-    own = short.select(a, *with_short, F.explode(F.filter(_grams(F.col(a)), lambda g: F.length(g) == size)).alias("_g"))
-    freq = grams.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
-    # a piece that is in no b at all ranks first, and then the text matches nothing
-    probes = own.join(freq, "_g", "left").groupBy(a, *with_short).agg(
-        F.min_by("_g", F.struct(F.coalesce("_f", F.lit(0)), "_g")).alias("_g")
-    )
-    return skew_join(grams, probes, ["_g"], "inner", spread=[b]).filter(F.contains(F.col(b), F.col(a))).select(a, b, *with_short, *with_long)
-
-
-def containment_match(names: DataFrame, rows: DataFrame, *, name: str, title: str, value: str, order: str) -> DataFrame:
-    """Per name the value of the first row whose title equals, contains or is contained in it; blanks never match."""
-    n = names.select(F.lower(F.trim(name)).alias("_n")).filter(F.length("_n") > 0).distinct()
-    t = rows.select(F.lower(F.trim(title)).alias("_t"), value, order).filter(F.length("_t") > 0)
-    t = t.groupBy("_t").agg(F.min_by(value, order).alias(value), F.min(order).alias(order))
-    n, t = cut(n), cut(t)
-    # the least of each name is taken where its pairs are made, so pairs do not travel
-    least = lambda pairs: pairs.groupBy("_n").agg(F.min(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))).alias("m"))
-    one = least(contained(n, t, "_n", "_t", with_long=[value, order])).unionByName(least(contained(t, n, "_t", "_n", with_short=[value, order])))
-    best = one.groupBy("_n").agg(F.min("m").getField("v").alias(value))
+    n = names.select(F.lower(F.trim(name)).alias("text")).filter(F.length("text") > 0).distinct()
+    t = rows.select(F.lower(F.trim(title)).alias("text"), value, order).filter(F.length("text") > 0)
+    t = t.groupBy("text").agg(F.min_by(value, order).alias(value), F.min(order).alias(order))
+    n = cut(n.withColumn("number", F.monotonically_increasing_id()))
+    t = cut(with_position(t, [F.asc(order), F.asc(value)], "number"))
+    pairs = least_containment(n, t, of="pattern", **sizes).unionByName(least_containment(t, n, of="text", **sizes))
+    best = pairs.groupBy("number").agg(F.min("least").alias("least"))
+    best = n.join(best, "number").select(F.col("text").alias("_n"), F.col("least").alias("number")).join(t.select("number", value), "number").drop("number")
     keyed = names.withColumn("_n", F.lower(F.trim(name)))
     return skew_join(keyed, best, ["_n"], "left").drop("_n")
 

@@ -137,20 +137,42 @@ def test_featured_equals_the_ordered_walk(spark, seed):
 # --- containment, stop rule -------------------------------------------------------------------
 
 
-def test_containment_match_equals_the_scan(shuffled):
+@pytest.mark.parametrize("sizes", [{}, {"block_patterns": 4, "piece_texts": 7}, {"block_patterns": 1, "piece_texts": 1000}])
+def test_containment_match_equals_the_scan(shuffled, sizes):
     rnd = random.Random(5)
     word = lambda n: "".join(rnd.choice("abc ") for _ in range(rnd.randint(0, n)))
     names = [(i, word(8)) for i in range(60)]
     titles = [(i, word(6), f"v{i}") for i in range(60)]
     n = shuffled.createDataFrame(names, "id int, name string")
     t = shuffled.createDataFrame(titles, "_ord int, title string, v string")
-    got = {r.id: r.v for r in O.containment_match(n, t, name="name", title="title", value="v", order="_ord").collect()}
+    got = {r.id: r.v for r in O.containment_match(n, t, name="name", title="title", value="v", order="_ord", **sizes).collect()}
     for i, name in names:
         a = name.lower().strip()
         hit = next((v for _, title, v in titles if (b := title.lower().strip()) and a and (a in b or b in a)), None)
         assert got[i] == hit, (name, got[i], hit)
 
 
+@pytest.mark.parametrize("block_patterns", [20_000, 50])
+def test_patterns_that_share_a_piece(spark, block_patterns):
+    """A piece that stands in half of all names makes no pairs: only names that are found are counted."""
+    from feedloom.operators import patterns as T
+
+    rnd = random.Random(9)
+    word = lambda n: "".join(rnd.choice("abcdéz😀") for _ in range(n))
+    names = sorted({("common" if i % 2 else "") + word(rnd.randint(1, 5)) for i in range(600)})
+    texts = sorted({word(rnd.randint(0, 9)) + rnd.choice(["common", "comm", "", rnd.choice(names)]) + word(rnd.randint(0, 6)) for _ in range(400)})
+    n = spark.createDataFrame(list(zip(names, range(100, 1000))), "text string, number int")
+    t = spark.createDataFrame(list(zip(texts, range(5000, 9000))), "text string, number int")
+    held = [(100 + i, 5000 + j) for i, a in enumerate(names) for j, b in enumerate(texts) if a and a in b]
+    for of, pairs in (("pattern", held), ("text", [(b, a) for a, b in held])):
+        want = {}
+        for key, value in pairs:
+            want[key] = min(want.get(key, value), value)
+        got = T.least_containment(n, t, of=of, block_patterns=block_patterns, piece_texts=90).collect()
+        assert {r.number: r.least for r in got} == want and len(got) == len(want)
+    assert T.least_containment(n, t.limit(0)).count() == 0 and T.least_containment(n.limit(0), t).count() == 0
+
+
 @pytest.mark.parametrize("block", [3, 7, 1000])
 def test_stop_rule_does_not_depend_on_the_blocks(spark, block):
     known = [0, 1, 1, 0, 1, 1, 1, 0, 0, 1, 1, 1, 1, 0, 1]
