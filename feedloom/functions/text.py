@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 from . import fixed
@@ -31,8 +33,40 @@ def has_word(text: Column | str, words: Sequence[str]) -> Column:
     return col(text).rlike("(?i)" + word_pattern(words))
 
 
-def _hit(text: Column, word: str, whole_word: bool) -> Column:
-    return text.rlike(word_pattern([word])) if whole_word else text.contains(word)
+@lru_cache(maxsize=64)
+def _keyword_automaton(words: tuple[str, ...]):
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    for i, w in enumerate(words):
+        found.add_word(w, [*found.get(w, []), i])
+    found.make_automaton()
+    return found
+
+
+def keyword_numbers(text: Column | str, words: Sequence[str], whole_word: bool = False) -> Column:
+    """Places in ``words`` of all that stand in the text, in order: one pass over the text, whatever the number of words.
+
+    The texts go to an automaton in Arrow batches. Words are found inside words as well, unless ``whole_word``, which is
+    a pattern for each word and stays in Spark.
+    """
+    words = tuple(words)
+    if not words:
+        return F.array().cast("array<int>")
+    if whole_word:
+        marks = F.array(*[F.when(col(text).rlike(word_pattern([w])), F.lit(i)) for i, w in enumerate(words)])
+        return F.filter(marks, lambda i: i.isNotNull())
+
+    @F.arrow_udf("array<int>")
+    def numbers(texts: pa.Array) -> pa.Array:
+        found = _keyword_automaton(words)
+        return pa.array([sorted({i for _, held in found.iter(t) for i in held}) for t in texts.to_pylist()], pa.list_(pa.int32()))
+
+    return numbers(F.coalesce(col(text), F.lit("")))
+
+
+def _first(numbers: Column, values: Sequence[str]) -> Column:
+    return F.get(F.array(*[F.lit(v) for v in values]), F.array_min(numbers)) if values else F.lit(None).cast("string")
 
 
 # --- K1-K5 -------------------------------------------------------------------------------------
@@ -47,8 +81,8 @@ def categorize(
     Keywords are found inside words as well, unless ``whole_word``.
     """
     rules = list(fixed.CATEGORY_KEYWORDS.items()) if rules is None else list(rules)
-    t = col(text)
-    found = first_rule([(_hit(t, w, whole_word), c) for w, c in rules], default)
+    found = _first(keyword_numbers(text, [w for w, _ in rules], whole_word), [c for _, c in rules])
+    found = F.coalesce(found, F.lit(default))
     if upstream is None:
         return found
     up = F.lower(col(upstream))
@@ -58,25 +92,18 @@ def categorize(
 def extract_tags(text: Column | str, rules: Mapping[str, str] | None = None, whole_word: bool = False) -> Column:
     """Tags of all keywords in the lower-case text, in rule order, each once."""
     rules = fixed.TAG_KEYWORDS if rules is None else rules
-    t = col(text)
-    marks = F.array(*[F.when(_hit(t, w, whole_word), F.lit(tag)) for w, tag in rules.items()])
-    return F.array_distinct(F.filter(marks, lambda x: x.isNotNull()))
+    tags = F.array(*[F.lit(tag) for tag in rules.values()])
+    return F.array_distinct(F.transform(keyword_numbers(text, list(rules), whole_word), lambda i: F.get(tags, i)))
 
 
 def tech_stack(text: Column | str, rules: Sequence[tuple[Sequence[str], Sequence[str]]] | None = None) -> Column:
     """Stack of the first rule with any keyword in the lower-case text; empty if there is none."""
     rules = fixed.STACK_RULES if rules is None else rules
-    t = col(text)
     none = F.array().cast("array<string>")
-
-    def any_of(words: Sequence[str]) -> Column:
-        cond = t.contains(words[0])
-        for w in words[1:]:
-            cond = cond | t.contains(w)
-        return cond
-
-    lists = [(any_of(words), F.array(*[F.lit(s) for s in stack]) if stack else none) for words, stack in rules]
-    return first_rule(lists, none)
+    words = [(w, i) for i, (ws, _) in enumerate(rules) for w in ws]
+    rule = F.get(F.array(*[F.lit(i) for _, i in words]), F.array_min(keyword_numbers(text, [w for w, _ in words])))
+    stacks = F.array(*[F.array(*[F.lit(s) for s in stack]).cast("array<string>") for _, stack in rules])
+    return F.coalesce(F.get(stacks, rule), none)
 
 
 def scene(

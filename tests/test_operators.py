@@ -208,6 +208,22 @@ def test_tech_stack_takes_the_first_rule(spark):
     assert one(spark, X.tech_stack("t"), t="use django here") == ["python", "django"]
 
 
+def test_keywords_are_found_as_a_search_for_each_would(spark):
+    import random
+
+    rnd = random.Random(2)
+    words = ["go", "golang", "lang", "a", "an", "é", "go", "data base", "base", "😀x"]
+    texts = ["".join(rnd.choice(["go", "lang", "a", "n", "é", " ", "data", "base", "😀", "x"]) for _ in range(rnd.randrange(9))) for _ in range(200)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string")
+    got = {r.i: r.n for r in df.select("i", X.keyword_numbers("t", words).alias("n")).collect()}
+    assert got == {i: [k for k, w in enumerate(words) if w in (t or "")] for i, t in enumerate([*texts, None])}
+    whole = {r.i: r.n for r in df.filter("t is not null").select("i", X.keyword_numbers("t", words[:4], whole_word=True).alias("n")).collect()}
+    assert all(set(whole[i]) <= set(got[i]) for i in whole)
+    assert one(spark, X.keyword_numbers("t", []), t="x") == []
+    rules = [("lang", "l"), ("go", "g"), ("go", "never")]
+    assert [one(spark, X.categorize("t", rules=rules), t=t) for t in ("a go lang", "go", "x")] == ["l", "g", "tooling"]
+
+
 @pytest.mark.parametrize("name,want", [("Über  Café_x!", "über-café-x"), ("--A  B--", "a-b"), ("中文 名", "中文-名")])
 def test_kebab_keeps_letters_of_any_script(spark, name, want):
     assert one(spark, X.kebab("n"), n=name) == want
