@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed
 from ..functions.text import categorize
+from ..session import cut
+from .relational import HOT_ROWS, exploded_keys, skew_join
 
 
 def violations(df: DataFrame, rules: Mapping[str, Column], key: str) -> DataFrame:
@@ -48,31 +50,29 @@ def curated_rules(columns: Sequence[str], source: str = "curated") -> dict[str,
 
 def curated_findings(
     curated: DataFrame, index: DataFrame, *, key: str = "id", url: str = "url_key", order: str = "_ord",
-    rules: Mapping[str, Column] | None = None,
+    rules: Mapping[str, Column] | None = None, min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """(order, finding, severity): contract errors, repeated ids (error), repeated addresses and clashes with the index (warning).
 
-    The first row of an id or address is found by aggregate and matched on the unique ``order``.
+    What is known of an id or address, its first row and whether the index has it, is one row of one aggregate, and each
+    curated row is joined with it once for its id and once for its address.
     """
-    out = violations(curated, rules or {}, order).select(order, F.col("violation").alias("finding"), F.lit("error").alias("severity"))
-
-    def repeated(c: str, finding: str, severity: str) -> DataFrame:
-        rows = curated.filter(F.length(F.col(c).cast("string")) > 0)
-        firsts = rows.groupBy(c).agg(F.min(order).alias(order)).select(order)
-        return rows.join(firsts, order, "left_anti").select(order, F.lit(finding).alias("finding"), F.lit(severity).alias("severity"))
-
-    def in_index(c: str, finding: str) -> DataFrame:
-        known = index.select(c).filter(F.col(c).isNotNull()).distinct()
-        return curated.join(known, c, "left_semi").select(order, F.lit(finding).alias("finding"), F.lit("warning").alias("severity"))
-
-    for part in (
-        repeated(key, "duplicate id", "error"),
-        repeated(url, "duplicate address", "warning"),
-        in_index(key, "id in index"),
-        in_index(url, "address in index"),
-    ):
-        out = out.unionByName(part)
-    return out
+    curated = cut(curated)
+    keys = {"id": key, "address": url}
+    rows = exploded_keys(curated, keys, [order])
+    there = exploded_keys(index, keys, []).select(F.lit(None).cast(curated.schema[order].dataType).alias(order), "_kind", "_key")
+    facts = rows.withColumn("_in", F.lit(0)).unionByName(there.withColumn("_in", F.lit(1))).groupBy("_kind", "_key").agg(
+        F.min(order).alias("_first"), F.count(order).alias("_n"), F.max("_in").alias("_in"))
+    met = skew_join(rows, facts.filter("_n > 0 and (_n > 1 or _in = 1)"), ["_kind", "_key"], "inner", spread=[order, "_kind"], min_rows=min_rows)
+    says = lambda finding, severity: F.struct(finding.alias("finding"), F.lit(severity).alias("severity"))
+    again = (F.col(order) != F.col("_first")) & (F.length("_key") > 0)
+    found = F.array(
+        F.when(again & (F.col("_kind") == "id"), says(F.lit("duplicate id"), "error")),
+        F.when(again & (F.col("_kind") == "address"), says(F.lit("duplicate address"), "warning")),
+        F.when(F.col("_in") == 1, says(F.concat("_kind", F.lit(" in index")), "warning")))
+    marks = met.select(order, F.explode(F.filter(found, lambda x: x.isNotNull())).alias("_f")).select(order, "_f.*")
+    broken = violations(curated, rules or {}, order).select(order, F.col("violation").alias("finding"), F.lit("error").alias("severity"))
+    return broken.unionByName(marks)
 
 
 def typed_field_errors(raw: Column, fields: Mapping[str, Mapping[str, object]]) -> Column:

@@ -17,7 +17,7 @@ from ..session import cut
 from ..sources.keyed import KeyedTable
 from .linkage import greedy_first_wins
 from .patterns import least_containment
-from .relational import HOT_ROWS, first_per_key, lookup_join, skew_join, with_position
+from .relational import HOT_ROWS, exploded_keys, first_per_key, lookup_join, skew_join, with_position
 
 
 def _side(df: DataFrame, key: str, fields: Sequence[str], prefix: str = "_old_") -> DataFrame:
@@ -169,34 +169,33 @@ def resolve_members(
     """(group, pos, name, member, strategy): which member each listed name of a group means.
 
     Tried in order: the member's namespace, its id, its id with ``-`` for ``:``, and the last
-    part of its address, first within the group's own repository and then anywhere. Every
-    lookup is reduced to its first row per key, so no name brings back many candidates.
+    part of its address, first within the group's own repository and then anywhere. All ways of
+    finding a member are rows of one table, the first member for each key, and all tries of a
+    name are looked up in it by one join; of the hits the first in order counts.
     """
-    flat = groups.select(group, repo, F.posexplode(names).alias("pos", "name"))
+    blank = F.lit("")
+    tail_, id_ = F.col(tail).cast("string"), F.col(member).cast("string")
+    entry = lambda kind, key, where: F.struct(F.lit(kind).alias("_kind"), key.cast("string").alias("_key"), where.cast("string").alias("_where"))
+    known = F.array(entry("namespace", F.col(namespace), blank), entry("id", id_, blank), entry("tail", tail_, F.col(member_repo)), entry("tail", tail_, blank))
+    # a blank repository of a member is none; it is found by its tail alone
+    listed = members.select(F.col(member).alias("member"), F.col(order).alias("_o"), F.explode(known).alias("_e")).select("member", "_o", "_e.*")
+    anywhere = F.col("_where").isNotNull()
+    table = first_per_key(listed.filter(F.col("_key").isNotNull() & anywhere), ["_kind", "_key", "_where"], [F.asc("_o")]).drop("_o")
+
+    flat = cut(groups.select(group, F.col(repo).alias("_repo"), F.posexplode(names).alias("pos", "name")))  # its tries are counted and joined
     short = F.regexp_extract("name", "^[^:]*:(.*)$", 1)
-    flat = flat.withColumns({
-        "_slug": F.when(F.col("name").contains(":"), F.replace("name", F.lit(":"), F.lit("-"))),
-        "_short": F.when(F.length(short) > 0, short),
-    })
-    lookups = (
-        ("namespace", members.select(F.col(namespace).alias("name"), member, order), ["name"]),
-        ("id", members.select(F.col(member).cast("string").alias("name"), member, order), ["name"]),
-        ("slug", members.select(F.col(member).cast("string").alias("_slug"), member, order), ["_slug"]),
-        ("same_repo", members.select(F.col(tail).alias("_short"), F.col(member_repo).alias(repo), member, order), ["_short", repo]),
-        ("tail", members.select(F.col(tail).alias("_short"), member, order), ["_short"]),
-    )
-    base = flat = cut(flat)  # read by every lookup and its count of hot keys
-    for strategy, rows, keys in lookups:
-        one = rows.dropna(subset=keys).groupBy(*keys).agg(F.min_by(member, order).alias(f"_by_{strategy}"))
-        flat = skew_join(flat, one, keys, "left", spread=[group, "pos"], min_rows=min_rows, hot_from=base)
-    found = [f"_by_{s}" for s, _, _ in lookups]
-    return flat.select(
-        group,
-        "pos",
-        "name",
-        F.coalesce(*found).alias("member"),
-        first_rule([(F.col(f).isNotNull(), f[4:]) for f in found], "orphan").alias("strategy"),
+    short = F.when(F.length(short) > 0, short)
+    slug = F.when(F.col("name").contains(":"), F.replace("name", F.lit(":"), F.lit("-")))
+    tries = (
+        ("namespace", entry("namespace", F.col("name"), blank)), ("id", entry("id", F.col("name"), blank)), ("slug", entry("id", slug, blank)),
+        ("same_repo", entry("tail", short, F.col("_repo"))), ("tail", entry("tail", short, blank)),
     )
+    asked = F.array(*[F.struct(F.lit(i).alias("_rank"), F.lit(s).alias("strategy"), e.alias("_e")) for i, (s, e) in enumerate(tries)])
+    asked = F.filter(asked, lambda x: x["_e"]["_key"].isNotNull() & x["_e"]["_where"].isNotNull())
+    flat = flat.select(group, "pos", "name", F.explode_outer(asked).alias("_t")).select(group, "pos", "name", "_t._rank", "_t.strategy", "_t._e.*")
+    met = skew_join(flat, table, ["_kind", "_key", "_where"], "left", spread=[group, "pos", "_rank"], min_rows=min_rows)
+    best = first_per_key(met, [group, "pos"], [F.when(F.col("member").isNotNull(), F.col("_rank")).asc_nulls_last()])
+    return best.select(group, "pos", "name", "member", F.when(F.col("member").isNotNull(), F.col("strategy")).otherwise("orphan").alias("strategy"))
 
 
 def aligned_members(resolved: DataFrame, group: str = "plugin_id") -> DataFrame:
@@ -312,15 +311,17 @@ def merge_by_priority(
     return out.withColumn(second_text, F.when(take, F.col("_other"))).drop("_other", "_src")
 
 
-def merge_incumbent(new: DataFrame, existing: DataFrame, *, key: str = "id", url: str = "url_key", order: str = "_ord") -> DataFrame:
+def merge_incumbent(
+    new: DataFrame, existing: DataFrame, *, key: str = "id", url: str = "url_key", order: str = "_ord", min_rows: int = HOT_ROWS
+) -> DataFrame:
     """Existing rows stay; a new row comes in if its address is not there yet, nor its id anywhere."""
-    urls = existing.select(url).filter(F.length(url) > 0).distinct()
-    ids = existing.select(key).distinct()
-    fresh = skew_join(new, urls, [url], "left_anti", spread=[order])
-    fresh = skew_join(fresh, ids, [key], "left_anti", spread=[order], hot_from=new)
-    fresh = first_per_key(fresh.filter(F.col(key).isNotNull()), [key], [F.asc(order)]).unionByName(
-        fresh.filter(F.col(key).isNull())
-    )
+    new, existing = cut(new), cut(existing)
+    keys = {"url": url, "id": key}
+    taken = exploded_keys(existing, keys, []).filter((F.col("_kind") == "id") | (F.length("_key") > 0)).distinct()
+    known = skew_join(exploded_keys(new, keys, [order]), taken, ["_kind", "_key"], "inner", spread=[order], min_rows=min_rows)
+    fresh = new.join(known.select(order).distinct(), order, "left_anti")
+    # rows without an id are each on their own
+    fresh = first_per_key(fresh.withColumn("_own", F.when(F.col(key).isNull(), F.col(order))), [key, "_own"], [F.asc(order)])
     return existing.unionByName(fresh.select(existing.columns))
 
 
@@ -387,16 +388,17 @@ def containment_match(names: DataFrame, rows: DataFrame, *, name: str, title: st
     return skew_join(keyed, best, ["_n"], "left").drop("_n")
 
 
-def match_either(df: DataFrame, rows: DataFrame, keys: Mapping[str, str], value: str, order: str, *, id_: str) -> DataFrame:
-    """First row in order that matches on any one of the keys (own column -> row column)."""
-    hits = None
-    for own, other in keys.items():
-        one = rows.filter(F.col(other).isNotNull()).groupBy(F.col(other).alias(own)).agg(
-            F.min_by(value, order).alias("_v"), F.min(order).alias("_o")
-        )
-        part = skew_join(df.select(id_, own), one, [own], "inner", spread=[id_]).select(id_, "_v", "_o")
-        hits = part if hits is None else hits.unionByName(part)
-    best = hits.groupBy(id_).agg(F.min_by("_v", "_o").alias(value))
+def match_either(
+    df: DataFrame, rows: DataFrame, keys: Mapping[str, str], value: str, order: str, *, id_: str, min_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Value of the first row that agrees in any one of the keys (own column -> column of the rows)."""
+    df = cut(df)
+    kinds = dict(enumerate(keys))
+    entries = exploded_keys(rows, {str(i): keys[own] for i, own in kinds.items()}, [F.col(value).alias("_v"), F.col(order).alias("_o")])
+    one = first_per_key(entries, ["_kind", "_key"], [F.asc("_o")])
+    asked = exploded_keys(df, {str(i): own for i, own in kinds.items()}, [id_])
+    hits = skew_join(asked, one, ["_kind", "_key"], "inner", spread=[id_, "_kind"], min_rows=min_rows)
+    best = first_per_key(hits, [id_], [F.asc("_o")]).select(id_, F.col("_v").alias(value))
     return df.join(best, id_, "left")
 
 

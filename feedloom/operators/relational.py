@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -78,6 +78,16 @@ def skew_join(
     return lhs.join(rhs, [*keys, "_salt"], how).drop("_salt")
 
 
+def exploded_keys(df: DataFrame, keys: Mapping[str, str], keep: Sequence[str | Column]) -> DataFrame:
+    """(keep, _kind, _key): a row for each key that a row has; ``keys`` maps a kind to its column. Null keys are left out.
+
+    So "the same address or the same id" is one join and one shuffle of the rows, not one for each key.
+    """
+    entries = F.array(*[F.struct(F.lit(kind).alias("_kind"), F.col(c).cast("string").alias("_key")) for kind, c in keys.items()])
+    rows = df.select(*keep, F.explode(F.filter(entries, lambda e: e["_key"].isNotNull())).alias("_e"))
+    return rows.select(*rows.columns[:-1], "_e.*")
+
+
 def lookup_join(left: DataFrame, table: DataFrame, keys: Sequence[str], *, min_rows: int = HOT_ROWS) -> DataFrame:
     """Left join to a table that lies in buckets of the keys, with one row for each key: only ``left`` is shuffled.
 

@@ -10,6 +10,7 @@ from ..functions import fixed, jsons, scores, text as X
 from ..functions.values import col, empty_as_null, folded_union
 from ..operators.filters import active_and_latest
 from ..operators.relational import first_per_key
+from ..session import cut
 from .tables import empty_frame, path_exists, read_json_table
 
 # --- registry snapshot (A4) --------------------------------------------------------------------
@@ -124,7 +125,7 @@ def install_entries(rows: DataFrame, today: str, least: int = 1000) -> tuple[Dat
     )
     from ..operators.linkage import rejects_by_first_seen
 
-    return rejects_by_first_seen(out, "id", "_ord")
+    return rejects_by_first_seen(cut(out), "id", "_ord")  # ids are worked out once, for kept and rejected rows
 
 
 # --- marketplaces (A16, A17, A25) --------------------------------------------------------------------
