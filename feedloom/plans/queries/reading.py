@@ -369,6 +369,31 @@ def a16_marketplace(t):
     return own.select("id", "source_url", "manifest_completeness", F.array_join("tags", ",").alias("tags"))
 
 
+@query(
+    "a16_own_manifests",
+    """
+with p as (select p_partkey, 'o/' || (p_partkey % 40) as repo, 'p ' || p_partkey as name, p_size % 4 as k from part)
+select name, case when k = 1 then 'listed' when k in (0, 2) then 'own 0' else '' end as description, case k when 0 then '9' when 3 then '1' else '' end as version,
+  case k when 0 then 1.0::double else 0.7::double end as manifest_completeness from p
+""",
+)
+def a16_own_manifests(t):
+    """Plugins with a manifest of their own, some of them with several, whose fields fill what the list leaves open."""
+    k, name = F.col("p_size") % 4, F.concat(F.lit("p "), s("p_partkey"))
+    repo = F.concat(F.lit("o/"), (F.col("p_partkey") % 40).cast("string"))
+    none = F.lit(None).cast("string")
+    plugin = F.struct(
+        name.alias("name"), F.when(k == 1, " listed ").alias("description"), F.when(k == 3, "1").alias("version"), none.alias("category"),
+        F.array().cast("array<string>").alias("tags"), F.try_parse_json(F.lit('"me"')).alias("author"), F.try_parse_json(F.lit('"./x"')).alias("source"),
+    )
+    m = t.part.select(repo.alias("repo"), F.lit("main").alias("branch"), repo.alias("source_id"), F.array(plugin).alias("plugins"))
+    place = F.explode(F.sequence(F.lit(0), F.when(k == 2, 2).otherwise(0))).alias("place")
+    own = t.part.filter(k != 3).select(repo.alias("repo"), name.alias("name"), k.alias("k"), place).select(
+        "repo", "name", "place", F.concat(F.lit("own "), s("place")).alias("description"), F.when(F.col("k") == 0, "9").alias("version"),
+        F.when(F.col("k") == 0, "them").alias("author"))
+    return D.marketplace_entries(m, own).select("name", "description", "version", "manifest_completeness")
+
+
 @query(
     "a17_community",
     """

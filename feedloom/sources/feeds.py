@@ -163,7 +163,8 @@ def author_name(author: Column) -> Column:
 def marketplace_entries(manifests: DataFrame, own_manifests: DataFrame | None = None) -> DataFrame:
     """Plugins of marketplace manifests as entries; a missing manifest is made up from what the list says.
 
-    ``own_manifests`` has (repo, name) and the fields of the plugin's own manifest.
+    ``own_manifests`` has (repo, name) and the fields of the plugin's own manifest; of several for one plugin the first counts,
+    by ``place`` where there is such a column (the places a manifest is looked for), then by its fields.
     """
     p = manifests.select("repo", "branch", "source_id", F.explode("plugins").alias("p")).select("repo", "branch", "source_id", "p.*")
     p = p.withColumn("name", F.trim("name")).filter(F.length("name") > 0)
@@ -175,7 +176,9 @@ def marketplace_entries(manifests: DataFrame, own_manifests: DataFrame | None =
     if own_manifests is None:
         p = p.withColumn("_has", F.lit(False)).withColumns({f"_m_{f}": F.lit(None).cast("string") for f in fields})
     else:
-        m = own_manifests.select("repo", "name", *[F.col(f).alias(f"_m_{f}") for f in fields[1:]], F.lit(True).alias("_has"))
+        place = [c for c in ("place", *fields[1:]) if c in own_manifests.columns]
+        m = first_per_key(own_manifests, ["repo", "name"], [F.asc(c) for c in place])
+        m = m.select("repo", "name", *[F.col(f).alias(f"_m_{f}") for f in fields[1:]], F.lit(True).alias("_has"))
         p = p.join(m.withColumn("_m_name", F.col("name")), ["repo", "name"], "left").withColumn("_has", F.coalesce("_has", F.lit(False)))
     made = ~F.col("_has") & ((F.length("description") > 0) | (F.length("version") > 0) | (F.length("author") > 0))
     shown = [F.when(F.col("_has"), F.col(f"_m_{f}")).when(made, F.col(f)) for f in fields]
