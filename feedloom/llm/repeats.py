@@ -11,8 +11,12 @@ anchor reaches; consecutive segments join to maximal repeats.
    a window that an earlier document has too is a repeat. This settles the ends of passages exactly.
 
 Both decisions are made on the input, not on what is left. Equality of segments and of windows is tested by hashes of 96
-bits of all their words; the anchor's hash only deals segments out. Rows of one slice that repeat a segment of an earlier row in the slice are settled there, so a hot passage does not reach the shuffle once
-for every copy.
+bits of all their words; the anchor's hash only deals segments out. Rows of one slice that repeat a segment of an earlier row in
+the slice are settled there, so a hot passage does not reach the shuffle once for every copy.
+
+The segments of an anchor are compared where they meet. Anchors that are found very often in a part of the documents are not
+dealt as one: what is known of them and of their contexts is counted in partial aggregates and joined back, split by adaptive
+execution. Which way an anchor goes never changes the result.
 
 Null text: no words. A row with a null id neither loses words nor makes others lose them. Rows that share an id are no
 earlier than each other. Words of fewer than ``size`` in a text stay. No rows: no rows out.
@@ -26,12 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..session import cut
 from .frames import append, field
 from .words import SLICE_BYTES, Words, runs, slices, spans
 
 SIZE, GRAM = 13, 6
 _COUNT_BITS = 8  # of a packed segment: its windows; the bits above hold its first word
-_TAG_BITS = 15  # below a packed segment on its way through the shuffle: the tag of its text
+LOOK, HOT_SEGMENTS = 64, 1_000_000  # one document in LOOK tells which anchors have about so many segments or more
+FEW_IDS = 100_000  # repeated ids up to this number are broadcast
 
 
 @dataclass
@@ -67,13 +73,12 @@ class Segments:
 
 
 def _segments(size: int, gram: int):
-    """Rows (a, g, h, id, at) of the segments of every text; ``at`` is negative where the segment is settled."""
+    """Rows (a, g, h, id, tag, at) of the segments of every text; ``at`` is negative where the segment is settled."""
 
     def go(batches):
         for part in slices(batches, "text"):
             words = Words.of(part.column("text"))
             ids = part.column("id").to_numpy(zero_copy_only=False)
-            tags = part.column("tag").to_numpy(zero_copy_only=False)
             seg = Segments.of(words, words.hashes(), size, gram)
             own = ids[seg.row]
             back = (seg.back >> np.uint64(32)).astype(np.int64).astype(np.int32)
@@ -85,7 +90,7 @@ def _segments(size: int, gram: int):
             least = d[np.flatnonzero(head)][np.cumsum(head) - 1] if len(d) else d
             gone = np.zeros(len(order), bool)
             gone[order] = d > least
-            packed = (((seg.begin << _COUNT_BITS) | seg.windows) << _TAG_BITS) | tags[seg.row]
+            packed = (seg.begin << _COUNT_BITS) | seg.windows
             yield pa.RecordBatch.from_arrays(
                 [
                     # a settled segment is dealt by its own place
@@ -93,9 +98,10 @@ def _segments(size: int, gram: int):
                     pa.array(seg.whole.view(np.int64)),
                     pa.array(back),
                     pa.array(own),
+                    part.column("tag").take(pa.array(seg.row)),
                     pa.array(packed * np.where(gone, -1, 1)),
                 ],
-                ["a", "g", "h", "id", "at"],
+                ["a", "g", "h", "id", "tag", "at"],
             )
 
     return go
@@ -179,41 +185,74 @@ def _cut(size: int):
     return fn
 
 
-def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = SIZE, gram: int = GRAM) -> DataFrame:
+def _tagged(wide: DataFrame) -> DataFrame:
+    """``wide`` with ``tag``, which tells rows of one id apart: the hash of the text where the id repeats, else 0."""
+    again = cut(wide.filter("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"))
+    many = again.count()
+    if many == 0:
+        return wide.withColumn("tag", F.lit(0).cast("long"))
+    again = again.withColumn("tag", F.lit(True))
+    met = wide.join(F.broadcast(again) if many <= FEW_IDS else again, "id", "left")
+    return met.withColumn("tag", F.when(F.col("tag"), F.xxhash64("text")).otherwise(F.lit(0).cast("long")))
+
+
+def _known(seg: DataFrame) -> DataFrame:
+    """What is known of each segment's anchor and context, by windows: the segments of an anchor meet in one task."""
+    seg = seg.repartition("a")
+    anchor, context = Window.partitionBy("a"), Window.partitionBy("a", "g", "h")
+    low, high = lambda c, w: F.min(c).over(w), lambda c, w: F.max(c).over(w)
+    return seg.select(
+        "id", "tag", "at", low("id", context).alias("first"), low("id", anchor).alias("low"), high("id", anchor).alias("high"),
+        ((low("g", anchor) < high("g", anchor)) | (low("h", anchor) < high("h", anchor))).alias("several"))
+
+
+def _known_by_count(seg: DataFrame) -> DataFrame:
+    """The same by partial aggregates, for anchors with very many segments."""
+    seg = cut(seg)
+    least = lambda c: [F.min(c).alias(f"{c}0"), F.max(c).alias(f"{c}1")]
+    contexts = cut(seg.groupBy("a", "g", "h").agg(F.min("id").alias("first"), F.max("id").alias("last")))
+    anchors = contexts.groupBy("a").agg(F.min("first").alias("low"), F.max("last").alias("high"), *least("g"), *least("h"))
+    anchors = cut(anchors.select("a", "low", "high", ((F.col("g0") < F.col("g1")) | (F.col("h0") < F.col("h1"))).alias("several")))
+    # both sides are written tables, so a hot key of the left side is split at run time
+    met = seg.join(contexts.drop("last"), ["a", "g", "h"]).join(anchors, "a")
+    return met.select("id", "tag", "at", "first", "low", "high", "several")
+
+
+def remove_repeats(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = SIZE, gram: int = GRAM, look: int = LOOK, hot_segments: int = HOT_SEGMENTS,
+) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and ``kept``: the words not covered by a window that also starts in a
     document with a smaller id, joined by one space. Texts are shuffled once, by id.
 
-    ``gram`` decides only how many anchors there are (about 2 in ``size - gram + 2`` words), never the result.
+    ``gram`` decides only how many anchors there are (about 2 in ``size - gram + 2`` words), ``look`` and ``hot_segments`` only
+    which of them are counted apart; none changes the result.
     """
     if not 1 <= gram <= size:
         raise ValueError("gram must be between 1 and size")
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
-    wide = docs.select(
-        F.col(f"`{key}`").cast("long").alias("id"),
-        (F.xxhash64(F.col(f"`{text}`")).bitwiseAND((1 << _TAG_BITS) - 1)).cast("int").alias("tag"),  # tells apart rows that share an id
-        F.col(f"`{text}`").alias("text"),
-        *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names) if c not in (key, text)],
-    )
+    wide = _tagged(docs.select(
+        F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"),
+        *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names) if c not in (key, text)]))
     own = wide.select("id", "tag", "text").filter("id is not null")
-    seg = own.mapInArrow(_segments(size, gram), "a long, g long, h int, id long, at long").repartition("a")
-    anchor, context = Window.partitionBy("a"), Window.partitionBy("a", "g", "h")
-    low, high = lambda c, w: F.min(c).over(w), lambda c, w: F.max(c).over(w)
-    seg = seg.select(
-        "id", (F.abs("at").bitwiseAND((1 << _TAG_BITS) - 1)).cast("int").alias("tag"),
-        (F.shiftright(F.abs("at"), _TAG_BITS) * F.when(F.col("at") < 0, -1).otherwise(1)).alias("at"),
-        low("id", context).alias("first"), low("id", anchor).alias("low"), high("id", anchor).alias("high"),
-        ((low("g", anchor) < high("g", anchor)) | (low("h", anchor) < high("h", anchor))).alias("several"),
-    )
+    segments = lambda rows: rows.mapInArrow(_segments(size, gram), "a long, g long, h int, id long, tag long, at long")
+    some = segments(own.filter(F.pmod(F.xxhash64("id", "tag"), F.lit(look)) == 0)).groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    hot = cut(some.filter(F.col("n") * look >= hot_segments).select("a"))  # at most one in ``hot_segments`` of all segments
+    seg = segments(own)
+    if hot.isEmpty():
+        seg = _known(seg)
+    else:
+        hot = F.broadcast(hot)
+        seg = _known(seg.join(hot, "a", "left_anti")).unionByName(_known_by_count(seg.join(hot, "a", "left_semi")))
     settled = (F.col("at") < 0) | (F.col("id") > F.col("first"))
     unsure = (F.col("low") < F.col("high")) & F.col("several")
     pick = lambda c: F.collect_list(F.when(c, F.col("at")))
     marks = seg.filter(settled | unsure).groupBy("id", "tag").agg(pick(settled).alias("full"), pick(~settled).alias("open"))
     ends = own.join(marks.filter(F.size("open") > 0).select("id", "tag", "open"), ["id", "tag"]).mapInArrow(
-        _windows(size), "w long, v int, id long, tag int, at long")
+        _windows(size), "w long, v int, id long, tag long, at long")
     first = ends.groupBy("w", "v").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").drop("last")
     late = ends.join(first, ["w", "v"]).filter("id > first").groupBy("id", "tag").agg(F.collect_list("at").alias("ends"))
     # the same rows as ``own``, so that one shuffle of the texts serves both joins
-    named = wide.filter("id is not null")
+    named = wide.filter("id is not null").select("id", "tag", "text", *[c for c in wide.columns if c not in ("id", "tag", "text")])
     found = named.join(marks.select("id", "tag", "full"), ["id", "tag"], "left").join(late, ["id", "tag"], "left")
     found = found.unionByName(wide.filter("id is null"), allowMissingColumns=True)
     none: Column = F.array().cast("array<long>")

@@ -207,9 +207,10 @@ def test_components_of_a_chain_and_a_star(spark):
     assert frames.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("size, gram", [(13, 6), (13, 1), (13, 13), (5, 3)])
-def test_repeats(docs, rows, size, gram):
-    got = repeats.remove_repeats(docs, size=size, gram=gram)
+@pytest.mark.parametrize("size, gram, sizes", [
+    (13, 6, {}), (13, 1, {}), (13, 13, {}), (5, 3, {}), (13, 6, {"look": 1, "hot_segments": 1}), (5, 3, {"look": 1, "hot_segments": 4})])
+def test_repeats(docs, rows, size, gram, sizes):
+    got = repeats.remove_repeats(docs, size=size, gram=gram, **sizes)
     assert got.columns == [*docs.columns, "n_words", "n_removed", "kept"]
     named = [(i, t) for i, t in rows if i is not None]
     want = brute.kept_words(named, size) + [(-1, n, 0, k) for _, n, _, k in brute.kept_words([(0, t) for i, t in rows if i is None], size)]
@@ -230,6 +231,31 @@ def test_repeats_in_contexts_that_share_half_a_hash(spark):
         assert got == {1: (0, both[0]), 2: (0, both[1]), 3: (13, "")}
 
 
+def test_repeats_of_an_anchor_in_a_third_of_the_rows(spark, monkeypatch):
+    rng = random.Random(12)
+    some = lambda k: " ".join(f"w{rng.randrange(500)}" for _ in range(k))
+    line, passage = some(8), some(16)  # too short to be cut, and long enough
+    rows = [(i, f"{some(20)} {line if i % 3 else passage} {some(20)}") for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    split = []
+    monkeypatch.setattr(repeats, "_known_by_count", lambda seg, go=repeats._known_by_count: split.append(1) or go(seg))
+    for sizes in ({"look": 2, "hot_segments": 60}, {}):
+        got = repeats.remove_repeats(docs, **sizes).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == sorted(brute.kept_words(rows))
+    assert split == [1]
+
+
+def test_repeats_in_rows_that_share_an_id(spark, monkeypatch):
+    rng = random.Random(13)
+    some = lambda k: " ".join(f"w{rng.randrange(900)}" for _ in range(k))
+    passage = some(20)
+    rows = [(1, f"{some(5)} {passage}"), (2, f"{passage} {some(9)}"), *[(2, some(40)) for _ in range(30)], (3, f"{some(7)} {passage}")]
+    for few in (repeats.FEW_IDS, 0):
+        monkeypatch.setattr(repeats, "FEW_IDS", few)
+        got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == sorted(brute.kept_words(rows))
+
+
 def test_repeats_of_nothing(none):
     assert repeats.remove_repeats(none).count() == 0
 
