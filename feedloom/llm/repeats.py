@@ -147,14 +147,45 @@ def _windows(size: int):
     return go
 
 
-def cut_words(words: Words, row: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """(words removed from each text, what is left joined by single spaces) when the word ranges are cut out."""
-    size = len(words)
-    edge = np.zeros(size + 1, np.int64)
+def stay(words: Words, row: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which words are left when the word ranges of the texts are cut out."""
+    edge = np.zeros(len(words) + 1, np.int64)
     limit = words.count[row] if len(row) else row
     np.add.at(edge, words.first[row] + np.minimum(begin, limit), 1)
     np.add.at(edge, words.first[row] + np.minimum(end, limit), -1)
-    left = np.cumsum(edge[:size]) == 0
+    return np.cumsum(edge[: len(words)]) == 0
+
+
+def rest_of(words: Words, left: np.ndarray) -> pa.Array:
+    """The texts without the words that are not ``left``, and without the white space behind those.
+
+    All other white space stays. Where a cut takes a line break out of the middle of what is left, one break stays too, so no
+    line gets words of another.
+    """
+    data, offsets = words.data, words.offsets
+    gone = np.zeros(len(data) + 1, np.int64)
+    row = words.row
+    at = np.flatnonzero(~left)
+    upto = np.minimum(np.append(words.start[1:], len(data)), offsets[row + 1]) if len(row) else words.end  # white space behind a word goes with it
+    np.add.at(gone, words.start[at], 1)
+    np.add.at(gone, upto[at], -1)
+    kept = np.cumsum(gone[:-1]) == 0
+    head = at[(at == 0) | left[at - 1] | (row[at] != row[at - 1])] if len(at) else at
+    tail = at[np.append((np.diff(at) > 1) | (row[at[1:]] != row[at[:-1]]), True)] if len(at) else at
+    breaks = np.append(np.flatnonzero(data == 10), len(data))
+    begin, end = words.start[head], upto[tail]
+    first = breaks[np.searchsorted(breaks, begin)]
+    inner = (begin > offsets[row[head]]) & (end < offsets[row[head] + 1])
+    inner &= (first < end) & (data[np.maximum(begin - 1, 0)] != 10)
+    kept[first[inner]] = True
+    place = np.append(0, np.cumsum(kept))[offsets]
+    out = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(place.astype(np.int64)), pa.py_buffer(data[kept].tobytes()))
+    return out.cast(pa.string())
+
+
+def cut_words(words: Words, left: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(words removed from each text, what is left joined by single spaces)."""
+    size = len(words)
     kept = np.flatnonzero(left)
     length = words.end[kept] - words.start[kept] + 1
     upto = np.cumsum(length)
@@ -171,16 +202,18 @@ def cut_words(words: Words, row: np.ndarray, begin: np.ndarray, end: np.ndarray)
     return words.count - per, pa.array(out, pa.binary()).cast(pa.string())
 
 
-def _cut(size: int):
+def _cut(size: int, rest: bool):
     def fn(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         words = Words.of(batch.column(0))
         row, at = _lists(batch.column("full"))
         begin, n = _unpack(np.abs(at.astype(np.int64)))
         row2, at2 = _lists(batch.column("ends"))
         at2 = at2.astype(np.int64)
-        removed, kept = cut_words(
+        left = stay(
             words, np.concatenate([row, row2]), np.concatenate([begin, at2]), np.concatenate([begin + n - 1 + size, at2 + size]))
-        return {"n_words": pa.array(words.count.astype(np.int64)), "n_removed": pa.array(removed.astype(np.int64)), "kept": kept}
+        removed, kept = cut_words(words, left)
+        out = {"n_words": pa.array(words.count.astype(np.int64)), "n_removed": pa.array(removed.astype(np.int64)), "kept": kept}
+        return out | ({"rest": rest_of(words, left)} if rest else {})
 
     return fn
 
@@ -220,16 +253,19 @@ def _known_by_count(seg: DataFrame) -> DataFrame:
 
 def remove_repeats(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = SIZE, gram: int = GRAM, look: int = LOOK, hot_segments: int = HOT_SEGMENTS,
+    rest: bool = False,
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and ``kept``: the words not covered by a window that also starts in a
     document with a smaller id, joined by one space. Texts are shuffled once, by id.
 
     ``gram`` decides only how many anchors there are (about 2 in ``size - gram + 2`` words), ``look`` and ``hot_segments`` only
-    which of them are counted apart; none changes the result.
+    which of them are counted apart; none changes the result. With ``rest`` there is also a column of that name: the text
+    without the removed words, its other white space as it was.
     """
     if not 1 <= gram <= size:
         raise ValueError("gram must be between 1 and size")
-    names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
+    made = ["n_words", "n_removed", "kept", *(["rest"] if rest else [])]
+    names = [c for c in docs.columns if c not in made]
     wide = _tagged(docs.select(
         F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"),
         *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names) if c not in (key, text)]))
@@ -257,8 +293,9 @@ def remove_repeats(
     found = found.unionByName(wide.filter("id is null"), allowMissingColumns=True)
     none: Column = F.array().cast("array<long>")
     found = found.withColumn("full", F.coalesce("full", none)).withColumn("ends", F.coalesce("ends", none))
-    made = append(
-        found, _cut(size), [field("n_words", T.LongType()), field("n_removed", T.LongType()), field("kept", T.StringType())],
+    kinds = {"n_words": T.LongType(), "n_removed": T.LongType(), "kept": T.StringType(), "rest": T.StringType()}
+    done = append(
+        found, _cut(size, rest), [field(m, kinds[m]) for m in made],
         keep=[c for c in found.columns if c not in ("tag", "full", "ends")], uses=["full", "ends"], most=SLICE_BYTES)
     back = {key: "id", text: "text"} | {c: f"k{i}" for i, c in enumerate(names) if c not in (key, text)}
-    return made.select(*[F.col(back[c]).alias(c) for c in names], "n_words", "n_removed", "kept")
+    return done.select(*[F.col(back[c]).alias(c) for c in names], *made)

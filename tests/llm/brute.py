@@ -32,6 +32,25 @@ def kept_words(docs, size=13):
     return out
 
 
+def rest(t, gone, word=WORD):
+    """The text without the words numbered ``gone`` and the white space behind them, lines kept apart."""
+    found = list(word.finditer(t))
+    out, at, i = "", 0, 0
+    while i < len(found):
+        if i not in gone:
+            i += 1
+            continue
+        j = i
+        while j < len(found) and j in gone:
+            j += 1
+        begin, end = found[i].start(), found[j].start() if j < len(found) else len(t)
+        out += t[at:begin]
+        if "\n" in t[begin:end] and begin and t[begin - 1] != "\n" and end < len(t):
+            out += "\n"
+        at, i = end, j
+    return out + t[at:]
+
+
 def lower(t):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
 

@@ -256,6 +256,18 @@ def test_repeats_in_rows_that_share_an_id(spark, monkeypatch):
         assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == sorted(brute.kept_words(rows))
 
 
+def test_rest_keeps_the_white_space():
+    rng = random.Random(3)
+    texts_ = ["a b\nc d\ne f", "", " \n ", "one  two\tthree \n\n four", *("".join(rng.choice(["x ", "yé", " ", "\n", "\t", "z"]) for _ in range(30)) for _ in range(60))]
+    found = words.Words.of(pa.array(texts_, pa.string()))
+    for share in (0.0, 0.3, 0.7, 1.0):
+        left = np.array([rng.random() >= share for _ in range(len(found))], bool)
+        got = repeats.rest_of(found, left).to_pylist()
+        assert got == [brute.rest(t, {k for k in range(n) if not left[a + k]}) for t, a, n in zip(texts_, found.first, found.count)]
+    whole = words.Words.of(pa.array(["first line\nsecond line\nthe third line\nmail bob@x.org now"], pa.string()))
+    assert repeats.rest_of(whole, np.array([True] * 4 + [False] * 3 + [True] * 3)).to_pylist() == ["first line\nsecond line\nmail bob@x.org now"]
+
+
 def test_repeats_of_nothing(none):
     assert repeats.remove_repeats(none).count() == 0
 
