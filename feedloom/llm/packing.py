@@ -23,12 +23,12 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..session import cut
 from . import simhash
 from .frames import append, components, field
-from .words import Words, spans
+from .words import Words, slices, spans
 
 CAPACITY = 2048  # words of a bin
 SHARD_ROWS = 4096
 
-_OUT = "bin_id long, slot int, offset long, id long, piece long, first_word long, n_words long"
+_OUT = "bin_id long, slot int, offset long, id long, tag long, piece long, first_word long, n_words long"
 
 
 def measure(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None, near: bool = False) -> DataFrame:
@@ -101,19 +101,46 @@ def _shard(capacity: int):
         first = (table.column("shard")[0].as_py() << 32) + np.array(bins, np.int64)
         return pa.table({
             "bin_id": pa.array(first), "slot": pa.array(slot, pa.int32()), "offset": pa.array(before, pa.int64()),
-            **{c: table.column(c) for c in ("id", "piece", "first_word", "n_words")}})
+            **{c: table.column(c) for c in ("id", "tag", "piece", "first_word", "n_words")}})
 
     return go
 
 
+def _piece_texts(placed: DataFrame, docs: DataFrame) -> DataFrame:
+    """``placed`` with ``words``, the text from the piece's first word to its last. Each text is shuffled once, to its places."""
+    place = F.struct(*[c for c in placed.columns if c != "tag"])
+    own = lambda df: F.coalesce("id", F.xxhash64(F.lit(1), F.col("tag"))).alias("own")
+    places = placed.select(own(placed), "tag", place.alias("p")).groupBy("own", "tag").agg(F.collect_list("p").alias("places"))
+    # rows equal in id and text have one list of places
+    once = docs.select(own(docs), "tag", "text").dropDuplicates(["own", "tag"])
+    kind = places.schema["places"].dataType
+
+    def go(batches):
+        for batch in batches:
+            for part in slices(iter([batch]), "text"):
+                words = Words.of(part.column("text"))
+                held = part.column("places")
+                row = np.repeat(np.arange(part.num_rows), held.value_lengths().to_numpy(zero_copy_only=False))
+                table = pa.Table.from_struct_array(held.flatten()).combine_chunks()
+                first, n = table.column("first_word").to_numpy(), table.column("n_words").to_numpy()
+                raw, at = words.data.tobytes(), words.first[row] + first
+                out = [raw[words.start[a] : words.end[a + k - 1]] if k else b"" for a, k in zip(at.tolist(), n.tolist())]
+                columns = [table.column(c).combine_chunks() for c in kind.elementType.names]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary()).cast(pa.string())], [*kind.elementType.names, "words"])
+
+    out = T.StructType([*kind.elementType.fields, T.StructField("words", T.StringType())])
+    return once.join(places, ["own", "tag"]).select("text", "places").mapInArrow(go, out)
+
+
 def pack(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", cluster: str | None = None,
-    near: int | None = None, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS,
+    near: int | None = None, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, words: bool = False,
 ) -> DataFrame:
     """(bin_id, slot, offset, key, piece, first_word, n_words): where every piece of every text goes.
 
-    ``cluster`` names a column with the duplicate cluster; without it copies of the same words are a cluster, or, with
-    ``near``, texts linked by fingerprints that differ in at most so many bits. Texts are only measured, never shuffled.
+    With ``words`` there is also the text of the piece, so a sequence is its bin's ``words`` in the order of ``slot``. ``cluster`` names a column with the duplicate cluster; without it copies of the same words are a cluster, or, with
+    ``near``, texts linked by fingerprints that differ in at most so many bits. Texts are only measured, not shuffled, but for
+    ``words``.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
@@ -121,18 +148,29 @@ def pack(
         raise ValueError("cluster and near exclude each other")
     plain = docs.select(
         F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").cast("string").alias("source"),
+        F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("tag"),
         *([F.xxhash64(F.col(f"`{cluster}`")).alias("own")] if cluster else []))
-    sized = measure(plain, keep=["id", "source", *(["own"] if cluster else [])], near=near is not None)
+    sized = measure(plain, keep=["id", "source", "tag", *(["own"] if cluster else [])], near=near is not None)
     if cluster:
         sized = sized.withColumn("cluster", F.col("own")).drop("own")
     if near is not None:
         sized = _grouped(sized, near)
     pieces = F.greatest(F.lit(1), F.ceil(F.col("n_words") / capacity))
     cutup = sized.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1))).select(
-        "id", "source", "cluster", F.col("piece").cast("long").alias("piece"), (F.col("piece") * capacity).alias("first_word"),
+        "id", "tag", "source", "cluster", F.col("piece").cast("long").alias("piece"), (F.col("piece") * capacity).alias("first_word"),
         F.least(F.lit(capacity), F.col("n_words") - F.col("piece") * capacity).alias("n_words"))
     laid = cut(cutup)
     shards = max(1, -(-laid.count() // shard_rows))
-    dealt = laid.withColumn("shard", F.pmod(F.xxhash64("id", "piece", "cluster", "source"), F.lit(shards)))
+    same = ["id", "piece", "cluster", "source"]
+    hot = cut(laid.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > shard_rows).select(*same))
+    spread = F.xxhash64(*same)
+    if not hot.isEmpty():  # rows equal in all of these are spread by their place in the written table
+        equal = F.lit(True)
+        for c in same:
+            equal = equal & F.col(f"l.{c}").eqNullSafe(F.col(f"h.{c}"))
+        laid = laid.alias("l").join(hot.withColumn("hot", F.lit(True)).alias("h"), equal, "left").select("l.*", "hot")
+        spread = F.xxhash64(*same, F.when(F.col("hot"), F.monotonically_increasing_id()))
+    dealt = laid.withColumn("shard", F.pmod(spread, F.lit(shards)))
     done = dealt.groupBy("shard").applyInArrow(_shard(capacity), _OUT)
+    done = _piece_texts(cut(done), plain.select("id", "tag", "text")) if words else done.drop("tag")
     return done.withColumnRenamed("id", key)

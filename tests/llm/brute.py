@@ -32,6 +32,19 @@ def kept_words(docs, size=13):
     return out
 
 
+def gone_words(docs, size=13):
+    """doc_id -> numbers of the words that ``kept_words`` removes."""
+    first, out = {}, {}
+    words = [(i, WORD.findall(t or "")) for i, t in docs]
+    for i, w in words:
+        for s in range(len(w) - size + 1):
+            k = tuple(w[s : s + size])
+            first[k] = min(first.get(k, i), i)
+    for i, w in words:
+        out[i] = {p for s in range(len(w) - size + 1) if first[tuple(w[s : s + size])] < i for p in range(s, s + size)}
+    return out
+
+
 def rest(t, gone, word=WORD):
     """The text without the words numbered ``gone`` and the white space behind them, lines kept apart."""
     found = list(word.finditer(t))

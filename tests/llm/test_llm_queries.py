@@ -46,8 +46,8 @@ def test_pipeline(spark):
     group = brute.groups([(i, brute.simhash(t)) for i, t in b.items()])
     assert set(a) == set(group.values())
     b, a = rows["repeated passages"]
-    cut = {i: (gone, text) for i, _, gone, text in brute.kept_words(list(b.items()))}
-    assert a == {i: text if gone else b[i] for i, (gone, text) in cut.items()}
+    cut = brute.gone_words(list(b.items()))
+    assert a == {i: brute.rest(b[i], gone) if gone else b[i] for i, gone in cut.items()}
     b, a = rows["personal data"]
     from feedloom.llm import pii
 
@@ -55,5 +55,34 @@ def test_pipeline(spark):
     _, before, packed = kept[-1]
     words = {r.doc_id: len(brute.WORD.findall(r.text or "")) for r in before.collect()}
     assert {r.doc_id: r.n for r in packed.groupBy("doc_id").agg(F.sum("n_words").alias("n")).collect()} == words
+    text = {r.doc_id: r.text or "" for r in before.collect()}
+    for r in packed.collect():
+        assert brute.WORD.findall(r.words) == brute.WORD.findall(text[r.doc_id])[r.first_word : r.first_word + r.n_words]
+        assert r.words in text[r.doc_id]
+    bins = {}
+    for r in packed.collect():
+        bins.setdefault(r.bin_id, []).append(r)
+    for held in bins.values():
+        assert sorted(r.slot for r in held) == list(range(len(held))) and sum(r.n_words for r in held) <= 2048
     whole = corpus_pipeline.run(spark, FOLDER)
     assert whole.exceptAll(packed).count() == 0 and packed.exceptAll(whole).count() == 0
+
+
+def test_pipeline_with_odd_rows(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    names = docs.columns
+    odd = spark.createDataFrame([(None, None), (None, docs.first().text), (5, None), (7, "")], "doc_id long, text string")
+    odd = odd.select(*[F.col(c) if c in ("doc_id", "text") else F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in names])
+    more = docs.unionByName(docs.limit(20)).unionByName(odd)
+    for c in ("row", "tag", "id", "kept", "rest", "pattern", "fingerprint", "clean", "words", "k0"):
+        more = more.withColumn(c, F.lit(1))
+    for rows, at_least in ((more, 1), (more.limit(0), 0)):
+        before = rows
+        for name, stage in corpus_pipeline.STAGES:
+            after = stage(spark, before, FOLDER).cache()
+            if name != "packing":
+                assert after.columns == more.columns, name
+            assert after.count() >= at_least, name
+            before = after
+        rows.write.parquet(folder := f"{tmp_path}/{at_least}/documents.parquet")
+        assert corpus_pipeline.run(spark, folder.rsplit("/", 1)[0]).count() == before.count()
