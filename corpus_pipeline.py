@@ -1,4 +1,9 @@
-"""From raw documents to packed training sequences: five stages, each over all that its predecessor kept."""
+"""From raw documents to packed training sequences: five stages, each over all that its predecessor kept.
+
+A null text is an empty one; it fails the quality rules. A row with a null id is judged, cut from no one's passages, cleaned and
+packed like others. Rows that repeat an id are rows of their own until near duplicates go, where one row of an id stays. Other
+columns, whatever their names, go through all stages but the last. An empty table gives no sequences.
+"""
 
 from __future__ import annotations
 
@@ -25,9 +30,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages of 13 words and more that an earlier document has; other texts stay as they are, white space too."""
-    done = repeats.remove_repeats(docs)
-    return _with_text(docs, done.withColumn("_new", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))), "_new")
+    """Cuts passages of 13 words and more that an earlier document has; the rest stays as it is, white space and lines too."""
+    done = repeats.remove_repeats(docs, rest=True)
+    return _with_text(docs, done.withColumn("_new", F.when(F.col("n_removed") > 0, F.col("rest")).otherwise(F.col("text"))), "_new")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +41,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places every text in bins; no bin holds two documents of one source or two copies."""
-    return packing.pack(docs)
+    """Places every text in bins, with its words; no bin holds two documents of one source or two copies."""
+    return packing.pack(docs, words=True)
 
 
 STAGES = [
