@@ -3,8 +3,8 @@
 A fingerprint has 64 bits, taken from the XXH64 hashes (seed 42) of the runs of three lower-cased words. Equal
 fingerprints are one node, so copies cost nothing. Nodes are dealt to shards by a vantage-point tree built on a bounded
 sample: its branches are split by the distance to a vantage point. A node lives in one shard, and also visits every
-shard that the triangle inequality cannot rule out for the search radius. Within a shard a tree of its own finds the
-near pairs; of these only a spanning forest leaves the shard, so a dense group gives no square of links. Links of all
+shard that the triangle inequality cannot rule out for the search radius. A shard that is still too large is dealt again by a
+tree built on a sample of its own, until every shard is below a bound. Within a shard a tree of its own finds the near pairs; of these only a spanning forest leaves the shard, so a dense group gives no square of links. Links of all
 shards are joined to components.
 
 Null and empty texts have fingerprint zero and link like any other. Repeated rows share a fingerprint. A null id takes
@@ -13,19 +13,24 @@ the component of its fingerprint, and never names one. No rows: no rows out.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import cut
 from .frames import append, components, field
-from .words import Words
+from .words import Words, mix
 
 SAMPLE = 1 << 14  # fingerprints that the dealing tree is fitted on: a fixed bound
 SHARD_NODES = 1 << 13  # nodes that a shard should have
+PART_SAMPLE = 1 << 12  # nodes of a shard that is dealt again that its tree is fitted on
+CHUNK_ROWS = 1 << 16  # rows of it that one task deals
+MOST_LEVELS = 8
 LEAF = 64  # nodes compared directly
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -69,15 +74,15 @@ def distance(a: np.ndarray, b) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
-def _best_split(points: np.ndarray, radius: int, seed: int) -> tuple[np.uint64, int] | None:
-    """Of a few vantage points and limits, those that cut ``points`` in parts of a quarter at least and put the
+def _best_split(points: np.ndarray, radius: int, seed: int, least: float = 0.25) -> tuple[np.uint64, int] | None:
+    """Of a few vantage points and limits, those that cut ``points`` in parts of a share of ``least`` at least and put the
     fewest of them within the radius of the limit."""
     rng = np.random.default_rng(seed)
     best = None
     for vantage in points[rng.integers(0, len(points), 12)]:
         upto = np.cumsum(np.bincount(distance(points, vantage), minlength=66)) / len(points)
         for limit in range(64):
-            if 0.25 <= upto[limit] <= 0.75:
+            if least <= upto[limit] <= 1 - least:
                 both = upto[min(limit + radius, 65)] - (upto[limit - radius] if limit >= radius else 0)
                 cost = both + 0.3 * abs(upto[limit] - 0.5)
                 if best is None or cost < best[0]:
@@ -95,7 +100,7 @@ class Branch:
     far: Branch | int
 
 
-def build(sample: np.ndarray, shards: int, radius: int) -> Branch | int:
+def build(sample: np.ndarray, shards: int, radius: int, least: float = 0.25) -> Branch | int:
     """A tree with at most ``shards`` leaves, numbered from 0, that cuts the largest part of the sample first."""
     parts, cuts = [sample], {}
     blocked: set[int] = set()
@@ -106,7 +111,7 @@ def build(sample: np.ndarray, shards: int, radius: int) -> Branch | int:
         if not open_:
             break
         i = max(open_, key=lambda i: len(parts[i]))
-        found = _best_split(parts[i], radius, i)
+        found = _best_split(parts[i], radius, i, least)
         if found is None:
             blocked.add(i)
             continue
@@ -206,7 +211,9 @@ def _shard(radius: int):
     return go
 
 
-def links(nodes: DataFrame, *, radius: int = 2, sample: int = SAMPLE, shard_nodes: int = SHARD_NODES) -> DataFrame:
+def links(
+    nodes: DataFrame, *, radius: int = 2, sample: int = SAMPLE, shard_nodes: int = SHARD_NODES, part_sample: int = PART_SAMPLE, chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
     """(a, b) that join all of ``nodes`` (node, point: distinct) that are within ``radius`` of each other, by way of
     others or directly; no pair further apart is joined directly."""
     n = nodes.count()
@@ -222,10 +229,70 @@ def links(nodes: DataFrame, *, radius: int = 2, sample: int = SAMPLE, shard_node
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard), pa.array(node[at]), pa.array(point[at]), pa.array(home)], ["shard", "node", "point", "home"])
 
-    dealt = nodes.select("node", "point").mapInArrow(go, "shard long, node long, point long, home boolean")
+    dealt = cut(nodes.select("node", "point").mapInArrow(go, _DEALT))
+    dealt = deal_again(dealt, radius, shard_nodes, part_sample, chunk_rows)
     return dealt.groupBy("shard").applyInArrow(_shard(radius), "a long, b long")
 
 
+_DEALT = "shard long, node long, point long, home boolean"
+
+
+def _fit(radius: int, most: int):
+    """The tree of a shard's sample, for as many parts as its rows need."""
+
+    def go(table: pa.Table) -> pa.Table:
+        points = table.column("point").to_numpy().view(np.uint64)
+        rows = table.column("rows")[0].as_py()
+        tree = build(points, min(-(-4 * rows // most), len(points) // 8 + 1), radius, 0.05)
+        return pa.table({"shard": table.column("shard")[:1], "rows": table.column("rows")[:1], "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+
+    return go
+
+
+def _deal_chunk(radius: int):
+    """Rows of a part of a shard in the shard's own parts; a node that only visits the shard has no home in any."""
+
+    def go(table: pa.Table) -> pa.Table:
+        is_tree = pc.is_valid(table.column("tree"))
+        tree = pickle.loads(table.filter(is_tree).column("tree")[0].as_py())
+        rows = table.filter(pc.invert(is_tree))
+        point, home = rows.column("point").to_numpy(), rows.column("home").to_numpy(zero_copy_only=False).astype(bool)
+        part, at, lives = deal(tree, point.view(np.uint64), radius)
+        # a number for each part that no other part of any shard has, but for one in 2**64 pairs; those would only be one shard
+        base = np.uint64(table.column("shard")[0].as_py() & (2**64 - 1))
+        shard = mix(mix(np.full(len(part), base)) + part.astype(np.uint64) + np.uint64(1)).view(np.int64)
+        return pa.table({"shard": shard, "node": rows.column("node").take(pa.array(at)), "point": point[at], "home": lives & home[at]})
+
+    return go
+
+
+def deal_again(dealt: DataFrame, radius: int, most: int, part_sample: int = PART_SAMPLE, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Cut shards with more than four times ``most`` rows in parts, until there are none. Samples, trees and rows stay on the
+    executors. A shard without a home has nothing to find and goes. Where fingerprints lie so close that nearly all visit both
+    sides of any cut, cutting ends: such a cloud stays together."""
+    before = float("inf")
+    for _ in range(MOST_LEVELS):
+        sizes = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
+        large = cut(sizes.filter(F.col("rows") > 4 * most))
+        total = large.agg(F.sum("rows")).first()[0] or 0
+        if total == 0 or total > 0.9 * before:
+            return dealt
+        before = total
+        rows = dealt.join(large, "shard")
+        first = Window.partitionBy("shard").orderBy(F.xxhash64("point"), "point")
+        some = rows.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= part_sample).select("shard", "point", "rows")
+        trees = some.groupBy("shard").applyInArrow(_fit(radius, most), "shard long, rows long, tree binary")
+        chunks = F.ceil(F.col("rows") / chunk_rows)
+        parts = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks)).withColumn("tree", F.lit(None).cast("binary")).drop("rows")
+        trees = trees.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))).drop("rows")
+        met = parts.unionByName(trees, allowMissingColumns=True)
+        again = met.groupBy("shard", "chunk").applyInArrow(_deal_chunk(radius), _DEALT)
+        dealt = cut(dealt.join(large.select("shard"), "shard", "left_anti").unionByName(again))
+        homes = dealt.filter("home").select("shard").distinct()
+        dealt = dealt.join(homes, "shard", "left_semi")
+    return dealt
+
+
 def duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", radius: int = 2, **sizes: int) -> DataFrame:
     """(key, fingerprint, component): for each row the smallest key that it is linked with."""
     prints = cut(fingerprint(docs.select(F.col(f"`{key}`").cast("long").alias("node"), F.col(f"`{text}`").alias("text")),

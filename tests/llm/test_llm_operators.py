@@ -188,6 +188,30 @@ def test_vantage_trees_find_all_links(spark):
     assert {i: got.get(i, i) for i in want} == want
 
 
+def test_large_shards_are_dealt_again(spark, monkeypatch):
+    """Sixteen times as many nodes as the first tree sees, and groups that it cannot tell apart."""
+    rng = np.random.default_rng(5)
+    seeds = rng.integers(0, 2**63, 300, dtype=np.uint64)
+    flip = lambda p, k: p ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (k, len(p)), dtype=np.uint64), axis=0)
+    close = np.concatenate([flip(np.full(1500, seeds[0]), 16), flip(np.full(1500, seeds[1]), 12)])  # two clouds
+    points = np.unique(np.concatenate([seeds, *[flip(seeds, k) for k in (1, 2, 3, 3)], close, rng.integers(0, 2**63, 2500, dtype=np.uint64)]))
+    nodes = spark.createDataFrame([(i, int(p)) for i, p in enumerate(points.view(np.int64))], "node long, point long")
+    dealt = []
+    go = simhash.deal_again
+    monkeypatch.setattr(simhash, "deal_again", lambda rows, *a: dealt.append((rows, go(rows, *a))) or dealt[-1][1])
+    most = 100
+    links = simhash.links(nodes, sample=len(points) // 16, shard_nodes=most, part_sample=256, chunk_rows=300)
+    got = {r.node: r.component for r in frames.components(links).collect()}
+    near = simhash.distance(points[:, None], points[None, :]) <= 2
+    forest = simhash.Forest(len(points))
+    forest.join(*np.nonzero(near))
+    assert {i: got.get(i, i) for i in range(len(points))} == dict(enumerate(forest.root.tolist()))
+    size = lambda df: df.groupBy("shard").count().agg(F.max("count")).first()[0]
+    before, after = dealt[0]
+    assert size(before) > 4 * most >= size(after)
+    assert after.filter("home").count() == len(points) and after.filter("home").select("node").distinct().count() == len(points)
+
+
 def test_keep_one(docs, none):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns and kept.exceptAll(docs).count() == 0
