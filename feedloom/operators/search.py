@@ -5,11 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import combinations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.values import col, let
-from .relational import skew_join, top_per_key
+from ..session import cut
+from .relational import skew_join, top_per_key, with_position
 
 TOKEN = r"[\p{L}\p{N}]+"
 
@@ -123,13 +126,19 @@ PREFIX_WEIGHT, FUZZY_WEIGHT, FUZZY = 0.375, 0.45, 0.2
 K1, B = 1.2, 0.7
 
 
+def edits_of(length: int, fuzzy: float = FUZZY) -> int:
+    """How many edits a word of this length may be away."""
+    return int(length * fuzzy + 0.5)
+
+
 def term_weight(term: Column, word: str, fuzzy: float = FUZZY) -> Column:
-    """1 for the word itself, less for a longer term that begins with it or a term a few edits away; else 0."""
-    edits = int(len(word) * fuzzy + 0.5)
-    out = F.when(term == word, 1.0).when(term.startswith(word), PREFIX_WEIGHT)
+    """1 for the word itself, less for a longer term that begins with it or a term a few edits away, the less the further
+    away it is; else 0."""
+    edits, n = edits_of(len(word), fuzzy), F.length(term).cast("double")
+    out = F.when(term == word, 1.0).when(term.startswith(word), PREFIX_WEIGHT * n / (n + 0.3 * (n - len(word))))
     if edits:
-        near = F.levenshtein(term, F.lit(word), edits) >= 0
-        out = out.when(F.abs(F.length(term) - len(word)).between(0, edits) & near, FUZZY_WEIGHT)
+        away = F.levenshtein(term, F.lit(word), edits)
+        out = out.when(F.abs(F.length(term) - len(word)).between(0, edits) & (away >= 0), FUZZY_WEIGHT * n / (n + away))
     return out.otherwise(0.0)
 
 
@@ -179,13 +188,17 @@ def full_text(
     one aggregate, used as a scalar subquery.
     """
     fields = list(boosts)
-    tokens = _tokens(df, fields, key)
     weight = _weight(query, fuzzy)
-    found = _terms(tokens, fields, key).filter(weight > 0)
-    tf = found.groupBy(key, "field", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tokens = _tokens(df, fields, key)
+    # one more token that is null for each field of a row, so that one pass gives lengths and hits
+    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.size(f).alias("len"), F.concat(F.array(F.lit(None).cast("string")), F.col(f)).alias("terms")) for f in fields])
+    found = tokens.select(key, F.inline(cells)).select(key, "field", "len", F.explode("terms").alias("term"))
+    found = cut(found.filter(F.col("term").isNull() | (weight > 0)))
+    of = lambda f, c: F.when(F.col("field") == f, c)
+    stats = found.filter("term is null").agg(F.count(of(fields[0], F.lit(1))).alias("n"), *[F.avg(of(f, F.col("len"))).alias(f"mean_{f}") for f in fields])
+    tf = cut(found.filter("term is not null").groupBy(key, "field", "len", "term").agg(F.count(F.lit(1)).alias("tf")))
     per_term = tf.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     hits = skew_join(tf, per_term, ["field", "term"], "inner", spread=[key]).withColumn("weight", weight)
-    stats = _stats(tokens, fields)
     return _rank(hits, stats.select(F.struct("*")).scalar(), boosts, key, limit)
 
 
@@ -229,3 +242,111 @@ def search_index(
     terms = vocabulary.withColumn("weight", weight).filter(F.col("weight") > 0)
     hits = skew_join(postings.filter(F.col("field").isin(*boosts)), terms, ["field", "term"], "inner", spread=[key])
     return _rank(hits, stats.select(F.struct("*")).scalar(), boosts, key, limit)
+
+
+# --- an index that is not read as a whole ---------------------------------------------------------
+
+
+def deletions(word: str, most: int) -> set[str]:
+    """The word with up to ``most`` letters left out."""
+    return {"".join(kept) for n in range(min(most, len(word)) + 1) for kept in combinations(word, len(word) - n)}
+
+
+def _reach(length: int, fuzzy: float) -> int:
+    """The most edits that a word may be away from a term of this length."""
+    words = range(length, int((length + 2) / (1 - min(fuzzy, 0.9))) + 2)
+    return max([edits_of(n, fuzzy) for n in words if n - edits_of(n, fuzzy) <= length], default=0)
+
+
+MOST_DELETED = 3
+
+
+def variants_of(term: str, fuzzy: float = FUZZY) -> list[str]:
+    """What a word must share one of with the term to be near it.
+
+    Two words k edits apart share a spelling with at most k letters left out of each. Where that would be too many spellings,
+    the term is cut in k + 1 parts instead: one of them stands unchanged in the other word.
+    """
+    most = _reach(len(term), fuzzy)
+    if most <= MOST_DELETED:
+        return sorted(deletions(term, most))
+    edges = [i * len(term) // (most + 1) for i in range(most + 2)]
+    return sorted({"/" + term[x:y] for x, y in zip(edges, edges[1:])})
+
+
+def spellings(word: str, fuzzy: float = FUZZY) -> set[str]:
+    """The variants under which terms near a word are found."""
+    most = edits_of(len(word), fuzzy)
+    if not most:
+        return set()
+    parts = {"/" + word[i:j] for i in range(len(word)) for j in range(i + 1, len(word) + 1)}
+    return deletions(word, min(most, MOST_DELETED)) | parts
+
+
+def neighbour_table(vocabulary: DataFrame, fuzzy: float = FUZZY) -> DataFrame:
+    """(variant, term): every distinct term under all its ``variants_of``, so a word finds its neighbours by equality."""
+
+    @F.arrow_udf("array<string>")
+    def variants(terms: pa.Array) -> pa.Array:
+        return pa.array([variants_of(t, fuzzy) for t in terms.to_pylist()], pa.list_(pa.string()))
+
+    terms = vocabulary.select("term").distinct()
+    return terms.select(F.explode(variants("term")).alias("variant"), "term")
+
+
+def match_terms(vocabulary: DataFrame, neighbours: DataFrame, query: str, fuzzy: float = FUZZY) -> DataFrame:
+    """``vocabulary`` rows of the terms that a query means, with ``weight``; edit distances only of terms that share a variant."""
+    words = query_tokens(query)
+    spelt = sorted({v for w in words for v in spellings(w, fuzzy)})
+    begins = reduce(lambda a, b: a | b, [F.col("term").startswith(w) for w in words], F.lit(False))
+    near = neighbours.filter(F.col("variant").isin(spelt)).select("term").distinct() if spelt else None
+    found = vocabulary.filter(begins)
+    if near is not None:
+        # terms that begin with a word are there already
+        found = found.unionByName(vocabulary.join(near.filter(~begins), "term", "left_semi").select(*found.columns))
+    return found.withColumn("weight", _weight(query, fuzzy)).filter(F.col("weight") > 0)
+
+
+def block_index(postings: DataFrame, stats: DataFrame, fields: Sequence[str], *, key: str = "id", block_rows: int = 128) -> tuple[DataFrame, DataFrame]:
+    """(postings with ``block`` and ``impact``, bounds): rows are dealt to blocks by a hash of the key, ``impact`` is a posting's
+    score before weights, and ``bounds`` has the greatest impact of each (term, field, block)."""
+    said = stats.select(F.struct("*")).scalar()
+    mean = _by_field({f: said[f"mean_{f}"] for f in fields})
+    impact = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / mean))
+    block = F.pmod(F.xxhash64(key), F.greatest(F.ceil(said["n"] / block_rows), F.lit(1)))
+    rows = postings.withColumn("block", block).withColumn("impact", impact)
+    return rows, rows.groupBy("term", "field", "block").agg(F.max("impact").alias("most"))
+
+
+def search_blocks(
+    postings: DataFrame, bounds: DataFrame, vocabulary: DataFrame, neighbours: DataFrame, stats: DataFrame, query: str,
+    boosts: Mapping[str, float], *, key: str = "id", limit: int = 200, fuzzy: float = FUZZY, first: int = 64,
+) -> tuple[DataFrame, int]:
+    """(the ``limit`` best rows as of ``search_index``, how many blocks were read).
+
+    Blocks are read in the order of the score that a row of them could have at most, twice as many in each round, until no
+    unread block can reach the last of the best so far.
+    """
+    total = stats.select("n").scalar()
+    idf = F.log(1.0 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    terms = match_terms(vocabulary.filter(F.col("field").isin(*boosts)), neighbours, query, fuzzy)
+    terms = cut(terms.select("field", "term", (F.col("weight") * _by_field({f: float(b) for f, b in boosts.items()}) * idf).alias("worth")))
+    reach = bounds.join(terms, ["field", "term"]).groupBy("block").agg((F.sum(F.col("worth") * F.col("most")) * (1 + 1e-9)).alias("reach"))
+    blocks = cut(with_position(reach, [F.desc("reach"), F.asc("block")], "place"))
+    n, read, least, best = blocks.count(), 0, float("-inf"), None
+    while read < n:
+        upto = read + max(first, read)
+        some = blocks.filter((F.col("place") >= read) & (F.col("place") < upto) & (F.col("reach") >= least))
+        hits = postings.join(some.select("block"), "block", "left_semi").join(terms, ["field", "term"])
+        scored = hits.groupBy(key).agg(F.sum(F.col("worth") * F.col("impact")).alias("score"))
+        if best is not None:
+            scored = scored.unionByName(best)
+        best = cut(scored.orderBy(F.desc("score"), key).limit(limit))
+        read = min(upto, n)
+        kept, low = best.agg(F.count(F.lit(1)), F.min("score")).first()
+        least = low if kept == limit else least
+        if blocks.filter((F.col("place") >= read) & (F.col("reach") >= least)).isEmpty():
+            break
+    if best is None:
+        return postings.sparkSession.createDataFrame([], postings.select(key).schema.add("score", "double")), 0
+    return best.orderBy(F.desc("score"), key), read

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ...functions import text as X
 from ...functions.values import first_rule
 from ...operators import filters as B, scoring as S, search as Q
-from ..registry import query
+from ...session import cut
+from ..registry import query, scratch
 
 
 @query(
@@ -358,8 +359,10 @@ def sql_weight(words):
     # DuckDB's distance counts bytes: other characters are made one byte first
     def one(w):
         e = int(len(w) * 0.2 + 0.5)
-        near = f" when abs(length(term) - {len(w)}) <= {e} and levenshtein(regexp_replace(term, '[^\\x00-\\x7F]', '_', 'g'), '{w}') <= {e} then 0.45" if e else ""
-        return f"case when term = '{w}' then 1.0 when starts_with(term, '{w}') then 0.375{near} else 0 end"
+        away = f"levenshtein(regexp_replace(term, '[^\\x00-\\x7F]', '_', 'g'), '{w}')"
+        near = f" when abs(length(term) - {len(w)}) <= {e} and {away} <= {e} then 0.45 * length(term) / (length(term) + {away})" if e else ""
+        begins = f"0.375::double * length(term) / (length(term) + 0.3::double * (length(term) - {len(w)}))"
+        return f"case when term = '{w}' then 1.0 when starts_with(term, '{w}') then {begins}{near} else 0 end"
 
     return "(" + " + ".join(one(w) for w in words) + ")::double"
 
@@ -400,6 +403,20 @@ def j5_search_page(t):
     return out.select("doc_id", F.round("score", 6).alias("score"))
 
 
+@query("j5_search_blocks", SQL_FULL_TEXT)
+def j5_search_blocks(t):
+    """The same question to an index whose blocks are read as far as their bounds ask for, terms found by their variants."""
+    d = t.documents.select("doc_id", F.regexp_extract("text", "^[^\n]*", 0).alias("head"), "text")
+    postings, vocabulary, stats = (cut(x) for x in Q.build_index(d, ["head", "text"], key="doc_id"))
+    rows, bounds = Q.block_index(postings, stats, ["head", "text"], key="doc_id")
+    path = scratch(t, "blocks")
+    rows.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(path)
+    stored = t.spark.read.schema(rows.schema).parquet(path)
+    # the SQL counts a term's documents among those that match
+    out, _ = Q.search_blocks(stored, cut(bounds), vocabulary, cut(Q.neighbour_table(vocabulary)), stats, "anden verbe the", {"head": 3.0, "text": 1.0}, key="doc_id")
+    return out.select("doc_id", F.round("score", 6).alias("score"))
+
+
 @query("j5_search_index", SQL_FULL_TEXT)
 def j5_search_index(t):
     """Build the index, write and read its postings, and ask the same question."""

@@ -522,3 +522,65 @@ def test_time_of_texts_follows_their_length(spark):
     got = df.select(T.install_commands("h")["commands"].alias("c"), markdown.body_description("f").alias("d")).first()
     assert len(got.c) == 10_001 and got.d.startswith("Title: words")
     assert time.time() - began < 20
+
+
+def test_near_terms_are_found_by_their_variants(spark):
+    import random
+
+    from feedloom.operators import search as Q
+
+    rnd = random.Random(4)
+    word = lambda n: "".join(rnd.choice("abé") for _ in range(n))
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, old = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(row[-1] + 1, old[j] + 1, old[j - 1] + (x != y)))
+        return row[-1]
+
+    def mangled(w):
+        for _ in range(rnd.randrange(6)):
+            i = rnd.randrange(len(w) + 1)
+            w = rnd.choice([w[:i] + w[i + 1 :], w[:i] + rnd.choice("abc") + w[i:], w[:i] + rnd.choice("abc") + w[i + 1 :]])
+        return w
+
+    asked = [word(n) for n in (1, 2, 3, 5, 7, 8, 12, 13, 17, 18, 22, 27)]
+    terms = sorted({m for w in asked for _ in range(60) if (m := mangled(w))} | {word(rnd.randrange(1, 30)) for _ in range(300)} | {"x" * 60})
+    assert max(len(Q.variants_of(t)) for t in terms) < 600
+    vocabulary = spark.createDataFrame([("f", t, 1) for t in terms], "field string, term string, df long")
+    neighbours = Q.neighbour_table(vocabulary).cache()
+
+    def weight(t, w):
+        if t == w:
+            return 1.0
+        if t.startswith(w):
+            return 0.375 * len(t) / (len(t) + 0.3 * (len(t) - len(w)))
+        d = distance(t, w)
+        return 0.45 * len(t) / (len(t) + d) if d <= int(len(w) * 0.2 + 0.5) else 0.0
+
+    for w in asked:
+        got = {r.term: round(r.weight, 9) for r in Q.match_terms(vocabulary, neighbours, w).collect()}
+        assert got == {t: round(x, 9) for t in terms if (x := weight(t, w)) > 0}, w
+
+
+def test_blocks_that_cannot_matter_are_not_read(spark):
+    import random
+
+    from feedloom.operators import search as Q
+
+    rnd = random.Random(6)
+    rows_ = [(i, " ".join(rnd.choice(["rust", "java", "the", "of", "x", "y", "z"]) for _ in range(rnd.randrange(3, 60)))) for i in range(3000)]
+    rows_ += [(5000 + i, "special rust special") for i in range(12)]
+    df = spark.createDataFrame(rows_, "id long, text string")
+    postings, vocabulary, stats = (x.cache() for x in Q.build_index(df, ["text"]))
+    blocks, bounds = Q.block_index(postings, stats, ["text"], block_rows=32)
+    neighbours = Q.neighbour_table(vocabulary)
+    total = bounds.select("block").distinct().count()
+    for query, limit in (("special", 5), ("special rust", 10), ("the of", 200), ("nothinglikeit", 5)):
+        want = Q.search_index(postings, vocabulary, stats, query, {"text": 1.0}, limit=limit).collect()
+        found, read = Q.search_blocks(blocks, bounds, vocabulary, neighbours, stats, query, {"text": 1.0}, limit=limit, first=2)
+        got = found.collect()
+        assert [(r.id, round(r.score, 9)) for r in got] == [(r.id, round(r.score, 9)) for r in want], query
+        assert read < total / 2 or query == "the of", (query, read, total)
