@@ -1,6 +1,7 @@
 """Licence texts found by the Dice coefficient over word bigrams, in Spark expressions only.
 
-Every line of a text, every block of lines without a blank line between, and the text as a whole is compared. Text is
+Every line of a text, every sentence of a paragraph that is no line, every block of lines without a blank line between, and the
+text as a whole is compared. Templates are whole short licences, the notices that longer ones ask for, and usual lines. Text is
 normalised: A-Z lowered, everything but a-z and 0-9 a space. With a and b distinct bigrams on the two sides and c in
 common the coefficient is 2c / (a + b); for it to reach ``least``, a must lie between least / (2 - least) * b and
 (2 - least) / least * b, so only templates of a fitting size are compared. Since a is at least c, c is at least
@@ -21,8 +22,71 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 LEAST = 0.8
 
-# Notices and leading paragraphs of common licences.
+# Texts, notices, leading paragraphs and lines of common licences.
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+    "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+    "persons to whom the Software is furnished to do so, subject to the following conditions:")
+_MIT_REST = (
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+    "Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+    "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS "
+    "OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:")
+_BSD_CLAUSES = (
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+    "following disclaimer in the documentation and/or other materials provided with the distribution.")
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.")
+_BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies.")
+_ISC_REST = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+    "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+    "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF "
+    "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+_GNU = "{} is free software{} you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation{}"
 TEMPLATES = {
+    "agpl-3.0-notice": _GNU.format(
+        "This program", ":", "Affero General Public License", ", either version 3 of the License, or (at your option) any later version."),
+    "bsd-2-clause": f"{_BSD} {_BSD_CLAUSES} {_BSD_DISCLAIMER}",
+    "bsd-3-clause": f"{_BSD} {_BSD_CLAUSES} {_BSD_THIRD} {_BSD_DISCLAIMER}",
+    "bsd-line": "Released under the BSD License.",
+    "epl-2.0-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+        "is available at https://www.eclipse.org/legal/epl-2.0/"),
+    "gpl-2.0-notice": _GNU.format(
+        "This program", ";", "General Public License", "; either version 2 of the License, or (at your option) any later version."),
+    "isc-text": f"{_ISC} {_ISC_REST}",
+    "lgpl-2.1-notice": _GNU.format(
+        "This library", ";", "Lesser General Public License", "; either version 2.1 of the License, or (at your option) any later version."),
+    "lgpl-3.0-notice": _GNU.format(
+        "This program", ":", "Lesser General Public License", ", either version 3 of the License, or (at your option) any later version."),
+    "mit-text": f"{_MIT} {_MIT_REST}",
+    "mit-warranty": _MIT_REST,
+    "spdx-apache-2.0": "SPDX-License-Identifier: Apache-2.0",
+    "spdx-bsd-3-clause": "SPDX-License-Identifier: BSD-3-Clause",
+    "spdx-gpl-3.0": "SPDX-License-Identifier: GPL-3.0-or-later",
+    "spdx-mit": "SPDX-License-Identifier: MIT",
+    "spdx-mpl-2.0": "SPDX-License-Identifier: MPL-2.0",
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+        "for any damages arising from the use of this software."),
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-notice": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
@@ -30,17 +94,8 @@ TEMPLATES = {
         "applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
         "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
         "governing permissions and limitations under the License."),
-    "bsd-redistribution": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met:"),
-    "bsd-disclaimer": (
-        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
-        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
-        "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
-        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
-        "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
-        "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
-        "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    "bsd-redistribution": _BSD,
+    "bsd-disclaimer": _BSD_DISCLAIMER,
     "cc-by-4.0-line": "Licensed under CC BY 4.0.",
     "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0.",
     "cc-by-sa-4.0-line": "Licensed under CC BY-SA 4.0.",
@@ -53,14 +108,8 @@ TEMPLATES = {
     "gpl-warranty": (
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
         "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
-    "isc": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
-        "granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    "mit-grant": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
-        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
-        "persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    "isc": _ISC,
+    "mit-grant": _MIT,
     "mit-line": "Released under the MIT License.",
     "mpl-2.0-notice": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
@@ -98,16 +147,30 @@ def telling(known: Mapping[str, list[str]], least: float) -> list[str]:
     return sorted(chosen)
 
 
+_BORDER = "\x01"  # stands where a sentence ends
+
+
+def _marked(text: Column) -> Column:
+    """The normalised text with line breaks, and a border behind every sentence."""
+    low = F.translate(text, _UPPER + _BORDER, _LOWER + " ")
+    ended = F.regexp_replace(low, r"(?<=[.!?])(?=[ \t\n])", _BORDER)
+    return F.regexp_replace(F.regexp_replace(ended, f"[^a-z0-9\n{_BORDER}]+", " "), f" *{_BORDER} *", _BORDER)
+
+
 def _units(text: Column) -> Column:
-    """(unit, unit_no, words with single spaces) of the lines, blocks and whole of a normalised text with line breaks."""
-    kind = lambda name, no, x: F.struct(F.lit(name).alias("unit"), no.cast("int").alias("unit_no"), F.trim(x).alias("body"))
-    flat = lambda x: F.regexp_replace(x, r"[ \n]+", " ")
-    lines = F.transform(F.split(text, "\n", -1), lambda x, i: kind("line", i, x))
-    parts = F.split(text, r"\n *\n[ \n]*", -1)
+    """(unit, unit_no, words with single spaces) of the lines, sentences, blocks and whole of a marked text."""
+    kind = lambda name, no, x: F.struct(F.lit(name).alias("unit"), no.cast("int").alias("unit_no"), x.alias("body"))
+    flat = lambda x: F.trim(F.regexp_replace(x, f"[ \n{_BORDER}]+", " "))
+    bodies = F.transform(F.split(text, "\n", -1), lambda x: F.trim(F.translate(x, _BORDER, " ")))
+    lines = F.transform(bodies, lambda x, i: kind("line", i, x))
+    parts = F.split(text, rf"\n[ {_BORDER}]*\n[ \n{_BORDER}]*", -1)
     blocks = F.filter(F.transform(parts, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda b: F.contains(b["x"], F.lit("\n")))
     blocks = F.transform(blocks, lambda b: kind("block", b["i"], flat(b["x"])))
+    said = F.flatten(F.transform(F.filter(parts, lambda x: F.contains(x, F.lit(_BORDER))), lambda x: F.split(x, _BORDER, -1)))
+    said = F.transform(F.transform(said, flat), lambda x, i: kind("sentence", i, x))
+    said = F.filter(said, lambda u: ~F.array_contains(bodies, u["body"]))
     whole = F.when(F.size(parts) > 1, F.array(kind("text", F.lit(0), flat(text))))
-    return F.concat(lines, blocks, F.coalesce(whole, F.slice(F.array(kind("text", F.lit(0), F.lit(""))), 1, 0)))
+    return F.concat(lines, said, blocks, F.coalesce(whole, F.slice(F.array(kind("text", F.lit(0), F.lit(""))), 1, 0)))
 
 
 def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", templates: Mapping[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
@@ -124,8 +187,10 @@ def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", templates:
     plain = F.regexp_replace(F.translate(F.col(f"`{text}`"), _UPPER, _LOWER), "[^a-z0-9\n]+", " ")
     marks = [m.replace(" ", r"[ \n]+") for m in telling(known, least)]
     some = rf"\b(?:{'|'.join(marks)})\b"
-    text_rows = docs.select(F.col(f"`{key}`").alias("id"), plain.alias("plain")).filter(F.col("plain").rlike(some))
-    unit = text_rows.select("id", F.explode(_units(F.col("plain"))).alias("u")).select("id", "u.*")
+    text_rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"), plain.alias("plain")).filter(F.col("plain").rlike(some))
+    # marked once for each text that is left: an array of one element whose lambda variable is used several times
+    units = F.transform(F.array(_marked(F.col("text"))), _units)[0]
+    unit = text_rows.select("id", F.explode(units).alias("u")).select("id", "u.*")
 
     def pairs(words: Column) -> Column:
         n = F.greatest(F.size(words) - 1, F.lit(0))
@@ -159,20 +224,28 @@ def scan_sql(templates: Mapping[str, str] = TEMPLATES, least: float = LEAST) ->
     return rf"""
 with templates(template, grams) as (values {rows}),
 plain as (
-    select row_number() over () as r, doc_id,
-        regexp_replace(translate(text, '{_UPPER}', '{_LOWER}'), '[^a-z0-9\n]+', ' ', 'g') as t
+    select row_number() over () as r, doc_id, regexp_replace(regexp_replace(regexp_replace(
+        translate(text, '{_UPPER}' || chr(1), '{_LOWER} '), '([.!?])([ \t\n])', '\1' || chr(1) || '\2', 'g'),
+        '[^a-z0-9\n\x01]+', ' ', 'g'), ' *\x01 *', chr(1), 'g') as t
     from documents where text is not null
 ), blocks as (
-    select r, doc_id, t, regexp_split_to_array(t, '\n *\n[ \n]*') as parts from plain
+    select r, doc_id, t, regexp_split_to_array(t, '\n[ \x01]*\n[ \n\x01]*') as parts,
+        list_transform(string_split(t, chr(10)), lambda x: trim(replace(x, chr(1), ' '))) as lines from plain
+), said as (
+    select r, doc_id, lines, list_transform(flatten(list_transform(list_filter(parts, lambda x: contains(x, chr(1))), lambda x: string_split(x, chr(1)))),
+        lambda x: trim(regexp_replace(x, '[ \n]+', ' ', 'g'))) as said from blocks
 ), units as (
-    select r, doc_id, 'line' as unit, unnest(range(len(string_split(t, chr(10))))) as unit_no, unnest(string_split(t, chr(10))) as body from plain
+    select r, doc_id, 'line' as unit, unnest(range(len(lines))) as unit_no, unnest(lines) as body from blocks
+    union all
+    select r, doc_id, 'sentence', no, body from (select r, doc_id, lines, unnest(range(len(said))) as no, unnest(said) as body from said)
+    where not list_contains(lines, body)
     union all
     select r, doc_id, 'block', no, body from (select r, doc_id, unnest(range(len(parts))) as no, unnest(parts) as body from blocks)
     where contains(body, chr(10))
     union all
     select r, doc_id, 'text', 0, t from blocks where len(parts) > 1
 ), words as (
-    select r, doc_id, unit, unit_no, string_split(trim(regexp_replace(body, '[ \n]+', ' ', 'g')), ' ') as w from units
+    select r, doc_id, unit, unit_no, string_split(trim(regexp_replace(body, '[ \n\x01]+', ' ', 'g')), ' ') as w from units
 ), grams as (
     select r, doc_id, unit, unit_no, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as g
     from words where len(w) > 1

@@ -391,13 +391,34 @@ def test_licenses(spark):
     # the line and the block around it, and a whole text in which a licence is nearly all
     want = [
         (0, "line", 0, "isc", 1.0), (1, "line", 0, "unlicense", 1.0), (1, "line", 1, "gpl-3.0-line", 1.0),
+        (1, "sentence", 0, "gpl-3.0-line", dice(f"text {t['gpl-3.0-line']}", "gpl-3.0-line")),
         (1, "block", 0, "gpl-3.0-line", dice(rows[0][1], "gpl-3.0-line")), (5, "block", 1, "mit-grant", 1.0),
         (5, "text", 0, "mit-grant", dice(rows[4][1], "mit-grant")), (6, "block", 0, "mit-grant", dice(rows[5][1], "mit-grant")),
     ]
-    assert got == sorted(w for w in want if w[4] >= licenses.LEAST) and len(got) == 7
+    assert got == sorted(w for w in want if w[4] >= licenses.LEAST) and len(got) == 8
     assert licenses.scan(docs.limit(0)).count() == 0 and licenses.scan(docs, templates={}).count() == 0
 
 
+def test_licenses_in_sentences_and_under_their_own_names(spark):
+    t = licenses.TEMPLATES
+    long = " ".join(f"word{i}" for i in range(5000))
+    rows = [
+        (1, "Copyright (c) 2024 Foo. Released under the MIT License."), (2, "Released under the BSD License."), (3, "# SPDX-License-Identifier: MIT"),
+        (4, "// SPDX-License-Identifier: GPL-3.0-or-later"), (5, t["lgpl-2.1-notice"]), (6, t["lgpl-3.0-notice"]), (7, t["agpl-3.0-notice"]),
+        (8, t["gpl-2.0-notice"]), (9, "Copyright 2020 Bar\n\n" + t["bsd-3-clause"]), (10, t["bsd-2-clause"]), (11, "MIT License\n\n" + t["mit-text"]),
+        (12, f"{long} {long}. Released under\nthe MIT License. {long}"), (13, "SPDX-License-Identifier: nobody's"), (14, "Read the license. It is long."),
+        (2, "Released under the BSD License.\nReleased under the BSD License."),
+    ]
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).add((r.unit, r.template))
+    line = lambda name: {("line", name)}
+    assert got[1] == {("sentence", "mit-line")} and got[2] == line("bsd-line") and got[3] == line("spdx-mit") and got[4] == line("spdx-gpl-3.0")
+    assert all(("line", n) in got[i] for i, n in ((5, "lgpl-2.1-notice"), (6, "lgpl-3.0-notice"), (7, "agpl-3.0-notice"), (8, "gpl-2.0-notice")))
+    assert ("line", "bsd-3-clause") in got[9] and ("line", "bsd-2-clause") in got[10] and ("line", "mit-text") in got[11]
+    assert got[12] == {("sentence", "mit-line")} and 13 not in got and 14 not in got
+
+
 def best(vectors, query, k):
     floor = lambda v: [int(np.floor(256 * float(np.float32(x)))) for x in v]
     q = floor(dict(vectors)[query])
