@@ -531,5 +531,47 @@ def test_toxicity(spark):
 def test_nothing_is_learned_from_the_held_out_fold(spark):
     import zlib
 
+    out = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
     ids = spark.range(200).withColumn("h", toxicity.held_out(F.col("id")))
-    assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in ids.collect())
+    assert all(r.h == out(r.id) for r in ids.collect())
+    rng = random.Random(9)
+    said = lambda bad: " ".join(rng.choice(["river", "table", "garden", "letter"]) for _ in range(12)) + (" blorgface" if bad else "")
+    rows = [(i, said(i % 3 == 0)) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (None, "blorgface river"), (900, "x " * 60_000 + "blorgface")], "doc_id long, text string")
+    marks = [(i, int(i % 3 == 0)) for i in range(300)]
+    score = lambda labels: {r.doc_id: r.score for r in toxicity.score(
+        docs, toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), sample=100)).collect()}
+    found = score(marks)
+    assert found == score([(i, 1 - t if out(i) else t) for i, t in marks])  # flipped where nothing may be learned
+    assert found != score([(i, t if out(i) else 1 - t) for i, t in marks])
+    none = docs.limit(0)
+    assert toxicity.score(none, toxicity.fit(none, spark.createDataFrame(marks, "doc_id long, toxic int"))).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_best_fit_is_that_of_a_search_through_all_bins(seed):
+    rng = random.Random(seed)
+    n, capacity = 250, 60
+    lengths = sorted((rng.randrange(0, 40) for _ in range(n)), reverse=True)
+    sources = [rng.choice([None, *"abcdefghij"]) for _ in range(n)]
+    clusters = [rng.choice([None, *range(40)]) for _ in range(n)]
+    bins, want, before = [], [], []
+    for length, source, cluster in zip(lengths, sources, clusters):
+        fits = [
+            (capacity - used - length, b) for b, (used, held, kinds) in enumerate(bins)
+            if used + length <= capacity and (source is None or source not in held) and (cluster is None or cluster not in kinds)]
+        if fits:
+            b = min(fits)[1]  # the tightest, the first of equal ones
+        else:
+            b = len(bins)
+            bins.append((0, set(), set()))
+        used, held, kinds = bins[b]
+        want.append(b)
+        before.append(used)
+        bins[b] = (used + length, held | {source} - {None}, kinds | {cluster} - {None})
+    assert packing.best_fit(lengths, sources, clusters, capacity) == (want, before)
+
+
+def test_pieces_of_nothing(none, spark):
+    done = pieces.decode(pieces.encode(none, keep=["doc_id", "text"]))
+    assert done.count() == 0 and {"pieces", "decoded"} <= set(done.columns)
