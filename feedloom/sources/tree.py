@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed
 from ..functions.values import col, empty_as_null
 from ..operators.relational import skew_join
+from ..session import cut
 
 NESTED_ROOTS = 5
 
@@ -35,7 +36,8 @@ def deepest_root(files: DataFrame, roots: DataFrame, keys: Sequence[str] = ("rep
     """
     up = files.select(*keys, path, F.explode(folders_above(path)).alias("root"))
     hit = skew_join(up, roots.select(*keys, "root"), [*keys, "root"], "left_semi", spread=[path, "root"])
-    return hit.groupBy(*keys, path).agg(F.max_by("root", F.length("root")).alias("root"))
+    # a root above a file is the beginning of its path
+    return hit.groupBy(*keys, path).agg(F.max(F.length("root")).alias("_n")).select(*keys, path, F.substring(F.col(path), F.lit(1), F.col("_n")).alias("root"))
 
 
 def component_class(path: Column | str, root: Column | str, allowed: Sequence[str] = fixed.COMPONENT_DOT_DIRS) -> Column:
@@ -61,7 +63,8 @@ def layouts(files: DataFrame, targets: DataFrame, keys: Sequence[str] = ("repo",
     least ``nested`` plugins below that folder; its own files are then not counted.
     """
     keys = list(keys)
-    roots = plugin_roots(files, keys, path)
+    files = cut(files.select(*keys, path))  # read for roots, for counts and for folders
+    roots = cut(plugin_roots(files, keys, path))
     owned = deepest_root(files, roots, keys, path).withColumn("class", component_class(path, "root"))
     counts = owned.groupBy(*keys, "root").agg(
         *[F.count_if(F.col("class") == c).alias(c + "s") for c in ("skill", "agent", "command")]
