@@ -55,8 +55,8 @@ def components(edges: DataFrame, *, most_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node that each node of ``edges`` (a, b) is connected with.
 
     Each round hooks every node's larger neighbours to its smallest neighbour, then every node to the smallest of its
-    smaller ones, until the edges are stars. Minima are partial aggregates and the joins are plain equi-joins, so a
-    node with very many links is split by adaptive execution; rounds grow with the logarithm of the longest path.
+    smaller ones, until the edges are stars. Minima are partial aggregates; the links of one node meet in one task when they
+    are joined with its minimum, as narrow rows. Rounds grow with the logarithm of the longest path.
     Null ends and loops are left out. No edges: no rows.
     """
 
