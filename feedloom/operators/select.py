@@ -180,7 +180,8 @@ def featured(
     most = sum(cap for _, cap in passes) * len(scenes)
     candidates = []
     for number, (rows, cap) in enumerate(passes):
-        firsts = rows.filter(F.col(scene).isin(*scenes)).groupBy(scene, key).agg(F.min(order).alias(order))
+        # a limit of one for each scene and key, which cuts the rows before they are shuffled
+        firsts = top_per_key(rows.filter(F.col(scene).isin(*scenes)).select(scene, key, order), [scene, key], [F.asc(order)], 1, "_rank").drop("_rank")
         best = top_per_key(firsts, [scene], [F.asc(order)], cap + most, "_rank").drop("_rank")
         candidates.append(best.select(F.lit(number).alias("pass"), scene, key, order))
     bounded = reduce(DataFrame.unionByName, candidates)
