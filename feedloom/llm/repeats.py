@@ -34,7 +34,7 @@ from ..session import cut
 from .frames import append, field
 from .words import SLICE_BYTES, Words, runs, slices, spans
 
-SIZE, GRAM = 13, 6
+SIZE, GRAM = 13, 5
 _COUNT_BITS = 8  # of a packed segment: its windows; the bits above hold its first word
 LOOK, HOT_SEGMENTS = 64, 1_000_000  # one document in LOOK tells which anchors have about so many segments or more
 FEW_IDS = 100_000  # repeated ids up to this number are broadcast
@@ -72,8 +72,9 @@ class Segments:
         return cls(grams[place], whole, back, row[first], begin - words.first[row[first]], windows)
 
 
-def _segments(size: int, gram: int):
-    """Rows (a, g, h, id, tag, at) of the segments of every text; ``at`` is negative where the segment is settled."""
+def _segments(size: int, gram: int, tagged: bool):
+    """Rows (a, g, h, id, at) and, where ids repeat, tag of the segments of every text; ``at`` is negative where the segment is
+    settled."""
 
     def go(batches):
         for part in slices(batches, "text"):
@@ -98,10 +99,10 @@ def _segments(size: int, gram: int):
                     pa.array(seg.whole.view(np.int64)),
                     pa.array(back),
                     pa.array(own),
-                    part.column("tag").take(pa.array(seg.row)),
                     pa.array(packed * np.where(gone, -1, 1)),
+                    *([part.column("tag").take(pa.array(seg.row))] if tagged else []),
                 ],
-                ["a", "g", "h", "id", "tag", "at"],
+                ["a", "g", "h", "id", "at", *(["tag"] if tagged else [])],
             )
 
     return go
@@ -218,20 +219,26 @@ def _cut(size: int, rest: bool):
     return fn
 
 
-def _tagged(wide: DataFrame) -> DataFrame:
-    """``wide`` with ``tag``, which tells rows of one id apart: the hash of the text where the id repeats, else 0."""
+def _tagged(wide: DataFrame) -> tuple[DataFrame, bool]:
+    """``wide`` with ``tag``, which tells rows of one id apart: the hash of the text where the id repeats, else 0; and whether
+    any id does."""
     again = cut(wide.filter("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"))
     many = again.count()
     if many == 0:
-        return wide.withColumn("tag", F.lit(0).cast("long"))
+        return wide.withColumn("tag", F.lit(0).cast("long")), False
     again = again.withColumn("tag", F.lit(True))
     met = wide.join(F.broadcast(again) if many <= FEW_IDS else again, "id", "left")
-    return met.withColumn("tag", F.when(F.col("tag"), F.xxhash64("text")).otherwise(F.lit(0).cast("long")))
+    return met.withColumn("tag", F.when(F.col("tag"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))), True
+
+
+def _with_tag(seg: DataFrame) -> DataFrame:
+    """Where no id repeats the tag is not sent along, but added where it is needed."""
+    return seg if "tag" in seg.columns else seg.withColumn("tag", F.lit(0).cast("long"))
 
 
 def _known(seg: DataFrame) -> DataFrame:
     """What is known of each segment's anchor and context, by windows: the segments of an anchor meet in one task."""
-    seg = seg.repartition("a")
+    seg = _with_tag(seg.repartition("a"))
     anchor, context = Window.partitionBy("a"), Window.partitionBy("a", "g", "h")
     low, high = lambda c, w: F.min(c).over(w), lambda c, w: F.max(c).over(w)
     return seg.select(
@@ -241,7 +248,7 @@ def _known(seg: DataFrame) -> DataFrame:
 
 def _known_by_count(seg: DataFrame) -> DataFrame:
     """The same by partial aggregates, for anchors with very many segments."""
-    seg = cut(seg)
+    seg = cut(_with_tag(seg))
     least = lambda c: [F.min(c).alias(f"{c}0"), F.max(c).alias(f"{c}1")]
     contexts = cut(seg.groupBy("a", "g", "h").agg(F.min("id").alias("first"), F.max("id").alias("last")))
     anchors = contexts.groupBy("a").agg(F.min("first").alias("low"), F.max("last").alias("high"), *least("g"), *least("h"))
@@ -266,11 +273,12 @@ def remove_repeats(
         raise ValueError("gram must be between 1 and size")
     made = ["n_words", "n_removed", "kept", *(["rest"] if rest else [])]
     names = [c for c in docs.columns if c not in made]
-    wide = _tagged(docs.select(
+    wide, tagged = _tagged(docs.select(
         F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"),
         *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names) if c not in (key, text)]))
     own = wide.select("id", "tag", "text").filter("id is not null")
-    segments = lambda rows: rows.mapInArrow(_segments(size, gram), "a long, g long, h int, id long, tag long, at long")
+    segments = lambda rows: rows.mapInArrow(
+        _segments(size, gram, tagged), "a long, g long, h int, id long, at long" + (", tag long" if tagged else ""))
     some = segments(own.filter(F.pmod(F.xxhash64("id", "tag"), F.lit(look)) == 0)).groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     hot = cut(some.filter(F.col("n") * look >= hot_segments).select("a"))  # at most one in ``hot_segments`` of all segments
     seg = segments(own)
