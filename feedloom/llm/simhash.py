@@ -30,6 +30,7 @@ SAMPLE = 1 << 14  # fingerprints that the dealing tree is fitted on: a fixed bou
 SHARD_NODES = 1 << 13  # nodes that a shard should have
 PART_SAMPLE = 1 << 12  # nodes of a shard that is dealt again that its tree is fitted on
 CHUNK_ROWS = 1 << 16  # rows of it that one task deals
+LARGE = 16  # a shard with so many times the rows that it should have nodes, visitors counted, is dealt again
 MOST_LEVELS = 8
 LEAF = 64  # nodes compared directly
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -243,7 +244,7 @@ def _fit(radius: int, most: int):
     def go(table: pa.Table) -> pa.Table:
         points = table.column("point").to_numpy().view(np.uint64)
         rows = table.column("rows")[0].as_py()
-        tree = build(points, min(-(-4 * rows // most), len(points) // 8 + 1), radius, 0.05)
+        tree = build(points, min(-(-rows // most), len(points) // 8 + 1), radius, 0.05)
         return pa.table({"shard": table.column("shard")[:1], "rows": table.column("rows")[:1], "tree": pa.array([pickle.dumps(tree)], pa.binary())})
 
     return go
@@ -267,13 +268,13 @@ def _deal_chunk(radius: int):
 
 
 def deal_again(dealt: DataFrame, radius: int, most: int, part_sample: int = PART_SAMPLE, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Cut shards with more than four times ``most`` rows in parts, until there are none. Samples, trees and rows stay on the
+    """Cut shards with more than ``LARGE`` times ``most`` rows in parts, until there are none. Samples, trees and rows stay on the
     executors. A shard without a home has nothing to find and goes. Where fingerprints lie so close that nearly all visit both
     sides of any cut, cutting ends: such a cloud stays together."""
     before = float("inf")
     for _ in range(MOST_LEVELS):
         sizes = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
-        large = cut(sizes.filter(F.col("rows") > 4 * most))
+        large = cut(sizes.filter(F.col("rows") > LARGE * most))
         total = large.agg(F.sum("rows")).first()[0] or 0
         if total == 0 or total > 0.9 * before:
             return dealt

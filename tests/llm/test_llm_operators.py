@@ -199,6 +199,7 @@ def test_large_shards_are_dealt_again(spark, monkeypatch):
     dealt = []
     go = simhash.deal_again
     monkeypatch.setattr(simhash, "deal_again", lambda rows, *a: dealt.append((rows, go(rows, *a))) or dealt[-1][1])
+    monkeypatch.setattr(simhash, "LARGE", 4)
     most = 100
     links = simhash.links(nodes, sample=len(points) // 16, shard_nodes=most, part_sample=256, chunk_rows=300)
     got = {r.node: r.component for r in frames.components(links).collect()}
