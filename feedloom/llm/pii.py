@@ -37,7 +37,7 @@ PATTERNS = {
 }
 
 SUPPORT, GENERALISE_AT, REMOVE_AT = 2, 0.8, 0.95
-COUNT_BYTES = 4 << 20  # text whose terms are counted together
+COUNT_BYTES = 1 << 20  # text whose terms are counted together
 
 # The same matches in time that follows the length of the text: an address begins where its run of digits begins, and an
 # email with the run of characters in front of an @.
