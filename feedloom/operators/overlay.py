@@ -169,33 +169,36 @@ def resolve_members(
     """(group, pos, name, member, strategy): which member each listed name of a group means.
 
     Tried in order: the member's namespace, its id, its id with ``-`` for ``:``, and the last
-    part of its address, first within the group's own repository and then anywhere. All ways of
-    finding a member are rows of one table, the first member for each key, and all tries of a
-    name are looked up in it by one join; of the hits the first in order counts.
+    part of its address, first within the group's own repository and then anywhere. The first three
+    agree in their text with ``-`` for ``:`` and are looked up together, so a name is one row in each of three
+    lookups, and never a row for each try.
     """
-    blank = F.lit("")
-    tail_, id_ = F.col(tail).cast("string"), F.col(member).cast("string")
-    entry = lambda kind, key, where: F.struct(F.lit(kind).alias("_kind"), key.cast("string").alias("_key"), where.cast("string").alias("_where"))
-    known = F.array(entry("namespace", F.col(namespace), blank), entry("id", id_, blank), entry("tail", tail_, F.col(member_repo)), entry("tail", tail_, blank))
+    plain = lambda c: F.replace(c, F.lit(":"), F.lit("-"))
+    entry = lambda kind, text: F.struct(F.lit(kind).alias("_kind"), text.cast("string").alias("_text"))
+    known = F.array(entry("namespace", F.col(namespace)), entry("id", F.col(member)))
+    called = members.select(F.col(member).alias("member"), F.col(order).alias("_o"), F.explode(known).alias("_e")).select("member", "_o", "_e.*")
+    called = first_per_key(called.filter(F.col("_text").isNotNull()), ["_kind", "_text"], [F.asc("_o")])
+    # a list holds the few texts that differ in ":" and "-" only
+    called = called.groupBy(plain(F.col("_text")).alias("_plain")).agg(F.collect_list(F.struct("_kind", "_text", "member")).alias("_called"))
     # a blank repository of a member is none; it is found by its tail alone
-    listed = members.select(F.col(member).alias("member"), F.col(order).alias("_o"), F.explode(known).alias("_e")).select("member", "_o", "_e.*")
-    anywhere = F.col("_where").isNotNull()
-    table = first_per_key(listed.filter(F.col("_key").isNotNull() & anywhere), ["_kind", "_key", "_where"], [F.asc("_o")]).drop("_o")
+    places = F.explode(F.array(F.col(member_repo).cast("string"), F.lit(""))).alias("_repo")
+    tails = members.select(F.col(member).alias("member"), F.col(order).alias("_o"), F.col(tail).cast("string").alias("_short"), places)
+    tails = first_per_key(tails.filter(F.col("_short").isNotNull() & F.col("_repo").isNotNull()), ["_short", "_repo"], [F.asc("_o")]).drop("_o")
 
-    flat = cut(groups.select(group, F.col(repo).alias("_repo"), F.posexplode(names).alias("pos", "name")))  # its tries are counted and joined
+    flat = cut(groups.select(group, F.col(repo).cast("string").alias("_repo"), F.posexplode(names).alias("pos", "name")))  # its keys are counted and joined
     short = F.regexp_extract("name", "^[^:]*:(.*)$", 1)
-    short = F.when(F.length(short) > 0, short)
-    slug = F.when(F.col("name").contains(":"), F.replace("name", F.lit(":"), F.lit("-")))
-    tries = (
-        ("namespace", entry("namespace", F.col("name"), blank)), ("id", entry("id", F.col("name"), blank)), ("slug", entry("id", slug, blank)),
-        ("same_repo", entry("tail", short, F.col("_repo"))), ("tail", entry("tail", short, blank)),
-    )
-    asked = F.array(*[F.struct(F.lit(i).alias("_rank"), F.lit(s).alias("strategy"), e.alias("_e")) for i, (s, e) in enumerate(tries)])
-    asked = F.filter(asked, lambda x: x["_e"]["_key"].isNotNull() & x["_e"]["_where"].isNotNull())
-    flat = flat.select(group, "pos", "name", F.explode_outer(asked).alias("_t")).select(group, "pos", "name", "_t._rank", "_t.strategy", "_t._e.*")
-    met = skew_join(flat, table, ["_kind", "_key", "_where"], "left", spread=[group, "pos", "_rank"], min_rows=min_rows)
-    best = first_per_key(met, [group, "pos"], [F.when(F.col("member").isNotNull(), F.col("_rank")).asc_nulls_last()])
-    return best.select(group, "pos", "name", "member", F.when(F.col("member").isNotNull(), F.col("strategy")).otherwise("orphan").alias("strategy"))
+    flat = flat.withColumns({"_plain": plain(F.col("name")), "_short": F.when(F.length(short) > 0, short)})
+    look_up = lambda asked, table, keys: skew_join(asked, table, keys, "left", spread=[group, "pos"], min_rows=min_rows, hot_from=flat)
+    called_by = lambda kind, text: F.get(F.filter("_called", lambda x: (x["_kind"] == kind) & (x["_text"] == text)), F.lit(0))["member"]
+    hit = lambda rank, strategy, m: F.when(m.isNotNull(), F.struct(F.lit(rank).alias("rank"), F.lit(strategy).alias("strategy"), m.alias("member")))
+    slug = F.when(F.col("name").contains(":"), F.col("_plain"))
+    by_name = F.coalesce(hit(0, "namespace", called_by("namespace", F.col("name"))), hit(1, "id", called_by("id", F.col("name"))), hit(2, "slug", called_by("id", slug)))
+    met = look_up(flat, called, ["_plain"]).select(group, "pos", "name", "_short", "_repo", by_name.alias("_hit"))
+    same_repo, anywhere = tails.withColumnRenamed("member", "_own"), tails.filter("_repo = ''").select("_short", F.col("member").alias("_any"))
+    met = look_up(met, same_repo, ["_short", "_repo"]).withColumn("_hit", F.coalesce("_hit", hit(3, "same_repo", F.col("_own"))))
+    met = look_up(met.drop("_own", "_repo"), anywhere, ["_short"]).withColumn("_hit", F.coalesce("_hit", hit(4, "tail", F.col("_any"))))
+    best = first_per_key(met.select(group, "pos", "name", "_hit"), [group, "pos"], [F.col("_hit.rank").asc_nulls_last()])
+    return best.select(group, "pos", "name", "_hit.member", F.coalesce("_hit.strategy", F.lit("orphan")).alias("strategy"))
 
 
 def aligned_members(resolved: DataFrame, group: str = "plugin_id") -> DataFrame:

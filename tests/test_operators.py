@@ -584,3 +584,38 @@ def test_blocks_that_cannot_matter_are_not_read(spark):
         got = found.collect()
         assert [(r.id, round(r.score, 9)) for r in got] == [(r.id, round(r.score, 9)) for r in want], query
         assert read < total / 2 or query == "the of", (query, read, total)
+
+
+def test_a_listed_name_is_one_row_in_each_lookup(shuffled):
+    """Members as a plain loop finds them; the plan makes no row for each try of a name, only for each name of a member."""
+    import random
+
+    from feedloom.operators import overlay as O
+
+    rnd = random.Random(4)
+    pick = lambda *xs: rnd.choice(xs)
+    word = lambda: pick("a", "b", "a:b", "a-b", "b:a", "a:b:a", "a-b:a", ":", "x:", "", None)
+    members = [(pick("a", "b", "a-b", "a:b", "a-b-a", f"m{i}", None), word(), pick("a", "b", "b:a", "", None), pick("r", "s", "", None), i) for i in range(40)]
+    groups = [(i % 25 if i % 9 else None, pick("r", "s", "", None), [word() for _ in range(rnd.randrange(4))] if i % 7 else None) for i in range(60)]
+    for some in (members[:8], members):
+        out = O.resolve_members(
+            shuffled.createDataFrame(groups, "plugin_id long, repo string, namespaces array<string>"),
+            shuffled.createDataFrame(some, "id string, namespace string, tail string, repo string, _ord long"))
+        first = lambda ok: next((m for m in some if ok(m)), [None])[0]
+        want = {}
+        for g, repo, names in groups:
+            for pos, name in enumerate(names or []):
+                short = (name or "").partition(":")[2] or None
+                tries = [
+                    ("namespace", first(lambda m: name is not None and m[1] == name)), ("id", first(lambda m: name is not None and m[0] == name)),
+                    ("slug", first(lambda m: name is not None and ":" in name and m[0] == name.replace(":", "-"))),
+                    ("same_repo", first(lambda m: short is not None and repo is not None and m[2] == short and repo in (m[3], ""))),
+                    ("tail", first(lambda m: short is not None and m[2] == short)),
+                ]
+                best = next(((i, s, m) for i, (s, m) in enumerate(tries) if m is not None), (9, "orphan", None))
+                want[g, pos] = min(want.get((g, pos), best), best, key=lambda b: b[0])
+        got = {(r.plugin_id, r.pos): (r.strategy, r.member) for r in out.collect()}
+        assert {k: v[0] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
+        assert all(v[1] is None or any(m[0] == v[1] for m in some) for v in got.values())
+        assert out.count() == len(want)
+        assert "Generate explode(filter(" not in out._jdf.queryExecution().optimizedPlan().toString()  # rows made of tries
