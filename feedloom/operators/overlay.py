@@ -285,8 +285,10 @@ def verify_membership(
     """``market_name`` where well formed, and ``verified`` where the manifest of the repository lists the name."""
     good = F.trim(F.col(market))
     m = manifests.select(repo, F.when(good.rlike(r"^[A-Za-z0-9._-]+$"), good).alias(market), listed)
-    pairs = m.filter(F.col(market).isNotNull()).select(repo, F.explode(listed).alias("_l"))
-    pairs = pairs.select(repo, F.trim("_l").alias(name)).distinct().withColumn("verified", F.lit(True))
+    # manifests are few rows that make many: dealt out before, and the names are not gathered before they are dealt too
+    pairs = m.filter(F.col(market).isNotNull()).select(repo, listed).repartition(repo, listed)
+    pairs = pairs.select(repo, F.explode(listed).alias("_l")).select(repo, F.trim("_l").alias(name)).repartition(repo, name)
+    pairs = pairs.distinct().withColumn("verified", F.lit(True))
     out = skew_join(df, m.select(repo, market), [repo], "left", spread=spread, min_rows=min_rows)
     out = skew_join(out, pairs, [repo, name], "left", spread=spread, min_rows=min_rows, hot_from=df)
     return out.withColumn("verified", F.coalesce("verified", F.lit(False)))

@@ -619,3 +619,18 @@ def test_a_listed_name_is_one_row_in_each_lookup(shuffled):
         assert all(v[1] is None or any(m[0] == v[1] for m in some) for v in got.values())
         assert out.count() == len(want)
         assert "Generate explode(filter(" not in out._jdf.queryExecution().optimizedPlan().toString()  # rows made of tries
+
+
+def test_manifests_are_dealt_out_before_their_names(shuffled):
+    """A list of names is taken apart behind an exchange, and its names are gathered behind one."""
+    from feedloom.operators import overlay as O
+
+    m = shuffled.createDataFrame([("r", "good", ["a", " b ", "a"]), ("r2", "good", ["c"]), ("s", "bad name", ["a"]), (None, "good", ["a"])],
+                                 "repo string, market_name string, plugin_names array<string>")
+    df = shuffled.createDataFrame([(1, "r", "b"), (2, "r", "c"), (3, "s", "a"), (4, None, "a"), (5, "r2", None), (6, "r", "a")], "id long, repo string, plugin_name string")
+    out = O.verify_membership(df, m, spread=["id"])
+    assert sorted((r.id, r.market_name, r.verified) for r in out.collect()) == [
+        (1, "good", True), (2, "good", False), (3, None, False), (4, None, False), (5, "good", False), (6, "good", True)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    after = plan[plan.index("Generate explode(plugin_names"):].splitlines()
+    assert any("RepartitionByExpression" in line for line in after[1:4])
