@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import combinations
+from itertools import accumulate, combinations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.values import col, let
 from ..session import cut
@@ -154,12 +155,6 @@ def _tokens(df: DataFrame, fields: Sequence[str], key: str) -> DataFrame:
     return df.select(key, *texts)
 
 
-def _terms(tokens: DataFrame, fields: Sequence[str], key: str) -> DataFrame:
-    """(key, field, len, term), one row per token; a test on the term runs where the text is read."""
-    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.size(f).alias("len"), F.col(f).alias("terms")) for f in fields])
-    return tokens.select(key, F.inline(cells)).select(key, "field", "len", F.explode("terms").alias("term"))
-
-
 def _stats(tokens: DataFrame, fields: Sequence[str]) -> DataFrame:
     """One row: the number of rows, and the mean length of every field."""
     return tokens.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.size(f)).alias(f"mean_{f}") for f in fields])
@@ -216,14 +211,31 @@ def search_page(
     return df.join(found, key).select(key, score.alias("score")).orderBy(F.desc("score"), key)
 
 
+_COUNTS = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("tf", T.LongType())]))
+
+
+@F.arrow_udf(_COUNTS)
+def _counted(rows: pa.Array) -> pa.Array:
+    """The different terms of each row with how often they occur."""
+    counts = [Counter(terms) for terms in rows.to_pylist()]
+    offsets = pa.array([0, *accumulate(map(len, counts))], pa.int32())
+    terms = pa.array([t for c in counts for t in c], pa.string())
+    tf = pa.array([n for c in counts for n in c.values()], pa.int64())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([terms, tf], ["term", "tf"]))
+
+
 def build_index(df: DataFrame, fields: Sequence[str], *, key: str = "id") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(postings, vocabulary, statistics) for ``search_index``; built once and written as tables.
 
     Postings are (term, field, key, tf, len), vocabulary is (field, term, df). The tokens of a row are
-    counted before the shuffle, and a frequent term is spread over its rows.
+    counted where it is read; postings are shuffled only where a key is that of several rows, whose counts are added up.
     """
     tokens = _tokens(df, fields, key)
-    postings = _terms(tokens, fields, key).groupBy(key, "field", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
+    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.size(f).alias("len"), F.col(f"_{f}").alias("counts")) for f in fields])
+    counted = tokens.withColumns({f"_{f}": _counted(f) for f in fields}).select(key, F.inline(cells))
+    postings = counted.select(key, "field", "len", F.inline("counts"))
+    if not df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
+        postings = postings.groupBy(key, "field", "len", "term").agg(F.sum("tf").alias("tf"))
     vocabulary = postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     return postings, vocabulary, _stats(tokens, fields)
 
@@ -233,14 +245,25 @@ def write_postings(postings: DataFrame, path: str, *, key: str = "id") -> None:
     postings.repartitionByRange("term", key).sortWithinPartitions("term", key).write.mode("overwrite").parquet(path)
 
 
+# Terms of a query that are sent to every task, some 10 MB; counted before.
+MOST_SENT = 100_000
+
+
+def _of_terms(postings: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """Postings with the columns of their term; they stay where they lie unless the query means very many terms."""
+    if terms.count() <= MOST_SENT:
+        return postings.join(F.broadcast(terms), ["field", "term"])
+    return skew_join(postings, terms, ["field", "term"], "inner", spread=[key])
+
+
 def search_index(
     postings: DataFrame, vocabulary: DataFrame, stats: DataFrame, query: str, boosts: Mapping[str, float], *, key: str = "id",
     limit: int = 200, fuzzy: float = FUZZY,
 ) -> DataFrame:
     """As ``full_text``, from an index: terms are matched in the vocabulary, and only their postings are read."""
     weight = _weight(query, fuzzy)
-    terms = vocabulary.withColumn("weight", weight).filter(F.col("weight") > 0)
-    hits = skew_join(postings.filter(F.col("field").isin(*boosts)), terms, ["field", "term"], "inner", spread=[key])
+    terms = cut(vocabulary.withColumn("weight", weight).filter(F.col("weight") > 0))
+    hits = _of_terms(postings.filter(F.col("field").isin(*boosts)), terms, key)
     return _rank(hits, stats.select(F.struct("*")).scalar(), boosts, key, limit)
 
 
@@ -318,6 +341,18 @@ def block_index(postings: DataFrame, stats: DataFrame, fields: Sequence[str], *,
     return rows, rows.groupBy("term", "field", "block").agg(F.max("impact").alias("most"))
 
 
+def write_blocks(rows: DataFrame, path: str) -> None:
+    """Rows of ``block_index`` sorted by term and block, by one shuffle. The first row of each bound holds it as ``most``."""
+    first = F.row_number().over(Window.partitionBy("term", "block", "field").orderBy(F.desc("impact"))) == 1
+    rows.repartitionByRange("term", "block").withColumn("most", F.when(first, F.col("impact"))).write.mode("overwrite").parquet(path)
+
+
+def read_blocks(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(postings, bounds) that ``write_blocks`` wrote."""
+    stored = spark.read.parquet(path)
+    return stored.drop("most"), stored.filter("most is not null").select("term", "field", "block", "most")
+
+
 def search_blocks(
     postings: DataFrame, bounds: DataFrame, vocabulary: DataFrame, neighbours: DataFrame, stats: DataFrame, query: str,
     boosts: Mapping[str, float], *, key: str = "id", limit: int = 200, fuzzy: float = FUZZY, first: int = 64,
@@ -331,13 +366,13 @@ def search_blocks(
     idf = F.log(1.0 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
     terms = match_terms(vocabulary.filter(F.col("field").isin(*boosts)), neighbours, query, fuzzy)
     terms = cut(terms.select("field", "term", (F.col("weight") * _by_field({f: float(b) for f, b in boosts.items()}) * idf).alias("worth")))
-    reach = bounds.join(terms, ["field", "term"]).groupBy("block").agg((F.sum(F.col("worth") * F.col("most")) * (1 + 1e-9)).alias("reach"))
+    reach = _of_terms(bounds, terms, "block").groupBy("block").agg((F.sum(F.col("worth") * F.col("most")) * (1 + 1e-9)).alias("reach"))
     blocks = cut(with_position(reach, [F.desc("reach"), F.asc("block")], "place"))
     n, read, least, best = blocks.count(), 0, float("-inf"), None
     while read < n:
         upto = read + max(first, read)
         some = blocks.filter((F.col("place") >= read) & (F.col("place") < upto) & (F.col("reach") >= least))
-        hits = postings.join(some.select("block"), "block", "left_semi").join(terms, ["field", "term"])
+        hits = _of_terms(postings, terms, key).join(some.select("block"), "block", "left_semi")
         scored = hits.groupBy(key).agg(F.sum(F.col("worth") * F.col("impact")).alias("score"))
         if best is not None:
             scored = scored.unionByName(best)

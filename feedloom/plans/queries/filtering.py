@@ -407,13 +407,14 @@ def j5_search_page(t):
 def j5_search_blocks(t):
     """The same question to an index whose blocks are read as far as their bounds ask for, terms found by their variants."""
     d = t.documents.select("doc_id", F.regexp_extract("text", "^[^\n]*", 0).alias("head"), "text")
-    postings, vocabulary, stats = (cut(x) for x in Q.build_index(d, ["head", "text"], key="doc_id"))
-    rows, bounds = Q.block_index(postings, stats, ["head", "text"], key="doc_id")
+    postings, _, stats = Q.build_index(d, ["head", "text"], key="doc_id")
+    stats = cut(stats)
     path = scratch(t, "blocks")
-    rows.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(path)
-    stored = t.spark.read.schema(rows.schema).parquet(path)
+    Q.write_blocks(Q.block_index(postings, stats, ["head", "text"], key="doc_id")[0], path)
+    stored, bounds = Q.read_blocks(t.spark, path)
+    vocabulary = cut(stored.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")))
     # the SQL counts a term's documents among those that match
-    out, _ = Q.search_blocks(stored, cut(bounds), vocabulary, cut(Q.neighbour_table(vocabulary)), stats, "anden verbe the", {"head": 3.0, "text": 1.0}, key="doc_id")
+    out, _ = Q.search_blocks(stored, bounds, vocabulary, Q.neighbour_table(vocabulary), stats, "anden verbe the", {"head": 3.0, "text": 1.0}, key="doc_id")
     return out.select("doc_id", F.round("score", 6).alias("score"))
 
 
