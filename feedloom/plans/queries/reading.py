@@ -506,16 +506,16 @@ where o_orderstatus <> 'F' or o_orderpriority <> '1-URGENT'""",
 )
 def a21_published_folders(t):
     """The folders by type written and read back; the place is that of the row among the lines of its folder."""
-    from pyspark.sql import Window
-
     folder = scratch(t, "types")
     o = t.orders.select(
         F.col("o_orderstatus").alias("type"), "o_orderkey", "o_totalprice", F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("x")).alias("bundled_in"))
     A.publish_partitions(o, folder, order=[F.desc("o_totalprice"), F.asc("o_orderkey")], known=["F", "O", "P", "none"], bundled_type="F", version="v1")
     lines = t.spark.read.schema("o_orderkey bigint, type string").json(A.current_folder(t.spark, folder))
     lines = lines.withColumn("file", F.col("_metadata.file_path")).withColumn("line", F.monotonically_increasing_id())
-    place = F.row_number().over(Window.partitionBy("type").orderBy("file", "line")) - 1
-    return lines.select("type", "o_orderkey", place.alias("place"))
+    laid = with_position(lines, [F.asc("type"), F.asc("file"), F.asc("line")], "at")
+    begins = laid.groupBy(F.col("type").alias("_type")).agg(F.min("at").alias("_begin"))  # one row for a folder
+    placed = laid.join(F.broadcast(begins), F.col("type").eqNullSafe(F.col("_type")))
+    return placed.select("type", "o_orderkey", (F.col("at") - F.col("_begin")).alias("place"))
 
 
 @query(

@@ -271,3 +271,24 @@ def test_snapshot_rotation(spark, tmp_path):
     assert rows(N.rotate_snapshot(frame((2, "b")), folder, "v2", ddl)) == [(1, "a")]
     assert rows(N.read_state(spark, folder, ddl)) == [(2, "b")]
     assert N.read_state(spark, str(tmp_path / "other"), ddl).count() == 0
+
+
+def test_order_of_large_files_is_made_by_many_tasks(spark, tmp_path, monkeypatch):
+    """No task sorts all rows of the array, and the place in a folder is no window over the rows of a type."""
+    import __spark_entry__ as entry
+    from feedloom.sources import tables as A
+
+    o = [(i * 7 % 500, i % 9, "FOP"[i % 3], i * 1.5 % 11, "1-URGENT" if i % 5 else "5-LOW", None) for i in range(500)]
+    spark.createDataFrame(o, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string, o_orderdate date") \
+        .repartition(5).write.parquet(str(tmp_path / "orders.parquet"))
+    plans = []
+    write = A.write_json_arrays
+    monkeypatch.setattr(A, "write_json_arrays", lambda df, *a, **b: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a, **b)))
+    got = entry.queries()["a1_one_array"](spark, str(tmp_path)).collect()
+    assert [r.o_orderkey for r in sorted(got, key=lambda r: r.number)] == list(range(500)) and [r.number for r in sorted(got, key=lambda r: r.number)] == list(range(500))
+    assert "Coalesce 1" in plans[0] and "Sort" not in plans[0]
+    out = entry.queries()["a21_published_folders"](spark, str(tmp_path))
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)[0]
+    kept = [r for r in o if r[2] != "F" or r[4] != "1-URGENT"]
+    want = {(r[2], r[0], n) for t in "FOP" for n, r in enumerate(sorted((x for x in kept if x[2] == t), key=lambda x: (-x[3], x[0])))}
+    assert {tuple(r) for r in out.collect()} == want
