@@ -419,6 +419,32 @@ def test_licenses_in_sentences_and_under_their_own_names(spark):
     assert got[12] == {("sentence", "mit-line")} and 13 not in got and 14 not in got
 
 
+def test_licenses_work_every_step_out_once(spark):
+    # filters pushed below a select, and columns named in a lambda, had the words of a unit made once for each template and the lines once for each sentence
+    plan = licenses.scan(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("zip_with(") == 1 and plan.count("array_distinct(") == 1 and plan.count("split(") == 4
+    assert plan.count("regexp_replace(") == 6
+
+
+def test_licenses_of_odd_texts_as_in_sql(spark):
+    import duckdb
+
+    t = licenses.TEMPLATES
+    rows = [
+        (1, "Licensed\n \nunder CC BY 4.0.\nLicensed \x01UNDER\x01 CC BY 4.0.\x01 Licensed  under CC BY-SA 4.0"), (1, "relicensed underCC by 4.0."), (2, "\x01"), (2, "\n\n"),
+        (3, f"K{t['mit-line']}"), (4, f"\u212a{t['mit-line']}\u0130"), (5, t["mit-line"].replace("License", "Licen\u017fe")), (None, f"{t['gpl-warranty'].swapcase()}\t"),
+        (6, f"{t['mit-line']}\n{t['mit-line']} {t['bsd-line']} {t['bsd-line']}\n\n{t['zlib']}\n{t['isc']}"), (7, ("under " * 40 + ". ") * 3), (8, "$1 \\ " + t["unlicense"]),
+        (9, "\n".join(t.values())), (9, " ".join(t.values())), (10, "\n\n".join(f"// {x}\r" for x in t.values())), (11, None), (11, ""), (12, "\U0001f600" + t["zlib"] + "\U0001f600"),
+    ]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    with duckdb.connect() as con:
+        con.execute("create table documents(doc_id bigint, text varchar)")
+        con.executemany("insert into documents values (?, ?)", rows)
+        want = con.execute(licenses.scan_sql()).fetchall()
+    order = lambda found: sorted((str(i), unit, no, name, round(score, 9)) for i, unit, no, name, score in found)
+    assert order(got) == order(want) and len(want) > 50
+
+
 def best(vectors, query, k):
     floor = lambda v: [int(np.floor(256 * float(np.float32(x)))) for x in v]
     q = floor(dict(vectors)[query])
