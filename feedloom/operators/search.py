@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import accumulate, combinations
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F, types as T
 
 from ..functions.values import col, let
 from ..session import cut
@@ -150,9 +151,9 @@ def _by_field(values: Mapping[str, Column | float]) -> Column:
     return reduce(lambda acc, f: acc.when(F.col("field") == f, values[f]), names[1:], out)
 
 
-def _tokens(df: DataFrame, fields: Sequence[str], key: str) -> DataFrame:
+def _tokens(df: DataFrame, fields: Sequence[str], *keep: str) -> DataFrame:
     texts = [F.regexp_extract_all(F.lower(F.coalesce(F.col(f), F.lit(""))), F.lit(TOKEN), 0).alias(f) for f in fields]
-    return df.select(key, *texts)
+    return df.select(*keep, *texts)
 
 
 def _stats(tokens: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -216,28 +217,116 @@ _COUNTS = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.Str
 
 @F.arrow_udf(_COUNTS)
 def _counted(rows: pa.Array) -> pa.Array:
-    """The different terms of each row with how often they occur."""
-    counts = [Counter(terms) for terms in rows.to_pylist()]
-    offsets = pa.array([0, *accumulate(map(len, counts))], pa.int32())
-    terms = pa.array([t for c in counts for t in c], pa.string())
-    tf = pa.array([n for c in counts for n in c.values()], pa.int64())
-    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([terms, tf], ["term", "tf"]))
-
-
-def build_index(df: DataFrame, fields: Sequence[str], *, key: str = "id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The different terms of each row, sorted, with how often they occur."""
+    tokens = rows.flatten().dictionary_encode()
+    order = pc.sort_indices(tokens.dictionary).to_numpy()
+    size = max(len(order), 1)
+    place = np.empty(size, np.int64)
+    place[order] = np.arange(len(order))
+    row_of = np.repeat(np.arange(len(rows)), pc.list_value_length(rows).to_numpy())
+    cells, tf = np.unique(row_of * size + place[tokens.indices.to_numpy()], return_counts=True)
+    offsets = np.searchsorted(cells, np.arange(len(rows) + 1) * size)
+    terms = tokens.dictionary.take(pa.array(order[cells % size]))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([terms, pa.array(tf, pa.int64())], ["term", "tf"]))
+
+
+# Tokens of the rows that a task is meant to take apart; it has twice as many at once at most, besides those of a batch and a block.
+TASK_TOKENS = 1_500_000
+
+
+def _block(key: str, rows: Column, block_rows: int) -> Column:
+    """The block of a row: so many that ``block_rows`` rows fall into each."""
+    return F.pmod(F.xxhash64(key), F.greatest(F.ceil(rows / block_rows), F.lit(1)))
+
+
+def _impact(tf, len_, mean):
+    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * len_ / mean))
+
+
+def _posted(rows: pa.Table, fields: Sequence[str], means: Sequence[float]) -> pa.Table:
+    """Postings of whole blocks, given as (key, block, tokens of each field) in the order of the blocks; see ``build_index``."""
+    n, columns = len(rows), [rows.column(f).combine_chunks() for f in fields]
+    spots = n * len(fields)  # a spot is a field of a row, fields first
+    lens = np.concatenate([pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in columns])
+    tokens = pa.chunked_array([c.flatten() for c in columns]).combine_chunks().dictionary_encode()
+    order = pc.sort_indices(tokens.dictionary).to_numpy()
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    cells, tf = np.unique(place[tokens.indices.to_numpy()] * spots + np.arange(spots).repeat(lens), return_counts=True)
+    spot = cells % spots
+    field, row, len_ = spot // n, spot % n, lens[spot]
+    block = rows.column("block").to_numpy()[row]
+    impact = _impact(tf, len_, np.array(means)[field])
+    starts = np.flatnonzero((np.diff(cells // n, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+    sizes = np.diff(starts, append=len(cells))
+    lead = np.zeros(len(cells), bool)
+    if len(cells):
+        top = np.flatnonzero(impact == np.maximum.reduceat(impact, starts).repeat(sizes))
+        bound = np.arange(len(starts)).repeat(sizes)[top]
+        lead[top[np.diff(bound, prepend=-1) != 0]] = True
+    return pa.table({
+        rows.column_names[0]: rows.column(0).combine_chunks().take(pa.array(row)),
+        "block": block,
+        "lead": lead,
+        "field": pa.array(fields, pa.string()).take(pa.array(field)),
+        "len": len_.astype(np.int32),
+        "term": tokens.dictionary.take(pa.array(order[cells // spots])),
+        "tf": tf.astype(np.int64),
+    })
+
+
+def _dealt_postings(df: DataFrame, fields: Sequence[str], key: str, block_rows: int, said: Row) -> DataFrame:
+    """Postings of rows whose keys are unique, the rows dealt to their blocks before their tokens are counted."""
+    means = [said[f"mean_{f}"] or 1.0 for f in fields]
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, int(said["n"] * sum(means) / TASK_TOKENS))
+    dealt = df.withColumn("block", _block(key, F.lit(said["n"]), block_rows)).repartition(parts, "block").sortWithinPartitions("block")
+
+    def posted(batches):
+        many = lambda rows: len(rows) + sum(pc.sum(pc.list_value_length(rows.column(f))).as_py() or 0 for f in fields)
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += many(pa.Table.from_batches([batch]))
+            if size >= 2 * TASK_TOKENS:
+                rows = pa.Table.from_batches(held)
+                block = rows.column("block").to_numpy()
+                whole = int(np.searchsorted(block, block[-1]))  # of the last block more rows may come
+                yield from _posted(rows.slice(0, whole), fields, means).to_batches(max_chunksize=20_000)
+                rows = rows.slice(whole)
+                held, size = rows.to_batches(), many(rows)
+        if size:
+            yield from _posted(pa.Table.from_batches(held), fields, means).to_batches(max_chunksize=20_000)
+
+    kinds = {key: df.schema[key].dataType, "block": T.LongType(), "lead": T.BooleanType(), "field": T.StringType(), "len": T.IntegerType(), "term": T.StringType(), "tf": T.LongType()}
+    return _tokens(dealt, fields, key, "block").mapInArrow(posted, T.StructType([T.StructField(c, k) for c, k in kinds.items()]))
+
+
+def build_index(
+    df: DataFrame, fields: Sequence[str], *, key: str = "id", block_rows: int | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(postings, vocabulary, statistics) for ``search_index``; built once and written as tables.
 
     Postings are (term, field, key, tf, len), vocabulary is (field, term, df). The tokens of a row are
     counted where it is read; postings are shuffled only where a key is that of several rows, whose counts are added up.
+
+    With ``block_rows``, and where no key is that of several rows, texts are dealt to the blocks of ``block_index`` and postings
+    are not shuffled: they come in the order in which ``write_blocks`` stores them, have ``block``, and ``lead`` marks one of the
+    greatest impact of each (term, field, block).
     """
     tokens = _tokens(df, fields, key)
-    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.size(f).alias("len"), F.col(f"_{f}").alias("counts")) for f in fields])
-    counted = tokens.withColumns({f"_{f}": _counted(f) for f in fields}).select(key, F.inline(cells))
-    postings = counted.select(key, "field", "len", F.inline("counts"))
-    if not df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
-        postings = postings.groupBy(key, "field", "len", "term").agg(F.sum("tf").alias("tf"))
+    stats = cut(_stats(tokens, fields)) if block_rows else _stats(tokens, fields)
+    once = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty()
+    if once and block_rows:
+        postings = _dealt_postings(df, fields, key, block_rows, stats.first())
+    else:
+        cells = F.array(*[F.struct(F.lit(f).alias("field"), F.size(f).alias("len"), F.col(f"_{f}").alias("counts")) for f in fields])
+        counted = tokens.withColumns({f"_{f}": _counted(f) for f in fields}).select(key, F.inline(cells))
+        postings = counted.select(key, "field", "len", F.inline("counts"))
+        if not once:
+            postings = postings.groupBy(key, "field", "len", "term").agg(F.sum("tf").alias("tf"))
     vocabulary = postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    return postings, vocabulary, _stats(tokens, fields)
+    return postings, vocabulary, stats
 
 
 def write_postings(postings: DataFrame, path: str, *, key: str = "id") -> None:
@@ -270,40 +359,38 @@ def search_index(
 # --- an index that is not read as a whole ---------------------------------------------------------
 
 
-def deletions(word: str, most: int) -> set[str]:
-    """The word with up to ``most`` letters left out."""
-    return {"".join(kept) for n in range(min(most, len(word)) + 1) for kept in combinations(word, len(word) - n)}
-
-
 def _reach(length: int, fuzzy: float) -> int:
     """The most edits that a word may be away from a term of this length."""
     words = range(length, int((length + 2) / (1 - min(fuzzy, 0.9))) + 2)
     return max([edits_of(n, fuzzy) for n in words if n - edits_of(n, fuzzy) <= length], default=0)
 
 
-MOST_DELETED = 3
+def _parts(length: int, fuzzy: float) -> list[tuple[int, int]]:
+    """Where terms of this length are cut: in one part more than a word may be edits away."""
+    n = _reach(length, fuzzy) + 1
+    return list(pairwise(i * length // n for i in range(n + 1)))
 
 
 def variants_of(term: str, fuzzy: float = FUZZY) -> list[str]:
-    """What a word must share one of with the term to be near it.
+    """What a word must share one of with the term to be near it: its parts, each with its place and the term's length.
 
-    Two words k edits apart share a spelling with at most k letters left out of each. Where that would be too many spellings,
-    the term is cut in k + 1 parts instead: one of them stands unchanged in the other word.
+    An edit changes one part at most, so one of them stands unchanged in a word that is near, as many letters further left or
+    right at most as there are edits.
     """
-    most = _reach(len(term), fuzzy)
-    if most <= MOST_DELETED:
-        return sorted(deletions(term, most))
-    edges = [i * len(term) // (most + 1) for i in range(most + 2)]
-    return sorted({"/" + term[x:y] for x, y in zip(edges, edges[1:])})
+    return sorted({f"{len(term)}/{x}/{term[x:y]}" for x, y in _parts(len(term), fuzzy)})
 
 
 def spellings(word: str, fuzzy: float = FUZZY) -> set[str]:
     """The variants under which terms near a word are found."""
-    most = edits_of(len(word), fuzzy)
+    most, n = edits_of(len(word), fuzzy), len(word)
     if not most:
         return set()
-    parts = {"/" + word[i:j] for i in range(len(word)) for j in range(i + 1, len(word) + 1)}
-    return deletions(word, min(most, MOST_DELETED)) | parts
+    return {
+        f"{length}/{x}/{word[at : at + y - x]}"
+        for length in range(max(n - most, 0), n + most + 1)
+        for x, y in _parts(length, fuzzy)
+        for at in range(max(x - most, 0), min(x + most, n - (y - x)) + 1)
+    }
 
 
 def neighbour_table(vocabulary: DataFrame, fuzzy: float = FUZZY) -> DataFrame:
@@ -322,29 +409,42 @@ def match_terms(vocabulary: DataFrame, neighbours: DataFrame, query: str, fuzzy:
     words = query_tokens(query)
     spelt = sorted({v for w in words for v in spellings(w, fuzzy)})
     begins = reduce(lambda a, b: a | b, [F.col("term").startswith(w) for w in words], F.lit(False))
-    near = neighbours.filter(F.col("variant").isin(spelt)).select("term").distinct() if spelt else None
+    weight = _weight(query, fuzzy)
     found = vocabulary.filter(begins)
-    if near is not None:
+    if spelt:
         # terms that begin with a word are there already
-        found = found.unionByName(vocabulary.join(near.filter(~begins), "term", "left_semi").select(*found.columns))
-    return found.withColumn("weight", _weight(query, fuzzy)).filter(F.col("weight") > 0)
+        near = cut(neighbours.filter(F.col("variant").isin(spelt) & ~begins).select("term").distinct().filter(weight > 0))
+        if near.count() <= MOST_SENT:
+            near = F.broadcast(near)
+        found = found.unionByName(vocabulary.join(near, "term", "left_semi").select(*found.columns))
+    return found.withColumn("weight", weight)
 
 
 def block_index(postings: DataFrame, stats: DataFrame, fields: Sequence[str], *, key: str = "id", block_rows: int = 128) -> tuple[DataFrame, DataFrame]:
-    """(postings with ``block`` and ``impact``, bounds): rows are dealt to blocks by a hash of the key, ``impact`` is a posting's
-    score before weights, and ``bounds`` has the greatest impact of each (term, field, block)."""
+    """(postings with ``block`` and ``impact``, bounds): rows are dealt to blocks by a hash of the key, if ``build_index`` has not
+    done so, ``impact`` is a posting's score before weights, and ``bounds`` has the greatest impact of each (term, field, block)."""
     said = stats.select(F.struct("*")).scalar()
     mean = _by_field({f: said[f"mean_{f}"] for f in fields})
-    impact = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / mean))
-    block = F.pmod(F.xxhash64(key), F.greatest(F.ceil(said["n"] / block_rows), F.lit(1)))
-    rows = postings.withColumn("block", block).withColumn("impact", impact)
+    impact = _impact(F.col("tf"), F.col("len"), mean)
+    if "block" not in postings.columns:
+        postings = postings.withColumn("block", _block(key, said["n"], block_rows))
+    rows = postings.withColumn("impact", impact)
+    if "lead" in rows.columns:
+        return rows, rows.filter("lead").select("term", "field", "block", F.col("impact").alias("most"))
     return rows, rows.groupBy("term", "field", "block").agg(F.max("impact").alias("most"))
 
 
 def write_blocks(rows: DataFrame, path: str) -> None:
-    """Rows of ``block_index`` sorted by term and block, by one shuffle. The first row of each bound holds it as ``most``."""
-    first = F.row_number().over(Window.partitionBy("term", "block", "field").orderBy(F.desc("impact"))) == 1
-    rows.repartitionByRange("term", "block").withColumn("most", F.when(first, F.col("impact"))).write.mode("overwrite").parquet(path)
+    """Rows of ``block_index``, each file sorted by term, field and block. One row of each bound holds it as ``most``.
+
+    Rows that ``build_index`` has dealt to their blocks are written as they come, others by one shuffle. A file of very many
+    postings can have more than one sorted run, each of whole blocks.
+    """
+    if "lead" in rows.columns:
+        lead = F.col("lead")
+    else:
+        lead = F.row_number().over(Window.partitionBy("term", "field", "block").orderBy(F.desc("impact"))) == 1
+    rows.withColumn("most", F.when(lead, F.col("impact"))).drop("lead").write.mode("overwrite").parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -360,7 +460,7 @@ def search_blocks(
     """(the ``limit`` best rows as of ``search_index``, how many blocks were read).
 
     Blocks are read in the order of the score that a row of them could have at most, twice as many in each round, until no
-    unread block can reach the last of the best so far.
+    unread block can reach the last of the best so far. The postings of the terms are taken out of the index once, not in each round.
     """
     total = stats.select("n").scalar()
     idf = F.log(1.0 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -369,10 +469,11 @@ def search_blocks(
     reach = _of_terms(bounds, terms, "block").groupBy("block").agg((F.sum(F.col("worth") * F.col("most")) * (1 + 1e-9)).alias("reach"))
     blocks = cut(with_position(reach, [F.desc("reach"), F.asc("block")], "place"))
     n, read, least, best = blocks.count(), 0, float("-inf"), None
+    matched = cut(_of_terms(postings, terms, key).select(key, "block", "worth", "impact"))
     while read < n:
         upto = read + max(first, read)
         some = blocks.filter((F.col("place") >= read) & (F.col("place") < upto) & (F.col("reach") >= least))
-        hits = _of_terms(postings, terms, key).join(some.select("block"), "block", "left_semi")
+        hits = matched.join(some.select("block"), "block", "left_semi")
         scored = hits.groupBy(key).agg(F.sum(F.col("worth") * F.col("impact")).alias("score"))
         if best is not None:
             scored = scored.unionByName(best)

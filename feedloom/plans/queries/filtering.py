@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ...functions import text as X
 from ...functions.values import first_rule
 from ...operators import filters as B, scoring as S, search as Q
-from ...session import cut
 from ..registry import query, scratch
 
 
@@ -407,12 +406,13 @@ def j5_search_page(t):
 def j5_search_blocks(t):
     """The same question to an index whose blocks are read as far as their bounds ask for, terms found by their variants."""
     d = t.documents.select("doc_id", F.regexp_extract("text", "^[^\n]*", 0).alias("head"), "text")
-    postings, _, stats = Q.build_index(d, ["head", "text"], key="doc_id")
-    stats = cut(stats)
+    postings, _, stats = Q.build_index(d, ["head", "text"], key="doc_id", block_rows=128)
     path = scratch(t, "blocks")
     Q.write_blocks(Q.block_index(postings, stats, ["head", "text"], key="doc_id")[0], path)
     stored, bounds = Q.read_blocks(t.spark, path)
-    vocabulary = cut(stored.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")))
+    words = scratch(t, "words")
+    stored.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")).write.parquet(words)
+    vocabulary = t.spark.read.parquet(words)
     # the SQL counts a term's documents among those that match
     out, _ = Q.search_blocks(stored, bounds, vocabulary, Q.neighbour_table(vocabulary), stats, "anden verbe the", {"head": 3.0, "text": 1.0}, key="doc_id")
     return out.select("doc_id", F.round("score", 6).alias("score"))

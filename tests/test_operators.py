@@ -654,6 +654,64 @@ def test_stored_blocks_hold_their_bounds(spark, tmp_path):
     assert "Exchange" not in read._jdf.queryExecution().executedPlan().toString()
 
 
+def test_texts_dealt_to_blocks_are_counted_once(spark, tmp_path, monkeypatch):
+    """Postings of dealt rows are those of a plain count, whole blocks at a time; texts are read once to write them."""
+    from collections import Counter
+
+    from feedloom.operators import search as Q
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(text):
+        seen.add(1)
+        return text
+
+    rows_ = [(i, f"One {'two ' * (i % 5)} w{i % 7}", "two É two" if i % 3 else None) for i in range(300)]
+    rows_ += [(None, "", ""), (1000, None, None), (1001, "ﬀ 𝒳z two", "")]
+    for tokens, given in ((1_500_000, rows_), (40, rows_), (40, rows_ + [(7, "two two x", ""), (None, "x", None)]), (40, rows_[:0])):
+        monkeypatch.setattr(Q, "TASK_TOKENS", tokens)
+        df = spark.createDataFrame(given, "id long, head string, text string").repartition(3).withColumn("text", read("text"))
+        want, keys = Counter(), [r[0] for r in given]
+        for key, *texts in given:
+            for field, text in zip(("head", "text"), texts):
+                terms = (text or "").lower().split()
+                want.update((key, field, len(terms), t) for t in terms)
+        postings, _, stats = Q.build_index(df, ["head", "text"], block_rows=16)
+        stats.cache().count()
+        rows, bounds = Q.block_index(postings, stats, ["head", "text"], block_rows=16)
+        before = seen.value
+        Q.write_blocks(rows, path := str(tmp_path / f"blocks{tokens}-{len(given)}"))
+        assert seen.value - before == len(given)
+        stored, read_ = Q.read_blocks(spark, path)
+        got = stored.collect()
+        assert {(r.id, r.field, r.len, r.term): r.tf for r in got} == want and len(got) == len(want)
+        most = {}
+        for r in got:
+            most[r.term, r.field, r.block] = max(r.impact, most.get((r.term, r.field, r.block), 0))
+        for found in (bounds.collect(), read_.collect()):
+            assert {(r.term, r.field, r.block): r.most for r in found} == most and len(found) == len(most)
+        # dealt as without: the same blocks, the same impacts
+        plain = Q.block_index(Q.build_index(df, ["head", "text"])[0], stats, ["head", "text"], block_rows=16)[0]
+        assert sorted(map(str, stored.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+        if len(set(keys)) == len(keys):
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("hashpartitioning") == 1 and "hashpartitioning(block" in plan
+        words = stored.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+        boosts = {"head": 2.0, "text": 1.0}
+        found, _ = Q.search_blocks(stored, read_, words, Q.neighbour_table(words), stats, "two w3", boosts, limit=9, first=2)
+        wanted = Q.search_index(stored, words, stats, "two w3", boosts, limit=9)
+        assert [(r.id, round(r.score, 9)) for r in found.collect()] == [(r.id, round(r.score, 9)) for r in wanted.collect()]
+
+
+def test_a_term_has_few_variants():
+    """One more than the edits that a word may be away; letters left out made 288 of a word of twelve."""
+    from feedloom.operators import search as Q
+
+    assert [len(Q.variants_of(w)) for w in ("a", "the", "verbe", "withreshenes", "x" * 40)] == [1, 2, 2, 4, 11]
+    assert set(Q.variants_of("verde")) & Q.spellings("verbe") and not set(Q.variants_of("xxxxx")) & Q.spellings("verbe")
+
+
 def test_manifests_are_dealt_out_before_their_names(shuffled):
     """A list of names is taken apart behind an exchange, and its names are gathered behind one."""
     from feedloom.operators import overlay as O
