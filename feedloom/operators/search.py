@@ -230,8 +230,10 @@ def _counted(rows: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([terms, pa.array(tf, pa.int64())], ["term", "tf"]))
 
 
-# Tokens of the rows that a task is meant to take apart; it has twice as many at once at most, besides those of a batch and a block.
+# Tokens of the rows that a task is meant to take apart; it takes twice as many at once at most, and those of a block.
 TASK_TOKENS = 1_500_000
+# Rows of a key that may go to one task as texts; the postings of a more frequent one are spread.
+MOST_OF_KEY = 1000
 
 
 def _block(key: str, rows: Column, block_rows: int) -> Column:
@@ -244,7 +246,10 @@ def _impact(tf, len_, mean):
 
 
 def _posted(rows: pa.Table, fields: Sequence[str], means: Sequence[float]) -> pa.Table:
-    """Postings of whole blocks, given as (key, block, tokens of each field) in the order of the blocks; see ``build_index``."""
+    """Postings of whole blocks, given as (key, block, tokens of each field) in the order of the blocks; see ``build_index``.
+
+    Rows of one key add up where their field is as long, as if they were grouped by key, field, length and term.
+    """
     n, columns = len(rows), [rows.column(f).combine_chunks() for f in fields]
     spots = n * len(fields)  # a spot is a field of a row, fields first
     lens = np.concatenate([pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in columns])
@@ -252,7 +257,13 @@ def _posted(rows: pa.Table, fields: Sequence[str], means: Sequence[float]) -> pa
     order = pc.sort_indices(tokens.dictionary).to_numpy()
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    cells, tf = np.unique(place[tokens.indices.to_numpy()] * spots + np.arange(spots).repeat(lens), return_counts=True)
+    keys = rows.column(0).combine_chunks().dictionary_encode(null_encoding="encode")
+    same = np.arange(spots)
+    if len(keys.dictionary) < n:
+        owner = same // n * len(keys.dictionary) + np.tile(keys.indices.to_numpy(), len(fields))
+        _, first, nth = np.unique(owner * (lens.max() + 1) + lens, return_index=True, return_inverse=True)
+        same = first[nth]
+    cells, tf = np.unique(place[tokens.indices.to_numpy()] * spots + same.repeat(lens), return_counts=True)
     spot = cells % spots
     field, row, len_ = spot // n, spot % n, lens[spot]
     block = rows.column("block").to_numpy()[row]
@@ -275,26 +286,34 @@ def _posted(rows: pa.Table, fields: Sequence[str], means: Sequence[float]) -> pa
     })
 
 
+def _runs(rows: pa.Table, sizes: np.ndarray) -> list[pa.Table]:
+    """Rows in the order of their blocks, cut between blocks where ``sizes`` add up to much, and before the last block."""
+    block = rows.column("block").to_numpy()
+    starts = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
+    before = (np.cumsum(sizes) - sizes)[starts] // (2 * TASK_TOKENS)
+    edges = np.unique([0, *starts[np.diff(before, prepend=0) != 0], starts[-1], len(rows)])
+    return [rows.slice(x, y - x) for x, y in pairwise(edges.tolist())]
+
+
 def _dealt_postings(df: DataFrame, fields: Sequence[str], key: str, block_rows: int, said: Row) -> DataFrame:
-    """Postings of rows whose keys are unique, the rows dealt to their blocks before their tokens are counted."""
+    """Postings of rows that are dealt to their blocks before their tokens are counted."""
     means = [said[f"mean_{f}"] or 1.0 for f in fields]
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(least, int(said["n"] * sum(means) / TASK_TOKENS))
     dealt = df.withColumn("block", _block(key, F.lit(said["n"]), block_rows)).repartition(parts, "block").sortWithinPartitions("block")
 
     def posted(batches):
-        many = lambda rows: len(rows) + sum(pc.sum(pc.list_value_length(rows.column(f))).as_py() or 0 for f in fields)
+        sizes = lambda rows: sum(pc.list_value_length(rows.column(f)).to_numpy() for f in fields) + 1
         held, size = [], 0
         for batch in batches:
             held.append(batch)
-            size += many(pa.Table.from_batches([batch]))
+            size += int(sizes(pa.Table.from_batches([batch])).sum())
             if size >= 2 * TASK_TOKENS:
                 rows = pa.Table.from_batches(held)
-                block = rows.column("block").to_numpy()
-                whole = int(np.searchsorted(block, block[-1]))  # of the last block more rows may come
-                yield from _posted(rows.slice(0, whole), fields, means).to_batches(max_chunksize=20_000)
-                rows = rows.slice(whole)
-                held, size = rows.to_batches(), many(rows)
+                *whole, last = _runs(rows, sizes(rows))  # of the last block more rows may come
+                for run in whole:
+                    yield from _posted(run, fields, means).to_batches(max_chunksize=20_000)
+                held, size = last.to_batches(), int(sizes(last).sum())
         if size:
             yield from _posted(pa.Table.from_batches(held), fields, means).to_batches(max_chunksize=20_000)
 
@@ -310,20 +329,20 @@ def build_index(
     Postings are (term, field, key, tf, len), vocabulary is (field, term, df). The tokens of a row are
     counted where it is read; postings are shuffled only where a key is that of several rows, whose counts are added up.
 
-    With ``block_rows``, and where no key is that of several rows, texts are dealt to the blocks of ``block_index`` and postings
+    With ``block_rows``, and unless a key is that of very many rows, texts are dealt to the blocks of ``block_index`` and postings
     are not shuffled: they come in the order in which ``write_blocks`` stores them, have ``block``, and ``lead`` marks one of the
     greatest impact of each (term, field, block).
     """
     tokens = _tokens(df, fields, key)
     stats = cut(_stats(tokens, fields)) if block_rows else _stats(tokens, fields)
-    once = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty()
-    if once and block_rows:
+    keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    if block_rows and keys.filter(F.col("_n") > MOST_OF_KEY).isEmpty():
         postings = _dealt_postings(df, fields, key, block_rows, stats.first())
     else:
         cells = F.array(*[F.struct(F.lit(f).alias("field"), F.size(f).alias("len"), F.col(f"_{f}").alias("counts")) for f in fields])
         counted = tokens.withColumns({f"_{f}": _counted(f) for f in fields}).select(key, F.inline(cells))
         postings = counted.select(key, "field", "len", F.inline("counts"))
-        if not once:
+        if not keys.filter("_n > 1").isEmpty():
             postings = postings.groupBy(key, "field", "len", "term").agg(F.sum("tf").alias("tf"))
     vocabulary = postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     return postings, vocabulary, stats
